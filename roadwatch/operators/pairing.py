@@ -50,10 +50,13 @@ def segment_pairs(start, end, window_seconds, keep="all", hot_plates=(), salts=1
     if start.isStreaming or end.isStreaming:
         pairs = stream_pairs(start, end, window_seconds, hot_plates, salts)
         return {"all": lambda rows: rows, "matched": matched, "unmatched": unmatched}[keep](pairs)
-    window = F.lit(int(window_seconds))
-    starts = start.select(F.lit(0).alias("segment"), window.alias("window"), *_SIGHTING, "dist_next")
-    ends = end.select(F.lit(0).alias("segment"), window.alias("window"), *_SIGHTING, "speed_limit")
-    return _batch_pairs(starts, ends, bucket_seconds(window_seconds), keep).select(*PAIR_COLUMNS)
+    points = union_all(
+        [
+            _points(start, is_start=True, window=window_seconds),
+            _points(end, is_start=False, window=window_seconds),
+        ]
+    )
+    return _batch_pairs(points, bucket_seconds(window_seconds), keep).select(*PAIR_COLUMNS)
 
 
 def chain_pairs(sightings, windows, keep="all", hot_plates=(), salts=16):
@@ -68,21 +71,23 @@ def chain_pairs(sightings, windows, keep="all", hot_plates=(), salts=16):
 
 
 def network_pairs(sightings, segments, longest_window, keep="all"):
-    """Batch pairs for any number of segments in one join.
+    """Batch pairs for any number of segments in one join, with the segment as first column.
 
     `segments` holds (segment, camera_id_start, camera_id_end, window), window in
-    seconds and at most `longest_window`. The plan does not grow with the number
-    of cameras, as it does in `chain_pairs`.
+    seconds and at most `longest_window`. The sightings are read once for all
+    segments and the plan does not grow with the number of cameras, as it does in
+    `chain_pairs`.
     """
-    starts = sightings.join(
-        segments.select("segment", "window", F.col("camera_id_start").alias("camera_id")),
-        "camera_id",
-    ).select("segment", "window", *_SIGHTING, "dist_next")
-    ends = sightings.join(
-        segments.select("segment", "window", F.col("camera_id_end").alias("camera_id")),
-        "camera_id",
-    ).select("segment", "window", *_SIGHTING, "speed_limit")
-    return _batch_pairs(starts, ends, bucket_seconds(longest_window), keep)
+    role = "segment", "window"
+    roles = segments.select(
+        *role, F.col("camera_id_start").alias("camera_id"), F.lit(True).alias("is_start")
+    ).unionByName(
+        segments.select(
+            *role, F.col("camera_id_end").alias("camera_id"), F.lit(False).alias("is_start")
+        )
+    )
+    points = sightings.select(*_SIGHTING, "dist_next", "speed_limit").join(roles, "camera_id")
+    return _batch_pairs(points, bucket_seconds(longest_window), keep)
 
 
 def bucket_seconds(window_seconds):
@@ -121,101 +126,101 @@ def unmatched(pairs):
 # --- batch -------------------------------------------------------------------
 
 
-def _micros(name="timestamp"):
-    return F.unix_micros(F.col(name))
+def _bucket(micros, width):
+    """Start of the bucket, in microseconds."""
+    return micros - F.pmod(micros, F.lit(width * SECOND))
 
 
-def _bucket(micros, width):
-    return F.floor(micros / F.lit(width * SECOND))
+def _buckets(first_micros, last_micros, width):
+    return F.sequence(
+        _bucket(first_micros, width), _bucket(last_micros, width), F.lit(width * SECOND)
+    )
 
 
-def _batch_pairs(starts, ends, width, keep):
-    parts = {"matched": [_joined], "unmatched": [_lone], "all": [_joined, _lone]}[keep]
-    return union_all(part(starts, ends, width) for part in parts)
+def _points(sightings, is_start, window):
+    """Sightings in one role of a segment; the other role's header stays NULL."""
+    dist_next, speed_limit = "dist_next", F.lit(None).cast("int").alias("speed_limit")
+    if not is_start:
+        dist_next, speed_limit = F.lit(None).cast("int").alias("dist_next"), "speed_limit"
+    return sightings.select(
+        *_SIGHTING,
+        dist_next,
+        speed_limit,
+        F.lit(0).alias("segment"),
+        F.lit(int(window)).alias("window"),
+        F.lit(is_start).alias("is_start"),
+    )
 
 
-def _joined(starts, ends, width):
-    reach = F.col("window").cast("bigint") * F.lit(SECOND)
-    s = starts.filter(F.col("timestamp").isNotNull()).select(
-        "segment",
-        F.col("car_plate").alias("car_plate_start"),
-        F.col("timestamp").alias("timestamp_start"),
-        F.col("camera_id").alias("camera_id_start"),
-        F.col("event_id").alias("event_id_start"),
-        "dist_next",
-        _bucket(_micros(), width).alias("bucket"),
+def _batch_pairs(points, width, keep):
+    points = points.withColumns(
+        {"us": F.unix_micros("timestamp"), "reach": F.col("window").cast("bigint") * F.lit(SECOND)}
     )
-    e = ends.filter(F.col("timestamp").isNotNull()).select(
-        F.col("segment").alias("segment_end"),
-        F.col("window").alias("window"),
-        F.col("car_plate").alias("car_plate_end"),
-        F.col("timestamp").alias("timestamp_end"),
-        F.col("camera_id").alias("camera_id_end"),
-        F.col("event_id").alias("event_id_end"),
-        "speed_limit",
-        F.explode(
-            F.sequence(_bucket(_micros() - reach, width), _bucket(_micros(), width))
-        ).alias("bucket_end"),
+    parts = {"matched": [_joined], "unmatched": [_lone], "all": [_joined, _lone]}[keep]
+    return union_all(part(points, width) for part in parts)
+
+
+def _joined(points, width):
+    us, reach = F.col("us"), F.col("reach")
+
+    def side(name, *columns):
+        renamed = [F.col(c).alias(f"{c}_{name}") for c in ("segment", "us", *_SIGHTING)]
+        return points.filter(F.col("is_start") == F.lit(name == "start")).select(
+            *renamed, *columns
+        )
+
+    starts = side("start", "dist_next", _bucket(us, width).alias("bucket_start"))
+    ends = side(
+        "end", "speed_limit", "reach", F.explode(_buckets(us - reach, us, width)).alias("bucket_end")
     )
-    start_us, end_us = _micros("timestamp_start"), _micros("timestamp_end")
-    return s.join(
-        e,
+    joined = starts.join(
+        ends,
         (F.col("car_plate_start") == F.col("car_plate_end"))
-        & (F.col("segment") == F.col("segment_end"))
-        & (F.col("bucket") == F.col("bucket_end"))
-        & (start_us >= end_us - reach)
-        & (start_us <= end_us),
+        & (F.col("segment_start") == F.col("segment_end"))
+        & (F.col("bucket_start") == F.col("bucket_end"))
+        & (F.col("us_start") >= F.col("us_end") - reach)
+        & (F.col("us_start") <= F.col("us_end")),
         "inner",
-    ).select("segment", *PAIR_COLUMNS)
+    )
+    return joined.select(F.col("segment_start").alias("segment"), *PAIR_COLUMNS)
 
 
-def _lone(starts, ends, width):
-    reach = F.col("window").cast("bigint") * F.lit(SECOND)
-    points = union_all(
-        [
-            starts.withColumns(
-                {"speed_limit": F.lit(None).cast("int"), "is_start": F.lit(True)}
-            ),
-            ends.withColumns({"dist_next": F.lit(None).cast("int"), "is_start": F.lit(False)}),
-        ]
-    ).withColumn("us", _micros())
-    keyed = F.col("car_plate").isNotNull() & F.col("us").isNotNull()
-    home = _bucket(F.col("us"), width)
+def _lone(points, width):
+    us, reach, is_start = F.col("us"), F.col("reach"), F.col("is_start")
+    # Without a plate or a time nothing can pair; such rows are dealt out by their id.
+    keyed = F.col("car_plate").isNotNull() & us.isNotNull()
+    home = F.when(keyed, _bucket(us, width)).otherwise(F.xxhash64("event_id", "us"))
     # Starts are copied forwards and ends backwards, as far as their window reaches.
-    buckets = F.when(
-        F.col("is_start"), F.sequence(home, _bucket(F.col("us") + reach, width))
-    ).otherwise(F.sequence(_bucket(F.col("us") - reach, width), home))
-    spread = points.filter(keyed).select(
-        "*", home.alias("home"), F.explode(buckets).alias("bucket")
-    )
+    forwards, backwards = _buckets(us, us + reach, width), _buckets(us - reach, us, width)
+    buckets = F.when(~keyed, F.array(home)).when(is_start, forwards).otherwise(backwards)
+    spread = points.select("*", home.alias("home"), F.explode(buckets).alias("bucket"))
     group = Window.partitionBy("car_plate", "segment", "bucket")
-    earlier_start = F.max(F.when(F.col("is_start"), F.col("us"))).over(group.orderBy("us"))
-    later_end = F.min(F.when(~F.col("is_start"), F.col("us"))).over(
-        group.orderBy(F.col("us").desc())
+    neighbours = spread.withColumns(
+        {
+            "earlier_start": F.max(F.when(is_start, us)).over(group.orderBy("us")),
+            "later_end": F.min(F.when(~is_start, us)).over(group.orderBy(F.col("us").desc())),
+        }
     )
-    partner = F.when(F.col("is_start"), F.col("later_end") <= F.col("us") + reach).otherwise(
-        F.col("earlier_start") >= F.col("us") - reach
+    has_partner = F.when(is_start, F.col("later_end") <= us + reach).otherwise(
+        F.col("earlier_start") >= us - reach
     )
-    lone = (
-        spread.withColumns({"earlier_start": earlier_start, "later_end": later_end})
-        .filter((F.col("bucket") == F.col("home")) & ~F.coalesce(partner, F.lit(False)))
-        .select(*points.columns)
+    return _padded(
+        neighbours.filter(
+            (F.col("bucket") == F.col("home")) & ~F.coalesce(keyed & has_partner, F.lit(False))
+        )
     )
-    # Without a plate or a time nothing can pair, so these rows skip the shuffle.
-    return _padded(union_all([lone, points.filter(~keyed)]))
 
 
 def _padded(points):
     def side(name, is_start):
         return F.when(F.col("is_start") == F.lit(is_start), F.col(name))
 
-    columns = []
+    columns = [side("dist_next", True).alias("dist_next")]
+    columns.append(side("speed_limit", False).alias("speed_limit"))
     for name in _SIGHTING:
         columns.append(side(name, True).alias(f"{name}_start"))
         columns.append(side(name, False).alias(f"{name}_end"))
-    return points.select("segment", *columns, "dist_next", "speed_limit").select(
-        "segment", *PAIR_COLUMNS
-    )
+    return points.select("segment", *columns).select("segment", *PAIR_COLUMNS)
 
 
 # --- streams -----------------------------------------------------------------

@@ -11,8 +11,13 @@ from pyspark.sql import functions as F
 
 from roadwatch.functions.speed import boundary_seconds
 from roadwatch.operators.detection import average_violations, instant_violations
-from roadwatch.operators.pairing import as_trips, chain_pairs, union_all
-from roadwatch.operators.records import average_records, historic_records, instant_records
+from roadwatch.operators.pairing import as_trips, network_pairs, union_all
+from roadwatch.operators.records import (
+    average_records,
+    dropped_records,
+    historic_records,
+    instant_records,
+)
 from roadwatch.schemas import CAMERA
 from roadwatch.session import use_utc
 
@@ -91,13 +96,35 @@ def processed(column):
     return F.col(column) + F.expr("interval 5 seconds")
 
 
+def segments(spark, windows=WINDOWS):
+    """The road segments as a table."""
+    rows = [(f"{a}-{c}", a, c, window) for (a, c), window in zip(SEGMENTS, windows, strict=True)]
+    return spark.createDataFrame(
+        rows, "segment string, camera_id_start int, camera_id_end int, window int"
+    )
+
+
+def pairs(spark, sf_dir, keep="all", windows=WINDOWS):
+    return network_pairs(
+        sightings(spark, sf_dir), segments(spark, windows), max(windows), keep
+    )
+
+
 def instants(spark, sf_dir):
-    return instant_violations(*events_by_camera(spark, sf_dir))
+    return instant_violations(sightings(spark, sf_dir))
+
+
+def averages(spark, sf_dir, windows=WINDOWS):
+    return average_violations(as_trips(pairs(spark, sf_dir, "matched", windows)))
+
+
+def dropped(spark, sf_dir):
+    """Unmatched pairs as drop-log rows, taken in five seconds after the sighting."""
+    return dropped_records(pairs(spark, sf_dir, "unmatched"), ingested())
 
 
-def averages(spark, sf_dir):
-    pairs = chain_pairs(events_by_camera(spark, sf_dir), WINDOWS, keep="matched")
-    return average_violations(as_trips(pairs))
+def ingested():
+    return F.coalesce("timestamp_end", "timestamp_start") + F.expr("interval 5 seconds")
 
 
 def stream_records(spark, sf_dir):

@@ -3,9 +3,9 @@
 from pyspark.sql import functions as F
 
 from roadwatch.functions.messages import utf8
-from roadwatch.functions.speed import boundary_column, boundary_seconds
+from roadwatch.functions.speed import boundary_column
 from roadwatch.operators import dimensions, hotspots, live, pairing, records, series, store
-from roadwatch.operators.detection import average_violations, instant_violations
+from roadwatch.operators.detection import instant_violations
 from roadwatch.plans import bindings as b
 from roadwatch.session import shared_folder
 from roadwatch.sources import messages
@@ -192,36 +192,21 @@ def segment_match(spark, sf_dir):
 
 def segment_chain(spark, sf_dir):
     """All segments in one join, from a segment table."""
-    rows = [
-        (f"{a}-{c}", window, a, c) for (a, c), window in zip(b.SEGMENTS, b.WINDOWS, strict=True)
-    ]
-    segments = spark.createDataFrame(
-        rows, "segment string, window int, camera_id_start int, camera_id_end int"
-    )
-    pairs = pairing.network_pairs(b.sightings(spark, sf_dir), segments, max(b.WINDOWS))
-    return b.presentable(pairs)
+    return b.presentable(b.pairs(spark, sf_dir))
 
 
 def average_violation(spark, sf_dir):
     """A one-day window, of which only trips within the six hours at the limit violate it."""
-    day = 86_400
-    pairs = pairing.chain_pairs(b.events_by_camera(spark, sf_dir), [day, day], keep="matched")
-    return b.presentable(average_violations(pairing.as_trips(pairs)))
-
-
-def _dropped(spark, sf_dir):
-    lone = pairing.chain_pairs(b.events_by_camera(spark, sf_dir), b.WINDOWS, keep="unmatched")
-    seen = F.coalesce("timestamp_end", "timestamp_start") + F.expr("interval 5 seconds")
-    return records.dropped_records(lone, seen)
+    return b.presentable(b.averages(spark, sf_dir, windows=[86_400, 86_400]))
 
 
 def dropped_pairs(spark, sf_dir):
     """One row per segment that a sighting found no partner in."""
-    return b.presentable(_dropped(spark, sf_dir))
+    return b.presentable(b.dropped(spark, sf_dir))
 
 
 def retention_filter(spark, sf_dir):
-    log = store.latest_dropped(_dropped(spark, sf_dir))
+    log = store.latest_dropped(b.dropped(spark, sf_dir))
     return b.presentable(store.retained(log, F.lit(AS_OF).cast("timestamp")))
 
 
@@ -251,9 +236,8 @@ def violation_upsert(spark, sf_dir):
 def dropped_pairs_log(spark, sf_dir):
     """The drop log after a batch that ran twice; an event lone in two segments is one row."""
     root = shared_folder(spark, "dropped")
-    lone = pairing.chain_pairs(b.events_by_camera(spark, sf_dir), b.WINDOWS, keep="unmatched")
-    seen = F.coalesce("timestamp_end", "timestamp_start") + F.expr("interval 5 seconds")
-    sink = sinks.dropped_sink(root, seen)
+    lone = b.pairs(spark, sf_dir, "unmatched")
+    sink = sinks.dropped_sink(root, b.ingested())
     sink(lone, 0)
     sink(lone, 0)
     return b.presentable(store.latest_dropped(sinks.read_dropped(spark, root)))

@@ -17,6 +17,9 @@ from roadwatch.sources.tables import read_violations
 
 
 def write_batch(rows, root, batch_id, partition_by=()):
+    """Replace the folder of one batch; a day's rows go to few files, a busy day's to several."""
+    if partition_by:
+        rows = rows.hint("rebalance", *partition_by)
     (
         rows.write.mode("overwrite")
         .partitionBy(*partition_by)
