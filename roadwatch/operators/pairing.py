@@ -15,7 +15,7 @@ buckets first, so that no task ever holds all sightings of one plate:
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadwatch.functions.times import SECOND
@@ -78,12 +78,11 @@ def network_pairs(sightings, segments, longest_window, keep="all"):
     segments and the plan does not grow with the number of cameras, as it does in
     `chain_pairs`.
     """
-    role = "segment", "window"
-    roles = segments.select(
-        *role, F.col("camera_id_start").alias("camera_id"), F.lit(True).alias("is_start")
+    roles = segments.selectExpr(
+        "segment", "window", "camera_id_start AS camera_id", "true AS is_start"
     ).unionByName(
-        segments.select(
-            *role, F.col("camera_id_end").alias("camera_id"), F.lit(False).alias("is_start")
+        segments.selectExpr(
+            "segment", "window", "camera_id_end AS camera_id", "false AS is_start"
         )
     )
     points = sightings.select(*_SIGHTING, "dist_next", "speed_limit").join(roles, "camera_id")
@@ -100,15 +99,13 @@ def bucket_seconds(window_seconds):
 
 def matched(pairs):
     """Pairs with both sides present."""
-    return pairs.filter(
-        F.col("timestamp_start").isNotNull() & F.col("timestamp_end").isNotNull()
-    )
+    return pairs.filter("timestamp_start IS NOT NULL AND timestamp_end IS NOT NULL")
 
 
 def as_trips(pairs):
     """The columns of matched pairs that detection needs, under one plate."""
-    return pairs.select(
-        F.col("car_plate_start").alias("car_plate"),
+    return pairs.selectExpr(
+        "car_plate_start AS car_plate",
         "timestamp_start",
         "timestamp_end",
         "camera_id_start",
@@ -120,107 +117,96 @@ def as_trips(pairs):
 
 def unmatched(pairs):
     """Sightings without a partner."""
-    return pairs.filter(F.col("timestamp_start").isNull() | F.col("timestamp_end").isNull())
+    return pairs.filter("timestamp_start IS NULL OR timestamp_end IS NULL")
 
 
 # --- batch -------------------------------------------------------------------
 
 
-def _bucket(micros, width):
-    """Start of the bucket, in microseconds."""
-    return micros - F.pmod(micros, F.lit(width * SECOND))
-
-
-def _buckets(first_micros, last_micros, width):
-    return F.sequence(
-        _bucket(first_micros, width), _bucket(last_micros, width), F.lit(width * SECOND)
-    )
-
-
 def _points(sightings, is_start, window):
     """Sightings in one role of a segment; the other role's header stays NULL."""
-    dist_next, speed_limit = "dist_next", F.lit(None).cast("int").alias("speed_limit")
-    if not is_start:
-        dist_next, speed_limit = F.lit(None).cast("int").alias("dist_next"), "speed_limit"
-    return sightings.select(
+    no_header = "cast(NULL AS int) AS"
+    return sightings.selectExpr(
         *_SIGHTING,
-        dist_next,
-        speed_limit,
-        F.lit(0).alias("segment"),
-        F.lit(int(window)).alias("window"),
-        F.lit(is_start).alias("is_start"),
+        "dist_next" if is_start else f"{no_header} dist_next",
+        f"{no_header} speed_limit" if is_start else "speed_limit",
+        "0 AS segment",
+        f"{int(window)} AS window",
+        f"{str(is_start).lower()} AS is_start",
     )
 
 
 def _batch_pairs(points, width, keep):
-    points = points.withColumns(
-        {"us": F.unix_micros("timestamp"), "reach": F.col("window").cast("bigint") * F.lit(SECOND)}
+    points = points.selectExpr(
+        "*", "unix_micros(timestamp) AS us", f"cast(window AS bigint) * {SECOND} AS reach"
     )
     parts = {"matched": [_joined], "unmatched": [_lone], "all": [_joined, _lone]}[keep]
-    return union_all(part(points, width) for part in parts)
+    return union_all(part(points, width * SECOND) for part in parts)
 
 
-def _joined(points, width):
-    us, reach = F.col("us"), F.col("reach")
+def _bucket(micros, width):
+    """Start of the bucket, in microseconds, as SQL."""
+    return f"({micros} - pmod({micros}, {width}L))"
+
+
+def _buckets(first, last, width):
+    """Starts of all buckets from one instant to another, as SQL."""
+    return f"sequence({_bucket(first, width)}, {_bucket(last, width)}, {width}L)"
 
+
+def _joined(points, width):
     def side(name, *columns):
-        renamed = [F.col(c).alias(f"{c}_{name}") for c in ("segment", "us", *_SIGHTING)]
-        return points.filter(F.col("is_start") == F.lit(name == "start")).select(
-            *renamed, *columns
-        )
+        renamed = [f"{c} AS {c}_{name}" for c in ("segment", "us", *_SIGHTING)]
+        kept = points.filter("is_start" if name == "start" else "NOT is_start")
+        return kept.selectExpr(*renamed, *columns)
 
-    starts = side("start", "dist_next", _bucket(us, width).alias("bucket_start"))
+    starts = side("start", "dist_next", f"{_bucket('us', width)} AS bucket_start")
     ends = side(
-        "end", "speed_limit", "reach", F.explode(_buckets(us - reach, us, width)).alias("bucket_end")
+        "end",
+        "speed_limit",
+        "reach",
+        f"explode({_buckets('(us - reach)', 'us', width)}) AS bucket_end",
     )
-    joined = starts.join(
-        ends,
-        (F.col("car_plate_start") == F.col("car_plate_end"))
-        & (F.col("segment_start") == F.col("segment_end"))
-        & (F.col("bucket_start") == F.col("bucket_end"))
-        & (F.col("us_start") >= F.col("us_end") - reach)
-        & (F.col("us_start") <= F.col("us_end")),
-        "inner",
+    condition = """
+        car_plate_start = car_plate_end AND segment_start = segment_end
+        AND bucket_start = bucket_end AND us_start BETWEEN us_end - reach AND us_end
+    """
+    return starts.join(ends, F.expr(condition), "inner").selectExpr(
+        "segment_start AS segment", *PAIR_COLUMNS
     )
-    return joined.select(F.col("segment_start").alias("segment"), *PAIR_COLUMNS)
 
 
 def _lone(points, width):
-    us, reach, is_start = F.col("us"), F.col("reach"), F.col("is_start")
     # Without a plate or a time nothing can pair; such rows are dealt out by their id.
-    keyed = F.col("car_plate").isNotNull() & us.isNotNull()
-    home = F.when(keyed, _bucket(us, width)).otherwise(F.xxhash64("event_id", "us"))
     # Starts are copied forwards and ends backwards, as far as their window reaches.
-    forwards, backwards = _buckets(us, us + reach, width), _buckets(us - reach, us, width)
-    buckets = F.when(~keyed, F.array(home)).when(is_start, forwards).otherwise(backwards)
-    spread = points.select("*", home.alias("home"), F.explode(buckets).alias("bucket"))
-    group = Window.partitionBy("car_plate", "segment", "bucket")
-    neighbours = spread.withColumns(
-        {
-            "earlier_start": F.max(F.when(is_start, us)).over(group.orderBy("us")),
-            "later_end": F.min(F.when(~is_start, us)).over(group.orderBy(F.col("us").desc())),
-        }
+    keyed = "car_plate IS NOT NULL AND us IS NOT NULL"
+    home = f"if({keyed}, {_bucket('us', width)}, xxhash64(event_id, us))"
+    spread = points.selectExpr("*", f"{keyed} AS keyed", f"{home} AS home").selectExpr(
+        "*",
+        f"""explode(CASE WHEN NOT keyed THEN array(home)
+            WHEN is_start THEN {_buckets("us", "(us + reach)", width)}
+            ELSE {_buckets("(us - reach)", "us", width)} END) AS bucket""",
     )
-    has_partner = F.when(is_start, F.col("later_end") <= us + reach).otherwise(
-        F.col("earlier_start") >= us - reach
+    group = "PARTITION BY car_plate, segment, bucket ORDER BY us"
+    neighbours = spread.selectExpr(
+        "*",
+        f"max(if(is_start, us, NULL)) OVER ({group}) AS earlier_start",
+        f"min(if(is_start, NULL, us)) OVER ({group} DESC) AS later_end",
     )
-    return _padded(
-        neighbours.filter(
-            (F.col("bucket") == F.col("home")) & ~F.coalesce(keyed & has_partner, F.lit(False))
-        )
+    lone = neighbours.filter(
+        """bucket = home AND NOT coalesce(
+               keyed AND if(is_start, later_end <= us + reach, earlier_start >= us - reach),
+               false)"""
+    )
+    start_side = [f"if(is_start, {c}, NULL) AS {c}_start" for c in _SIGHTING]
+    end_side = [f"if(is_start, NULL, {c}) AS {c}_end" for c in _SIGHTING]
+    headers = [
+        "if(is_start, dist_next, NULL) AS dist_next",
+        "if(is_start, NULL, speed_limit) AS speed_limit",
+    ]
+    return lone.selectExpr("segment", *start_side, *end_side, *headers).select(
+        "segment", *PAIR_COLUMNS
     )
-
-
-def _padded(points):
-    def side(name, is_start):
-        return F.when(F.col("is_start") == F.lit(is_start), F.col(name))
-
-    columns = [side("dist_next", True).alias("dist_next")]
-    columns.append(side("speed_limit", False).alias("speed_limit"))
-    for name in _SIGHTING:
-        columns.append(side(name, True).alias(f"{name}_start"))
-        columns.append(side(name, False).alias(f"{name}_end"))
-    return points.select("segment", *columns).select("segment", *PAIR_COLUMNS)
 
 
 # --- streams -----------------------------------------------------------------
@@ -263,13 +249,13 @@ def _stream_join(start, end, window_seconds, how, salted=False):
     earliest = f"e.timestamp - interval {int(window_seconds)} seconds"
     condition = f"{same_car} AND s.timestamp >= {earliest} AND s.timestamp <= e.timestamp"
     sides = [
-        F.col(f"{alias}.{name}").alias(f"{name}_{side}")
+        f"{alias}.{name} AS {name}_{side}"
         for name in _SIGHTING
         for alias, side in (("s", "start"), ("e", "end"))
     ]
     return (
         start.alias("s")
         .join(end.alias("e"), F.expr(condition), how)
-        .select(*sides, "s.dist_next", "e.speed_limit")
+        .selectExpr(*sides, "s.dist_next", "e.speed_limit")
         .select(*PAIR_COLUMNS)
     )

@@ -39,42 +39,45 @@ def cameras(spark):
     return spark.createDataFrame(CAMERA_ROWS, CAMERA)
 
 
+# The columns in use of the given tables.
+TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+    "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string,
+                 o_orderdate timestamp_ntz, o_orderpriority string""",
+    "customer": "c_custkey bigint, c_acctbal double",
+}
+
+
 def table(spark, sf_dir, name):
-    use_utc(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return use_utc(spark).read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def event_stream(spark, sf_dir):
     """`events` as a stream. The glob lets the path be one file or a folder of files."""
-    schema = table(spark, sf_dir, "events").schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet")
+    reader = use_utc(spark).readStream.schema(TABLES["events"])
+    return reader.parquet(f"{sf_dir}/event[s].parquet")
 
 
 def _per_camera(values):
-    column = None
-    for camera, value in values.items():
-        is_type = F.col("event_type") == EVENT_TYPES[camera]
-        column = F.when(is_type, F.lit(value)) if column is None else column.when(
-            is_type, F.lit(value)
-        )
-    return column
+    cases = " ".join(f"WHEN '{EVENT_TYPES[camera]}' THEN {v}" for camera, v in values.items())
+    return f"CASE event_type {cases} END"
 
 
 def as_sightings(events, camera=None):
     """Decoded sightings of one camera or of all three."""
     kept = list(EVENT_TYPES.values()) if camera is None else [EVENT_TYPES[camera]]
-    ts = F.col("ts").cast("timestamp")
-    return events.filter(F.col("event_type").isin(kept)).select(
-        F.col("event_id").cast("string").alias("event_id"),
-        F.datediff(F.col("ts"), F.lit(FIRST_DAY).cast("date")).alias("batch_id"),
-        F.col("user_id").cast("string").alias("car_plate"),
-        _per_camera({camera: camera for camera in EVENT_TYPES}).alias("camera_id"),
-        ts.alias("timestamp"),
-        F.col("value").alias("speed_reading"),
-        _per_camera({camera: camera for camera in EVENT_TYPES}).alias("producer_id"),
-        _per_camera(LIMITS).alias("speed_limit"),
-        _per_camera(DISTANCES).alias("dist_next"),
-        (ts + F.expr("interval 5 seconds")).alias("processing_timestamp"),
+    number = _per_camera({camera: camera for camera in EVENT_TYPES})
+    return events.filter(F.col("event_type").isin(kept)).selectExpr(
+        "cast(event_id AS string) AS event_id",
+        f"datediff(ts, DATE '{FIRST_DAY}') AS batch_id",
+        "cast(user_id AS string) AS car_plate",
+        f"{number} AS camera_id",
+        "cast(ts AS timestamp) AS timestamp",
+        "value AS speed_reading",
+        f"{number} AS producer_id",
+        f"{_per_camera(LIMITS)} AS speed_limit",
+        f"{_per_camera(DISTANCES)} AS dist_next",
+        "cast(ts AS timestamp) + interval 5 seconds AS processing_timestamp",
     )
 
 

@@ -5,18 +5,12 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Runtime settings the operators assume. Skew handling and partition sizing are
-# left to adaptive execution; streaming state lives in RocksDB so that it may
-# outgrow the heap.
+# What the operators assume; skew and partition sizes are left to adaptive execution.
 ENGINE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

@@ -7,6 +7,22 @@ from roadwatch.streaming.sinks import instant_sink, pair_sink
 
 TOLERANCE = "30 minutes"
 
+# State outside the heap, one RocksDB instance per partition of a join.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.join.stateFormatVersion": "3",
+}
+
+
+def prepare(spark):
+    """Give the session the state settings that it has no value for."""
+    for key, value in STATE_CONF.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+
 
 def watermarked(sightings, tolerance=TOLERANCE):
     """Tolerate lateness of this much behind the latest sighting of the stream.
@@ -20,6 +36,7 @@ def watermarked(sightings, tolerance=TOLERANCE):
 
 def start(rows, sink, checkpoint, once=False, name=None, interval=None):
     """Start an append query with its own checkpoint; `once` stops it when the input is used up."""
+    prepare(rows.sparkSession)
     writer = (
         rows.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
