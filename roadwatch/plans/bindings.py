@@ -19,7 +19,9 @@ from roadwatch.operators.records import (
     instant_records,
 )
 from roadwatch.schemas import CAMERA
-from roadwatch.session import use_utc
+from roadwatch.session import shared_folder, use_utc
+from roadwatch.sources.tables import read_violations
+from roadwatch.streaming.sinks import write_batch
 
 # The camera table.
 CAMERA_ROWS = [
@@ -171,6 +173,13 @@ def all_records(spark, sf_dir):
     )
 
 
+def stored_records(spark, sf_dir):
+    """All rows as a written violation store, for views that read it more than once."""
+    root = shared_folder(spark, "store")
+    write_batch(all_records(spark, sf_dir), root, 0, ["date"])
+    return read_violations(spark, root)
+
+
 def vehicles(spark, sf_dir):
     """The raw register: a plate once per order, with gaps in two columns."""
     return table(spark, sf_dir, "orders").select(

@@ -151,7 +151,7 @@ def unique_key_check(spark, sf_dir):
     plates = dimensions.repeated_keys(b.vehicles(spark, sf_dir), ["car_plate"]).select(
         F.lit("vehicle").alias("entity"), "car_plate", F.lit(None).cast("date").alias("date"), "copies"
     )
-    documents = store.daily_documents(b.all_records(spark, sf_dir))
+    documents = store.daily_documents(b.stored_records(spark, sf_dir))
     days = dimensions.repeated_keys(documents, ["car_plate", "date", "part"]).select(
         F.lit("document").alias("entity"), "car_plate", "date", "copies"
     )
@@ -214,22 +214,16 @@ def retention_filter(spark, sf_dir):
 
 
 def violation_upsert(spark, sf_dir):
-    """Both sinks, a batch that runs twice, and the same violations again in a later batch."""
+    """Both sinks: a batch of one runs twice, a batch of the other comes again under a new number."""
     root = shared_folder(spark, "violations")
-    instant = b.instants(spark, sf_dir)
-    average = b.averages(spark, sf_dir)
+    instant, average = b.instants(spark, sf_dir), b.averages(spark, sf_dir)
+    store_instant = sinks.instant_sink(f"{root}/instant", b.processed("timestamp"))
+    store_instant(instant, 0)
+    store_instant(instant, 0)
     later = F.lit("2024-03-01 00:00:00").cast("timestamp")
-    for sink, rows, ts in (
-        (sinks.instant_sink, instant, "timestamp"),
-        (sinks.average_sink, average, "timestamp_end"),
-    ):
-        path = f"{root}/{sink.__name__}"
-        sink(path, b.processed(ts))(rows, 0)
-        sink(path, b.processed(ts))(rows, 0)
-        sink(path, later)(rows, 1)
-    stored = read_violations(
-        spark, f"{root}/{sinks.instant_sink.__name__}", f"{root}/{sinks.average_sink.__name__}"
-    )
+    sinks.average_sink(f"{root}/average", b.processed("timestamp_end"))(average, 0)
+    sinks.average_sink(f"{root}/average", later)(average, 1)
+    stored = read_violations(spark, f"{root}/instant", f"{root}/average")
     return b.presentable(store.distinct_violations(stored))
 
 
@@ -248,7 +242,7 @@ def dropped_pairs_log(spark, sf_dir):
 
 def daily_document(spark, sf_dir):
     """One row per car and day, its violations rendered as text in time order."""
-    documents = store.daily_documents(b.all_records(spark, sf_dir))
+    documents = store.daily_documents(b.stored_records(spark, sf_dir))
     text = F.transform(
         "violations",
         lambda v: F.concat_ws(
@@ -273,7 +267,7 @@ def daily_document(spark, sf_dir):
 
 def daily_explode(spark, sf_dir):
     """Documents back to rows, empty ones kept: customers' cars without any violation."""
-    documents = store.daily_documents(b.all_records(spark, sf_dir))
+    documents = store.daily_documents(b.stored_records(spark, sf_dir))
     no_entries = documents.schema["violations"].dataType
     quiet = b.table(spark, sf_dir, "customer").select(
         F.concat(F.lit("quiet-"), F.col("c_custkey").cast("string")).alias("car_plate"),
@@ -299,11 +293,11 @@ _ENTRY_COLUMNS = ["car_plate", "date", "type", "camera_id_start", "camera_id_end
 
 
 def changed_documents(spark, sf_dir):
-    return b.presentable(live.changed_documents(b.all_records(spark, sf_dir), _since()))
+    return b.presentable(live.changed_documents(b.stored_records(spark, sf_dir), _since()))
 
 
 def _live_rows(spark, sf_dir):
-    return live.arrivals(live.changed_documents(b.all_records(spark, sf_dir), _since()))
+    return live.arrivals(live.changed_documents(b.stored_records(spark, sf_dir), _since()))
 
 
 def trailing_hour(spark, sf_dir):
@@ -316,7 +310,7 @@ def live_stats(spark, sf_dir):
 
 
 def high_water_mark(spark, sf_dir):
-    rows = live.arrivals(live.changed_documents(b.all_records(spark, sf_dir), _since()))
+    rows = live.arrivals(live.changed_documents(b.stored_records(spark, sf_dir), _since()))
     return b.presentable(live.high_water_mark(rows, _since()))
 
 
