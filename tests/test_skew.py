@@ -1,0 +1,57 @@
+import pytest
+from conftest import same_rows
+from pyspark.sql import functions as F
+
+from roadwatch.operators.skew import bounded, heavy_keys, salted_join
+
+
+@pytest.fixture
+def facts(spark):
+    """A third of the rows on one key, some without any."""
+    return spark.range(3000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 50 = 1 THEN NULL ELSE concat('k', id % 700) END AS k",
+        "id",
+    )
+
+
+@pytest.fixture
+def names(spark):
+    return spark.range(600).selectExpr("concat('k', id) AS k", "id AS v").unionByName(
+        spark.sql("SELECT 'hot' AS k, -1L AS v UNION ALL SELECT NULL, -2L")
+    )
+
+
+def test_heavy_keys_are_found_and_few(spark, facts):
+    found = [r.heavy for r in heavy_keys(facts, ["k"], support=0.05).collect()]
+    hot = facts.filter("k = 'hot'").select(F.xxhash64("k")).first()[0]
+    assert hot in found and len(found) <= 20
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_salted_join_equals_the_plain_join(facts, names, how, null_safe):
+    right = names.withColumnRenamed("k", "rk")
+    condition = facts.k.eqNullSafe(right.rk) if null_safe else facts.k == right.rk
+    plain = facts.join(right, condition, how).drop("rk")
+    same_rows(salted_join(facts, names, ["k"], how, null_safe=null_safe, salts=8), plain)
+
+
+def test_a_heavy_key_is_dealt_out(spark, facts, names):
+    for key, value in (("spark.sql.adaptive.enabled", "false"),
+                       ("spark.sql.autoBroadcastJoinThreshold", "-1")):
+        spark.conf.set(key, value)
+    try:
+        joined = salted_join(facts, names, ["k"], salts=16).filter("k = 'hot'")
+        sizes = [r[0] for r in joined.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == 1000 and max(sizes) < 700
+
+
+def test_bounded(spark):
+    small, kept = bounded(spark.range(5), 5)
+    assert len(kept) == 5 and small.count() == 5
+    rows = spark.range(6)
+    same, kept = bounded(rows, 5)
+    assert kept is None and same is rows
