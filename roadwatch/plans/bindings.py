@@ -18,6 +18,7 @@ from roadwatch.operators.records import (
     historic_records,
     instant_records,
 )
+from roadwatch.operators.skew import hot_values
 from roadwatch.schemas import CAMERA
 from roadwatch.session import shared_folder, use_utc
 from roadwatch.sources.tables import read_violations
@@ -87,6 +88,11 @@ def sightings(spark, sf_dir):
     return as_sightings(table(spark, sf_dir, "events"))
 
 
+def hot_plates(spark, sf_dir):
+    """Plates that a stream of these sightings should not keep in one partition."""
+    return hot_values(sightings(spark, sf_dir), "car_plate")
+
+
 def camera_frames(events):
     """One frame per camera in road order, from the batch table or the stream."""
     return [as_sightings(events, camera) for camera in EVENT_TYPES]

@@ -381,7 +381,10 @@ def segment_full_outer_stream(spark, sf_dir):
     root = shared_folder(spark, "pairs")
     first, second, _ = b.camera_frames(b.event_stream(spark, sf_dir))
     pairs = pairing.segment_pairs(
-        jobs.watermarked(first), jobs.watermarked(second), b.WINDOWS[0]
+        jobs.watermarked(first),
+        jobs.watermarked(second),
+        b.WINDOWS[0],
+        hot_plates=b.hot_plates(spark, sf_dir),
     )
     _run(spark, "pairs", pairs, lambda rows, batch: sinks.write_batch(rows, root, batch))
     return b.presentable(spark.read.schema(pairs.schema).parquet(root).drop("batch_id"))
@@ -394,7 +397,15 @@ def segment_chain_stream(spark, sf_dir):
     frames = b.camera_frames(b.event_stream(spark, sf_dir))
     fixed = F.lit("2024-03-01 00:00:00").cast("timestamp")
     jobs.finish(
-        jobs.start_pairs(frames, b.WINDOWS, root, checkpoint, once=True, processed_at=fixed)
+        jobs.start_pairs(
+            frames,
+            b.WINDOWS,
+            root,
+            checkpoint,
+            once=True,
+            processed_at=fixed,
+            hot_plates=b.hot_plates(spark, sf_dir),
+        )
     )
     average = store.distinct_violations(read_violations(spark, f"{root}/average")).select(
         F.lit("average").alias("output"),
@@ -479,7 +490,11 @@ def late_rows_stream(spark, sf_dir):
             arrived.write.mode("append").parquet(inbox)
         if pairs is None:
             streams = [spark.readStream.schema(schema).parquet(inbox) for inbox in inboxes]
-            pairs = pairing.segment_pairs(*map(jobs.watermarked, streams), b.WINDOWS[0])
+            pairs = pairing.segment_pairs(
+                *map(jobs.watermarked, streams),
+                b.WINDOWS[0],
+                hot_plates=b.hot_plates(spark, sf_dir),
+            )
         jobs.finish(
             jobs.start(
                 pairs,

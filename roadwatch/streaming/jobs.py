@@ -52,7 +52,7 @@ def start(rows, sink, checkpoint, once=False, name=None, interval=None):
 
 
 def start_pairs(sightings, windows, store, checkpoint, tolerance=TOLERANCE, once=False,
-                processed_at=None, hot_plates=(), salts=16):
+                processed_at=None, hot_plates=(), salts=4):
     """Average violations and the drop log, from cameras in road order."""
     pairs = chain_pairs(
         [watermarked(frame, tolerance) for frame in sightings],

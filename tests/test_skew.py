@@ -2,7 +2,7 @@ import pytest
 from conftest import same_rows
 from pyspark.sql import functions as F
 
-from roadwatch.operators.skew import bounded, heavy_keys, salted_join
+from roadwatch.operators.skew import bounded, heavy_keys, hot_values, salted_join
 
 
 @pytest.fixture
@@ -27,6 +27,12 @@ def test_heavy_keys_are_found_and_few(spark, facts):
     assert hot in found and len(found) <= 20
 
 
+def test_hot_values_are_exact(spark, facts, names):
+    assert hot_values(facts, "k", support=0.05) == ["hot"]
+    assert hot_values(names, "k", support=0.05) == []
+    assert hot_values(facts.limit(0), "k") == []
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 @pytest.mark.parametrize("null_safe", [False, True])
 def test_salted_join_equals_the_plain_join(facts, names, how, null_safe):
