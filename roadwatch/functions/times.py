@@ -37,7 +37,8 @@ def hour_of_day(ts):
 
 def bin_start(ts, seconds=300):
     """Start of the fixed-size bin an instant falls into."""
-    return F.timestamp_seconds(F.floor(F.unix_seconds(ts) / F.lit(seconds)) * F.lit(seconds))
+    elapsed = F.unix_seconds(ts)
+    return F.timestamp_seconds(elapsed - F.pmod(elapsed, F.lit(seconds)))
 
 
 def elapsed_seconds(start, end):

@@ -39,20 +39,21 @@ def daily_documents(violations, max_entries=50_000, max_long_days=100_000):
     content, so that no task gathers an unbounded array; every other document is
     part 0 alone. A count per day runs first to find such days.
     """
-    days = ["car_plate", "date"]
-    placed = _in_parts(violations, days, max_entries, max_long_days)
+    placed, keys = _in_parts(violations, ["car_plate", "date"], max_entries, max_long_days)
     # One shuffle serves both the set and the document.
     entries = (
-        placed.repartition(*days, "part")
-        .groupBy(*days, "part", *ENTRY)
+        placed.repartition(*keys)
+        .groupBy(*keys, *ENTRY)
         .agg(F.min("updated_at").alias("first"), F.max("updated_at").alias("latest"))
     )
-    return entries.groupBy(*days, "part").agg(
+    documents = entries.groupBy(*keys).agg(
         F.sort_array(
             F.collect_list(F.struct(*ENTRY, F.col("first").alias("updated_at")))
         ).alias("violations"),
         F.max("latest").alias("updated_at"),
     )
+    part = F.col("part") if "part" in keys else F.lit(0).alias("part")
+    return documents.select("car_plate", "date", part, "violations", "updated_at")
 
 
 def _in_parts(violations, days, max_entries, max_long_days):
@@ -64,14 +65,15 @@ def _in_parts(violations, days, max_entries, max_long_days):
     )
     long_days, kept = bounded(long_days, max_long_days)
     if kept == []:
-        return violations.withColumn("part", F.lit(0))
+        return violations, days
     same_day = F.col("car_plate").eqNullSafe(F.col("long_plate")) & F.col("date").eqNullSafe(
         F.col("long_date")
     )
     part = F.pmod(F.xxhash64(*ENTRY), F.coalesce("parts", F.lit(1))).cast("int")
-    return violations.join(long_days, same_day, "left").select(
+    parted = violations.join(long_days, same_day, "left").select(
         *violations.columns, part.alias("part")
     )
+    return parted, [*days, "part"]
 
 
 def entries_of(documents, keep_empty=False):

@@ -179,10 +179,10 @@ def all_records(spark, sf_dir):
     )
 
 
-def stored_records(spark, sf_dir):
-    """All rows as a written violation store, for views that read it more than once."""
+def stored(spark, records):
+    """The rows as a written violation store, for views that read it more than once."""
     root = shared_folder(spark, "store")
-    write_batch(all_records(spark, sf_dir), root, 0, ["date"])
+    write_batch(records, root, 0, ["date"])
     return read_violations(spark, root)
 
 

@@ -203,20 +203,26 @@ _EMITTED = """(timestamp_start IS NOT NULL AND timestamp_end IS NOT NULL)
 _FULL = ",".join([_SIGHT, _joined("FULL OUTER", "21600 SECOND")])
 _FIRST = "segment = '1-2'"
 
+# Each upload is a run of its own. A run starts from the watermark reached so far and moves it
+# on to what the slower side of this upload allows.
 _UPLOADS = """
 arrived AS (
-  SELECT *, CAST(floor(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 10) AS INTEGER)
+  SELECT *, CAST(floor(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 15) AS INTEGER)
             + CASE WHEN speed_reading < 20 THEN 1 ELSE 0 END AS upload
   FROM sight WHERE camera_id IN (1, 2)
 ),
 side_marks AS (
-  SELECT u.upload, c.camera_id,
-         (SELECT date_trunc('millisecond', max(a.ts)) FROM arrived a
-          WHERE a.camera_id = c.camera_id AND a.upload <= u.upload) AS latest
-  FROM (SELECT DISTINCT upload FROM arrived) u, (VALUES (1), (2)) c(camera_id)
+  SELECT upload, camera_id, date_trunc('millisecond', max(ts)) AS latest
+  FROM arrived GROUP BY upload, camera_id
+),
+own_marks AS (
+  SELECT upload, min(latest) - INTERVAL 30 MINUTE AS wm
+  FROM side_marks GROUP BY upload HAVING count(*) = 2
 ),
 marks AS (
-  SELECT upload, min(latest) - INTERVAL 30 MINUTE AS wm FROM side_marks GROUP BY upload
+  SELECT u.upload, max(o.wm) AS wm
+  FROM (SELECT DISTINCT upload FROM arrived) u JOIN own_marks o ON o.upload <= u.upload
+  GROUP BY u.upload
 ),
 mark AS (SELECT max(wm) AS wm FROM marks),
 kept AS (

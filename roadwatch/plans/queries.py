@@ -125,9 +125,8 @@ def vehicle_deregister(spark, sf_dir):
 
 
 def violation_owner(spark, sf_dir):
-    owned = dimensions.with_owner(
-        b.stream_records(spark, sf_dir), _latest_vehicles(spark, sf_dir)
-    )
+    violations = b.stored(spark, b.stream_records(spark, sf_dir))
+    owned = dimensions.with_owner(violations, _latest_vehicles(spark, sf_dir))
     return b.presentable(owned)
 
 
@@ -151,7 +150,7 @@ def unique_key_check(spark, sf_dir):
     plates = dimensions.repeated_keys(b.vehicles(spark, sf_dir), ["car_plate"]).select(
         F.lit("vehicle").alias("entity"), "car_plate", F.lit(None).cast("date").alias("date"), "copies"
     )
-    documents = store.daily_documents(b.stored_records(spark, sf_dir))
+    documents = store.daily_documents(b.stored(spark, b.all_records(spark, sf_dir)))
     days = dimensions.repeated_keys(documents, ["car_plate", "date", "part"]).select(
         F.lit("document").alias("entity"), "car_plate", "date", "copies"
     )
@@ -242,7 +241,7 @@ def dropped_pairs_log(spark, sf_dir):
 
 def daily_document(spark, sf_dir):
     """One row per car and day, its violations rendered as text in time order."""
-    documents = store.daily_documents(b.stored_records(spark, sf_dir))
+    documents = store.daily_documents(b.stored(spark, b.all_records(spark, sf_dir)))
     text = F.transform(
         "violations",
         lambda v: F.concat_ws(
@@ -267,7 +266,7 @@ def daily_document(spark, sf_dir):
 
 def daily_explode(spark, sf_dir):
     """Documents back to rows, empty ones kept: customers' cars without any violation."""
-    documents = store.daily_documents(b.stored_records(spark, sf_dir))
+    documents = store.daily_documents(b.stored(spark, b.all_records(spark, sf_dir)))
     no_entries = documents.schema["violations"].dataType
     quiet = b.table(spark, sf_dir, "customer").select(
         F.concat(F.lit("quiet-"), F.col("c_custkey").cast("string")).alias("car_plate"),
@@ -293,11 +292,11 @@ _ENTRY_COLUMNS = ["car_plate", "date", "type", "camera_id_start", "camera_id_end
 
 
 def changed_documents(spark, sf_dir):
-    return b.presentable(live.changed_documents(b.stored_records(spark, sf_dir), _since()))
+    return b.presentable(live.changed_documents(b.stored(spark, b.all_records(spark, sf_dir)), _since()))
 
 
 def _live_rows(spark, sf_dir):
-    return live.arrivals(live.changed_documents(b.stored_records(spark, sf_dir), _since()))
+    return live.arrivals(live.changed_documents(b.stored(spark, b.all_records(spark, sf_dir)), _since()))
 
 
 def trailing_hour(spark, sf_dir):
@@ -310,7 +309,7 @@ def live_stats(spark, sf_dir):
 
 
 def high_water_mark(spark, sf_dir):
-    rows = live.arrivals(live.changed_documents(b.stored_records(spark, sf_dir), _since()))
+    rows = live.arrivals(live.changed_documents(b.stored(spark, b.all_records(spark, sf_dir)), _since()))
     return b.presentable(live.high_water_mark(rows, _since()))
 
 
@@ -468,12 +467,13 @@ def live_stats_stream(spark, sf_dir):
 
 
 def late_rows_stream(spark, sf_dir):
-    """Sightings that arrive in uploads of ten days, slow cars' one upload late.
+    """Sightings that arrive in uploads of 15 days, slow cars' one upload late.
 
-    What comes in behind the watermark is left out of pairs and drop log alike.
+    Each upload is a run of the same query. What comes in behind the watermark is
+    left out of pairs and drop log alike.
     """
     folder = shared_folder(spark, "late")
-    upload = F.floor(F.col("batch_id") / F.lit(10)) + F.when(
+    upload = F.floor(F.col("batch_id") / F.lit(15)) + F.when(
         F.col("speed_reading") < 20, 1
     ).otherwise(0)
     frames = [
