@@ -9,8 +9,8 @@ buckets first, so that no task ever holds all sightings of one plate:
 
 * pairs come from an equi-join on (plate, segment, bucket), where an end sighting
   is copied into each bucket its window reaches;
-* lone sightings need no join at all. Within a bucket, the closest earlier start
-  and the closest later end decide, which is a running maximum over one sort.
+* lone sightings need no pairs: the first and last time of the other side in two
+  neighbouring buckets decide.
 """
 
 from functools import reduce
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadwatch.functions.times import SECOND
+from roadwatch.operators.skew import salted_join
 
 PAIR_COLUMNS = [
     "car_plate_start",
@@ -176,27 +177,40 @@ def _joined(points, width):
     )
 
 
-def _lone(points, width):
-    # Without a plate or a time nothing can pair; such rows are dealt out by their id.
-    # Starts are copied forwards and ends backwards, as far as their window reaches.
+def _lone(points, _):
+    """Points without a partner, without looking at pairs.
+
+    With time cut into slots of one window, a point's partners lie in its own slot
+    or in one neighbour. Whether there are any follows exactly from the first and
+    last time on the other side in those two slots, one small row per slot that
+    combines before the shuffle however many sightings or copies a slot holds.
+    """
+    # Without a plate or a time nothing can pair; such rows are dealt out evenly.
     keyed = "car_plate IS NOT NULL AND us IS NOT NULL"
-    home = f"if({keyed}, {_bucket('us', width)}, xxhash64(event_id, us))"
-    spread = points.selectExpr("*", f"{keyed} AS keyed", f"{home} AS home").selectExpr(
-        "*",
-        f"""explode(CASE WHEN NOT keyed THEN array(home)
-            WHEN is_start THEN {_buckets("us", "(us + reach)", width)}
-            ELSE {_buckets("(us - reach)", "us", width)} END) AS bucket""",
+    slot = f"if({keyed}, us - pmod(us, width), xxhash64(event_id, us, spark_partition_id()))"
+    slotted = points.selectExpr("*", "greatest(reach, 1L) AS width").selectExpr(
+        "*", f"{slot} AS slot"
     )
-    group = "PARTITION BY car_plate, segment, bucket ORDER BY us"
-    neighbours = spread.selectExpr(
-        "*",
-        f"max(if(is_start, us, NULL)) OVER ({group}) AS earlier_start",
-        f"min(if(is_start, NULL, us)) OVER ({group} DESC) AS later_end",
+    # Starts count for their own slot and the next one, ends for their own and the one before.
+    seen = (
+        slotted.filter(keyed)
+        .selectExpr(
+            "car_plate", "segment", "slot", "us", "width", "is_start",
+            "explode(array(0, if(is_start, 1, -1))) AS shift",
+        )
+        .groupBy("car_plate", "segment", F.expr("slot + shift * width").alias("slot"))
+        .agg(
+            F.expr("min(us) FILTER (WHERE is_start AND shift = 0)").alias("own_start"),
+            F.expr("max(us) FILTER (WHERE is_start AND shift = 1)").alias("earlier_start"),
+            F.expr("max(us) FILTER (WHERE NOT is_start AND shift = 0)").alias("own_end"),
+            F.expr("min(us) FILTER (WHERE NOT is_start AND shift = -1)").alias("later_end"),
+        )
     )
-    lone = neighbours.filter(
-        """bucket = home AND NOT coalesce(
-               keyed AND if(is_start, later_end <= us + reach, earlier_start >= us - reach),
-               false)"""
+    lone = salted_join(slotted, seen, ["car_plate", "segment", "slot"], "left", support=0.001).filter(
+        """NOT coalesce(
+               if(is_start, own_end >= us, own_start <= us), false)
+           AND NOT coalesce(
+               if(is_start, later_end <= us + reach, earlier_start >= us - reach), false)"""
     )
     start_side = [f"if(is_start, {c}, NULL) AS {c}_start" for c in _SIGHTING]
     end_side = [f"if(is_start, NULL, {c}) AS {c}_end" for c in _SIGHTING]

@@ -36,14 +36,16 @@ def hot_values(rows, column, support=0.05):
 def salted_join(left, right, keys, how="left", null_safe=False, support=0.01, salts=32):
     """Equi-join of a large `left` with skewed keys to `right`.
 
-    Left rows of a heavy key are dealt out over `salts` tasks by their content,
-    and the right rows of that key are copied to each. All other keys join as
-    usual. For inner, left, left_semi and left_anti joins; the result has the
-    keys once.
+    Left rows of a heavy key are dealt out over `salts` tasks, and the right rows
+    of that key are copied to each. All other keys join as usual. The salt comes
+    from the row and the partition it is read in, so that equal rows spread as
+    well and a task that runs again deals the same. For inner, left, left_semi and
+    left_anti joins; the result has the keys once.
     """
     heavy = F.broadcast(heavy_keys(left, keys, support))
     is_heavy = F.col("heavy").isNotNull()
-    salt = F.when(is_heavy, F.pmod(F.xxhash64(*left.columns), F.lit(salts))).otherwise(F.lit(0))
+    dealt_to = F.pmod(F.xxhash64(*left.columns, F.spark_partition_id()), F.lit(salts))
+    salt = F.when(is_heavy, dealt_to).otherwise(F.lit(0))
     dealt = left.join(heavy, F.xxhash64(*keys) == F.col("heavy"), "left").select(
         *left.columns, salt.cast("int").alias("salt")
     )

@@ -74,11 +74,14 @@ def encode(events, headers, topic, payload=CAMERA_EVENT):
 def in_publish_order(events):
     """Batches in order of their id; events without one are not published.
 
-    Time and id break ties, so a batch holding much of the data still spreads
-    over many sort ranges.
+    Time, id and the partition an event is read in break ties, so that a batch or
+    an event that makes up much of the data still spreads over many sort ranges.
     """
-    return events.filter(F.col("batch_id").isNotNull()).orderBy(
-        "batch_id", "timestamp", "event_id"
+    published = events.filter(F.col("batch_id").isNotNull())
+    return (
+        published.withColumn("read_in", F.spark_partition_id())
+        .orderBy("batch_id", "timestamp", "event_id", "read_in")
+        .drop("read_in")
     )
 
 

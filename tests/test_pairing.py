@@ -97,21 +97,43 @@ def test_network_equals_chain(spark):
 def test_plan_holds_only_the_part_asked_for(spark):
     start, end = random_camera(spark, 1, 1), random_camera(spark, 2, 2)
     plan = lambda keep: segment_pairs(start, end, 33, keep)._jdf.queryExecution().toString()
-    assert "Window" not in plan("matched") and "Join" in plan("matched")
-    assert "Join" not in plan("unmatched") and "Window" in plan("unmatched")
+    assert "collect_frequent_items" not in plan("matched")
+    assert "bucket_end" not in plan("unmatched")
 
 
-def test_no_task_holds_all_of_a_busy_plate(spark):
-    """The rows of one plate are spread over the time buckets of the shuffle."""
-    rows = [(f"a{i}", "hot", at("00:00:00") + timedelta(seconds=i), 1.0) for i in range(4000)]
-    start = camera(spark, 1, rows)
-    lone = segment_pairs(start, camera(spark, 2, []), 33, keep="unmatched")
+def test_no_window_finds_only_sightings_at_the_same_instant(spark):
+    start, end = random_camera(spark, 1, 5), random_camera(spark, 2, 6)
+    same_rows(segment_pairs(start, end, 0), brute_force(start, end, 0))
+
+
+def busiest_task(spark, rows):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        sizes = [r[0] for r in lone.groupBy(F.spark_partition_id()).count().select("count").collect()]
+        sizes = rows.groupBy(F.spark_partition_id()).count().select("count").collect()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert sum(sizes) == 4000 and max(sizes) < 2500
+    return max(r[0] for r in sizes), sum(r[0] for r in sizes)
+
+
+def test_no_task_holds_all_of_a_busy_plate(spark):
+    rows = [(f"a{i}", "hot", at("00:00:00") + timedelta(seconds=i), 1.0) for i in range(4000)]
+    lone = segment_pairs(camera(spark, 1, rows), camera(spark, 2, []), 33, keep="unmatched")
+    most, total = busiest_task(spark, lone)
+    assert total == 4000 and most < 2500
+
+
+def test_no_task_holds_all_copies_of_one_sighting(spark):
+    copies = camera(spark, 1, [("a", "hot", at("00:00:00"), 1.0)] * 4000).repartition(16)
+    lone = segment_pairs(copies, camera(spark, 2, []), 33, keep="unmatched")
+    most, total = busiest_task(spark, lone)
+    assert total == 4000 and most < 2500
+
+
+def test_no_task_holds_all_sightings_without_a_plate(spark):
+    blank = camera(spark, 1, [(None, None, None, 1.0)] * 4000).repartition(16)
+    lone = segment_pairs(blank, camera(spark, 2, []), 33, keep="unmatched")
+    most, total = busiest_task(spark, lone)
+    assert total == 4000 and most < 2500
 
 
 def test_inclusive_bounds(spark):

@@ -117,6 +117,15 @@ def test_a_long_day_is_split_without_losing_entries(spark):
         same_rows(back.select(plain.columns), plain)
 
 
+def test_many_copies_of_one_violation_stay_one_entry_of_one_part(spark):
+    rows = violations(spark, violation(), violation(plate="Q"))
+    copies = rows.crossJoin(spark.range(300)).drop("id")
+    documents = store.daily_documents(copies, max_entries=100)
+    assert sorted((r.car_plate, r.part, len(r.violations)) for r in documents.collect()) == [
+        ("P", 0, 1), ("Q", 0, 1),
+    ]
+
+
 def test_empty_documents_survive_only_the_outer_explode(spark):
     documents = store.daily_documents(violations(spark, violation()))
     empty = documents.select(
