@@ -180,9 +180,9 @@ def all_records(spark, sf_dir):
 
 
 def stored(spark, records):
-    """The rows as a written violation store, for views that read it more than once."""
+    """The rows as a written table, for views that read them more than once."""
     root = shared_folder(spark, "store")
-    write_batch(records, root, 0, ["date"])
+    write_batch(records, root, 0)
     return read_violations(spark, root)
 
 

@@ -213,13 +213,11 @@ def retention_filter(spark, sf_dir):
 
 
 def violation_upsert(spark, sf_dir):
-    """Both sinks: a batch of one runs twice, a batch of the other comes again under a new number."""
+    """Both sinks; the average violations come again in a later batch, as after a restart."""
     root = shared_folder(spark, "violations")
     instant, average = b.instants(spark, sf_dir), b.averages(spark, sf_dir)
-    store_instant = sinks.instant_sink(f"{root}/instant", b.processed("timestamp"))
-    store_instant(instant, 0)
-    store_instant(instant, 0)
     later = F.lit("2024-03-01 00:00:00").cast("timestamp")
+    sinks.instant_sink(f"{root}/instant", b.processed("timestamp"))(instant, 0)
     sinks.average_sink(f"{root}/average", b.processed("timestamp_end"))(average, 0)
     sinks.average_sink(f"{root}/average", later)(average, 1)
     stored = read_violations(spark, f"{root}/instant", f"{root}/average")
@@ -227,12 +225,9 @@ def violation_upsert(spark, sf_dir):
 
 
 def dropped_pairs_log(spark, sf_dir):
-    """The drop log after a batch that ran twice; an event lone in two segments is one row."""
+    """The drop log; an event that is lone in two segments is one row."""
     root = shared_folder(spark, "dropped")
-    lone = b.pairs(spark, sf_dir, "unmatched")
-    sink = sinks.dropped_sink(root, b.ingested())
-    sink(lone, 0)
-    sink(lone, 0)
+    sinks.dropped_sink(root, b.ingested())(b.pairs(spark, sf_dir, "unmatched"), 0)
     return b.presentable(store.latest_dropped(sinks.read_dropped(spark, root)))
 
 
