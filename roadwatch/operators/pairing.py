@@ -9,8 +9,9 @@ buckets first, so that no task ever holds all sightings of one plate:
 
 * pairs come from an equi-join on (plate, segment, bucket), where an end sighting
   is copied into each bucket its window reaches;
-* lone sightings need no pairs: the first and last time of the other side in two
-  neighbouring buckets decide.
+* lone sightings need no pairs: within a bucket, the closest start before and the
+  closest end after decide, a running maximum over one sort. Slots that hold a
+  large share of the data are settled from their first and last times alone.
 """
 
 from functools import reduce
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadwatch.functions.times import SECOND
-from roadwatch.operators.skew import salted_join
+from roadwatch.operators.skew import heavy_keys
 
 PAIR_COLUMNS = [
     "car_plate_start",
@@ -177,40 +178,54 @@ def _joined(points, width):
     )
 
 
-def _lone(points, _):
+def _lone(points, width):
     """Points without a partner, without looking at pairs.
 
-    With time cut into slots of one window, a point's partners lie in its own slot
-    or in one neighbour. Whether there are any follows exactly from the first and
-    last time on the other side in those two slots, one small row per slot that
-    combines before the shuffle however many sightings or copies a slot holds.
+    Points of one plate and bucket are put in order; the closest start before and
+    the closest end after decide. Points in crowded slots are settled before that
+    and take no part in the shuffle unless they are lone. Points without a plate
+    or a time cannot pair, so they are settled as well.
     """
-    # Without a plate or a time nothing can pair; such rows are dealt out evenly.
-    keyed = "car_plate IS NOT NULL AND us IS NOT NULL"
-    slot = f"if({keyed}, us - pmod(us, width), xxhash64(event_id, us, spark_partition_id()))"
-    slotted = points.selectExpr("*", "greatest(reach, 1L) AS width").selectExpr(
-        "*", f"{slot} AS slot"
+    payload = points.columns
+    slotted = points.selectExpr(
+        "*", "greatest(reach, 1L) AS slot_width", "car_plate IS NOT NULL AND us IS NOT NULL AS keyed"
+    ).selectExpr("*", "us - pmod(us, slot_width) AS slot")
+    crowded = F.broadcast(_crowded_slots(slotted.filter("keyed")))
+    same_slot = """car_plate = crowded_plate AND segment = crowded_segment
+                   AND slot = crowded_slot"""
+    settled = slotted.join(crowded, F.expr(same_slot), "left").filter(
+        """crowded_slot IS NULL
+           OR NOT coalesce(if(is_start, last_end >= us, first_start <= us), false)
+              AND NOT coalesce(
+                  if(is_start, later_end <= us + reach, earlier_start >= us - reach), false)"""
+    ).selectExpr(*payload, "crowded_slot IS NOT NULL OR NOT keyed AS settled")
+    home = f"if(settled, xxhash64(event_id, us, spark_partition_id()), {_bucket('us', width)})"
+    # For its neighbours a crowded slot is worth its last start and its first end.
+    markers = crowded.selectExpr(
+        "crowded_plate AS car_plate",
+        "crowded_segment AS segment",
+        "crowded_reach AS reach",
+        "false AS settled",
+        """inline(array(named_struct('us', last_start, 'is_start', true),
+                        named_struct('us', first_end, 'is_start', false)))""",
+    ).filter("us IS NOT NULL")
+    # Starts are copied forwards and ends backwards, as far as their window reaches.
+    spread = settled.selectExpr("*", f"{home} AS home").unionByName(
+        markers, allowMissingColumns=True
+    ).selectExpr(
+        "*",
+        f"""explode(CASE WHEN settled THEN array(home)
+            WHEN is_start THEN {_buckets("us", "(us + reach)", width)}
+            ELSE {_buckets("(us - reach)", "us", width)} END) AS bucket""",
     )
-    # Starts count for their own slot and the next one, ends for their own and the one before.
-    seen = (
-        slotted.filter(keyed)
-        .selectExpr(
-            "car_plate", "segment", "slot", "us", "width", "is_start",
-            "explode(array(0, if(is_start, 1, -1))) AS shift",
-        )
-        .groupBy("car_plate", "segment", F.expr("slot + shift * width").alias("slot"))
-        .agg(
-            F.expr("min(us) FILTER (WHERE is_start AND shift = 0)").alias("own_start"),
-            F.expr("max(us) FILTER (WHERE is_start AND shift = 1)").alias("earlier_start"),
-            F.expr("max(us) FILTER (WHERE NOT is_start AND shift = 0)").alias("own_end"),
-            F.expr("min(us) FILTER (WHERE NOT is_start AND shift = -1)").alias("later_end"),
-        )
-    )
-    lone = salted_join(slotted, seen, ["car_plate", "segment", "slot"], "left", support=0.001).filter(
-        """NOT coalesce(
-               if(is_start, own_end >= us, own_start <= us), false)
-           AND NOT coalesce(
-               if(is_start, later_end <= us + reach, earlier_start >= us - reach), false)"""
+    group = "PARTITION BY car_plate, segment, bucket ORDER BY us"
+    lone = spread.selectExpr(
+        "*",
+        f"max(if(is_start, us, NULL)) OVER ({group}) AS start_before",
+        f"min(if(is_start, NULL, us)) OVER ({group} DESC) AS end_after",
+    ).filter(
+        """bucket = home AND (settled OR NOT coalesce(
+               if(is_start, end_after <= us + reach, start_before >= us - reach), false))"""
     )
     start_side = [f"if(is_start, {c}, NULL) AS {c}_start" for c in _SIGHTING]
     end_side = [f"if(is_start, NULL, {c}) AS {c}_end" for c in _SIGHTING]
@@ -223,6 +238,42 @@ def _lone(points, _):
     )
 
 
+def _crowded_slots(slotted, support=0.001):
+    """First and last times of the slots that hold a large share of all points.
+
+    A slot is as long as the window, so the partners of a point lie in its own
+    slot or in one neighbour, and the first and last times there say exactly
+    whether there are any. At most 1/support slots come out, whatever the size of
+    the data, and their points combine before the shuffle.
+    """
+    key = ["car_plate", "segment", "slot"]
+    heavy = F.broadcast(heavy_keys(slotted, key, support))
+    # Starts count for their own slot and the next one, ends for their own and the one before.
+    seen = (
+        slotted.selectExpr(*key, "slot_width", "us", "reach", "is_start",
+                           "explode(array(0, if(is_start, 1, -1))) AS shift")
+        .withColumn("slot", F.expr("slot + shift * slot_width"))
+        .join(heavy, F.xxhash64(*key) == F.col("heavy"), "left_semi")
+    )
+    times = {
+        "first_start": "min(us) FILTER (WHERE is_start AND shift = 0)",
+        "last_start": "max(us) FILTER (WHERE is_start AND shift = 0)",
+        "earlier_start": "max(us) FILTER (WHERE is_start AND shift = 1)",
+        "first_end": "min(us) FILTER (WHERE NOT is_start AND shift = 0)",
+        "last_end": "max(us) FILTER (WHERE NOT is_start AND shift = 0)",
+        "later_end": "min(us) FILTER (WHERE NOT is_start AND shift = -1)",
+        "crowded_reach": "max(reach)",
+    }
+    return (
+        seen.groupBy(
+            F.col("car_plate").alias("crowded_plate"),
+            F.col("segment").alias("crowded_segment"),
+            F.col("slot").alias("crowded_slot"),
+        )
+        .agg(*[F.expr(sql).alias(name) for name, sql in times.items()])
+    )
+
+
 # --- streams -----------------------------------------------------------------
 
 
