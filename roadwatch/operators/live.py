@@ -9,17 +9,26 @@ from roadwatch.operators.skew import bounded, salted_join
 BIN_SECONDS = 300
 
 
-def changed_documents(violations, since):
+def changed_documents(violations, since, max_days=1000):
     """All rows of documents that a stream has written to after `since`.
 
     The choice is by document (car and day): a chosen one comes whole, with older
-    and historic rows. Documents known from history alone are never chosen.
+    and historic rows. Documents known from history alone are never chosen. The
+    days concerned are found first, so that a store partitioned by date is read
+    for those days alone; with more than `max_days` it is read in full.
     """
     touched = (
         violations.filter((F.col("origin") == "stream") & (F.col("updated_at") > since))
         .select("car_plate", "date")
         .distinct()
     )
+    _, days = bounded(touched.select("date").distinct(), max_days)
+    if days is not None:
+        known = [row["date"] for row in days if row["date"] is not None]
+        concerned = F.col("date").isin(known) if known else F.lit(False)
+        if len(known) < len(days):
+            concerned |= F.col("date").isNull()
+        violations = violations.filter(concerned)
     return salted_join(violations, touched, ["car_plate", "date"], "left_semi", null_safe=True)
 
 

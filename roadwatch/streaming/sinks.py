@@ -6,6 +6,8 @@ the rows; nothing passes through the driver. Errors are not swallowed: the batch
 fails and the checkpoint replays it.
 """
 
+from pyspark.sql import functions as F
+
 from roadwatch.functions.times import event_day
 from roadwatch.operators.detection import average_violations
 from roadwatch.operators.live import arrivals, changed_documents, live_statistics
@@ -80,15 +82,21 @@ def live_sink(stores, out, since):
     """Refresh the live statistics from the violation stores, once per micro-batch."""
 
     def write(batch, batch_id):
-        rows = distinct_violations(read_violations(batch.sparkSession, *stores))
-        write_batch(live_statistics(arrivals(changed_documents(rows, since))), out, batch_id)
+        changed = changed_documents(read_violations(batch.sparkSession, *stores), since)
+        write_batch(live_statistics(arrivals(distinct_violations(changed))), out, batch_id)
 
     return write
 
 
-def read_dropped(spark, root):
-    """Raw drop-log rows; `operators.store.latest_dropped` reduces them to one per event."""
-    return spark.read.schema(DROPPED_PAIR).parquet(root).select(*DROPPED_PAIR.fieldNames())
+def read_dropped(spark, root, ingested_from=None):
+    """Raw drop-log rows; `operators.store.latest_dropped` reduces them to one per event.
+
+    `ingested_from` is a day; folders of earlier days are not read.
+    """
+    rows = spark.read.schema(DROPPED_PAIR).parquet(root)
+    if ingested_from is not None:
+        rows = rows.filter(F.col("ingested_on") >= F.lit(ingested_from).cast("date"))
+    return rows.select(*DROPPED_PAIR.fieldNames())
 
 
 def compact(violations, path):

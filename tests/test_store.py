@@ -182,6 +182,16 @@ def test_retention_counts_from_ingestion(spark):
     assert [r.event_id for r in store.retained(rows, as_of).collect()] == ["edge"]
 
 
+def test_drop_log_reads_from_a_day_of_ingestion(spark, tmp_path):
+    pairs = spark.createDataFrame(
+        [("S", None, at("08:00:00"), None, 1, None, "s1", None),
+         ("S", None, at("2024-01-02 08:00:00"), None, 1, None, "s2", None)], PAIR)
+    sinks.dropped_sink(str(tmp_path), F.col("timestamp_start"))(pairs, 0)
+    assert sinks.read_dropped(spark, str(tmp_path)).count() == 2
+    late = sinks.read_dropped(spark, str(tmp_path), ingested_from="2024-01-02").collect()
+    assert [r.event_id for r in late] == ["s2"]
+
+
 def test_a_batch_that_runs_again_leaves_the_store_as_it_was(spark, tmp_path):
     root = str(tmp_path / "store")
     rows = violations(spark, violation(), violation(plate="Q", day=at("2024-01-02 00:00:00").date()))
