@@ -2,7 +2,9 @@
 
 from roadwatch.llm.block_names import exact_duplicates
 from roadwatch.llm.hilbert import document_shards
-from roadwatch.llm.mixing import mix, mixed_documents  # noqa: F401
+from roadwatch.llm.mixing import mix
+from roadwatch.llm.quality import quality
+from roadwatch.llm.tokens import encode
 
 
 def documents(spark, sf_dir):
@@ -13,6 +15,14 @@ def hilbert_shards(spark, sf_dir):
     return document_shards(documents(spark, sf_dir))
 
 
+def weak_supervision(spark, sf_dir):
+    return quality(documents(spark, sf_dir))
+
+
+def piece_tokens(spark, sf_dir):
+    return encode(documents(spark, sf_dir))
+
+
 def source_mix(spark, sf_dir):
     return mix(documents(spark, sf_dir))
 
@@ -23,6 +33,8 @@ def block_naming(spark, sf_dir):
 
 QUERIES = {
     "op2_hilbert_shards": hilbert_shards,
+    "op4_weak_supervision": weak_supervision,
+    "op7_piece_tokens": piece_tokens,
     "op8_source_mix": source_mix,
     "op10_block_naming": block_naming,
 }

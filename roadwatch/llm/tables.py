@@ -1,5 +1,7 @@
 """Helpers shared by the operators of this folder."""
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -79,3 +81,24 @@ def positions(frame, order, name):
     return sorted_rows.join(F.broadcast(offsets), "part").select(
         *frame.columns, (F.col("offset") + F.col("place")).alias("position"), "total"
     )
+
+
+def slices(batches, column, limit=4_000_000):
+    """The Arrow batches in pieces of at most `limit` bytes of a text column, one row at least.
+
+    Bounds what Python holds at a time, whatever the batch size.
+    """
+    for batch in batches:
+        sizes = batch.column(column).nbytes if batch.num_rows else 0
+        if sizes <= limit or batch.num_rows <= 1:
+            if batch.num_rows:
+                yield batch
+            continue
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
+        ends = np.cumsum(lengths)
+        begin = 0
+        while begin < batch.num_rows:
+            before = ends[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, before + limit, side="right")))
+            yield batch.slice(begin, end - begin)
+            begin = end
