@@ -4,13 +4,13 @@ Each stage takes (spark, docs, sf_dir) and returns a frame that is written as Pa
 and read again as the next stage's documents.
 """
 
-from roadwatch.llm import queries
+from roadwatch.llm.mixing import mixed_documents
 from roadwatch.llm.tables import stored
 
 
 def mixing_sources(spark, docs, sf_dir):
     """Rows of documents, each as often as the mix takes it."""
-    return queries.mixed_documents(docs)
+    return mixed_documents(docs)
 
 
 STAGES = [("mixing sources to target weights", mixing_sources)]
