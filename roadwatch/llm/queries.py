@@ -2,7 +2,9 @@
 
 from roadwatch.llm.block_names import exact_duplicates
 from roadwatch.llm.hilbert import document_shards
+from roadwatch.llm.host_paths import main_text
 from roadwatch.llm.mixing import mix
+from roadwatch.llm.personal import personal_data
 from roadwatch.llm.quality import quality
 from roadwatch.llm.tokens import encode
 
@@ -15,6 +17,14 @@ def hilbert_shards(spark, sf_dir):
     return document_shards(documents(spark, sf_dir))
 
 
+def host_paths(spark, sf_dir):
+    return main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def personal_spans(spark, sf_dir):
+    return personal_data(documents(spark, sf_dir)).drop("found")
+
+
 def weak_supervision(spark, sf_dir):
     return quality(documents(spark, sf_dir))
 
@@ -33,7 +43,9 @@ def block_naming(spark, sf_dir):
 
 QUERIES = {
     "op2_hilbert_shards": hilbert_shards,
+    "op3_host_paths": host_paths,
     "op4_weak_supervision": weak_supervision,
+    "op5_personal_spans": personal_spans,
     "op7_piece_tokens": piece_tokens,
     "op8_source_mix": source_mix,
     "op10_block_naming": block_naming,

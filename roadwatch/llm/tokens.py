@@ -2,7 +2,7 @@
 
 The model file is read through Spark and travels with the job; workers rebuild the
 tokenizer from it. Texts are normalised, cut before spaces where the vocabulary allows
-that, and each part that a worker has not met lately is encoded in one multithreaded
+that, and each part that a task has not met lately is encoded in one multithreaded
 batch call and compared with the SentencePiece library's own answer.
 """
 
@@ -18,7 +18,7 @@ from roadwatch.llm.tables import slices, texts
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 
-# Parts that a worker remembers; beyond that it forgets all and starts again.
+# Parts that a task remembers; beyond that it forgets all and starts again.
 REMEMBERED = 300_000
 
 ENCODED = "n_tokens long, n_byte_tokens long, ids array<int>, parity boolean, round_trip boolean"
@@ -107,17 +107,6 @@ def ragged(flat, sizes, picked):
     return flat[np.repeat(starts[picked], lengths) + steps]
 
 
-_workers = {}
-
-
-def _encoder(data):
-    """The worker's encoder; building one takes half a second, so tasks share it."""
-    if data not in _workers:
-        _workers.clear()
-        _workers[data] = Encoder(data)
-    return _workers[data]
-
-
 def encode(documents, model_path=MODEL_PATH, id_col="doc_id", text_col="text"):
     """One row per document: doc_id, n_tokens, n_byte_tokens, ids, parity, round_trip.
 
@@ -129,7 +118,7 @@ def encode(documents, model_path=MODEL_PATH, id_col="doc_id", text_col="text"):
     data = read_model(documents.sparkSession, model_path)
 
     def run(batches):
-        encoder = _encoder(data)
+        encoder = Encoder(data)
         for batch in slices(batches, "text"):
             raw = batch.column("text").to_pylist()
             ids, counts, same = encoder.encode(raw)
@@ -167,7 +156,7 @@ def decode(tokens, model_path=MODEL_PATH, id_col="doc_id", ids_col="ids"):
     ids = F.col(ids_col).cast("array<int>")
 
     def run(batches):
-        encoder = _encoder(data)
+        encoder = Encoder(data)
         for batch in batches:
             rows = [row or [] for row in batch.column("ids").to_pylist()]
             counts = np.fromiter(map(len, rows), np.int64, len(rows))
