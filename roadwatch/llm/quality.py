@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from roadwatch.llm.tables import WORD, stored
+from roadwatch.llm.tables import WORD, let, stored
 
 BLANKS = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
@@ -38,11 +38,6 @@ ANCHOR = 0.02
 ROUNDS = 30
 
 
-def _let(value, body):
-    """`body` of a value that is computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def repeated_words(words):
     """Words that lie in a window of 8 words found twice or more, of an array of words.
 
@@ -51,7 +46,7 @@ def repeated_words(words):
     """
     count = F.size(words)
     starts = F.sequence(F.lit(1), F.greatest(count - (WINDOW - 1), F.lit(1)))
-    some_repeat = _let(
+    some_repeat = let(
         F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, WINDOW))),
         lambda hashes: F.size(F.array_distinct(hashes)) < F.size(hashes),
     )
@@ -78,7 +73,7 @@ def repeated_words(words):
             lambda i: F.struct(F.array_join(F.slice(words, i, WINDOW), " ").alias("window"), i.alias("start")),
         )
     )
-    exact = _let(_let(ordered, same), covered)
+    exact = let(let(ordered, same), covered)
     return F.when((count > WINDOW) & some_repeat, exact).otherwise(F.lit(0)).cast("long")
 
 
@@ -162,12 +157,12 @@ def _better_guess(patterns, guess, n_rules):
 
     def weigh(p):
         chance = _chance_of_good(p["votes"], guess)
-        return _let(
+        return let(
             chance,
             lambda c: F.struct(p["votes"].alias("votes"), (p["n"] * c).alias("good"), (p["n"] * (1 - c)).alias("bad")),
         )
 
-    return _let(F.transform(patterns, weigh), figures)
+    return let(F.transform(patterns, weigh), figures)
 
 
 def label_model(patterns, n_rules=len(RULES), rounds=ROUNDS):

@@ -3,6 +3,7 @@
 from roadwatch.llm.block_names import exact_duplicates
 from roadwatch.llm.hilbert import document_shards
 from roadwatch.llm.host_paths import main_text
+from roadwatch.llm.line_chunks import line_report
 from roadwatch.llm.mixing import mix
 from roadwatch.llm.personal import personal_data
 from roadwatch.llm.quality import quality
@@ -29,6 +30,10 @@ def weak_supervision(spark, sf_dir):
     return quality(documents(spark, sf_dir))
 
 
+def line_chunks(spark, sf_dir):
+    return line_report(documents(spark, sf_dir))
+
+
 def piece_tokens(spark, sf_dir):
     return encode(documents(spark, sf_dir))
 
@@ -46,6 +51,7 @@ QUERIES = {
     "op3_host_paths": host_paths,
     "op4_weak_supervision": weak_supervision,
     "op5_personal_spans": personal_spans,
+    "op6_line_chunks": line_chunks,
     "op7_piece_tokens": piece_tokens,
     "op8_source_mix": source_mix,
     "op10_block_naming": block_naming,

@@ -34,6 +34,11 @@ def texts(documents, id_col="doc_id", text_col="text", **more):
     )
 
 
+def let(value, body):
+    """`body` of a value that is computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def n_words(text):
     """Number of words of a text column that has no NULL."""
     return F.regexp_count(text, F.lit(WORD)).cast("long")
