@@ -5,6 +5,7 @@ from roadwatch.llm.hilbert import document_shards
 from roadwatch.llm.host_paths import main_text
 from roadwatch.llm.line_chunks import line_report
 from roadwatch.llm.mixing import mix
+from roadwatch.llm.near import near_duplicates
 from roadwatch.llm.personal import personal_data
 from roadwatch.llm.quality import quality
 from roadwatch.llm.tokens import encode
@@ -14,6 +15,10 @@ def documents(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def chosen_paths(spark, sf_dir):
+    return near_duplicates(documents(spark, sf_dir)).drop("key_1", "key_2")
+
+
 def hilbert_shards(spark, sf_dir):
     return document_shards(documents(spark, sf_dir))
 
@@ -47,6 +52,7 @@ def block_naming(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_chosen_paths": chosen_paths,
     "op2_hilbert_shards": hilbert_shards,
     "op3_host_paths": host_paths,
     "op4_weak_supervision": weak_supervision,
