@@ -8,6 +8,7 @@ from roadwatch.llm.mixing import mix
 from roadwatch.llm.near import near_duplicates
 from roadwatch.llm.personal import personal_data
 from roadwatch.llm.quality import quality
+from roadwatch.llm.suffixes import byte_report
 from roadwatch.llm.tokens import encode
 
 
@@ -47,6 +48,10 @@ def source_mix(spark, sf_dir):
     return mix(documents(spark, sf_dir))
 
 
+def suffix_arrays(spark, sf_dir):
+    return byte_report(documents(spark, sf_dir))
+
+
 def block_naming(spark, sf_dir):
     return exact_duplicates(documents(spark, sf_dir))
 
@@ -60,5 +65,6 @@ QUERIES = {
     "op6_line_chunks": line_chunks,
     "op7_piece_tokens": piece_tokens,
     "op8_source_mix": source_mix,
+    "op9_suffix_arrays": suffix_arrays,
     "op10_block_naming": block_naming,
 }
