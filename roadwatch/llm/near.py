@@ -300,14 +300,15 @@ def sketched(rows):
 
 
 def near_duplicates(documents, id_col="doc_id", text_col="text"):
-    """One row per document: doc_id, n_shingles, component_id, kept, key_1, key_2.
+    """One row per document: doc_id, n_shingles, component_id, kept, group, key_1, key_2.
 
     component_id is the smallest id among the documents that links reach; kept says that it is the
     document's own. NULL and empty texts, and texts without words, have no shingles and
     are linked with nothing. Equal sets are one vertex from the start, so groups of copies cost one
     member. NULL ids are larger than any other; if a group has no other, component_id is
     NULL and all of it is kept. Repeated rows have the same result; key_1 and key_2, hashes of the text,
-    tell rows with one id and different texts apart. An empty table gives no rows.
+    tell rows with one id and different texts apart, and `group` numbers the groups even so (NULL without
+    shingles). An empty table gives no rows.
     """
     keyed, sketches = sketched(texts(documents, id_col, text_col))
     by_set = sketches.filter("n_shingles > 0").groupBy("set_1", "set_2").agg(
@@ -334,14 +335,36 @@ def near_duplicates(documents, id_col="doc_id", text_col="text"):
         "rooted",
     )
     least = stored(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")), "component-ids")
-    component = stored(rooted.join(least, "root").select("set_1", "set_2", "component_id"), "set-components")
+    component = stored(rooted.join(least, "root").select("set_1", "set_2", "component_id", F.col("root").alias("group")), "set-components")
     # Texts without shingles have no set and stay alone.
-    found = sketches.join(component.withColumn("known", F.lit(True)), ["set_1", "set_2"], "left")
-    component_id = F.when(F.col("known") & (F.col("n_shingles") > 0), F.col("component_id")).otherwise(F.col("doc_id"))
-    return found.select("doc_id", "n_shingles", component_id.alias("component_id"), *KEYS[1:]).select(
-        "doc_id",
-        "n_shingles",
-        "component_id",
-        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
-        *KEYS[1:],
+    alone = sketches.filter("n_shingles = 0").select(
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("group"), *KEYS[1:]
     )
+    linked = sketches.filter("n_shingles > 0").join(component, ["set_1", "set_2"])
+    every = linked.select("doc_id", "n_shingles", "component_id", "group", *KEYS[1:]).unionByName(alone)
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return every.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "group", *KEYS[1:])
+
+
+def representatives(documents, id_col="doc_id", text_col="text"):
+    """The rows of `documents` that stay, with their own columns: one of each group of near duplicates.
+
+    Of repeated rows (same id and text) one stays. Documents without shingles all stay.
+    """
+    marks = stored(near_duplicates(documents, id_col, text_col).filter("n_shingles > 0"), "near-marks")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    hashes = [h.alias(f"__{c}") for h, c in zip(row_keys(text), KEYS[1:], strict=True)]
+    same = F.col(id_col).eqNullSafe(F.col("__of_doc_id"))
+    same &= (F.col("__key_1") == F.col("__of_key_1")) & (F.col("__key_2") == F.col("__of_key_2"))
+
+    def aside(frame):
+        return frame.select(*[F.col(c).alias(f"__of_{c}") for c in KEYS], F.col("group").alias("__group")).distinct()
+
+    left = documents.select("*", *hashes).join(aside(marks.filter("NOT kept")), same, "left_anti")
+    # Several rows of a group are kept if they share its smallest id, as repeated rows do, or have none.
+    shared = marks.filter("kept").groupBy("group").agg(F.count("*").alias("n")).filter("n > 1")
+    if shared.isEmpty():
+        return left.select(*documents.columns)
+    again = stored(aside(marks.filter("kept").join(shared, "group", "left_semi")), "shared-ids")
+    once = left.join(again, same).dropDuplicates(["__group"]).select(*documents.columns)
+    return left.join(again, same, "left_anti").select(*documents.columns).unionByName(once)

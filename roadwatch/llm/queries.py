@@ -17,7 +17,7 @@ def documents(spark, sf_dir):
 
 
 def chosen_paths(spark, sf_dir):
-    return near_duplicates(documents(spark, sf_dir)).drop("key_1", "key_2")
+    return near_duplicates(documents(spark, sf_dir)).drop("group", "key_1", "key_2")
 
 
 def hilbert_shards(spark, sf_dir):
