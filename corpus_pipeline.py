@@ -1,11 +1,33 @@
 """The corpus pipeline: documents in, token ids out.
 
 Each stage takes (spark, docs, sf_dir) and returns a frame that is written as Parquet
-and read again as the next stage's documents.
+and read again as the next stage's documents. All but the last return the columns of documents.
 """
 
+from pyspark.sql import functions as F
+
+from roadwatch.llm.line_chunks import without_repeated_chunks
 from roadwatch.llm.mixing import mixed_documents
+from roadwatch.llm.near import representatives
+from roadwatch.llm.quality import good_documents
 from roadwatch.llm.tables import stored
+from roadwatch.llm.tokens import encode
+
+
+def quality_rules(spark, docs, sf_dir):
+    """Documents that the rules keep."""
+    return good_documents(docs)
+
+
+def line_dedup(spark, docs, sf_dir):
+    """All documents, repeated chunks of lines taken out; n_chars follows the text."""
+    left = without_repeated_chunks(docs).select(*docs.columns)
+    return left.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else left
+
+
+def near_dedup(spark, docs, sf_dir):
+    """One document of each group of near duplicates, and all that are in none."""
+    return representatives(docs)
 
 
 def mixing_sources(spark, docs, sf_dir):
@@ -13,9 +35,20 @@ def mixing_sources(spark, docs, sf_dir):
     return mixed_documents(docs)
 
 
-STAGES = [("mixing sources to target weights", mixing_sources)]
+def piece_tokens(spark, docs, sf_dir):
+    """Token ids of each row, with the check that they decode to its text."""
+    return encode(docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("MinHash near-dedup", near_dedup),
+    ("mixing sources to target weights", mixing_sources),
+    ("SentencePiece encoding and decoding", piece_tokens),
+]
 
-# Line hashes, minwise trees and tokens have no SQL.
+# Rolling hashes, minwise trees and tokens have no SQL; the tests run the stages against brute force.
 ORACLE_SQL = None
 
 
