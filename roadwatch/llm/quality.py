@@ -189,7 +189,7 @@ def label_model(patterns, n_rules=len(RULES), rounds=ROUNDS):
         first,
         lambda guess, _: _better_guess(F.col("patterns"), guess, n_rules),
     )
-    fitted = gathered.select("patterns", last.alias("model"))
+    fitted = gathered.select("patterns", F.when(F.size("patterns") > 0, last).otherwise(first).alias("model"))
     judged = fitted.select(
         F.explode(F.transform("patterns", lambda p: F.struct(p["pattern"], _chance_of_good(p["votes"], F.col("model")).alias("chance_of_good")))).alias("p")
     )
