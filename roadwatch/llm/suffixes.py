@@ -17,7 +17,7 @@ from roadwatch.llm.anchors import SPAN, anchors
 from roadwatch.llm.line_chunks import row_keys
 from roadwatch.llm.shingles import mix
 from roadwatch.llm.suffix_sort import END, shared_spans, sort_suffixes
-from roadwatch.llm.tables import n_bytes, slices, stored, texts
+from roadwatch.llm.tables import n_bytes, shuffled, slices, stored, texts
 
 # Anchors in more texts than this are settled by aggregates over starts instead of in one task.
 CROWDED = 20_000
@@ -281,12 +281,12 @@ def _flagged_texts(keyed, crowded):
             F.collect_set(F.when(F.col("crowded"), F.col("gram"))).alias("crowded_grams"),
         )
     )
-    per_text = stored(per_text.withColumnRenamed("key_1", "of_key_1"), "flagged")
-    least = long.groupBy(*KEYS).agg(F.min(F.struct("doc_id")).alias("one"))
-    one = stored(least.select(F.col("key_1").alias("one_key_1"), F.col("key_2").alias("one_key_2"), "one.doc_id"), "ones")
-    one = one.withColumnRenamed("doc_id", "one_id").join(per_text, F.col("one_key_1") == F.col("of_key_1"))
+    per_text = per_text.withColumnRenamed("key_1", "of_key_1")
+    # One row stands for a text: the one of least id, or without any.
+    least = long.groupBy(F.col("key_1").alias("one_key_1"), F.col("key_2").alias("one_key_2"))
+    one = least.agg(F.min("doc_id").alias("one_id")).join(per_text, F.col("one_key_1") == F.col("of_key_1"))
     same = (F.col("key_1") == F.col("one_key_1")) & (F.col("key_2") == F.col("one_key_2"))
-    found = long.join(stored(one, "flagged-ones"), same & F.col("doc_id").eqNullSafe(F.col("one_id")))
+    found = long.join(shuffled(stored(one, "flagged-ones")), same & F.col("doc_id").eqNullSafe(F.col("one_id")))
     flagged = stored(found.select(*KEYS, "text", "grams", "crowded_grams"), "flagged-texts")
     return flagged, not repeated.filter("crowded").isEmpty()
 
@@ -306,7 +306,7 @@ def repeated_strings(rows, crowded=CROWDED):
         ranges = ranges.union(_crowded_ranges(flagged))
     per_text = stored(ranges, "repeated-starts").groupBy(*KEYS).agg(F.collect_set(F.struct("begin", "end")).alias("ranges"))
     # Repeated rows of one text are equal, so one of them is enough.
-    cut = flagged.select(*KEYS, "text").join(stored(per_text, "ranges"), KEYS).mapInArrow(
+    cut = flagged.select(*KEYS, "text").join(shuffled(stored(per_text, "ranges")), KEYS).mapInArrow(
         _cut_out,
         "key_1 long, key_2 long, removed array<struct<begin:int,end:int>>, kept_sha256 string, kept binary",
     )
@@ -328,8 +328,7 @@ def byte_report(documents, id_col="doc_id", text_col="text", crowded=CROWDED):
     cut = repeated_strings(rows, crowded).select(
         *KEYS, length.cast("long").alias("lost"), F.size("removed").cast("long").alias("spans"), "kept_sha256"
     )
-    cut = stored(cut, "cut").dropDuplicates(KEYS)
-    joined = digest.join(copies, KEYS).join(stored(cut, "cut-once"), KEYS, "left")
+    joined = digest.join(copies, KEYS).join(stored(cut.dropDuplicates(KEYS), "cut"), KEYS, "left")
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= SPAN)
     return joined.select(
         "doc_id",

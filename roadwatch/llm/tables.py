@@ -1,6 +1,9 @@
 """Helpers shared by the operators of this folder."""
 
+import ctypes
+
 import numpy as np
+import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -107,3 +110,21 @@ def slices(batches, column, limit=4_000_000):
             end = max(begin + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(begin, end - begin)
             begin = end
+    _give_back()
+
+
+def _give_back():
+    """Return freed memory to the system: Python workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def shuffled(frame):
+    """`frame`, to be joined by a shuffle of both sides whatever its size.
+
+    For joins with whole texts: the plan is the same for small and large tables, and no
+    growing table is ever broadcast.
+    """
+    return frame.hint("merge")
