@@ -9,9 +9,8 @@ buckets first, so that no task ever holds all sightings of one plate:
 
 * pairs come from an equi-join on (plate, segment, bucket), where an end sighting
   is copied into each bucket its window reaches;
-* lone sightings need no pairs: within a bucket, the closest start before and the
-  closest end after decide, a running maximum over one sort. Slots that hold a
-  large share of the data are settled from their first and last times alone.
+* lone sightings need no pairs: the first and last times of a sighting's slot and of
+  the neighbouring one, which combine before the shuffle, say whether it has a partner.
 """
 
 from functools import reduce
@@ -20,7 +19,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadwatch.functions.times import SECOND
-from roadwatch.operators.skew import heavy_keys
 
 PAIR_COLUMNS = [
     "car_plate_start",
@@ -42,15 +40,14 @@ def union_all(frames):
     return reduce(DataFrame.unionByName, frames)
 
 
-def segment_pairs(start, end, window_seconds, keep="all", hot_plates=(), salts=4):
+def segment_pairs(start, end, window_seconds, keep="all"):
     """Full outer pairs of two consecutive cameras; works on batch and streaming frames.
 
     `keep` is "all", "matched" or "unmatched"; a batch plan then holds only the
-    part that is needed. `hot_plates` and `salts` concern streams only, see
-    `stream_pairs`.
+    part that is needed.
     """
     if start.isStreaming or end.isStreaming:
-        pairs = stream_pairs(start, end, window_seconds, hot_plates, salts)
+        pairs = stream_pairs(start, end, window_seconds)
         return {"all": lambda rows: rows, "matched": matched, "unmatched": unmatched}[keep](pairs)
     points = union_all(
         [
@@ -61,13 +58,13 @@ def segment_pairs(start, end, window_seconds, keep="all", hot_plates=(), salts=4
     return _batch_pairs(points, bucket_seconds(window_seconds), keep).select(*PAIR_COLUMNS)
 
 
-def chain_pairs(sightings, windows, keep="all", hot_plates=(), salts=4):
+def chain_pairs(sightings, windows, keep="all"):
     """Pairs over cameras in road order; a middle camera ends one segment and starts the next.
 
     `sightings` has one frame per camera, `windows` one value per segment.
     """
     return union_all(
-        segment_pairs(start, end, window, keep, hot_plates, salts)
+        segment_pairs(start, end, window, keep)
         for start, end, window in zip(sightings[:-1], sightings[1:], windows, strict=True)
     )
 
@@ -76,9 +73,41 @@ def network_pairs(sightings, segments, longest_window, keep="all"):
     """Batch pairs for any number of segments in one join, with the segment as first column.
 
     `segments` holds (segment, camera_id_start, camera_id_end, window), window in
-    seconds and at most `longest_window`. The sightings are read once for all
-    segments and the plan does not grow with the number of cameras, as it does in
-    `chain_pairs`.
+    seconds and at most `longest_window`: a list of rows, or a table. The sightings are
+    read once for all segments and are never shuffled by camera; the plan does not grow
+    with the number of cameras, as it does in `chain_pairs`.
+    """
+    seen = sightings.select(*_SIGHTING, "dist_next", "speed_limit")
+    points = _by_literal(seen, segments) if isinstance(segments, list) else _by_table(seen, segments)
+    return _batch_pairs(points, bucket_seconds(longest_window), keep)
+
+
+def _by_literal(seen, segments):
+    """Sightings once per role of their camera, looked up in a map that is part of the plan."""
+    roles = {}
+    for segment, first, last, window in segments:
+        for camera, is_start in ((first, True), (last, False)):
+            role = F.struct(
+                F.lit(segment).alias("segment"),
+                F.lit(int(window)).alias("window"),
+                F.lit(is_start).alias("is_start"),
+            )
+            roles.setdefault(camera, []).append(role)
+    entries = [part for camera, found in roles.items() for part in (F.lit(camera), F.array(*found))]
+    known = F.explode(F.try_element_at(F.create_map(*entries), F.col("camera_id")))
+    return seen.select("*", known.alias("role")).select("*", "role.*").drop("role")
+
+
+# A segment table of at most so many rows is broadcast; that is below 10 MB.
+BROADCAST_SEGMENTS = 100_000
+COPIES = 64
+
+
+def _by_table(seen, segments):
+    """Sightings once per role of their camera, joined with a table of segments.
+
+    The table is broadcast after its rows have been counted up to a bound. A larger one is
+    copied a few times, so that the shuffle has the plate in its key as well as the camera.
     """
     roles = segments.selectExpr(
         "segment", "window", "camera_id_start AS camera_id", "true AS is_start"
@@ -87,8 +116,12 @@ def network_pairs(sightings, segments, longest_window, keep="all"):
             "segment", "window", "camera_id_end AS camera_id", "false AS is_start"
         )
     )
-    points = sightings.select(*_SIGHTING, "dist_next", "speed_limit").join(roles, "camera_id")
-    return _batch_pairs(points, bucket_seconds(longest_window), keep)
+    if segments.limit(BROADCAST_SEGMENTS + 1).count() <= BROADCAST_SEGMENTS:
+        return seen.join(F.broadcast(roles), "camera_id")
+    copied = roles.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
+    # Rows without a plate are dealt out by event.
+    dealt = F.pmod(F.xxhash64(F.coalesce("car_plate", "event_id"), "timestamp"), F.lit(COPIES))
+    return seen.withColumn("copy", dealt.cast("int")).join(copied, ["camera_id", "copy"]).drop("copy")
 
 
 def bucket_seconds(window_seconds):
@@ -181,51 +214,31 @@ def _joined(points, width):
 def _lone(points, width):
     """Points without a partner, without looking at pairs.
 
-    Points of one plate and bucket are put in order; the closest start before and
-    the closest end after decide. Points in crowded slots are settled before that
-    and take no part in the shuffle unless they are lone. Points without a plate
-    or a time cannot pair, so they are settled as well.
+    A slot is as long as the window, so the partners of a point lie in its own slot or in one
+    neighbour, and the first and last times there say exactly whether there are any. One
+    aggregate, which combines copies and busy plates before its shuffle, and one left join.
+    Points without a plate or a time cannot pair and find no slot.
     """
-    payload = points.columns
-    slotted = points.selectExpr(
-        "*", "greatest(reach, 1L) AS slot_width", "car_plate IS NOT NULL AND us IS NOT NULL AS keyed"
-    ).selectExpr("*", "us - pmod(us, slot_width) AS slot")
-    crowded = F.broadcast(_crowded_slots(slotted.filter("keyed")))
-    same_slot = """car_plate = crowded_plate AND segment = crowded_segment
-                   AND slot = crowded_slot"""
-    settled = slotted.join(crowded, F.expr(same_slot), "left").filter(
-        """crowded_slot IS NULL
-           OR NOT coalesce(if(is_start, last_end >= us, first_start <= us), false)
-              AND NOT coalesce(
-                  if(is_start, later_end <= us + reach, earlier_start >= us - reach), false)"""
-    ).selectExpr(*payload, "crowded_slot IS NOT NULL OR NOT keyed AS settled")
-    home = f"if(settled, xxhash64(event_id, us, spark_partition_id()), {_bucket('us', width)})"
-    # For its neighbours a crowded slot is worth its last start and its first end.
-    markers = crowded.selectExpr(
-        "crowded_plate AS car_plate",
-        "crowded_segment AS segment",
-        "crowded_reach AS reach",
-        "false AS settled",
-        """inline(array(named_struct('us', last_start, 'is_start', true),
-                        named_struct('us', first_end, 'is_start', false)))""",
-    ).filter("us IS NOT NULL")
-    # Starts are copied forwards and ends backwards, as far as their window reaches.
-    spread = settled.selectExpr("*", f"{home} AS home").unionByName(
-        markers, allowMissingColumns=True
-    ).selectExpr(
-        "*",
-        f"""explode(CASE WHEN settled THEN array(home)
-            WHEN is_start THEN {_buckets("us", "(us + reach)", width)}
-            ELSE {_buckets("(us - reach)", "us", width)} END) AS bucket""",
+    key = ["car_plate", "segment", "slot"]
+    slotted = points.selectExpr("*", "greatest(reach, 1L) AS slot_width").selectExpr(
+        "*", "us - pmod(us, slot_width) AS slot"
     )
-    group = "PARTITION BY car_plate, segment, bucket ORDER BY us"
-    lone = spread.selectExpr(
-        "*",
-        f"max(if(is_start, us, NULL)) OVER ({group}) AS start_before",
-        f"min(if(is_start, NULL, us)) OVER ({group} DESC) AS end_after",
-    ).filter(
-        """bucket = home AND (settled OR NOT coalesce(
-               if(is_start, end_after <= us + reach, start_before >= us - reach), false))"""
+    # Starts count for their own slot and the next one, ends for their own and the one before.
+    seen = slotted.filter("car_plate IS NOT NULL AND us IS NOT NULL").selectExpr(
+        "car_plate", "segment", "us", "is_start",
+        """inline(array(named_struct('slot', slot, 'own', true),
+            named_struct('slot', slot + if(is_start, slot_width, -slot_width), 'own', false)))""",
+    )
+    times = {
+        "first_start": "min(us) FILTER (WHERE is_start AND own)",
+        "earlier_start": "max(us) FILTER (WHERE is_start AND NOT own)",
+        "last_end": "max(us) FILTER (WHERE NOT is_start AND own)",
+        "later_end": "min(us) FILTER (WHERE NOT is_start AND NOT own)",
+    }
+    summary = seen.groupBy(*key).agg(*[F.expr(sql).alias(name) for name, sql in times.items()])
+    lone = slotted.join(summary, key, "left").filter(
+        """NOT coalesce(if(is_start, last_end >= us, first_start <= us), false)
+           AND NOT coalesce(if(is_start, later_end <= us + reach, earlier_start >= us - reach), false)"""
     )
     start_side = [f"if(is_start, {c}, NULL) AS {c}_start" for c in _SIGHTING]
     end_side = [f"if(is_start, NULL, {c}) AS {c}_end" for c in _SIGHTING]
@@ -238,91 +251,41 @@ def _lone(points, width):
     )
 
 
-def _crowded_slots(slotted, support=0.001):
-    """First and last times of the slots that hold a large share of all points.
-
-    A slot is as long as the window, so the partners of a point lie in its own
-    slot or in one neighbour, and the first and last times there say exactly
-    whether there are any. At most 1/support slots come out, whatever the size of
-    the data, and their points combine before the shuffle.
-    """
-    key = ["car_plate", "segment", "slot"]
-    heavy = F.broadcast(heavy_keys(slotted, key, support))
-    # Starts count for their own slot and the next one, ends for their own and the one before.
-    seen = (
-        slotted.selectExpr(*key, "slot_width", "us", "reach", "is_start",
-                           "explode(array(0, if(is_start, 1, -1))) AS shift")
-        .withColumn("slot", F.expr("slot + shift * slot_width"))
-        .join(heavy, F.xxhash64(*key) == F.col("heavy"), "left_semi")
-    )
-    times = {
-        "first_start": "min(us) FILTER (WHERE is_start AND shift = 0)",
-        "last_start": "max(us) FILTER (WHERE is_start AND shift = 0)",
-        "earlier_start": "max(us) FILTER (WHERE is_start AND shift = 1)",
-        "first_end": "min(us) FILTER (WHERE NOT is_start AND shift = 0)",
-        "last_end": "max(us) FILTER (WHERE NOT is_start AND shift = 0)",
-        "later_end": "min(us) FILTER (WHERE NOT is_start AND shift = -1)",
-        "crowded_reach": "max(reach)",
-    }
-    return (
-        seen.groupBy(
-            F.col("car_plate").alias("crowded_plate"),
-            F.col("segment").alias("crowded_segment"),
-            F.col("slot").alias("crowded_slot"),
-        )
-        .agg(*[F.expr(sql).alias(name) for name, sql in times.items()])
-    )
-
-
 # --- streams -----------------------------------------------------------------
 
 
-def stream_pairs(start, end, window_seconds, hot_plates=(), salts=4):
+def stream_pairs(start, end, window_seconds):
     """Stream-stream full outer interval join; both sides must carry a watermark.
 
-    The state of a plate lives in one partition. Plates that are too busy for
-    that go in `hot_plates` (see `operators.skew.hot_values`): they are joined
-    apart, split by time bucket and over `salts` partitions, with the same
-    result. That takes two one-sided outer joins, since a full outer join would
-    repeat the lone rows of a side that is copied into several partitions.
+    One plan for every plate and at all times: the key is the plate and a time bucket, so that no
+    plate keeps its state in one partition, however busy it becomes. A sighting near a
+    bucket's edge is copied into the next one. A full outer join would report the copies of a
+    lone sighting more than once; so there are two one-sided joins, in each of which the
+    side that is copied is not reported alone.
     """
-    if not hot_plates:
-        return _stream_join(start, end, window_seconds, "full_outer")
     width, reach = bucket_seconds(window_seconds) * SECOND, int(window_seconds) * SECOND
     us = "unix_micros(timestamp)"
 
-    def dealt(rows):
-        salt = f"pmod(xxhash64(event_id, timestamp), {int(salts)}) AS salt"
-        return rows.selectExpr("*", f"{_bucket(us, width)} AS bucket", salt)
+    def once(rows):
+        return rows.selectExpr("*", f"{_bucket(us, width)} AS bucket")
 
     def copied(rows, first, last):
-        spread = rows.selectExpr("*", f"explode({_buckets(first, last, width)}) AS bucket")
-        return spread.selectExpr("*", f"explode(sequence(0L, {int(salts)}L - 1)) AS salt")
-
-    # The test involves the event time to stay above the watermark: below it, each part of a
-    # stream would have a watermark of its own.
-    timed_and_hot = F.col("timestamp").isNotNull() & F.col("car_plate").isin(*hot_plates)
-    hot = F.coalesce(timed_and_hot, F.lit(False))
-    hot_start, hot_end = start.filter(hot), end.filter(hot)
-    cold = _stream_join(start.filter(~hot), end.filter(~hot), window_seconds, "full_outer")
+        return rows.selectExpr("*", f"explode({_buckets(first, last, width)}) AS bucket")
+
     starts_with_partners = _stream_join(
-        dealt(hot_start), copied(hot_end, f"({us} - {reach}L)", us), window_seconds, "left_outer",
-        split=("bucket", "salt"),
+        once(start), copied(end, f"({us} - {reach}L)", us), window_seconds, "left_outer"
     )
     ends_with_partners = _stream_join(
-        copied(hot_start, us, f"({us} + {reach}L)"), dealt(hot_end), window_seconds, "right_outer",
-        split=("bucket", "salt"),
+        copied(start, us, f"({us} + {reach}L)"), once(end), window_seconds, "right_outer"
     )
-    lone_ends = ends_with_partners.filter("timestamp_start IS NULL")
-    return union_all([cold, starts_with_partners, lone_ends])
+    return starts_with_partners.unionByName(ends_with_partners.filter("timestamp_start IS NULL"))
 
 
-def _stream_join(start, end, window_seconds, how, split=()):
+def _stream_join(start, end, window_seconds, how):
     # A stream join takes two missing keys for equal. With the explicit tests a sighting without
     # a plate stays out of the state and comes out as lone at once.
-    same_car = "s.car_plate = e.car_plate AND s.car_plate IS NOT NULL AND e.car_plate IS NOT NULL"
-    for key in split:
-        same_car += f" AND s.{key} = e.{key}"
+    same_car = """s.car_plate = e.car_plate AND s.car_plate IS NOT NULL AND e.car_plate IS NOT NULL
+                  AND s.bucket = e.bucket"""
     earliest = f"e.timestamp - interval {int(window_seconds)} seconds"
     condition = f"{same_car} AND s.timestamp >= {earliest} AND s.timestamp <= e.timestamp"
     sides = [

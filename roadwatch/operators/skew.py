@@ -14,25 +14,6 @@ def heavy_keys(rows, keys, support=0.01):
     return found.select(F.explode("heavy_freqItems").alias("heavy"))
 
 
-def hot_values(rows, column, support=0.05):
-    """The values of a text column that hold at least `support` of the rows, at most 1/support.
-
-    Two passes over the one column: candidates first, then their exact counts.
-    """
-    candidates = [
-        value
-        for value in rows.select(column).stat.freqItems([column], support).first()[0]
-        if value is not None
-    ]
-    matches = [F.count(F.when(F.col(column) == value, 1)) for value in candidates]
-    total, *counts = rows.agg(F.count("*"), *matches).first()
-    return [
-        value
-        for value, count in zip(candidates, counts, strict=True)
-        if count >= support * total > 0
-    ]
-
-
 def salted_join(left, right, keys, how="left", null_safe=False, support=0.01, salts=32):
     """Equi-join of a large `left` with skewed keys to `right`.
 

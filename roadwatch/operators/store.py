@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from roadwatch.operators.skew import bounded
 from roadwatch.schemas import DROPPED_PAIR, VIOLATION, VIOLATION_KEY
 
 DAY = ["car_plate", "date"]
@@ -32,64 +31,26 @@ def distinct_violations(violations):
     )
 
 
-def daily_documents(violations, max_entries=50_000, max_long_days=100_000):
-    """One document per car and day with its set of violations.
+def daily_documents(violations, parts=1):
+    """One document per car and day with its set of violations, whatever the size of the day.
 
     Columns: car_plate, date, part, violations (array of structs in time order),
-    updated_at (latest write of any entry). A day with more than `max_entries`
-    entries is spread over several parts of about that size, chosen by entry
-    content, so that no task gathers an unbounded array; every other document is
-    part 0 alone.
+    updated_at (latest write of any entry). A caller whose store cannot take long
+    documents asks for `parts`: each document then comes as that many rows, entries dealt by
+    content, `part` from 0; parts without entries are left out.
     """
     # Copies combine before the first shuffle, which leaves each entry once.
     entries = violations.groupBy(*DAY, *ENTRY).agg(
         F.min("updated_at").alias("first"), F.max("updated_at").alias("latest")
     )
-    parted = _in_parts(violations, entries, max_entries, max_long_days)
-    keys = [name for name in (*DAY, "part") if name in parted.columns]
-    documents = parted.groupBy(*keys).agg(
+    part = F.pmod(F.xxhash64(*ENTRY), F.lit(int(parts))).cast("int") if parts > 1 else F.lit(0)
+    documents = entries.groupBy(*DAY, part.alias("part")).agg(
         F.sort_array(
             F.collect_list(F.struct(*ENTRY, F.col("first").alias("updated_at")))
         ).alias("violations"),
         F.max("latest").alias("updated_at"),
     )
-    part = F.col("part") if "part" in keys else F.lit(0).alias("part")
-    return documents.select(*DAY, part, "violations", "updated_at")
-
-
-def _in_parts(violations, entries, max_entries, max_long_days):
-    """Add `part` if there are long days at all.
-
-    A count of rows per day runs first, which combines before its shuffle. Only
-    if it finds days over the bound are their entries counted without copies.
-    """
-    busy, kept = bounded(_longer_days(violations, max_entries), max_long_days)
-    if kept == []:
-        return entries
-    if kept is not None:
-        entries_of_busy = entries.join(busy.drop("parts"), _same_day(), "left_semi")
-        busy, kept = bounded(_longer_days(entries_of_busy, max_entries), max_long_days)
-        if kept == []:
-            return entries
-    else:
-        busy = _longer_days(entries, max_entries)
-    part = F.pmod(F.xxhash64(*ENTRY), F.coalesce("parts", F.lit(1))).cast("int")
-    return entries.join(busy, _same_day(), "left").select(*entries.columns, part.alias("part"))
-
-
-def _longer_days(rows, max_entries):
-    counts = rows.groupBy(*DAY).agg(F.count("*").alias("entries"))
-    return counts.filter(F.col("entries") > max_entries).select(
-        F.col("car_plate").alias("long_plate"),
-        F.col("date").alias("long_date"),
-        F.ceil(F.col("entries") / F.lit(max_entries)).alias("parts"),
-    )
-
-
-def _same_day():
-    return F.col("car_plate").eqNullSafe(F.col("long_plate")) & F.col("date").eqNullSafe(
-        F.col("long_date")
-    )
+    return documents.select(*DAY, "part", "violations", "updated_at")
 
 
 def entries_of(documents, keep_empty=False):

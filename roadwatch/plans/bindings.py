@@ -18,7 +18,6 @@ from roadwatch.operators.records import (
     historic_records,
     instant_records,
 )
-from roadwatch.operators.skew import hot_values
 from roadwatch.schemas import CAMERA
 from roadwatch.session import shared_folder, use_utc
 from roadwatch.sources.tables import read_violations
@@ -88,11 +87,6 @@ def sightings(spark, sf_dir):
     return as_sightings(table(spark, sf_dir, "events"))
 
 
-def hot_plates(spark, sf_dir):
-    """Plates that a stream of these sightings should not keep in one partition."""
-    return hot_values(sightings(spark, sf_dir), "car_plate")
-
-
 def camera_frames(events):
     """One frame per camera in road order, from the batch table or the stream."""
     return [as_sightings(events, camera) for camera in EVENT_TYPES]
@@ -107,17 +101,14 @@ def processed(column):
     return F.col(column) + F.expr("interval 5 seconds")
 
 
-def segments(spark, windows=WINDOWS):
-    """The road segments as a table."""
-    rows = [(f"{a}-{c}", a, c, window) for (a, c), window in zip(SEGMENTS, windows, strict=True)]
-    return spark.createDataFrame(
-        rows, "segment string, camera_id_start int, camera_id_end int, window int"
-    )
+def segments(windows=WINDOWS):
+    """The road segments: name, cameras and window."""
+    return [(f"{a}-{c}", a, c, window) for (a, c), window in zip(SEGMENTS, windows, strict=True)]
 
 
 def pairs(spark, sf_dir, keep="all", windows=WINDOWS):
     return network_pairs(
-        sightings(spark, sf_dir), segments(spark, windows), max(windows), keep
+        sightings(spark, sf_dir), segments(windows), max(windows), keep
     )
 
 

@@ -417,6 +417,10 @@ WITH {_ALL_RECORDS}
 SELECT 'vehicle' AS entity, CAST(o_custkey AS VARCHAR) AS car_plate, CAST(NULL AS DATE) AS date,
        count(*) AS copies
 FROM orders GROUP BY o_custkey HAVING count(*) > 1
+UNION ALL
+SELECT 'document', car_plate, date, count(*) FROM (
+  SELECT car_plate, date FROM all_records GROUP BY car_plate, date
+) GROUP BY car_plate, date HAVING count(*) > 1
 """,
     "segment_full_outer_stream": f"""
 WITH {_FULL}, {_watermark("1, 2")}

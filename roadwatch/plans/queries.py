@@ -151,7 +151,7 @@ def unique_key_check(spark, sf_dir):
         F.lit("vehicle").alias("entity"), "car_plate", F.lit(None).cast("date").alias("date"), "copies"
     )
     documents = store.daily_documents(b.stored(spark, b.all_records(spark, sf_dir)))
-    days = dimensions.repeated_keys(documents, ["car_plate", "date", "part"]).select(
+    days = dimensions.repeated_keys(documents, ["car_plate", "date"]).select(
         F.lit("document").alias("entity"), "car_plate", "date", "copies"
     )
     return plates.unionByName(days)
@@ -378,7 +378,6 @@ def segment_full_outer_stream(spark, sf_dir):
         jobs.watermarked(first),
         jobs.watermarked(second),
         b.WINDOWS[0],
-        hot_plates=b.hot_plates(spark, sf_dir),
     )
     _run(spark, "pairs", pairs, lambda rows, batch: sinks.write_batch(rows, root, batch))
     return b.presentable(spark.read.schema(pairs.schema).parquet(root).drop("batch_id"))
@@ -398,7 +397,6 @@ def segment_chain_stream(spark, sf_dir):
             checkpoint,
             once=True,
             processed_at=fixed,
-            hot_plates=b.hot_plates(spark, sf_dir),
         )
     )
     average = store.distinct_violations(read_violations(spark, f"{root}/average")).select(
@@ -488,7 +486,6 @@ def late_rows_stream(spark, sf_dir):
             pairs = pairing.segment_pairs(
                 *map(jobs.watermarked, streams),
                 b.WINDOWS[0],
-                hot_plates=b.hot_plates(spark, sf_dir),
             )
         jobs.finish(
             jobs.start(

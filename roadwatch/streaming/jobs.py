@@ -52,14 +52,9 @@ def start(rows, sink, checkpoint, once=False, name=None, interval=None):
 
 
 def start_pairs(sightings, windows, store, checkpoint, tolerance=TOLERANCE, once=False,
-                processed_at=None, hot_plates=(), salts=4):
+                processed_at=None):
     """Average violations and the drop log, from cameras in road order."""
-    pairs = chain_pairs(
-        [watermarked(frame, tolerance) for frame in sightings],
-        windows,
-        hot_plates=hot_plates,
-        salts=salts,
-    )
+    pairs = chain_pairs([watermarked(frame, tolerance) for frame in sightings], windows)
     sink = pair_sink(f"{store}/average", f"{store}/dropped", processed_at)
     return start(pairs, sink, f"{checkpoint}/pairs", once, "pairs")
 
@@ -102,7 +97,11 @@ def finish(*queries):
 
 
 def late_rows(progress):
-    """Rows that arrived behind the watermark and were left out, from progress reports."""
+    """Join inputs that arrived behind the watermark and were left out, from progress reports.
+
+    A late sighting counts once in each of the two one-sided joins of its segment, and
+    once more where it is copied over a bucket's edge; so a positive figure tells that there were any.
+    """
     return sum(
         operator.get("numRowsDroppedByWatermark", 0)
         for report in progress

@@ -5,6 +5,7 @@ import pytest
 from conftest import at, same_rows
 from pyspark.sql import functions as F
 
+from roadwatch.operators import pairing
 from roadwatch.operators.detection import average_violations, instant_violations
 from roadwatch.operators.pairing import (
     PAIR_COLUMNS,
@@ -79,34 +80,67 @@ def test_sightings_before_the_epoch(spark):
     same_rows(segment_pairs(start, end, 33), brute_force(start, end, 33))
 
 
-def test_network_equals_chain(spark):
+def test_network_equals_chain(spark, monkeypatch):
     frames = [random_camera(spark, n, 20 + n) for n in (1, 2, 3, 4)]
     windows = [33, 40, 900]
-    segments = spark.createDataFrame(
-        [(f"s{n}", n, n + 1, w) for n, w in zip((1, 2, 3), windows)],
-        "segment string, camera_id_start int, camera_id_end int, window int",
-    )
+    rows = [(f"s{n}", n, n + 1, w) for n, w in zip((1, 2, 3), windows, strict=True)]
+    table = spark.createDataFrame(rows, "segment string, camera_id_start int, camera_id_end int, window int")
     every = frames[0]
     for frame in frames[1:]:
         every = every.unionByName(frame)
     for keep in ("all", "matched", "unmatched"):
-        network = network_pairs(every, segments, 900, keep).select(*PAIR_COLUMNS)
-        same_rows(network, chain_pairs(frames, windows, keep))
+        chain = chain_pairs(frames, windows, keep)
+        same_rows(network_pairs(every, rows, 900, keep).select(*PAIR_COLUMNS), chain)
+        same_rows(network_pairs(every, table, 900, keep).select(*PAIR_COLUMNS), chain)
+    monkeypatch.setattr(pairing, "BROADCAST_SEGMENTS", 1)
+    same_rows(network_pairs(every, table, 900).select(*PAIR_COLUMNS), chain_pairs(frames, windows))
 
 
 def test_plan_holds_only_the_part_asked_for(spark):
     start, end = random_camera(spark, 1, 1), random_camera(spark, 2, 2)
     plan = lambda keep: segment_pairs(start, end, 33, keep)._jdf.queryExecution().toString()
-    assert "collect_frequent_items" not in plan("matched")
+    assert "first_start" not in plan("matched")
     assert "bucket_end" not in plan("unmatched")
 
 
+def plan_of(rows):
+    """The initial and the final plan of an executed query."""
+    rows.collect()
+    return rows._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("form", ["rows", "table"])
+def test_sightings_are_not_shuffled_by_camera(spark, tmp_path, form):
+    """With sightings above the broadcast threshold, in the initial and in the final plan."""
+    path = str(tmp_path / "sightings")
+    random_camera(spark, 1, 5).unionByName(random_camera(spark, 2, 6)).write.parquet(path)
+    rows = [("s", 1, 2, 900)]
+    schema = "segment string, camera_id_start int, camera_id_end int, window int"
+    segments = rows if form == "rows" else spark.createDataFrame(rows, schema)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
+    try:
+        plan = plan_of(as_trips(network_pairs(spark.read.parquet(path), segments, 900, "matched")))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(camera_id" not in plan
+    assert "hashpartitioning(car_plate" in plan
+    broadcasts = [part for part in plan.split("BroadcastExchange")[1:] if "FileScan" in part.split("+- ")[1]]
+    assert not broadcasts
+
+
+def test_lone_sightings_need_one_aggregate_and_one_join(spark):
+    start, end = random_camera(spark, 1, 1), random_camera(spark, 2, 2)
+    plan = plan_of(segment_pairs(start, end, 33, keep="unmatched")).split("Initial Plan")[-1]
+    assert plan.count("Join") == 1 and "Window" not in plan
+
+
 def test_no_window_finds_only_sightings_at_the_same_instant(spark):
     start, end = random_camera(spark, 1, 5), random_camera(spark, 2, 6)
     same_rows(segment_pairs(start, end, 0), brute_force(start, end, 0))
 
 
-def busiest_task(spark, rows):
+def shuffled_rows(spark, rows):
+    """Rows that the aggregate sends to its busiest task, and the rows of the result per task."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         sizes = rows.groupBy(F.spark_partition_id()).count().select("count").collect()
@@ -118,22 +152,18 @@ def busiest_task(spark, rows):
 def test_no_task_holds_all_of_a_busy_plate(spark):
     rows = [(f"a{i}", "hot", at("00:00:00") + timedelta(seconds=i), 1.0) for i in range(4000)]
     lone = segment_pairs(camera(spark, 1, rows), camera(spark, 2, []), 33, keep="unmatched")
-    most, total = busiest_task(spark, lone)
+    most, total = shuffled_rows(spark, lone)
     assert total == 4000 and most < 2500
 
 
-def test_no_task_holds_all_copies_of_one_sighting(spark):
-    copies = camera(spark, 1, [("a", "hot", at("00:00:00"), 1.0)] * 4000).repartition(16)
-    lone = segment_pairs(copies, camera(spark, 2, []), 33, keep="unmatched")
-    most, total = busiest_task(spark, lone)
-    assert total == 4000 and most < 2500
-
-
-def test_no_task_holds_all_sightings_without_a_plate(spark):
-    blank = camera(spark, 1, [(None, None, None, 1.0)] * 4000).repartition(16)
-    lone = segment_pairs(blank, camera(spark, 2, []), 33, keep="unmatched")
-    most, total = busiest_task(spark, lone)
-    assert total == 4000 and most < 2500
+def test_copies_of_one_sighting(spark):
+    """Copies and sightings without a plate are all lone, each as often as it was seen."""
+    copies = camera(spark, 1, [("a", "hot", at("00:00:00"), 1.0)] * 400).repartition(16)
+    blank = camera(spark, 1, [(None, None, None, 1.0)] * 300).repartition(16)
+    both, none = copies.unionByName(blank), camera(spark, 2, [])
+    same_rows(segment_pairs(both, none, 33, keep="unmatched"), brute_force(both, none, 33))
+    end = camera(spark, 2, [("b", "hot", at("00:00:33"), 1.0)])
+    same_rows(segment_pairs(both, end, 33), brute_force(both, end, 33))
 
 
 def test_inclusive_bounds(spark):

@@ -98,32 +98,37 @@ def test_daily_document(spark):
     assert len(documents["Q"].violations) == 1 and document.part == 0
 
 
-def test_a_long_day_is_split_without_losing_entries(spark):
-    plain = spark.range(3000).selectExpr(
-        "if(id % 3 = 0, 'busy', concat('p', id % 500)) AS car_plate",
+def long_day(spark, entries):
+    """One car with `entries` violations on a day and others with few."""
+    return spark.range(2 * entries).selectExpr(
+        "if(id % 2 = 0, 'busy', concat('p', id % 500)) AS car_plate",
         "DATE '2024-01-01' AS date", "'instant' AS type", "cast(NULL AS int) AS camera_id_start",
         "1 AS camera_id_end", "cast(NULL AS timestamp) AS timestamp_start",
-        "timestamp_seconds(1704067200 + id) AS timestamp_end", "120.0D AS speed_reading",
-        "timestamp_seconds(1704070000 + id) AS updated_at", "'stream' AS origin",
+        "timestamp_micros(1704067200000000 + id * 100000) AS timestamp_end", "120.0D AS speed_reading",
+        "timestamp_micros(1704170000000000 + id) AS updated_at", "'stream' AS origin",
     )
-    for bound in (100_000, 0):
-        documents = store.daily_documents(plain, max_entries=100, max_long_days=bound)
-        sizes = documents.select("car_plate", "part", F.size("violations").alias("n")).collect()
-        assert sum(r.n for r in sizes) == 3000
-        busy = [r.n for r in sizes if r.car_plate == "busy"]
-        assert len(busy) == 10 and max(busy) < 200
-        assert all(r.part == 0 for r in sizes if r.car_plate != "busy")
-        back = store.entries_of(documents).drop("document_updated_at")
-        same_rows(back.select(plain.columns), plain)
-
-
-def test_many_copies_of_one_violation_stay_one_entry_of_one_part(spark):
+
+
+def test_a_long_day_is_one_document(spark):
+    documents = store.daily_documents(long_day(spark, 60_000))
+    sizes = documents.select("car_plate", "part", F.size("violations").alias("n")).collect()
+    assert len(sizes) == len({r.car_plate for r in sizes})
+    assert [(r.part, r.n) for r in sizes if r.car_plate == "busy"] == [(0, 60_000)]
+
+
+def test_parts_are_the_callers_choice(spark):
+    plain = long_day(spark, 1000)
+    documents = store.daily_documents(plain, parts=10)
+    busy = [r.n for r in documents.filter("car_plate = 'busy'").select(F.size("violations").alias("n")).collect()]
+    assert len(busy) == 10 and sum(busy) == 1000 and max(busy) < 200
+    same_rows(store.entries_of(documents).drop("document_updated_at").select(plain.columns), plain)
+
+
+def test_many_copies_of_one_violation_stay_one_entry(spark):
     rows = violations(spark, violation(), violation(plate="Q"))
     copies = rows.crossJoin(spark.range(300)).drop("id")
-    documents = store.daily_documents(copies, max_entries=100)
-    assert sorted((r.car_plate, r.part, len(r.violations)) for r in documents.collect()) == [
-        ("P", 0, 1), ("Q", 0, 1),
-    ]
+    documents = store.daily_documents(copies)
+    assert sorted((r.car_plate, len(r.violations)) for r in documents.collect()) == [("P", 1), ("Q", 1)]
 
 
 def test_empty_documents_survive_only_the_outer_explode(spark):
