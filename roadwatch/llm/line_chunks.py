@@ -11,7 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from roadwatch.llm.tables import let, slices, stored, texts
+from roadwatch.llm.tables import let, shuffled, slices, stored, texts
 
 # A chunk ends where the rolling hash over this many lines is divisible by the divisor.
 ROLLING_LINES = 2
@@ -120,26 +120,18 @@ def _pieces(rows, occurrences):
 
     return (
         _keyed(rows)
-        .join(_aside(per_row), _same_row())
+        .join(shuffled(_aside(per_row)), _same_row())
         .select(*KEYS, F.explode(let(F.split("text", "\n"), cut)).alias("cut"))
         .select(*KEYS, "cut.*")
     )
 
 
-def repeated_ranges(rows):
-    """Lines to remove per row: doc_id, key_1, key_2 and `ranges`, an ordered array of (start, end).
-
-    `rows` has doc_id and text.
-    """
-    keyed = _keyed(rows)
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-    layout = f"doc_id {id_type}, key_1 long, key_2 long, start int, end int, digest binary"
-    listed = stored(keyed.mapInArrow(_list_chunks, layout), "chunks")
+def later_occurrences(rows, listed):
+    """Chunks (KEYS, start, end) that are not the first of their bytes, of all that `listed` has with a digest."""
     repeated = stored(
         listed.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest"), "repeated-chunks"
     )
     occurrences = stored(listed.join(repeated, "digest", "left_semi"), "occurrences")
-
     # Equal bytes are merged before the shuffle; grouping by the bytes is the comparison.
     first = F.min(F.struct(*KEYS, "start")).alias("first")
     classes = stored(_pieces(rows, occurrences).groupBy("digest", "piece").agg(first), "chunk-classes")
@@ -156,8 +148,19 @@ def repeated_ranges(rows):
         places = found.select(*[F.col(c).alias(f"of_{c}") for c in KEYS], F.col("start").alias("of_start"))
         at_place = _same_row() & (F.col("start") == F.col("of_start"))
         removed = removed.union(of_clash.join(places, at_place, "left_semi").select(*KEYS, "start", "end"))
+    return removed
+
+
+def repeated_ranges(rows):
+    """Lines to remove per row: doc_id, key_1, key_2 and `ranges`, an ordered array of (start, end).
+
+    `rows` has doc_id and text.
+    """
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    layout = f"doc_id {id_type}, key_1 long, key_2 long, start int, end int, digest binary"
+    listed = stored(_keyed(rows).mapInArrow(_list_chunks, layout), "chunks")
     ranges = F.array_sort(F.collect_set(F.struct("start", "end"))).alias("ranges")
-    return removed.groupBy(*KEYS).agg(ranges)
+    return later_occurrences(rows, listed).groupBy(*KEYS).agg(ranges)
 
 
 def _kept_lines(lines, ranges):
@@ -186,7 +189,7 @@ def without_repeated_chunks(documents, id_col="doc_id", text_col="text"):
     own = [c for c in documents.columns if c not in ("n_lines", "n_removed")]
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = documents.select(F.struct(*own).alias("own"), F.col(id_col).alias("doc_id"), *row_keys(text))
-    joined = keyed.join(_aside(ranges), _same_row(), "left")
+    joined = keyed.join(shuffled(_aside(ranges)), _same_row(), "left")
     old = F.col("own").getField(text_col)
     lost = F.aggregate("ranges", F.lit(0), lambda total, r: total + r["end"] - r["start"])
     shortened = let(F.split(old, "\n"), lambda lines: F.array_join(_kept_lines(lines, F.col("ranges")), "\n"))
