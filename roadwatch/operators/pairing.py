@@ -175,8 +175,13 @@ def _batch_pairs(points, width, keep):
     points = points.selectExpr(
         "*", "unix_micros(timestamp) AS us", f"cast(window AS bigint) * {SECOND} AS reach"
     )
-    parts = {"matched": [_joined], "unmatched": [_lone], "all": [_joined, _lone]}[keep]
-    return union_all(part(points, width * SECOND) for part in parts)
+    width *= SECOND
+    if keep == "matched":
+        return _joined(points, width, "inner")
+    if keep == "unmatched":
+        return _lone(points)
+    # A start is in one bucket only, so the join itself tells lone starts.
+    return _joined(points, width, "left").unionByName(_lone(points, ends_only=True))
 
 
 def _bucket(micros, width):
@@ -189,7 +194,7 @@ def _buckets(first, last, width):
     return f"sequence({_bucket(first, width)}, {_bucket(last, width)}, {width}L)"
 
 
-def _joined(points, width):
+def _joined(points, width, how):
     def side(name, *columns):
         renamed = [f"{c} AS {c}_{name}" for c in ("segment", "us", *_SIGHTING)]
         kept = points.filter("is_start" if name == "start" else "NOT is_start")
@@ -206,13 +211,13 @@ def _joined(points, width):
         car_plate_start = car_plate_end AND segment_start = segment_end
         AND bucket_start = bucket_end AND us_start BETWEEN us_end - reach AND us_end
     """
-    return starts.join(ends, F.expr(condition), "inner").selectExpr(
+    return starts.join(ends, F.expr(condition), how).selectExpr(
         "segment_start AS segment", *PAIR_COLUMNS
     )
 
 
-def _lone(points, width):
-    """Points without a partner, without looking at pairs.
+def _lone(points, ends_only=False):
+    """Points without a partner, or only the ends among them, without looking at pairs.
 
     A slot is as long as the window, so the partners of a point lie in its own slot or in one
     neighbour, and the first and last times there say exactly whether there are any. One
@@ -224,7 +229,9 @@ def _lone(points, width):
         "*", "us - pmod(us, slot_width) AS slot"
     )
     # Starts count for their own slot and the next one, ends for their own and the one before.
-    seen = slotted.filter("car_plate IS NOT NULL AND us IS NOT NULL").selectExpr(
+    partners = slotted.filter("is_start") if ends_only else slotted
+    asked = slotted.filter("NOT is_start") if ends_only else slotted
+    seen = partners.filter("car_plate IS NOT NULL AND us IS NOT NULL").selectExpr(
         "car_plate", "segment", "us", "is_start",
         """inline(array(named_struct('slot', slot, 'own', true),
             named_struct('slot', slot + if(is_start, slot_width, -slot_width), 'own', false)))""",
@@ -236,7 +243,7 @@ def _lone(points, width):
         "later_end": "min(us) FILTER (WHERE NOT is_start AND NOT own)",
     }
     summary = seen.groupBy(*key).agg(*[F.expr(sql).alias(name) for name, sql in times.items()])
-    lone = slotted.join(summary, key, "left").filter(
+    lone = asked.join(summary, key, "left").filter(
         """NOT coalesce(if(is_start, last_end >= us, first_start <= us), false)
            AND NOT coalesce(if(is_start, later_end <= us + reach, earlier_start >= us - reach), false)"""
     )
