@@ -3,16 +3,19 @@
 Documents are sets of word shingles, sketched by minwise tokens. In each of several
 independent trees a node selects a few coordinates at random, and documents go down to one child per
 selected coordinate, that of their token there. So similar documents meet in many nodes and
-others in few. Small nodes compare their members exhaustively; large ones tie members
-to the most central ones, send only those that are far from these further down, and let
-the central members of their parts meet again. Candidates are confirmed on the full sets.
+others in few. Small nodes compare their members exhaustively and propose all pairs that may be
+links. Large nodes are cut into parts; a part ties its members to its most central ones,
+compares those that are far from these with all others but proposes only the best of them, and
+sends further down those that may have more candidates. Its most central member meets
+those of the other parts.
+Candidates are confirmed on the full sets.
 
 Recall. Two documents of similarity s share a selected coordinate with chance s. With the
 default 12 trees and their root coordinates, a pair at 0.75 misses all root nodes with a
-chance below 1e-8, and is held back by its sketch with a chance of about 5e-6. Members of
-nodes that are still large at the last level, and far members of large nodes against near
-ones, are compared with a bounded choice of partners in each node; there a link
-can be lost if no tree brings its ends together in a smaller node.
+chance below 1e-8, and is held back by its sketch with a chance of about 3e-5. In nodes of more
+than SMALL members a pair is proposed only if it is among a member's best; connections then
+rest on those, and a link that alone joins two dense groups, whose ends both have better
+partners in every node they share, can be lost.
 """
 
 import numpy as np
@@ -22,25 +25,24 @@ from pyspark.sql import functions as F
 from roadwatch.llm import shingles
 from roadwatch.llm.components import components
 from roadwatch.llm.line_chunks import row_keys
-from roadwatch.llm.tables import slices, stored, texts
+from roadwatch.llm.tables import shuffled, slices, stored, texts
 
 # Links: 100 * intersection >= 75 * union.
 SIMILARITY = 0.75
 TREES = 12
-COORDINATES = 128
+COORDINATES = 256
 # Of the coordinates' tokens agree at least so many in a candidate pair.
-LEAST_AGREEING = 74
+LEAST_AGREEING = 164
 # Nodes up to this size compare all their members.
-SMALL = 128
+SMALL = 64
 # Members of a large node that one task holds.
 PART = 1024
-DEPTH = 6
-CENTRAL = 3
+DEPTH = 3
+CENTRAL = 1
 # A member with so many tokens in common with a central one goes no further.
-NEAR = 108
-# Partners among the near members that a far member is compared with, and what they must share.
-PARTNERS = 4
-FAR_AGREEING = 86
+NEAR = 212
+# Candidates that a member of a large node's part has besides the central ones: its best.
+PARTNERS = 2
 
 KEYS = ["doc_id", "key_1", "key_2"]
 
@@ -144,30 +146,30 @@ def _central(sketch):
     return np.argsort(-agreeing, kind="stable")[:CENTRAL]
 
 
-def _large_node(node, ids, sketch, last):
-    """Pairs of a part of a large node, and (child, member) rows to go on with."""
-    pairs, onward = [], []
+def _large_node(node, ids, sketch, whole, last):
+    """Pairs of a part of a large node, and (child, member) rows to go on with. `whole`: it has no other part."""
+    pairs, onward, settled = [], [], np.zeros(len(ids), bool)
     central = _central(sketch)
     best = np.zeros(len(ids), np.int64)
     for c in central:
         agreeing = _agreeing(sketch, sketch[c])
         pairs += [(ids[c], ids[j], agreeing[j]) for j in np.flatnonzero(agreeing >= LEAST_AGREEING) if j != c]
         best = np.maximum(best, agreeing)
-    near, far = np.flatnonzero(best >= NEAR), np.flatnonzero(best < NEAR)
-    for f in far[best[far] >= LEAST_AGREEING - 10]:
-        agreeing = _agreeing(sketch[near], sketch[f])
+    far = np.flatnonzero(best < NEAR)
+    for f in far:
+        agreeing = _agreeing(sketch, sketch[f])
+        agreeing[f] = 0
         for j in np.argsort(-agreeing, kind="stable")[:PARTNERS]:
-            if agreeing[j] >= FAR_AGREEING:
-                pairs.append((ids[f], ids[near[j]], agreeing[j]))
+            if agreeing[j] >= LEAST_AGREEING:
+                pairs.append((ids[f], ids[j], agreeing[j]))
+        # All its candidates in the node have been proposed.
+        settled[f] = whole and (agreeing >= LEAST_AGREEING).sum() <= PARTNERS
+    far = far[~settled[far]]
     if last:
-        order = far[np.lexsort(sketch[far].T[::-1])]
-        for begin in range(0, len(order), SMALL):
-            chunk = order[begin : begin + SMALL]
-            pairs += _all_pairs(ids[chunk], sketch[chunk])
         return pairs, onward
-    # The part's most central member meets those of the node's other parts.
-    meeting = shingles.mix(np.array([node], np.uint64) + np.uint64(1))[0]
-    onward.append((meeting, ids[central[0]]))
+    if not whole:
+        meeting = shingles.mix(np.array([node], np.uint64) + np.uint64(1))[0]
+        onward.append((meeting, ids[central[0]]))
     for c in _chosen(node):
         onward += zip(_child(node, c, sketch[far, c]), ids[far], strict=True)
     return pairs, onward
@@ -193,11 +195,12 @@ def _compare(last):
         for group in _groups(batches, ("node", "part")):
             ids = group.column("set_id").to_numpy()
             sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(-1, COORDINATES)
-            if group.column("size")[0].as_py() <= SMALL:
+            size = group.column("size")[0].as_py()
+            if size <= SMALL:
                 pairs, rows = list(_all_pairs(ids, sketch)), []
             else:
                 node = np.int64(group.column("node")[0].as_py()).view(np.uint64)
-                pairs, rows = _large_node(node, ids, sketch, last)
+                pairs, rows = _large_node(node, ids, sketch, size <= PART, last)
             for x, y, n in pairs:
                 a.append(np.uint64(min(x, y)))
                 b.append(max(x, y))
@@ -324,7 +327,7 @@ def near_duplicates(documents, id_col="doc_id", text_col="text"):
     wanted = sets.join(involved, "set_id").select("set_id", *[F.col(f"one.{c}").alias(f"of_{c}") for c in KEYS])
     same = F.col("doc_id").eqNullSafe(F.col("of_doc_id"))
     same &= (F.col("key_1") == F.col("of_key_1")) & (F.col("key_2") == F.col("of_key_2"))
-    members = keyed.join(stored(wanted, "wanted"), same).select("set_id", "text")
+    members = keyed.join(shuffled(stored(wanted, "wanted")), same).select("set_id", "text")
     full = stored(members.mapInArrow(_hash_sets, "set_id long, hashes binary").dropDuplicates(["set_id"]), "full-sets")
 
     labels = components(_links(candidates, full))
@@ -358,7 +361,8 @@ def representatives(documents, id_col="doc_id", text_col="text"):
     same &= (F.col("__key_1") == F.col("__of_key_1")) & (F.col("__key_2") == F.col("__of_key_2"))
 
     def aside(frame):
-        return frame.select(*[F.col(c).alias(f"__of_{c}") for c in KEYS], F.col("group").alias("__group")).distinct()
+        of = [F.col(c).alias(f"__of_{c}") for c in KEYS]
+        return shuffled(frame.select(*of, F.col("group").alias("__group")).distinct())
 
     left = documents.select("*", *hashes).join(aside(marks.filter("NOT kept")), same, "left_anti")
     # Several rows of a group are kept if they share its smallest id, as repeated rows do, or have none.
