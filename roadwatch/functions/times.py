@@ -5,13 +5,17 @@ from pyspark.sql import functions as F
 SECOND = 1_000_000
 DAY = 86_400
 
-# Formats tried after ISO-8601, in order. Month comes first in slash dates.
+# Formats tried after ISO-8601, in order; numbers need no leading zeros. Month comes first in
+# slash dates.
 MIXED_FORMATS = [
-    "MM/dd/yyyy HH:mm:ss",
-    "MM/dd/yyyy HH:mm",
-    "MM/dd/yyyy",
-    "yyyy/MM/dd HH:mm:ss",
-    "yyyyMMdd HHmmss",
+    "M/d/yyyy[ H:mm[:ss[.SSSSSS]]]",
+    "M/d/yyyy h:mm[:ss] a",
+    "yyyy/M/d[ H:mm[:ss[.SSSSSS]]]",
+    "yyyyMMdd[ HHmmss]",
+    "d MMM yyyy[ H:mm[:ss]]",
+    "d MMMM yyyy[ H:mm[:ss]]",
+    "MMM d, yyyy[ H:mm[:ss]]",
+    "MMMM d, yyyy[ H:mm[:ss]]",
 ]
 
 

@@ -1,35 +1,31 @@
 """The live view: recently changed documents, trailing hour, five-minute statistics."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from roadwatch.functions.times import SECOND, bin_start
-from roadwatch.operators.skew import bounded, salted_join
 
 BIN_SECONDS = 300
 
 
-def changed_documents(violations, since, max_days=1000):
+def changed_documents(violations, since):
     """All rows of documents that a stream has written to after `since`.
 
     The choice is by document (car and day): a chosen one comes whole, with older
-    and historic rows. Documents known from history alone are never chosen. The
-    days concerned are found first, so that a store partitioned by date is read
-    for those days alone; with more than `max_days` it is read in full.
+    and historic rows. Documents known from history alone are never chosen. The days concerned, at
+    most one row per day of the calendar, are broadcast first, so that a store partitioned by
+    date is read for those days alone.
     """
     touched = (
         violations.filter((F.col("origin") == "stream") & (F.col("updated_at") > since))
         .select("car_plate", "date")
         .distinct()
     )
-    _, days = bounded(touched.select("date").distinct(), max_days)
-    if days is not None:
-        known = [row["date"] for row in days if row["date"] is not None]
-        concerned = F.col("date").isin(known) if known else F.lit(False)
-        if len(known) < len(days):
-            concerned |= F.col("date").isNull()
-        violations = violations.filter(concerned)
-    return salted_join(violations, touched, ["car_plate", "date"], "left_semi", null_safe=True)
+    days = touched.filter("date IS NOT NULL").select("date").distinct()
+    dated = violations.filter("date IS NOT NULL").join(F.broadcast(days), "date", "left_semi")
+    undated = violations.filter("date IS NULL")
+    of = touched.select(F.col("car_plate").alias("of_plate"), F.col("date").alias("of_date"))
+    same = F.col("car_plate").eqNullSafe(F.col("of_plate")) & F.col("date").eqNullSafe(F.col("of_date"))
+    return dated.unionByName(undated).join(of, same, "left_semi")
 
 
 def arrivals(violations, bin_seconds=BIN_SECONDS):
@@ -46,21 +42,17 @@ def arrivals(violations, bin_seconds=BIN_SECONDS):
 def trailing_hour(rows, horizon_seconds=3600, max_cameras=100_000):
     """Rows no further than the horizon behind the latest arrival at their camera.
 
-    The latest arrivals are one small row per camera, found first. Their minimum
-    then limits the scan, and the rows are never shuffled by camera, where a few
-    keys would hold everything. With more than `max_cameras` cameras it falls
-    back to a shuffled join.
+    The latest arrivals are one small row per camera. Once their number is known to be below
+    `max_cameras` they are broadcast, so that rows are never shuffled by camera, where a few
+    keys would hold everything; more cameras spread well enough for a shuffled join.
     """
     arrival = F.unix_micros("arrival_time")
     horizon = int(horizon_seconds) * SECOND
     latest = rows.groupBy(F.col("camera_id").alias("latest_camera")).agg(
         F.max(arrival).alias("latest")
     )
-    latest, kept = bounded(latest, max_cameras)
-    known = [row["latest"] for row in kept or [] if row["latest"] is not None]
-    if known:
-        floor = F.timestamp_micros(F.lit(min(known) - horizon))
-        rows = rows.filter(F.col("arrival_time") >= floor)
+    if latest.limit(max_cameras + 1).count() <= max_cameras:
+        latest = F.broadcast(latest)
     return rows.join(
         latest,
         F.col("camera_id").eqNullSafe(F.col("latest_camera"))
@@ -94,19 +86,9 @@ def bin_statistics(rows, time="arrival_time", bin_seconds=BIN_SECONDS, quantile=
 
 
 def live_statistics(rows, horizon_seconds=3600, bin_seconds=BIN_SECONDS, quantile=0.9):
-    """Five-minute statistics of each camera's trailing hour, in one pass.
-
-    Whole bins lie inside or outside the horizon, so the rows are aggregated
-    first and only the aggregates are compared with the camera's latest bin.
-    """
-    stats = bin_statistics(rows, bin_seconds=bin_seconds, quantile=quantile)
-    latest = F.max("start_time").over(Window.partitionBy("camera_id"))
-    horizon = F.expr(f"interval {int(horizon_seconds)} seconds")
-    return (
-        stats.withColumn("latest", latest)
-        .filter(F.col("start_time") >= F.col("latest") - horizon)
-        .drop("latest")
-    )
+    """Five-minute statistics of each camera's trailing hour; earlier bins are never sketched."""
+    recent = trailing_hour(rows, horizon_seconds)
+    return bin_statistics(recent, bin_seconds=bin_seconds, quantile=quantile)
 
 
 def high_water_mark(rows, since):

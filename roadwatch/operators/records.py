@@ -69,6 +69,15 @@ def historic_records(rows):
     )
 
 
+def unparsed_history(rows):
+    """Historic rows with a time that no format fits; `historic_records` leaves that time NULL."""
+    lost = [
+        F.col(name).isNotNull() & mixed_timestamp(name).isNull()
+        for name in ("timestamp_start", "timestamp_end")
+    ]
+    return rows.filter(lost[0] | lost[1])
+
+
 def dropped_records(unmatched, ingested_at=None):
     """One sighting per unmatched pair: the end side if it has an event id, else the start side."""
     no_end = F.coalesce(F.col("event_id_end"), F.lit("")) == ""

@@ -6,12 +6,11 @@ from pyspark.sql import functions as F
 def heavy_keys(rows, keys, support=0.01):
     """Hashes of the keys that hold at least `support` of the rows.
 
-    One pass without a shuffle. No heavy key is missed, some others may be
-    listed; there are never more than 1/support, which bounds a broadcast.
+    One pass without a shuffle. No heavy key is missed, some others may be listed; there are
+    never more than 1/support. They are fetched once, so that all who use the list use the same.
     """
     hashed = rows.select(F.xxhash64(*keys).alias("heavy"))
-    found = hashed.stat.freqItems(["heavy"], support)
-    return found.select(F.explode("heavy_freqItems").alias("heavy"))
+    return list(hashed.stat.freqItems(["heavy"], support).first()[0])
 
 
 def salted_join(left, right, keys, how="left", null_safe=False, support=0.01, salts=32):
@@ -23,17 +22,15 @@ def salted_join(left, right, keys, how="left", null_safe=False, support=0.01, sa
     well and a task that runs again deals the same. For inner, left, left_semi and
     left_anti joins; the result has the keys once.
     """
-    heavy = F.broadcast(heavy_keys(left, keys, support))
-    is_heavy = F.col("heavy").isNotNull()
+    heavy = heavy_keys(left, keys, support)
+    is_heavy = F.xxhash64(*keys).isin(heavy)
     dealt_to = F.pmod(F.xxhash64(*left.columns, F.spark_partition_id()), F.lit(salts))
     salt = F.when(is_heavy, dealt_to).otherwise(F.lit(0))
-    dealt = left.join(heavy, F.xxhash64(*keys) == F.col("heavy"), "left").select(
-        *left.columns, salt.cast("int").alias("salt")
-    )
+    dealt = left.select(*left.columns, salt.cast("int").alias("salt"))
     every_salt = F.when(is_heavy, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
         F.array(F.lit(0))
     )
-    copied = right.join(heavy, F.xxhash64(*keys) == F.col("heavy"), "left").select(
+    copied = right.select(
         *[F.col(c).alias(f"right_{c}" if c in keys else c) for c in right.columns],
         F.explode(every_salt).alias("right_salt"),
     )
@@ -43,15 +40,3 @@ def salted_join(left, right, keys, how="left", null_safe=False, support=0.01, sa
         condition &= mine.eqNullSafe(theirs) if null_safe else mine == theirs
     joined = dealt.join(copied, condition, how)
     return joined.drop("salt", "right_salt", *[f"right_{key}" for key in keys])
-
-
-def bounded(rows, max_rows):
-    """`rows` as a local table with a broadcast hint, if there are at most `max_rows`.
-
-    Runs one job to find out and also returns what it fetched. Beyond the bound
-    the plan comes back untouched, for Spark to join by a shuffle, with None.
-    """
-    kept = rows.limit(max_rows + 1).collect()
-    if len(kept) > max_rows:
-        return rows, None
-    return F.broadcast(rows.sparkSession.createDataFrame(kept, rows.schema)), kept

@@ -20,8 +20,8 @@ from roadwatch.operators.records import (
 )
 from roadwatch.schemas import CAMERA
 from roadwatch.session import shared_folder, use_utc
+from roadwatch.sources.batches import write_batch
 from roadwatch.sources.tables import read_violations
-from roadwatch.streaming.sinks import write_batch
 
 # The camera table.
 CAMERA_ROWS = [
@@ -170,11 +170,31 @@ def all_records(spark, sf_dir):
     )
 
 
-def stored(spark, records):
-    """The rows as a written table, for views that read them more than once."""
-    root = shared_folder(spark, "store")
-    write_batch(records, root, 0)
-    return read_violations(spark, root)
+_STORES = {}
+
+
+def store_of(spark, sf_dir, records, name):
+    """Root of the records as a store partitioned by date, written once per application and shared.
+
+    `records` is one of the functions above.
+    """
+    known = (spark.sparkContext.applicationId, sf_dir, name)
+    if known not in _STORES:
+        root = shared_folder(spark, f"store-{name}")
+        write_batch(records(spark, sf_dir), root, 0, ["date"])
+        _STORES[known] = root
+    return _STORES[known]
+
+
+def stored(spark, sf_dir, start=None, end=None):
+    """All violations from the shared store, dates in [start, end)."""
+    return read_violations(spark, store_of(spark, sf_dir, all_records, "all"), start=start, end=end)
+
+
+def stored_stream(spark, sf_dir, start=None, end=None):
+    """Violations of streams alone from the shared store."""
+    root = store_of(spark, sf_dir, stream_records, "stream")
+    return read_violations(spark, root, start=start, end=end)
 
 
 def vehicles(spark, sf_dir):

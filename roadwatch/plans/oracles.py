@@ -411,6 +411,27 @@ SELECT camera_id, type, measure, start_time, value, round(diff, 6) AS diff,
        CASE WHEN abs(diff) > threshold THEN before END AS region_start,
        CASE WHEN abs(diff) > threshold THEN after END AS region_end
 FROM judged
+""",
+    "store_life_cycle": f"WITH {_STREAM_RECORDS} SELECT {_RECORD_COLUMNS} FROM stream_records",
+    "live_refresh_stream": f"""
+WITH {_STREAM_RECORDS}, changed AS (SELECT * FROM stream_records WHERE type = 'instant'), {_ARRIVALS}
+SELECT camera_id, type, count(*) AS total_violations, round(avg(speed_reading), 8) AS avg_speed,
+       quantile_disc(speed_reading, 0.9) AS p90_speed, arrival_time AS start_time,
+       arrival_time + INTERVAL 5 MINUTE AS end_time
+FROM (
+  SELECT a.* FROM arrivals a
+  JOIN (SELECT camera_id, max(arrival_time) AS latest FROM arrivals GROUP BY camera_id) m
+    ON a.camera_id = m.camera_id AND a.arrival_time >= m.latest - INTERVAL 1 HOUR
+) GROUP BY camera_id, type, arrival_time
+""",
+    "bootstrap_vehicles": """
+SELECT CAST(o_custkey AS VARCHAR) AS car_plate, max(date_trunc('day', o_orderdate::TIMESTAMP)) AS registration_date,
+       count(*) AS entries
+FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey
+""",
+    "bootstrap_history": f"""
+WITH {_ALL_RECORDS}
+SELECT {_RECORD_COLUMNS} FROM all_records
 """,
     "unique_key_check": f"""
 WITH {_ALL_RECORDS}

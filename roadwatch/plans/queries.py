@@ -9,7 +9,20 @@ from roadwatch.operators.detection import instant_violations
 from roadwatch.plans import bindings as b
 from roadwatch.session import shared_folder
 from roadwatch.sources import messages
-from roadwatch.sources.tables import read_violations
+from roadwatch.sources.batches import (
+    read_batches,
+    read_latest,
+    retire,
+    staged_folders,
+    write_batch,
+)
+from roadwatch.sources.tables import (
+    append_history,
+    read_historic,
+    read_vehicles,
+    read_violations,
+    save_table,
+)
 from roadwatch.streaming import jobs, sinks
 
 RANGE = ("2024-01-05", "2024-01-25")
@@ -125,7 +138,7 @@ def vehicle_deregister(spark, sf_dir):
 
 
 def violation_owner(spark, sf_dir):
-    violations = b.stored(spark, b.stream_records(spark, sf_dir))
+    violations = b.stored_stream(spark, sf_dir)
     owned = dimensions.with_owner(violations, _latest_vehicles(spark, sf_dir))
     return b.presentable(owned)
 
@@ -150,7 +163,7 @@ def unique_key_check(spark, sf_dir):
     plates = dimensions.repeated_keys(b.vehicles(spark, sf_dir), ["car_plate"]).select(
         F.lit("vehicle").alias("entity"), "car_plate", F.lit(None).cast("date").alias("date"), "copies"
     )
-    documents = store.daily_documents(b.stored(spark, b.all_records(spark, sf_dir)))
+    documents = store.daily_documents(b.stored(spark, sf_dir))
     days = dimensions.repeated_keys(documents, ["car_plate", "date"]).select(
         F.lit("document").alias("entity"), "car_plate", "date", "copies"
     )
@@ -215,15 +228,30 @@ def retention_filter(spark, sf_dir):
 def violation_upsert(spark, sf_dir):
     """Both sinks; the average violations come again in a later batch, as after a restart."""
     root = shared_folder(spark, "violations")
-    instant, average = b.instants(spark, sf_dir), b.averages(spark, sf_dir)
     later = F.lit("2024-03-01 00:00:00").cast("timestamp")
-    sinks.instant_sink(f"{root}/instant", b.processed("timestamp"))(instant, 0)
-    sinks.average_sink(f"{root}/average", b.processed("timestamp_end"))(average, 0)
-    sinks.average_sink(f"{root}/average", later)(average, 1)
+    sinks.instant_sink(f"{root}/instant", b.processed("timestamp"))(b.instants(spark, sf_dir), 0)
+    sinks.average_sink(f"{root}/average", b.processed("timestamp_end"))(b.averages(spark, sf_dir), 0)
+    again = read_violations(spark, f"{root}/average").withColumn("updated_at", later)
+    write_batch(again, f"{root}/average", 1, ["date"])
     stored = read_violations(spark, f"{root}/instant", f"{root}/average")
     return b.presentable(store.distinct_violations(stored))
 
 
+def store_life_cycle(spark, sf_dir):
+    """Batches, a compaction of them, one batch more, one that runs again, and the end of old folders."""
+    root = shared_folder(spark, "cycle")
+    records = b.stored_stream(spark, sf_dir)
+    day = F.datediff("date", F.lit(b.FIRST_DAY).cast("date"))
+    for batch in (0, 1):
+        write_batch(records.filter(F.pmod(day, F.lit(3)) == batch), root, batch, ["date"])
+    sinks.compact_violations(spark, root)
+    last = records.filter(F.pmod(day, F.lit(3)) == 2)
+    write_batch(last.limit(1), root, 2, ["date"])
+    write_batch(last, root, 2, ["date"])
+    retire(spark, root)
+    return b.presentable(read_violations(spark, root))
+
+
 def dropped_pairs_log(spark, sf_dir):
     """The drop log; an event that is lone in two segments is one row."""
     root = shared_folder(spark, "dropped")
@@ -236,7 +264,7 @@ def dropped_pairs_log(spark, sf_dir):
 
 def daily_document(spark, sf_dir):
     """One row per car and day, its violations rendered as text in time order."""
-    documents = store.daily_documents(b.stored(spark, b.all_records(spark, sf_dir)))
+    documents = store.daily_documents(b.stored(spark, sf_dir))
     text = F.transform(
         "violations",
         lambda v: F.concat_ws(
@@ -261,7 +289,7 @@ def daily_document(spark, sf_dir):
 
 def daily_explode(spark, sf_dir):
     """Documents back to rows, empty ones kept: customers' cars without any violation."""
-    documents = store.daily_documents(b.stored(spark, b.all_records(spark, sf_dir)))
+    documents = store.daily_documents(b.stored(spark, sf_dir))
     no_entries = documents.schema["violations"].dataType
     quiet = b.table(spark, sf_dir, "customer").select(
         F.concat(F.lit("quiet-"), F.col("c_custkey").cast("string")).alias("car_plate"),
@@ -287,11 +315,11 @@ _ENTRY_COLUMNS = ["car_plate", "date", "type", "camera_id_start", "camera_id_end
 
 
 def changed_documents(spark, sf_dir):
-    return b.presentable(live.changed_documents(b.stored(spark, b.all_records(spark, sf_dir)), _since()))
+    return b.presentable(live.changed_documents(b.stored(spark, sf_dir), _since()))
 
 
 def _live_rows(spark, sf_dir):
-    return live.arrivals(live.changed_documents(b.stored(spark, b.all_records(spark, sf_dir)), _since()))
+    return live.arrivals(live.changed_documents(b.stored(spark, sf_dir), _since()))
 
 
 def trailing_hour(spark, sf_dir):
@@ -304,7 +332,7 @@ def live_stats(spark, sf_dir):
 
 
 def high_water_mark(spark, sf_dir):
-    rows = live.arrivals(live.changed_documents(b.stored(spark, b.all_records(spark, sf_dir)), _since()))
+    rows = live.arrivals(live.changed_documents(b.stored(spark, sf_dir), _since()))
     return b.presentable(live.high_water_mark(rows, _since()))
 
 
@@ -346,21 +374,21 @@ def _rounded(rows):
 
 
 def hourly_camera_stats(spark, sf_dir):
-    return _rounded(hotspots.hourly_camera_stats(b.stream_records(spark, sf_dir), *RANGE))
+    return _rounded(hotspots.hourly_camera_stats(b.stored_stream(spark, sf_dir, *RANGE), *RANGE))
 
 
 def hourly_segment_stats(spark, sf_dir):
-    return _rounded(hotspots.hourly_segment_stats(b.stream_records(spark, sf_dir), *RANGE))
+    return _rounded(hotspots.hourly_segment_stats(b.stored_stream(spark, sf_dir, *RANGE), *RANGE))
 
 
 def hotspot_cells(spark, sf_dir):
     return hotspots.hotspots(
-        b.stream_records(spark, sf_dir), b.cameras(spark), *RANGE, threshold=THRESHOLD
+        b.stored_stream(spark, sf_dir, *RANGE), b.cameras(spark), *RANGE, threshold=THRESHOLD
     )
 
 
 def segment_midpoint(spark, sf_dir):
-    return hotspots.segment_hotspots(b.stream_records(spark, sf_dir), b.cameras(spark), *RANGE)
+    return hotspots.segment_hotspots(b.stored_stream(spark, sf_dir, *RANGE), b.cameras(spark), *RANGE)
 
 
 # --- streams -----------------------------------------------------------------
@@ -379,8 +407,8 @@ def segment_full_outer_stream(spark, sf_dir):
         jobs.watermarked(second),
         b.WINDOWS[0],
     )
-    _run(spark, "pairs", pairs, lambda rows, batch: sinks.write_batch(rows, root, batch))
-    return b.presentable(spark.read.schema(pairs.schema).parquet(root).drop("batch_id"))
+    _run(spark, "pairs", pairs, lambda rows, batch: write_batch(rows, root, batch))
+    return b.presentable(read_batches(spark, root, pairs.schema))
 
 
 def segment_chain_stream(spark, sf_dir):
@@ -454,50 +482,92 @@ def live_stats_stream(spark, sf_dir):
     flagged = instant_violations(*b.camera_frames(b.event_stream(spark, sf_dir)))
     rows = live.arrivals(records.instant_records(flagged))
     stats = jobs.live_stream(rows, bin_seconds=SERIES_BIN)
-    _run(spark, "live", stats, lambda rows, batch: sinks.write_batch(rows, root, batch))
-    stored = spark.read.schema(stats.schema).parquet(root).drop("batch_id")
+    _run(spark, "live", stats, lambda rows, batch: write_batch(rows, root, batch))
+    stored = read_batches(spark, root, stats.schema)
     return b.presentable(stored.withColumn("avg_speed", F.round("avg_speed", 8)))
 
 
+def live_refresh_stream(spark, sf_dir):
+    """Instant violations into the store, and the live statistics anew behind each batch."""
+    folder = shared_folder(spark, "refresh")
+    flagged = instant_violations(*b.camera_frames(b.event_stream(spark, sf_dir)))
+    fixed = F.lit("2024-03-01 00:00:00").cast("timestamp")
+    sink = sinks.in_turn(
+        sinks.instant_sink(f"{folder}/instant", fixed),
+        sinks.live_sink([f"{folder}/instant"], f"{folder}/live", _since()),
+    )
+    _run(spark, "refresh", flagged, sink)
+    layout = live.live_statistics(live.arrivals(b.stored_stream(spark, sf_dir).limit(0))).schema
+    newest = read_latest(spark, f"{folder}/live", layout)
+    return b.presentable(newest.withColumn("avg_speed", F.round("avg_speed", 8)))
+
+
 def late_rows_stream(spark, sf_dir):
     """Sightings that arrive in uploads of 15 days, slow cars' one upload late.
 
     Each upload is a run of the same query. What comes in behind the watermark is
-    left out of pairs and drop log alike.
+    left out of pairs and drop log alike. The sightings are read and written once; an upload
+    arrives by moving its folder.
     """
     folder = shared_folder(spark, "late")
     upload = F.floor(F.col("batch_id") / F.lit(15)) + F.when(
         F.col("speed_reading") < 20, 1
     ).otherwise(0)
-    frames = [
-        frame.withColumn("upload", upload.cast("int"))
-        for frame in b.events_by_camera(spark, sf_dir)[:2]
+    frames = b.events_by_camera(spark, sf_dir)[:2]
+    schema, inboxes = frames[0].schema, [f"{folder}/start", f"{folder}/end"]
+    arrivals = []
+    for inbox, frame in zip(inboxes, frames, strict=True):
+        frame.withColumn("upload", upload.cast("int")).write.partitionBy("upload").parquet(f"{inbox}-staged")
+        spark.createDataFrame([], schema).write.parquet(f"{inbox}/none")
+        arrivals.append(staged_folders(spark, f"{inbox}-staged", inbox))
+    streams = [
+        spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(inbox)
+        for inbox in inboxes
     ]
-    last = max(frame.agg(F.max("upload")).first()[0] for frame in frames)
-    schema = frames[0].drop("upload").schema
-    inboxes = [f"{folder}/start", f"{folder}/end"]
-    pairs = None
-    for number in range(last + 1):
-        for inbox, frame in zip(inboxes, frames, strict=True):
-            arrived = frame.filter(F.col("upload") == number).drop("upload")
-            arrived.write.mode("append").parquet(inbox)
-        if pairs is None:
-            streams = [spark.readStream.schema(schema).parquet(inbox) for inbox in inboxes]
-            pairs = pairing.segment_pairs(
-                *map(jobs.watermarked, streams),
-                b.WINDOWS[0],
-            )
+    pairs = pairing.segment_pairs(*map(jobs.watermarked, streams), b.WINDOWS[0])
+    for number in sorted({n for found in arrivals for n in found}):
+        for found in arrivals:
+            if number in found:
+                found[number]()
         jobs.finish(
             jobs.start(
                 pairs,
-                lambda rows, batch: sinks.write_batch(rows, f"{folder}/pairs", batch),
+                lambda rows, batch: write_batch(rows, f"{folder}/pairs", batch),
                 f"{folder}/checkpoint",
                 once=True,
             )
         )
-    return b.presentable(
-        spark.read.schema(pairs.schema).parquet(f"{folder}/pairs").drop("batch_id")
-    )
+    return b.presentable(read_batches(spark, f"{folder}/pairs", pairs.schema))
+
+
+# --- bootstrap ---------------------------------------------------------------
+
+
+def bootstrap_vehicles(spark, sf_dir):
+    """The register from a CSV file to the saved dimension, loaded twice."""
+    folder = shared_folder(spark, "register")
+    raw = b.vehicles(spark, sf_dir).filter("car_plate IS NOT NULL")
+    text = F.date_format("registration_date", "M/d/yyyy")
+    raw.withColumn("registration_date", text).drop("entry").write.csv(f"{folder}/csv", header=True)
+    for _ in range(2):
+        register = read_vehicles(spark, f"{folder}/csv")
+        latest = register.groupBy("car_plate").agg(
+            F.max("registration_date").alias("registration_date"), F.count("*").alias("entries")
+        )
+        save_table(latest, f"{folder}/vehicles")
+    return b.presentable(spark.read.schema(latest.schema).parquet(f"{folder}/vehicles"))
+
+
+def bootstrap_history(spark, sf_dir):
+    """History from a CSV file into the violation store beside a stream's rows; the load runs twice."""
+    folder = shared_folder(spark, "history")
+    b.historic_rows(spark, sf_dir).write.csv(f"{folder}/csv", header=True)
+    root = f"{folder}/store"
+    write_batch(b.stored_stream(spark, sf_dir), root, 0, ["date"])
+    for _ in range(2):
+        text = read_historic(spark, f"{folder}/csv")
+        append_history(records.historic_records(text), root, 0)
+    return b.presentable(read_violations(spark, root))
 
 
 QUERIES = {
@@ -507,6 +577,7 @@ QUERIES = {
     "vehicle_latest": vehicle_latest,
     "historic_load": historic_load,
     "violation_upsert": violation_upsert,
+    "store_life_cycle": store_life_cycle,
     "dropped_pairs_log": dropped_pairs_log,
     "retention_filter": retention_filter,
     "instant_violation": instant_violation,
@@ -538,4 +609,7 @@ QUERIES = {
     "late_rows_stream": late_rows_stream,
     "instant_violation_stream": instant_violation_stream,
     "live_stats_stream": live_stats_stream,
+    "live_refresh_stream": live_refresh_stream,
+    "bootstrap_vehicles": bootstrap_vehicles,
+    "bootstrap_history": bootstrap_history,
 }

@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -31,6 +32,12 @@ def use_utc(spark):
     return spark
 
 
+@cache
+def _local_folder():
+    """One temporary folder per process, removed when it ends."""
+    return tempfile.TemporaryDirectory(prefix="roadwatch-", ignore_cleanup_errors=True)
+
+
 def shared_folder(spark, name):
     """A fresh folder that every executor can reach.
 
@@ -41,5 +48,5 @@ def shared_folder(spark, name):
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="roadwatch-")
+        base = _local_folder().name
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

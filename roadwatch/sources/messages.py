@@ -48,11 +48,12 @@ def decode(envelopes, headers=EVENT_HEADERS, payload=CAMERA_EVENT):
     return envelopes.select(body, *values).select("body.*", *headers)
 
 
-def encode(events, headers, topic, payload=CAMERA_EVENT):
+def encode(events, headers, topic, payload=CAMERA_EVENT, key=None):
     """Event rows to envelope rows.
 
     `headers` maps a header name to the column it carries; timestamps are
-    rendered as ISO-8601 in UTC.
+    rendered as ISO-8601 in UTC. `key` is a text column; by default all messages have the
+    same key, and with it one partition of a topic.
     """
     entries = []
     for name, value in headers.items():
@@ -64,25 +65,24 @@ def encode(events, headers, topic, payload=CAMERA_EVENT):
         {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"},
     )
     return events.select(
-        F.encode(F.lit(MESSAGE_KEY), "UTF-8").alias("key"),
+        F.encode(F.lit(MESSAGE_KEY) if key is None else key, "UTF-8").alias("key"),
         F.encode(body, "UTF-8").alias("value"),
         F.array(*entries).alias("headers"),
         topic.alias("topic"),
     )
 
 
-def in_publish_order(events):
-    """Batches in order of their id; events without one are not published.
+def in_publish_order(events, key=()):
+    """Batches in order of their id within each message key; events without one are not published.
 
-    Time, id and the partition an event is read in break ties, so that a batch or
-    an event that makes up much of the data still spreads over many sort ranges.
+    A broker keeps order per partition, and a message's key decides the partition. So events are
+    dealt out by the columns that make up the key, and sorted within. Without any there is
+    one order for all; then events of a batch go together to a range of their own.
     """
     published = events.filter(F.col("batch_id").isNotNull())
-    return (
-        published.withColumn("read_in", F.spark_partition_id())
-        .orderBy("batch_id", "timestamp", "event_id", "read_in")
-        .drop("read_in")
-    )
+    order = ["batch_id", "timestamp", "event_id"]
+    dealt = published.repartition(*key) if key else published.repartitionByRange(*order)
+    return dealt.sortWithinPartitions(*order)
 
 
 def publish(envelopes, servers):

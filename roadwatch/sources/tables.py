@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from roadwatch.functions.times import mixed_timestamp
 from roadwatch.schemas import CAMERA, HISTORIC_RAW, VEHICLE_RAW, VIOLATION
+from roadwatch.sources.batches import read_batches, write_batch
 
 
 def read_cameras(spark, path):
@@ -24,6 +25,14 @@ def read_historic(spark, path):
     return spark.read.schema(HISTORIC_RAW).csv(path, header=True)
 
 
+def append_history(rows, root, load):
+    """Append historic violations (`operators.records.historic_records`) to a violation store.
+
+    A load that runs again replaces itself; loads and the batches of streams are numbered apart.
+    """
+    write_batch(rows, root, load, ["date"], writer="history")
+
+
 def save_table(rows, path, partition_by=()):
     """Replace a table, for instance a dimension after its bulk load."""
     rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
@@ -34,8 +43,7 @@ def read_violations(spark, *paths, start=None, end=None):
 
     The stores are partitioned by date, so the range prunes whole folders.
     """
-    names = VIOLATION.fieldNames()
-    stores = [spark.read.schema(VIOLATION).parquet(path).select(*names) for path in paths]
+    stores = [read_batches(spark, path, VIOLATION) for path in paths]
     return in_date_range(reduce(DataFrame.unionByName, stores), start, end)
 
 

@@ -1,12 +1,13 @@
 """Replay-safe sinks for `foreachBatch`.
 
-Each micro-batch owns one folder, `batch_id=<n>`, and replaces it as a whole. A
-batch that runs again after a failure leaves the store as it was. Executors write
-the rows; nothing passes through the driver. Errors are not swallowed: the batch
+Each micro-batch is published as a whole and replaces what it published before
+(`sources.batches`). A batch that runs again after a failure leaves the store as it was. Executors
+write the rows; nothing passes through the driver. Errors are not swallowed: the batch
 fails and the checkpoint replays it.
 """
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roadwatch.functions.times import event_day
 from roadwatch.operators.detection import average_violations
@@ -14,21 +15,11 @@ from roadwatch.operators.live import arrivals, changed_documents, live_statistic
 from roadwatch.operators.pairing import as_trips, matched, unmatched
 from roadwatch.operators.records import average_records, dropped_records, instant_records
 from roadwatch.operators.store import distinct_violations
-from roadwatch.schemas import DROPPED_PAIR
+from roadwatch.schemas import DROPPED_PAIR, VIOLATION
+from roadwatch.sources.batches import compact, read_batches, write_batch
 from roadwatch.sources.tables import read_violations
 
 
-def write_batch(rows, root, batch_id, partition_by=()):
-    """Replace the folder of one batch; a day's rows go to few files, a busy day's to several."""
-    if partition_by:
-        rows = rows.hint("rebalance", *partition_by)
-    (
-        rows.write.mode("overwrite")
-        .partitionBy(*partition_by)
-        .parquet(f"{root}/batch_id={batch_id}")
-    )
-
-
 def instant_sink(root, processed_at=None):
     """Instant violations into a violation store."""
 
@@ -79,7 +70,10 @@ def pair_sink(average_root, dropped_root, processed_at=None):
 
 
 def live_sink(stores, out, since):
-    """Refresh the live statistics from the violation stores, once per micro-batch."""
+    """Refresh the live statistics from the violation stores, once per micro-batch.
+
+    `sources.batches.read_latest` gives the newest result.
+    """
 
     def write(batch, batch_id):
         changed = changed_documents(read_violations(batch.sparkSession, *stores), since)
@@ -88,28 +82,34 @@ def live_sink(stores, out, since):
     return write
 
 
+def in_turn(*parts):
+    """One sink of several: each batch goes through all of them in order."""
+
+    def write(batch, batch_id):
+        held = batch.persist()
+        try:
+            for part in parts:
+                part(held, batch_id)
+        finally:
+            held.unpersist()
+
+    return write
+
+
+_LOGGED = T.StructType([*DROPPED_PAIR.fields, T.StructField("ingested_on", T.DateType())])
+
+
 def read_dropped(spark, root, ingested_from=None):
     """Raw drop-log rows; `operators.store.latest_dropped` reduces them to one per event.
 
     `ingested_from` is a day; folders of earlier days are not read.
     """
-    rows = spark.read.schema(DROPPED_PAIR).parquet(root)
+    rows = read_batches(spark, root, _LOGGED)
     if ingested_from is not None:
         rows = rows.filter(F.col("ingested_on") >= F.lit(ingested_from).cast("date"))
     return rows.select(*DROPPED_PAIR.fieldNames())
 
 
-def compact(violations, path):
-    """Rewrite violations without copies, in few large files sorted by plate within each day.
-
-    The range partitioning samples the data, so a busy day or plate spreads over
-    several files.
-    """
-    (
-        distinct_violations(violations)
-        .repartitionByRange("date", "car_plate", "timestamp_end")
-        .sortWithinPartitions("date", "car_plate", "timestamp_end")
-        .write.mode("overwrite")
-        .partitionBy("date")
-        .parquet(path)
-    )
+def compact_violations(spark, root):
+    """Rewrite a violation store without copies, in few large files sorted by plate within each day."""
+    compact(spark, root, VIOLATION, distinct_violations, ["date", "car_plate", "timestamp_end"])

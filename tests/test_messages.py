@@ -65,6 +65,8 @@ def test_bad_messages_give_null(spark):
 
 def test_publish_order_skips_events_without_a_batch(spark):
     assert [r.event_id for r in messages.in_publish_order(_events(spark)).collect()] == ["e2", "e1"]
+    by_plate = messages.in_publish_order(_events(spark), key=["car_plate"])
+    assert sorted(r.event_id for r in by_plate.collect()) == ["e1", "e2"]
 
 
 def test_envelope_files_read_as_table_and_stream(spark, tmp_path):

@@ -1,15 +1,19 @@
 from conftest import at, same_rows
 from pyspark.sql import functions as F
 
+from roadwatch.functions.times import mixed_timestamp
 from roadwatch.operators import store
+from roadwatch.operators.hotspots import hourly_camera_stats
 from roadwatch.operators.records import (
     average_records,
     dropped_records,
     historic_records,
     instant_records,
+    unparsed_history,
 )
 from roadwatch.schemas import DROPPED_PAIR, HISTORIC_RAW, VIOLATION
-from roadwatch.sources.tables import read_historic, read_violations
+from roadwatch.sources.tables import append_history, read_historic, read_violations
+from roadwatch.sources import batches
 from roadwatch.streaming import sinks
 
 DAY = at("2024-01-01 00:00:00").date()
@@ -200,28 +204,78 @@ def test_drop_log_reads_from_a_day_of_ingestion(spark, tmp_path):
 def test_a_batch_that_runs_again_leaves_the_store_as_it_was(spark, tmp_path):
     root = str(tmp_path / "store")
     rows = violations(spark, violation(), violation(plate="Q", day=at("2024-01-02 00:00:00").date()))
-    sinks.write_batch(rows, root, 7, ["date"])
+    batches.write_batch(rows, root, 7, ["date"])
     before = read_violations(spark, root).collect()
-    sinks.write_batch(rows, root, 7, ["date"])
+    batches.write_batch(rows, root, 7, ["date"])
     assert sorted(read_violations(spark, root).collect()) == sorted(before)
-    sinks.write_batch(rows.withColumn("updated_at", F.current_timestamp()), root, 8, ["date"])
+    batches.write_batch(rows.withColumn("updated_at", F.current_timestamp()), root, 8, ["date"])
     same_rows(store.distinct_violations(read_violations(spark, root)), rows)
 
 
 def test_range_reads_only_the_days_asked_for(spark, tmp_path):
     root = str(tmp_path / "store")
     days = [at(f"2024-01-0{d} 00:00:00").date() for d in (1, 2, 3)]
-    sinks.write_batch(violations(spark, *[violation(day=d) for d in days]), root, 0, ["date"])
+    batches.write_batch(violations(spark, *[violation(day=d) for d in days]), root, 0, ["date"])
     ranged = read_violations(spark, root, start="2024-01-01", end="2024-01-03")
     assert sorted(str(r.date) for r in ranged.collect()) == ["2024-01-01", "2024-01-02"]
     plan = ranged._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(date" in plan
+    hours = hourly_camera_stats(read_violations(spark, root, start="2024-01-01", end="2024-01-02"), "2024-01-01", "2024-01-02")
+    assert "PartitionFilters: [isnotnull(date" in hours._jdf.queryExecution().toString()
 
 
-def test_compaction_keeps_the_set(spark, tmp_path):
-    root, target = str(tmp_path / "store"), str(tmp_path / "compact")
+def other_day(number):
+    return at(f"2024-01-{number:02d} 00:00:00").date()
+
+
+def test_compaction_replaces_what_it_covers(spark, tmp_path):
+    root = str(tmp_path / "store")
     rows = violations(spark, violation(), violation(plate="Q"), violation(plate="R", end="08:00:01"))
-    sinks.write_batch(rows, root, 0, ["date"])
-    sinks.write_batch(rows, root, 1, ["date"])
-    sinks.compact(read_violations(spark, root), target)
-    same_rows(read_violations(spark, target), rows)
+    batches.write_batch(rows, root, 0, ["date"])
+    batches.write_batch(rows, root, 1, ["date"])
+    sinks.compact_violations(spark, root)
+    same_rows(read_violations(spark, root), rows)
+    assert len(batches.live_folders(spark, root)) == 1
+    more = violations(spark, violation(plate="S", day=other_day(2)))
+    batches.write_batch(more, root, 2, ["date"])
+    batches.write_batch(rows, root, 1, ["date"])  # A batch that is covered runs again.
+    same_rows(read_violations(spark, root), rows.unionByName(more))
+    sinks.compact_violations(spark, root)
+    sinks.compact_violations(spark, root)
+    batches.retire(spark, root)
+    same_rows(read_violations(spark, root), rows.unionByName(more))
+    assert len(list((tmp_path / "store" / "data").iterdir())) == 1
+    assert len(list((tmp_path / "store" / "log").glob("part-*"))) == 1
+    batches.write_batch(more, root, 3, ["date"])
+    assert read_violations(spark, root).count() == 5
+
+
+def test_a_batch_without_its_log_entry_is_not_seen(spark, tmp_path):
+    root = str(tmp_path / "store")
+    rows = violations(spark, violation())
+    assert read_violations(spark, root).count() == 0
+    rows.write.partitionBy("date").parquet(f"{root}/data/batch=stream-0-unfinished")
+    assert read_violations(spark, root).count() == 0
+    batches.write_batch(rows.limit(0), root, 0, ["date"])
+    assert read_violations(spark, root).count() == 0
+    batches.write_batch(rows, root, 1, ["date"])
+    same_rows(read_violations(spark, root), rows)
+
+
+def test_loads_of_history_and_batches_of_streams_are_numbered_apart(spark, tmp_path):
+    root = str(tmp_path / "store")
+    streamed, old = violations(spark, violation()), violations(spark, violation(origin="historic"))
+    batches.write_batch(streamed, root, 0, ["date"])
+    for _ in range(2):
+        append_history(old, root, 0)
+    same_rows(read_violations(spark, root), streamed.unionByName(old))
+
+
+def test_times_in_many_forms(spark):
+    forms = ["1/5/2024 8:00", "01/05/2024 08:00:00.123", "01/05/2024 08:00 PM", "5 Jan 2024 08:00", "2024-01-05 08:00:00",
+             "January 5, 2024", "20240105 080000", "2024/1/5 8:00:01", "not a time", None]
+    text = spark.createDataFrame([("P", 1, 2, f, f, 1.0) for f in forms], HISTORIC_RAW)
+    hours = [r[0] for r in text.select(F.date_format(mixed_timestamp("timestamp_end"), "MM-dd HH:mm")).collect()]
+    assert hours == ["01-05 08:00", "01-05 08:00", "01-05 20:00", "01-05 08:00", "01-05 08:00",
+                     "01-05 00:00", "01-05 08:00", "01-05 08:00", None, None]
+    assert [r.timestamp_end for r in unparsed_history(text).collect()] == ["not a time"]

@@ -11,9 +11,10 @@ from test_pairing import SIGHTING, brute_force, camera, random_camera
 
 from roadwatch.operators import store
 from roadwatch.operators.detection import average_violations, instant_violations
-from roadwatch.operators.live import arrivals, bin_statistics
+from roadwatch.operators.live import arrivals, bin_statistics, live_statistics
 from roadwatch.operators.pairing import as_trips, chain_pairs, matched, segment_pairs, unmatched
 from roadwatch.operators.records import instant_records
+from roadwatch.sources import batches
 from roadwatch.sources.tables import read_violations
 from roadwatch.streaming import jobs, sinks
 
@@ -52,9 +53,9 @@ def few_partitions(spark):
 
 def run(rows, folder, out):
     progress = jobs.finish(
-        jobs.start(rows, lambda b, n: sinks.write_batch(b, out, n), f"{folder}/checkpoint", once=True)
+        jobs.start(rows, lambda b, n: batches.write_batch(b, out, n), f"{folder}/checkpoint", once=True)
     )
-    return progress[0], rows.sparkSession.read.schema(rows.schema).parquet(out).drop("batch_id")
+    return progress[0], batches.read_batches(rows.sparkSession, out, rows.schema)
 
 
 def test_lateness(spark, tmp_path):
@@ -193,9 +194,13 @@ def test_live_sink_refreshes_from_the_store(spark, tmp_path):
     flagged = instant_violations(camera(spark, 1, [("a", "P", at("08:00:00"), 120.0)]))
     sinks.instant_sink(root)(flagged, 0)
     refresh = sinks.live_sink([root], f"{tmp_path}/live", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    layout = live_statistics(arrivals(read_violations(spark, root))).schema
     refresh(flagged, 0)
     refresh(flagged, 0)
-    assert [r.total_violations for r in spark.read.parquet(f"{tmp_path}/live").collect()] == [1]
+    assert [r.total_violations for r in batches.read_latest(spark, f"{tmp_path}/live", layout).collect()] == [1]
+    more = instant_violations(camera(spark, 1, [("b", "Q", at("08:00:01"), 125.0)]))
+    sinks.in_turn(sinks.instant_sink(root), refresh)(more, 1)
+    assert [r.total_violations for r in batches.read_latest(spark, f"{tmp_path}/live", layout).collect()] == [2]
 
 
 def test_a_failing_sink_fails_the_query(spark, tmp_path):
