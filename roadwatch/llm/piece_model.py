@@ -8,6 +8,7 @@ of the format.
 import struct
 from dataclasses import dataclass, field
 
+import numpy as np
 from tokenizers import Regex, Tokenizer, models, normalizers, pre_tokenizers
 
 SPACE = "▁"
@@ -86,12 +87,39 @@ def parse(data):
     return model
 
 
-def cuts_at_spaces(model):
-    """Whether no piece goes on after a character with a space: texts then split before spaces.
+class Joints:
+    """Which characters a piece has next to each other; between all others texts can be cut.
 
-    What holds for every piece holds for every merge and every path, so the parts
+    What holds for every piece holds for every merge and every path, so the parts between cuts
     can be encoded apart.
     """
+
+    def __init__(self, model):
+        alphabet = sorted({c for p, kind in zip(model.pieces, model.kinds, strict=True) if kind in (NORMAL, USER_DEFINED) for c in p})
+        self.classes = np.zeros(0x110001, np.int16)
+        numbers = {c: i for i, c in enumerate(alphabet, 1)}
+        for c, i in numbers.items():
+            self.classes[ord(c)] = i
+        self.size = len(alphabet) + 1
+        self.joined = np.zeros(self.size * self.size, bool)
+        for piece, kind in zip(model.pieces, model.kinds, strict=True):
+            if kind in (NORMAL, USER_DEFINED):
+                for left, right in zip(piece, piece[1:]):
+                    self.joined[numbers[left] * self.size + numbers[right]] = True
+        # A character of no piece stands alone; after it nothing depends on what was before.
+        self.stranger = next((c for c in "\n\t\x01\ufffe" if c not in numbers), None)
+
+    def cuts(self, points):
+        """For code points, whether a part begins at each; the first always does."""
+        begins = np.ones(len(points), bool)
+        if len(points) > 1:
+            kinds = self.classes[points].astype(np.int32)
+            begins[1:] = ~self.joined[kinds[:-1] * self.size + kinds[1:]]
+        return begins
+
+
+def cuts_at_spaces(model):
+    """Whether no piece goes on after a character with a space."""
     return not any(SPACE in piece.lstrip(SPACE) for piece in model.pieces)
 
 
@@ -115,21 +143,22 @@ def normalizer(model):
     return normalizers.Sequence(steps)
 
 
-def backend(model):
-    """The tokenizers-library twin of the model; parts are split before spaces where that is exact."""
+def core(model):
+    """The model alone as a tokenizer, for text that is normalised already."""
     ids = {piece: i for i, piece in enumerate(model.pieces)}
     if model.kind == UNIGRAM:
         scored = list(zip(model.pieces, model.scores, strict=True))
-        core = models.Unigram(scored, unk_id=model.unknown, byte_fallback=model.byte_fallback)
-    else:
-        core = models.BPE(
-            ids,
-            list(_merges(model, ids)),
-            unk_token=model.pieces[model.unknown],
-            fuse_unk=True,
-            byte_fallback=model.byte_fallback,
-        )
-    twin = Tokenizer(core)
+        return Tokenizer(models.Unigram(scored, unk_id=model.unknown, byte_fallback=model.byte_fallback))
+    merges = list(_merges(model, ids))
+    unknown = model.pieces[model.unknown]
+    # Callers remember parts themselves; the library's cache would stay with its threads.
+    bpe = models.BPE(ids, merges, unk_token=unknown, fuse_unk=True, byte_fallback=model.byte_fallback, cache_capacity=0)
+    return Tokenizer(bpe)
+
+
+def backend(model):
+    """The tokenizers-library twin of the model; parts are split before spaces where that is exact."""
+    twin = core(model)
     twin.normalizer = normalizer(model)
     if cuts_at_spaces(model):
         twin.pre_tokenizer = pre_tokenizers.Split(Regex(f"{SPACE}*[^{SPACE}]+|{SPACE}+"), "isolated")

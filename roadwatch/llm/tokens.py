@@ -1,12 +1,12 @@
 """SentencePiece encoding and decoding with the tokenizers library as backend.
 
 The model file is read through Spark and travels with the job; workers rebuild the
-tokenizer from it. Texts are normalised, cut before spaces where the vocabulary allows
-that, and each part that a task has not met lately is encoded in one multithreaded
-batch call and compared with the SentencePiece library's own answer.
+tokenizer from it. Texts are normalised and cut wherever no piece of the vocabulary reaches
+across; parts that a task has not met lately are encoded in one multithreaded batch call
+and compared with the SentencePiece library's own answer.
 """
 
-import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +14,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from roadwatch.llm import piece_model
+from roadwatch.llm.shingles import mix
 from roadwatch.llm.tables import slices, texts
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -35,58 +36,107 @@ class Encoder:
 
     def __init__(self, data):
         self.model = piece_model.parse(data)
-        self.twin = piece_model.backend(self.model)
         self.own = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.bytes = piece_model.piece_bytes(self.model)
         self.is_byte = np.array([kind == piece_model.BYTE for kind in self.model.kinds])
-        space = piece_model.SPACE
-        # Parts are cut from raw text only if normalising leaves all but spaces alone.
-        plain = not self.model.char_map and not self.model.trim_spaces and self.model.dummy_prefix
-        self.in_parts = plain and self.model.escape_spaces and piece_model.cuts_at_spaces(self.model)
-        self.cut = re.compile(f"{space}*[^{space}]+|{space}+").findall
+        self.joints = piece_model.Joints(self.model)
+        # Parts are cut only if normalising leaves all but spaces alone.
+        plain = not self.model.char_map and not self.model.trim_spaces
+        plain = plain and self.model.dummy_prefix and self.model.escape_spaces and self.model.byte_fallback
+        self.in_parts = plain and self.joints.stranger is not None
+        if self.in_parts:
+            self.core = piece_model.core(self.model)
+            # What the library gives for a stranger before a part, to be taken off again.
+            self.lead = len(self.own.encode(self.joints.stranger))
+        else:
+            self.twin = piece_model.backend(self.model)
         self.forget()
 
     def forget(self):
-        self.numbers, self.ids, self.sizes, self.same = {}, [], [], []
-
-    def parts(self, text):
-        """Parts with their marker; the first has the dummy prefix."""
-        if not text:
-            return []
-        if not self.in_parts:
-            return [text]
-        return self.cut(piece_model.SPACE + text.replace(" ", piece_model.SPACE))
+        self.known = np.array([], np.uint64)
+        self.numbers = np.array([], np.int64)
+        self.flat, self.sizes, self.same = np.array([], np.int32), np.array([], np.int64), np.array([], bool)
 
-    def _learn(self, new):
-        raw = [part[1:].replace(piece_model.SPACE, " ") for part in new] if self.in_parts else new
-        got = [encoding.ids for encoding in self.twin.encode_batch_fast(raw, add_special_tokens=False)]
+    def _compare(self, new):
+        """Ids of parts by the SentencePiece library, and whether the twin agrees."""
+        space = piece_model.SPACE
+        got = [encoding.ids for encoding in self.core.encode_batch_fast(new, add_special_tokens=False)]
+        # The library puts its marker before any text; other parts get a stranger to bear it.
+        bare = [p[0] == space and len(p) > 1 for p in new]
+        raw = [(p[1:] if b else self.joints.stranger + p).replace(space, " ") for p, b in zip(new, bare, strict=True)]
         want = self.own.encode(raw, num_threads=1)
-        for part, mine, theirs in zip(new, got, want, strict=True):
-            self.numbers[part] = len(self.ids)
-            self.same.append(mine == theirs)
-            # The model's own library has the last word.
-            self.ids.append(theirs)
-            self.sizes.append(len(theirs))
+        # The model's own library has the last word.
+        want = [ids if b else ids[self.lead :] for ids, b in zip(want, bare, strict=True)]
+        return want, [mine == theirs for mine, theirs in zip(got, want, strict=True)]
+
+    def _learn(self, hashes, new):
+        ids, same = self._compare(new)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.known = np.concatenate([self.known, hashes])
+        self.numbers = np.concatenate([self.numbers, np.arange(len(ids)) + len(self.sizes)])
+        order = np.argsort(self.known)
+        self.known, self.numbers = self.known[order], self.numbers[order]
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.int32, sizes.sum())])
+        self.same = np.concatenate([self.same, np.array(same, bool)])
+
+    def _whole(self, batch):
+        """Ids of whole texts, for models whose normaliser does more than mark spaces."""
+        got = [encoding.ids for encoding in self.twin.encode_batch_fast(batch, add_special_tokens=False)]
+        want = self.own.encode(batch, num_threads=1)
+        counts = np.fromiter(map(len, want), np.int64, len(want))
+        flat = np.fromiter(chain.from_iterable(want), np.int32, counts.sum())
+        return flat, counts, np.array([mine == theirs for mine, theirs in zip(got, want, strict=True)], bool)
 
     def encode(self, batch):
         """Flat ids, ids per text, and whether both libraries agree on each text."""
-        if len(self.ids) > REMEMBERED:
+        if not self.in_parts:
+            return self._whole(batch)
+        if len(self.sizes) > REMEMBERED:
             self.forget()
-        cut = [self.parts(text) for text in batch]
-        numbers = self.numbers
-        new = list(dict.fromkeys(part for parts in cut for part in parts if part not in numbers))
-        if new:
-            self._learn(new)
-        per_text = np.fromiter(map(len, cut), np.int64, len(cut))
-        wanted = np.fromiter((numbers[part] for parts in cut for part in parts), np.int64, per_text.sum())
-        used, place = np.unique(wanted, return_inverse=True)
-        sizes = np.fromiter((self.sizes[n] for n in used), np.int64, len(used))
-        flat = np.fromiter((i for n in used for i in self.ids[n]), np.int32, sizes.sum())
-        same = np.fromiter((self.same[n] for n in used), bool, len(used))
-        bounds = np.concatenate([[0], np.cumsum(per_text)])
-        tokens = np.concatenate([[0], np.cumsum(sizes[place])])[bounds]
-        differing = np.concatenate([[0], np.cumsum(~same[place])])[bounds]
-        return ragged(flat, sizes, place), np.diff(tokens), np.diff(differing) == 0
+        # Each text with its dummy prefix; empty ones have none.
+        marked = [piece_model.SPACE + text if text else "" for text in batch]
+        joined = "".join(marked).replace(" ", piece_model.SPACE)
+        points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        bounds = np.concatenate([[0], np.cumsum(np.fromiter(map(len, marked), np.int64, len(marked)))])
+        begins = self.joints.cuts(points)
+        begins[bounds[:-1][bounds[:-1] < len(points)]] = True
+        starts = np.flatnonzero(begins)
+        ends = np.append(starts[1:], len(points))[: len(starts)]
+        hashes, first, place = np.unique(part_hashes(points, starts, ends), return_index=True, return_inverse=True)
+        spot = np.searchsorted(self.known, hashes)
+        found = np.zeros(len(hashes), bool)
+        inside = spot < len(self.known)
+        found[inside] = self.known[spot[inside]] == hashes[inside]
+        if not found.all():
+            cut = first[~found]
+            self._learn(hashes[~found], [joined[a:b] for a, b in zip(starts[cut].tolist(), ends[cut].tolist(), strict=True)])
+        numbers = self.numbers[np.searchsorted(self.known, hashes)][place]
+        cuts = np.searchsorted(starts, bounds)
+        tokens = np.concatenate([[0], np.cumsum(self.sizes[numbers])])[cuts]
+        differing = np.concatenate([[0], np.cumsum(~self.same[numbers])])[cuts]
+        return ragged(self.flat, self.sizes, numbers), np.diff(tokens), np.diff(differing) == 0
+
+    def encode_checked(self, batch):
+        """`encode`, with bool per text whether its ids decode to the normalised text.
+
+        Parts are told apart by a 64-bit hash; a text that does not decode is encoded again as a whole.
+        """
+        ids, counts, same = self.encode(batch)
+        whole = self._decodes(batch, ids, counts)
+        if not whole.all() and self.in_parts:
+            pieces = np.split(ids, np.cumsum(counts)[:-1])
+            for row in np.flatnonzero(~whole):
+                pieces[row] = np.array(self.own.encode(batch[row]), np.int32)
+            ids, counts = np.concatenate(pieces), np.array([len(p) for p in pieces], np.int64)
+            whole = self._decodes(batch, ids, counts)
+        return ids, counts, same, whole
+
+    def _decodes(self, batch, ids, counts):
+        space = piece_model.SPACE
+        texts = batch if self.in_parts else [self.own.normalize(t).replace(space, " ").removeprefix(" ") for t in batch]
+        decoded = self.decode(ids, counts)
+        return np.array([got == text.replace(space, " ").encode() for text, got in zip(texts, decoded, strict=True)], bool)
 
     def decode(self, ids, counts):
         """The texts' bytes of flat ids; unlike text, bytes of split characters can be told apart."""
@@ -94,10 +144,27 @@ class Encoder:
         sizes = np.fromiter(map(len, self.bytes), np.int64, len(self.bytes))
         joined = ragged(table, sizes, ids).tobytes()
         ends = np.concatenate([[0], np.cumsum(sizes[ids])])[np.concatenate([[0], np.cumsum(counts)])]
-        pieces = [joined[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        pieces = [joined[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
         return [p[1:] if p[:1] == b" " else p for p in pieces] if self.model.dummy_prefix else pieces
 
 
+def part_hashes(points, starts, ends):
+    """64-bit hashes of the parts of an array of code points."""
+    if not len(points):
+        return np.array([], np.uint64)
+    base, inverse = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+
+    def powers(of):
+        filled = np.full(len(points), of, np.uint64)
+        filled[0] = 1
+        return np.cumprod(filled, dtype=np.uint64)
+
+    with np.errstate(over="ignore"):
+        sums = np.zeros(len(points) + 1, np.uint64)
+        np.cumsum(mix(points.astype(np.uint64) + np.uint64(1)) * powers(base), out=sums[1:])
+        return mix((sums[ends] - sums[starts]) * powers(inverse)[starts] + (ends - starts).astype(np.uint64))
+
+
 def ragged(flat, sizes, picked):
     """Concatenate pieces of `flat`, of the given sizes, in the order of `picked`."""
     starts = np.cumsum(sizes) - sizes
@@ -119,15 +186,8 @@ def encode(documents, model_path=MODEL_PATH, id_col="doc_id", text_col="text"):
 
     def run(batches):
         encoder = Encoder(data)
-        for batch in slices(batches, "text"):
-            raw = batch.column("text").to_pylist()
-            ids, counts, same = encoder.encode(raw)
-            decoded = encoder.decode(ids, counts)
-            whole = [
-                got == (text if encoder.in_parts else encoder.own.normalize(text).replace(piece_model.SPACE, " ").removeprefix(" "))
-                .replace(piece_model.SPACE, " ").encode()
-                for text, got in zip(raw, decoded, strict=True)
-            ]
+        for batch in slices(batches, "text", 1_000_000):
+            ids, counts, same, whole = encoder.encode_checked(batch.column("text").to_pylist())
             bounds = np.concatenate([[0], np.cumsum(counts)])
             bytes_used = np.concatenate([[0], np.cumsum(encoder.is_byte[ids])])[bounds]
             yield pa.RecordBatch.from_arrays(
