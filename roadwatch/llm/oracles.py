@@ -1,5 +1,7 @@
 """The same queries in SQL, where SQL can express them."""
 
+from roadwatch.llm.quality import ANCHOR, FIRST_GUESS, ROUNDS, RULES
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 MIX = rf"""
@@ -43,7 +45,103 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
   doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))"""
 
+CHOSEN_PATHS = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5
+    THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle
+  FROM words
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM shared JOIN sizes s ON s.doc_id = x JOIN sizes t ON t.doc_id = y
+  WHERE 100 * common >= 75 * (s.n + t.n - common)
+), both_ways AS (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reached AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION
+  SELECT r.x, b.y FROM reached r JOIN both_ways b ON r.y = b.x
+), least AS (
+  SELECT x, min(y) AS component_id FROM reached GROUP BY x
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN least ON x = d.doc_id"""
+
+
+def _weak_supervision():
+    """The rules' votes counted per pattern, then one step of the chain per round of estimation."""
+    share, on_good, on_bad = FIRST_GUESS
+    rules = range(len(RULES))
+
+    def vote(rule):
+        _, measure, bad, good = rule
+        value = f"({measure})"
+        bad, good = (" ".join(value if w == "x" else w for w in c.split(" ")) for c in (bad, good))
+        return f"CASE WHEN n_words = 0 THEN -1 WHEN {bad} THEN 0 WHEN {good} THEN 1 ELSE -1 END"
+
+    votes = ", ".join(f"{vote(rule)} AS v{j}" for j, rule in enumerate(RULES))
+    names = ", ".join(f"v{j}" for j in rules)
+    evidence = " + ".join(
+        f"CASE v{j} WHEN 0 THEN ln(g{j} / b{j}) WHEN 1 THEN ln((1 - g{j}) / (1 - b{j})) ELSE 0 END" for j in rules
+    )
+    chance = f"1 / (1 + exp(-(ln(share / (1 - share)) + {evidence})))"
+    steps = [
+        f"r0 AS (SELECT {share}::DOUBLE AS share, "
+        + ", ".join(f"{on_good}::DOUBLE AS g{j}, {on_bad}::DOUBLE AS b{j}" for j in rules) + ")"
+    ]
+    for k in range(ROUNDS):
+        weighed = f"SELECT p.*, n * ({chance}) AS good, n * (1 - ({chance})) AS bad FROM patterns p, r{k}"
+        whole, imagined = "sum(good + bad)", f"(sum(good + bad) * {ANCHOR})"
+        columns = [f"(sum(good) + {imagined} * {share}) / ({whole} + {imagined}) AS share"]
+        for j in rules:
+            for name, weight, first in (("g", "good", on_good), ("b", "bad", on_bad)):
+                part, cast = (f"sum(CASE WHEN v{j} {test} THEN {weight} ELSE 0 END)" for test in ("= 0", "<> -1"))
+                columns.append(f"({part} + {imagined} * {first}) / ({cast} + {imagined}) AS {name}{j}")
+        steps.append(f"r{k + 1} AS MATERIALIZED (SELECT {', '.join(columns)} FROM ({weighed}))")
+    return rf"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORD}') AS words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '{WORD}')) AS lines
+  FROM documents
+), windows AS (
+  SELECT doc_id, start, array_to_string(words[start:start + 7], ' ') AS eight
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS start FROM texts WHERE len(words) >= 8)
+), repeated AS (
+  SELECT doc_id, count(DISTINCT start + k) AS n FROM (
+    SELECT doc_id, start, count(*) OVER (PARTITION BY doc_id, eight) AS times FROM windows
+  ), range(8) t(k) WHERE times > 1 GROUP BY doc_id
+), measured AS (
+  SELECT t.doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words, len(lines) AS n_lines,
+    len(list_distinct(words)) AS n_distinct_words, length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_capitals,
+    len(regexp_extract_all(text, '[#*$%&|<>]+')) AS n_symbol_runs,
+    length(regexp_replace(text, '[^.,!?]', '', 'g')) AS n_stops
+  FROM texts t LEFT JOIN repeated r ON r.doc_id = t.doc_id
+), voted AS (
+  SELECT *, {votes} FROM measured
+), patterns AS MATERIALIZED (
+  SELECT {names}, count(*) AS n FROM voted GROUP BY ALL
+), {", ".join(steps)}, judged AS (
+  SELECT v.*, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, {chance} AS chance
+  FROM voted v, r{ROUNDS}
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND chance >= 0.5 AS kept, round(chance, 6) AS chance_of_good
+FROM judged"""
+
+
 ORACLES = {
+    "op1_chosen_paths": CHOSEN_PATHS,
+    "op4_weak_supervision": _weak_supervision(),
     "op8_source_mix": MIX,
     "op10_block_naming": BLOCK_NAMING,
 }

@@ -1,5 +1,7 @@
 """The operators of this folder as queries over the given tables."""
 
+from pyspark.sql import functions as F
+
 from roadwatch.llm.block_names import exact_duplicates
 from roadwatch.llm.hilbert import document_shards
 from roadwatch.llm.host_paths import main_text
@@ -33,7 +35,8 @@ def personal_spans(spark, sf_dir):
 
 
 def weak_supervision(spark, sf_dir):
-    return quality(documents(spark, sf_dir))
+    judged = quality(documents(spark, sf_dir))
+    return judged.withColumn("chance_of_good", F.round("chance_of_good", 6))
 
 
 def line_chunks(spark, sf_dir):
