@@ -35,7 +35,8 @@ DROPPED_WORDS = frozenset(
     "share sharing social related recommended widget widgets toolbar "
     "comment comments commentlist disqus respond replies form search hidden skip".split()
 )
-HEADER_WORDS = frozenset({"header", "topbar"})
+# A page's header, as against that of an article: the word alone or with one of these before it.
+HEADER_OF = frozenset("site page top main global".split())
 WRAPPER_WORDS = frozenset({"has", "no", "with", "without"})
 # Article elements are kept whatever their class says, and headers inside them.
 ARTICLE = frozenset({"article", "main"})
@@ -122,10 +123,13 @@ def is_dropped(tag, given, in_article):
         return True
     if given.get("role", "").lower() in DROPPED_ROLES:
         return True
-    bad = DROPPED_WORDS if in_article else DROPPED_WORDS | HEADER_WORDS
     for name in [*given.get("class", "").split(), *given.get("id", "").split()]:
         words = [w.lower() for w in WORDS.findall(name)]
-        if words and words[0] not in WRAPPER_WORDS and (words[0] in bad or words[-1] in bad):
+        if not words or words[0] in WRAPPER_WORDS:
+            continue
+        if words[0] in DROPPED_WORDS or words[-1] in DROPPED_WORDS:
+            return True
+        if not in_article and words[-1] in ("header", "topbar") and set(words[:-1]) <= HEADER_OF:
             return True
     return False
 

@@ -41,6 +41,7 @@ def test_article_without_the_rest(tag):
         ("<table><tr><td>a<td>b<tr><td>c</table>", "a\n\nb\n\nc"),
         ("<nav><p>only links</p></nav>", ""),
         ("<body class='has-sidebar'><div class='no-ads'><p>kept</p></div>", "kept"),
+        ("<div class='site-header'>x</div><div class='story-header'><h1>T</h1></div><p>text</p>", "T\n\ntext"),
         ("<div style='display: none'><p>gone</p></div><p>here</p>", "here"),
         ("<p>attribute <img alt='a > b'>with sign</p>", "attribute with sign"),
         ("</p>stray</div> ends", "stray ends"),
