@@ -7,6 +7,7 @@ from roadwatch.functions.speed import boundary_column
 from roadwatch.operators import dimensions, hotspots, live, pairing, records, series, store
 from roadwatch.operators.detection import instant_violations
 from roadwatch.plans import bindings as b
+from roadwatch.schemas import CAMERA
 from roadwatch.session import shared_folder
 from roadwatch.sources import messages
 from roadwatch.sources.batches import (
@@ -18,6 +19,7 @@ from roadwatch.sources.batches import (
 )
 from roadwatch.sources.tables import (
     append_history,
+    read_cameras,
     read_historic,
     read_vehicles,
     read_violations,
@@ -114,10 +116,15 @@ def envelope_roundtrip(spark, sf_dir):
 
 
 def camera_dim(spark, sf_dir):
+    """Cameras from a CSV file, saved as a dimension, with the number of their sightings."""
+    folder = shared_folder(spark, "cameras")
+    b.cameras(spark).write.csv(f"{folder}/csv", header=True)
+    save_table(read_cameras(spark, f"{folder}/csv"), f"{folder}/cameras")
+    cameras = spark.read.schema(CAMERA).parquet(f"{folder}/cameras")
     seen = b.sightings(spark, sf_dir).groupBy(F.col("camera_id").alias("id")).agg(
         F.count("*").alias("sightings")
     )
-    return dimensions.with_id(b.cameras(spark), "camera_id").join(seen, "id", "left")
+    return dimensions.with_id(cameras, "camera_id").join(seen, "id", "left")
 
 
 def _latest_vehicles(spark, sf_dir):
