@@ -115,8 +115,12 @@ def exact_duplicates(documents, id_col="doc_id", text_col="text", block_bytes=40
         digest.join(names, same).select("doc_id", "text_sha256", "copies", "n_blocks", "name"),
         "identified",
     )
-    groups = identified.groupBy("n_blocks", "name").agg(
-        F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size")
+    # Stored, so that the join shuffles both sides itself and can split a large group.
+    groups = stored(
+        identified.groupBy("n_blocks", "name").agg(
+            F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size")
+        ),
+        "groups",
     )
     each = F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")
     return (
