@@ -60,10 +60,8 @@ def _list_anchors(batches):
         ends = np.concatenate([at[1:], [len(text)]]) - 1
         key_1, key_2 = _keys_of(batch)
         owner = _owners(key_1[text[at]], key_2[text[at]], place[at] - bounds[text[at]])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(gram[at].view(np.int64)), pa.array(key_1[text[at]]), pa.array(owner), pa.array(place[at] != place[ends])],
-            names=["gram", "key_1", "owner", "again"],
-        )
+        columns = [gram[at].view(np.int64), key_1[text[at]], owner, place[at] != place[ends]]
+        yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["gram", "key_1", "owner", "again"])
 
 
 def _stretches(crowded):
@@ -86,28 +84,33 @@ def _stretches(crowded):
                 if grams:
                     here = slice(cuts[row], cuts[row + 1])
                     wanted[here] = np.isin(gram[here], np.array(grams, np.int64))
-            text, first, last, gram = text[wanted], first[wanted], last[wanted], gram[wanted]
-            digests, pieces = [], []
-            for a, b in zip(first.tolist(), last.tolist(), strict=True):
+            key_1, key_2 = _keys_of(batch)
+            # A stretch that a text repeats, as periodic texts do, is one row with all its places.
+            rows, places, sizes = {}, [], []
+            for t, a, b, g in zip(*(x[wanted].tolist() for x in (text, first, last, gram)), strict=True):
                 piece = raw[a : b + SPAN]
                 digest = hashlib.blake2b(piece, digest_size=16).digest()
-                digests.append(digest)
-                pieces.append(None if crowded or digest in sent else piece)
+                row = rows.get((t, digest))
+                if row is None:
+                    row = rows[t, digest] = (g, None if crowded or digest in sent else piece, len(places))
+                    places.append([])
+                    sizes.append(b - a + 1)
+                places[row[2]].append(int(a - bounds[t]))
                 if len(sent) > REMEMBERED:
                     sent.clear()
                 sent.add(digest)
-            key_1, key_2 = _keys_of(batch)
+            here = np.array([t for t, _ in rows], np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(gram),
-                    pa.array(digests, pa.binary()),
-                    pa.array(pieces, pa.binary()),
-                    pa.array(key_1[text]),
-                    pa.array(key_2[text]),
-                    pa.array((first - bounds[text]).astype(np.int32)),
-                    pa.array((last - first + 1).astype(np.int32)),
+                    pa.array([g for g, _, _ in rows.values()], pa.int64()),
+                    pa.array([digest for _, digest in rows], pa.binary()),
+                    pa.array([piece for _, piece, _ in rows.values()], pa.binary()),
+                    pa.array(key_1[here]),
+                    pa.array(key_2[here]),
+                    pa.array(places, pa.list_(pa.int32())),
+                    pa.array(sizes, pa.int32()),
                 ],
-                names=["gram", "digest", "piece", *KEYS, "first", "starts"],
+                names=["gram", "digest", "piece", *KEYS, "places", "starts"],
             )
 
     return run
@@ -141,26 +144,28 @@ def _ranges(rows):
     """Ranges of starts whose strings occur again, for rows of whole anchor groups."""
     digests, pieces, owners = {}, [], []
     numbers = []
-    for digest, piece, key_1, key_2, first in rows:
+    for digest, piece, key_1, key_2, places in rows:
         number = digests.setdefault(digest, len(digests))
         if number == len(pieces):
             pieces.append(None)
             owners.append(None)
         if pieces[number] is None:
             pieces[number] = piece
-        place = (key_1, key_2, first)
-        owners[number] = place if owners[number] in (None, place) else False
+        place = (key_1, key_2)
+        once = len(places) == 1 and owners[number] in (None, place)
+        owners[number] = place if once else False
         numbers.append(number)
     flags = _repeated_in(pieces, [owner is False for owner in owners])
     runs = [_runs(f).tolist() for f in flags]
-    for (_, _, key_1, key_2, first), number in zip(rows, numbers, strict=True):
-        for begin, end in runs[number]:
-            yield key_1, key_2, first + begin, first + end
+    for (_, _, key_1, key_2, places), number in zip(rows, numbers, strict=True):
+        for first in places:
+            for begin, end in runs[number]:
+                yield key_1, key_2, first + begin, first + end
 
 
 def _sort_groups(batches):
     """Ranges of repeated starts from stretches that arrive sorted by anchor."""
-    names = ["digest", "piece", *KEYS, "first"]
+    names = ["digest", "piece", *KEYS, "places"]
     held, size, last = [], 0, None
 
     def out():
@@ -211,13 +216,15 @@ def _crowded_ranges(flagged):
 
     All counting combines before the shuffle, so that no task holds a crowded anchor.
     """
-    layout = "gram long, digest binary, piece binary, key_1 long, key_2 long, first int, starts int"
-    rows = stored(flagged.mapInArrow(_stretches(True), layout).drop("piece"), "crowded")
+    layout = "gram long, digest binary, piece binary, key_1 long, key_2 long, places array<int>, starts int"
+    rows = flagged.mapInArrow(_stretches(True), layout).drop("piece").withColumn("first", F.explode("places"))
+    rows = stored(rows.drop("places"), "crowded")
     owner = F.xxhash64(*KEYS, "first")
     counted = rows.groupBy("gram", "digest").agg(F.min(owner).alias("least"), F.max(owner).alias("most"))
     counted = stored(counted.select("gram", "digest", (F.col("least") != F.col("most")).alias("several")), "crowded-counts")
     known = stored(rows.join(counted, ["gram", "digest"]), "crowded-known")
-    whole = known.filter("several").select(*KEYS, F.col("first").alias("begin"), (F.col("first") + F.col("starts")).alias("end"))
+    end = F.col("first") + F.col("starts")
+    whole = known.filter("several").select(*KEYS, F.col("first").alias("begin"), end.alias("end"))
     alone = known.filter("NOT several").groupBy(*KEYS).agg(F.collect_set(F.struct("first", "starts")).alias("alone"))
     layout = "span binary, key_1 long, key_2 long, begin int"
     starts = stored(flagged.select(*KEYS, "text").join(alone, KEYS).mapInArrow(_each_start, layout), "crowded-starts")
@@ -298,7 +305,7 @@ def repeated_strings(rows, crowded=CROWDED):
     """
     keyed = rows.select("doc_id", *row_keys(F.col("text")), "text")
     flagged, any_crowded = _flagged_texts(keyed, crowded)
-    layout = "gram long, digest binary, piece binary, key_1 long, key_2 long, first int, starts int"
+    layout = "gram long, digest binary, piece binary, key_1 long, key_2 long, places array<int>, starts int"
     stretches = flagged.mapInArrow(_stretches(False), layout)
     placed = stretches.repartition("gram").sortWithinPartitions("gram", "digest")
     ranges = placed.mapInArrow(_sort_groups, "key_1 long, key_2 long, begin int, end int")
@@ -322,7 +329,8 @@ def byte_report(documents, id_col="doc_id", text_col="text", crowded=CROWDED):
     """
     rows = texts(documents, id_col, text_col)
     text = F.col("text")
-    digest = stored(rows.select("doc_id", *row_keys(text), n_bytes(text).alias("n_bytes"), F.sha2("text", 256).alias("sha")), "bytes")
+    figures = rows.select("doc_id", *row_keys(text), n_bytes(text).alias("n_bytes"), F.sha2("text", 256).alias("sha"))
+    digest = stored(figures, "bytes")
     copies = stored(digest.groupBy(*KEYS).agg(F.count("*").alias("copies")), "copies")
     length = F.aggregate("removed", F.lit(0), lambda total, r: total + r["end"] - r["begin"])
     cut = repeated_strings(rows, crowded).select(
