@@ -28,8 +28,9 @@ def _vote(batches):
             page = parse(source)
             node, score = page.best()
             best.append((page.paths[node], float(score)))
+        paths, scores = (list(column) for column in zip(*best, strict=True))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("host"), pa.array([b[0] for b in best], pa.string()), pa.array([b[1] for b in best], pa.float64())],
+            [batch.column("host"), pa.array(paths, pa.string()), pa.array(scores, pa.float64())],
             names=["host", "path", "score"],
         )
 

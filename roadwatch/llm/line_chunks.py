@@ -194,9 +194,11 @@ def without_repeated_chunks(documents, id_col="doc_id", text_col="text"):
     lost = F.aggregate("ranges", F.lit(0), lambda total, r: total + r["end"] - r["start"])
     shortened = let(F.split(old, "\n"), lambda lines: F.array_join(_kept_lines(lines, F.col("ranges")), "\n"))
     new = F.when(F.col("ranges").isNull(), old).otherwise(shortened)
+    empty = F.length(F.coalesce(old, F.lit(""))) == 0
+    n_lines = F.when(empty, 0).otherwise(F.size(F.split(old, "\n")))
     return joined.select(
         *[new.alias(c) if c == text_col else F.col("own").getField(c).alias(c) for c in own],
-        F.when(F.length(F.coalesce(old, F.lit(""))) == 0, 0).otherwise(F.size(F.split(old, "\n"))).cast("long").alias("n_lines"),
+        n_lines.cast("long").alias("n_lines"),
         F.coalesce(lost, F.lit(0)).cast("long").alias("n_removed"),
     )
 

@@ -49,7 +49,8 @@ KEYS = ["doc_id", "key_1", "key_2"]
 
 def _chosen(node, seed=0):
     """Coordinates that a node selects: each with chance 1 / (similarity * coordinates), one at least."""
-    drawn = shingles.mix(np.uint64(node) + np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    steps = np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    drawn = shingles.mix(np.uint64(node) + steps)
     most = np.uint64(int((1 << 64) / (SIMILARITY * COORDINATES)))
     return np.flatnonzero((drawn < most) | (drawn == drawn.min()))
 
@@ -97,13 +98,14 @@ def _sketch(batches):
                 digests[0, counts > 0] = np.add.reduceat(shingles.mix(flat), starts)
                 digests[1, counts > 0] = np.add.reduceat(shingles.mix(flat ^ np.uint64(0xA0761D6478BD642F)), starts)
         nodes = np.stack([_child(key, c, tokens[:, c]) for key, c in ROOTS], axis=1).view(np.int64)
+        ends_of_nodes = np.arange(len(counts) + 1) * len(ROOTS)
         yield pa.RecordBatch.from_arrays(
             [
                 *[batch.column(name) for name in KEYS],
                 pa.array(counts, pa.int64()),
                 pa.array(digests[0].view(np.int64)),
                 pa.array(digests[1].view(np.int64)),
-                pa.ListArray.from_arrays(pa.array(np.arange(len(counts) + 1) * len(ROOTS), pa.int32()), pa.array(nodes.ravel())),
+                pa.ListArray.from_arrays(pa.array(ends_of_nodes, pa.int32()), pa.array(nodes.ravel())),
                 _fixed(shingles.mix(tokens).astype(np.uint8)),
             ],
             names=[*KEYS, "n_shingles", "set_1", "set_2", "nodes", "sketch"],

@@ -128,7 +128,8 @@ def personal_data(documents, id_col="doc_id", text_col="text"):
             for base, more in zip(batch.column("base").to_pylist(), batch.column("candidates").to_pylist(), strict=True):
                 kept = [(c["kind"], c["start"], c["end"]) for c in more if c["code"] in accepted]
                 found.append(spans.merged([(s["kind"], s["start"], s["end"]) for s in base], kept))
-            out = pa.array([[dict(zip(("kind", "start", "end"), s, strict=True)) for s in f] for f in found], pa.list_(SPAN))
+            rows = [[dict(zip(("kind", "start", "end"), s, strict=True)) for s in f] for f in found]
+            out = pa.array(rows, pa.list_(SPAN))
             plain = [batch.column(name) for name in plain_names]
             yield pa.RecordBatch.from_arrays(
                 [*plain, pa.array([spans.joined(f) for f in found], pa.string()), out], names=[*plain_names, "spans", "found"]

@@ -7,6 +7,7 @@ of the format.
 
 import struct
 from dataclasses import dataclass, field
+from itertools import pairwise
 
 import numpy as np
 from tokenizers import Regex, Tokenizer, models, normalizers, pre_tokenizers
@@ -95,17 +96,18 @@ class Joints:
     """
 
     def __init__(self, model):
-        alphabet = sorted({c for p, kind in zip(model.pieces, model.kinds, strict=True) if kind in (NORMAL, USER_DEFINED) for c in p})
+        kinds = zip(model.pieces, model.kinds, strict=True)
+        pieces = [piece for piece, kind in kinds if kind in (NORMAL, USER_DEFINED)]
+        alphabet = sorted({c for piece in pieces for c in piece})
         self.classes = np.zeros(0x110001, np.int16)
         numbers = {c: i for i, c in enumerate(alphabet, 1)}
         for c, i in numbers.items():
             self.classes[ord(c)] = i
         self.size = len(alphabet) + 1
         self.joined = np.zeros(self.size * self.size, bool)
-        for piece, kind in zip(model.pieces, model.kinds, strict=True):
-            if kind in (NORMAL, USER_DEFINED):
-                for left, right in zip(piece, piece[1:]):
-                    self.joined[numbers[left] * self.size + numbers[right]] = True
+        for piece in pieces:
+            for left, right in pairwise(piece):
+                self.joined[numbers[left] * self.size + numbers[right]] = True
         # A character of no piece stands alone; after it nothing depends on what was before.
         self.stranger = next((c for c in "\n\t\x01\ufffe" if c not in numbers), None)
 

@@ -190,10 +190,11 @@ def label_model(patterns, n_rules=len(RULES), rounds=ROUNDS):
         lambda guess, _: _better_guess(F.col("patterns"), guess, n_rules),
     )
     fitted = gathered.select("patterns", F.when(F.size("patterns") > 0, last).otherwise(first).alias("model"))
-    judged = fitted.select(
-        F.explode(F.transform("patterns", lambda p: F.struct(p["pattern"], _chance_of_good(p["votes"], F.col("model")).alias("chance_of_good")))).alias("p")
-    )
-    return judged.select("p.*")
+
+    def judge(p):
+        return F.struct(p["pattern"], _chance_of_good(p["votes"], F.col("model")).alias("chance_of_good"))
+
+    return fitted.select(F.explode(F.transform("patterns", judge)).alias("p")).select("p.*")
 
 
 def judged(documents, text_col="text", carry=None, rules=RULES):
@@ -204,7 +205,8 @@ def judged(documents, text_col="text", carry=None, rules=RULES):
     back. Columns of `carry` named like a result column are replaced.
     """
     results = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    carried = [c for c in (carry or documents.columns) if c not in {*results, "pattern", "base_failed", "chance_of_good", "kept"}]
+    replaced = {*results, "pattern", "base_failed", "chance_of_good", "kept"}
+    carried = [c for c in (carry or documents.columns) if c not in replaced]
     voted = stored(measured(documents, text_col).select(*carried, *results, pattern(rules)), "votes")
     chances = label_model(voted.groupBy("pattern").agg(F.count("*").alias("n")), len(rules))
     base_failed = (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30)

@@ -224,7 +224,8 @@ def decode(tokens, model_path=MODEL_PATH, id_col="doc_id", ids_col="ids"):
             if len(flat) and (flat.min() < 0 or flat.max() >= len(encoder.bytes)):
                 raise ValueError("an id outside the vocabulary")
             missing = batch.column("ids").is_null().to_pylist()
-            out = [None if gone else piece.decode("utf-8", "replace") for piece, gone in zip(encoder.decode(flat, counts), missing, strict=True)]
+            decoded = zip(encoder.decode(flat, counts), missing, strict=True)
+            out = [None if gone else piece.decode("utf-8", "replace") for piece, gone in decoded]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.string())], names=["doc_id", "text"])
 
     rows = tokens.select(F.col(id_col).alias("doc_id"), ids.alias("ids"))
