@@ -1,9 +1,12 @@
 """Session settings and the shared folder for checkpoints and intermediate tables."""
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 from functools import cache
 
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
 # What the operators assume; skew and partition sizes are left to adaptive execution.
@@ -39,14 +42,29 @@ def _local_folder():
 
 
 def shared_folder(spark, name):
-    """A fresh folder that every executor can reach.
+    """A fresh folder that every executor can reach, for tables that the session needs meanwhile.
 
-    It lies under `spark.checkpoint.dir`. Only a local session without that
-    setting falls back to a temporary folder.
+    It lies under `spark.checkpoint.dir` and is removed when the driver's process ends. Only a local
+    session without that setting falls back to a temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = _local_folder().name
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not _folders:
+        atexit.register(_remove_folders)
+    _folders.append((spark._jvm, path))
+    return path
+
+
+_folders = []
+
+
+def _remove_folders():
+    """Whatever file system the folders lie in; a JVM that is gone already leaves them."""
+    with contextlib.suppress(Py4JError, OSError):
+        for jvm, path in _folders:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(place, True)

@@ -88,3 +88,16 @@ def test_header_values(spark):
         (None, None, None),
         (None, None, None),
     ]
+
+
+def test_intermediate_folders_go_when_the_process_ends(spark, monkeypatch):
+    from pathlib import Path
+
+    from roadwatch import session
+
+    monkeypatch.setattr(session, "_folders", [])
+    folder = session.shared_folder(spark, "gone")
+    spark.range(3).write.parquet(folder)
+    assert Path(folder).exists()
+    session._remove_folders()
+    assert not Path(folder).exists()
