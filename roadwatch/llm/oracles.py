@@ -1,5 +1,6 @@
 """The same queries in SQL, where SQL can express them."""
 
+from roadwatch.llm.hilbert import curve_tables
 from roadwatch.llm.quality import ANCHOR, FIRST_GUESS, ROUNDS, RULES
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -139,8 +140,59 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged"""
 
 
+def _crc32(nibbles):
+    """CRC-32 of a list of half bytes, low half first, by the table of the reflected polynomial."""
+    table = []
+    for value in range(16):
+        for _ in range(4):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        table.append(value)
+    step = f"lambda c, x: xor((CAST({table} AS BIGINT[]))[(xor(c, x) & 15) + 1], c >> 4)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {nibbles}), {step}), 4294967295)"
+
+
+def _hilbert_shards(bits=8):
+    """Cells of the three columns, then one step of the curve's state machine per bit."""
+    digits, following = curve_tables(3)
+    steps = ["c0 AS (SELECT *, 0 AS state, 0::BIGINT AS curve FROM cells)"]
+    for n, bit in enumerate(reversed(range(bits))):
+        corner = f"((a >> {bit}) & 1) + 2 * ((b >> {bit}) & 1) + 4 * ((c >> {bit}) & 1)"
+        steps.append(
+            f"c{n + 1} AS (SELECT * REPLACE ({following}[state * 8 + {corner} + 1] AS state, "
+            f"curve * 8 + {digits}[state * 8 + {corner} + 1] AS curve) FROM c{n})"
+        )
+    return f"""
+WITH d AS (
+  SELECT doc_id, source, lang, strlen(coalesce(text, '')) + 1 AS size,
+    string_split(hex(encode(coalesce(text, ''))), '') AS h
+  FROM documents
+), sums AS (
+  SELECT doc_id, source, lang, size, {_crc32("""list_transform(range(0, 2 * (size - 1)),
+    lambda i: (strpos('0123456789ABCDEF', h[xor(i, 1) + 1]) - 1)::BIGINT)""")} AS text_crc32
+  FROM d
+), sources AS (
+  SELECT source, (row_number() OVER (ORDER BY source NULLS FIRST) - 1) * 256 // count(*) OVER () AS a
+  FROM (SELECT DISTINCT source FROM documents)
+), langs AS (
+  SELECT lang, (row_number() OVER (ORDER BY lang NULLS FIRST) - 1) * 256 // count(*) OVER () AS b
+  FROM (SELECT DISTINCT lang FROM documents)
+), cells AS (
+  SELECT s.*, a, b, least(255, (strlen(bin(size)) - 1) * 4 + 1 + CASE WHEN strlen(bin(size)) >= 3
+    THEN (size >> (strlen(bin(size)) - 3)) & 3 ELSE 0 END) AS c
+  FROM sums s JOIN sources t ON s.source IS NOT DISTINCT FROM t.source
+  JOIN langs l ON s.lang IS NOT DISTINCT FROM l.lang
+), {", ".join(steps)}, placed AS (
+  SELECT *, row_number() OVER (ORDER BY curve, doc_id, size) - 1 AS position, count(*) OVER () AS total
+  FROM c{bits}
+), cut AS (SELECT *, position * 8 // total AS shard FROM placed)
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'rows' AS law, shard::INT AS shard,
+  row_number() OVER (PARTITION BY shard ORDER BY position) - 1 AS slot, NULL::INT AS grown_shard, curve
+FROM cut"""
+
+
 ORACLES = {
     "op1_chosen_paths": CHOSEN_PATHS,
+    "op2_hilbert_shards": _hilbert_shards(),
     "op4_weak_supervision": _weak_supervision(),
     "op8_source_mix": MIX,
     "op10_block_naming": BLOCK_NAMING,
