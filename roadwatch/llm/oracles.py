@@ -190,10 +190,45 @@ SELECT doc_id, size::BIGINT AS size, text_crc32, 'rows' AS law, shard::INT AS sh
 FROM cut"""
 
 
+# Bytes as hexadecimal digits, two each; strings of 400 bytes are compared by their digest. Texts are taken in
+# overlapping parts, since finding a place in a string takes time in proportion to it.
+SUFFIX_ARRAYS = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents
+), parts AS (
+  SELECT doc_id, first, n, substr(h, 2 * first + 1, 2000) AS h
+  FROM (SELECT doc_id, h, n, unnest(range(0, n - 399, 601)) AS first FROM d WHERE n >= 400)
+), starts AS (
+  SELECT doc_id, start, md5(substr(h, 2 * (start - first) + 1, 800)) AS string
+  FROM (SELECT doc_id, first, h, unnest(range(first, least(first + 601, n - 399))) AS start FROM parts)
+), again AS (
+  SELECT doc_id, start FROM (SELECT doc_id, start, count(*) OVER (PARTITION BY string) AS times FROM starts)
+  WHERE times > 1
+), runs AS (
+  SELECT doc_id, start, sum(fresh) OVER (PARTITION BY doc_id ORDER BY start) AS run FROM (
+    SELECT doc_id, start, CASE WHEN start <= lag(start) OVER (PARTITION BY doc_id ORDER BY start) + 400
+      THEN 0 ELSE 1 END AS fresh FROM again)
+), spans AS (
+  SELECT doc_id, min(start) AS a, max(start) + 400 AS b FROM runs GROUP BY doc_id, run
+), gaps AS (
+  SELECT doc_id, coalesce(lag(b) OVER w, 0) AS a, a AS b FROM spans WINDOW w AS (PARTITION BY doc_id ORDER BY a)
+  UNION ALL
+  SELECT d.doc_id, coalesce(max(b), 0), any_value(n) FROM d LEFT JOIN spans s ON s.doc_id = d.doc_id GROUP BY d.doc_id
+), kept AS (
+  SELECT g.doc_id, string_agg(CASE WHEN b > a THEN h[2 * a + 1:2 * b] ELSE '' END, '' ORDER BY a, b) AS h
+  FROM gaps g JOIN d ON d.doc_id = g.doc_id GROUP BY g.doc_id
+), lost AS (
+  SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id
+)
+SELECT d.doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(kept.h)) AS kept_sha256
+FROM d LEFT JOIN lost ON lost.doc_id = d.doc_id JOIN kept ON kept.doc_id = d.doc_id"""
+
 ORACLES = {
     "op1_chosen_paths": CHOSEN_PATHS,
     "op2_hilbert_shards": _hilbert_shards(),
     "op4_weak_supervision": _weak_supervision(),
     "op8_source_mix": MIX,
+    "op9_suffix_arrays": SUFFIX_ARRAYS,
     "op10_block_naming": BLOCK_NAMING,
 }
