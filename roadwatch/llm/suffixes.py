@@ -20,7 +20,7 @@ from roadwatch.llm.suffix_sort import END, shared_spans, sort_suffixes
 from roadwatch.llm.tables import n_bytes, shuffled, slices, stored, texts
 
 # Anchors in more texts than this are settled by aggregates over starts instead of in one task.
-CROWDED = 20_000
+CROWDED = 2_000
 # Suffixes that are sorted together, but for the groups of single anchors.
 TOGETHER = 200_000
 # Stretches that a task remembers to have sent.
