@@ -54,26 +54,39 @@ def _least_in_window(values, width):
     return np.minimum(values[:-rest], values[rest:]) if rest else values
 
 
+# Starts that are worked on at a time, so that a very long text needs no more memory than others.
+STARTS = 2_000_000
+
+
+def _places(data, bounds):
+    """(text, start, anchor's place, hash) of each start, a bounded number of starts at a time."""
+    for begin in range(0, len(data), STARTS):
+        piece = data[begin : begin + STARTS + SPAN - 1]
+        hashes = gram_hashes(piece)
+        if len(hashes) < WIDTH:
+            continue
+        keys = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64)
+        place = (_least_in_window(keys, WIDTH) & _PLACE).astype(np.int64)
+        # Only starts whose SPAN bytes lie in one text.
+        first = np.maximum(bounds[:-1] - begin, 0)
+        counts = np.maximum(np.minimum(bounds[1:] - begin - SPAN + 1, len(place)) - first, 0)
+        text = np.repeat(np.arange(len(counts)), counts)
+        starts = np.arange(len(text)) + np.repeat(first - (np.cumsum(counts) - counts), counts)
+        yield text, starts + begin, place[starts] + begin, hashes[place[starts]]
+
+
 def anchors(data, bounds):
     """Anchors of concatenated texts: (text, anchor's place, first start, last start, hash), as arrays.
 
     Places count from the beginning of `data`; `bounds` are the texts' ends, beginning with 0.
     """
-    hashes = gram_hashes(data)
-    if len(hashes) < WIDTH:
-        return (np.array([], np.int64),) * 4 + (np.array([], np.uint64),)
-    keys = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64)
-    place = (_least_in_window(keys, WIDTH) & _PLACE).astype(np.int64)
-    sizes = np.diff(bounds)
-    # Only starts whose SPAN bytes lie in one text.
-    text = np.repeat(np.arange(len(sizes)), np.maximum(0, sizes - SPAN + 1))
-    long = sizes >= SPAN
-    begins, counts = bounds[:-1][long], sizes[long] - SPAN + 1
-    starts = np.arange(counts.sum()) + np.repeat(begins - (np.cumsum(counts) - counts), counts)
-    if not len(starts):
+    found = []
+    for text, starts, place, hashes in _places(data, bounds):
+        if len(starts):
+            new = np.concatenate([[True], (place[1:] != place[:-1]) | (text[1:] != text[:-1])])
+            first = np.flatnonzero(new)
+            last = np.concatenate([first[1:], [len(starts)]]) - 1
+            found.append((text[first], place[first], starts[first], starts[last], hashes[first]))
+    if not found:
         return (np.array([], np.int64),) * 4 + (np.array([], np.uint64),)
-    place = place[starts]
-    new = np.concatenate([[True], (place[1:] != place[:-1]) | (text[1:] != text[:-1])])
-    first = np.flatnonzero(new)
-    last = np.concatenate([first[1:], [len(starts)]]) - 1
-    return text[first], place[first], starts[first], starts[last], hashes[place[first]]
+    return tuple(np.concatenate(column) for column in zip(*found, strict=True))

@@ -50,13 +50,13 @@ def word_hashes(data, bounds):
     ends = np.flatnonzero(inside & ~after) + 1
     hashes = np.zeros(len(starts), np.uint64)
     lengths = ends - starts
-    lowered = _LOWER[data].astype(np.uint64)
+    lowered = _LOWER[data]
     # Words are short: one step per place in a word, over the words that are as long.
     left = np.arange(len(starts))
     with np.errstate(over="ignore"):
         place = 0
         while len(left):
-            hashes[left] = hashes[left] * _BASE + lowered[starts[left] + place] + np.uint64(1)
+            hashes[left] = hashes[left] * _BASE + lowered[starts[left] + place].astype(np.uint64) + np.uint64(1)
             place += 1
             left = left[lengths[left] > place]
             if place >= 64 and len(left):

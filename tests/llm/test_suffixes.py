@@ -55,6 +55,23 @@ def test_against_brute_force(spark, crowded):
     assert sum(r[2] for r in want) > 10_000
 
 
+def test_long_texts_are_worked_on_in_pieces(monkeypatch):
+    """The same anchors, but that a run of starts may be cut at a piece's edge."""
+    texts = [prose(i, 300, 1).encode() for i in range(5)]
+    bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    data = np.frombuffer(b"".join(texts), np.uint8)
+
+    def per_start():
+        return {
+            s: (t, p, g) for t, p, a, b, g in zip(*(x.tolist() for x in anchors(data, bounds)), strict=True) for s in range(a, b + 1)
+        }
+
+    whole = per_start()
+    monkeypatch.setattr("roadwatch.llm.anchors.STARTS", 700)
+    assert per_start() == whole
+    assert len(whole) == sum(len(t) - SPAN + 1 for t in texts)
+
+
 def test_edge_cases(spark):
     assert report(table(spark, edge_rows())) == brute(edge_rows())
 
