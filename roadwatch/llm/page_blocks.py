@@ -2,6 +2,7 @@
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 # Fixed values of HTML: elements by their role.
@@ -45,13 +46,16 @@ TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<!\[CDATA\[.*?(?:\]\]>|\Z)"
     r"|<[!?][^>]*+(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']|\"[^\"]*+\"|'[^']*+'|[\"'])*?)(?:>|\Z)",
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>=]|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*?)(?:>|\Z)",
     re.S,
 )
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
+# Containers that are nested deeper count as the one at this depth, which bounds paths.
+DEEPEST = 200
+
 WEIGHTS = {"article": 1.25, "main": 1.2, "body": 0.8, "html": 0.7}
 
 
@@ -139,6 +143,7 @@ def parse(source):
     page = Page(["html"], [0], ["html"], [])
     root = Element("html", 0, False, False, False)
     stack, pieces, linked = [root], [], 0
+    depths, still_open = [0], Counter()
 
     def flush(node):
         nonlocal linked
@@ -152,6 +157,7 @@ def parse(source):
         """End the elements from place `at` of the stack on."""
         if any(e.tag not in INLINE for e in stack[at:]):
             flush(stack[-1].node)
+        still_open.subtract(e.tag for e in stack[at:])
         del stack[at:]
 
     def text(raw):
@@ -186,7 +192,9 @@ def parse(source):
             continue  # A comment, a declaration, or a tag cut off by the page's end.
         tag = tag.lower()
         if match["end"]:
-            place = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
+            place = 0
+            if still_open[tag]:
+                place = next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag)
             if place:
                 close(place)
             elif tag == "p":
@@ -220,12 +228,14 @@ def parse(source):
         given, top = attributes(match["rest"]), stack[-1]
         dropped = top.dropped or is_dropped(tag, given, top.in_article)
         node = top.node
-        if tag in CONTAINERS and not dropped:
+        if tag in CONTAINERS and not dropped and depths[node] < DEEPEST:
+            depths.append(depths[node] + 1)
             page.paths.append(f"{page.paths[node]}>{step_of(tag, given)}")
             page.parents.append(node)
             page.tags.append(tag)
             node = len(page.paths) - 1
         in_link = top.in_link or tag == "a"
         stack.append(Element(tag, node, dropped, top.in_article or tag in ARTICLE, in_link))
+        still_open[tag] += 1
     flush(stack[-1].node)
     return page

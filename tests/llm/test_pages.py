@@ -45,7 +45,9 @@ def test_article_without_the_rest(tag):
         ("<div style='display: none'><p>gone</p></div><p>here</p>", "here"),
         ("<p>attribute <img alt='a > b'>with sign</p>", "attribute with sign"),
         ("</p>stray</div> ends", "stray ends"),
-        ("<div>" * 3000 + "deep", "deep"),
+        ("<div>" * 100_000 + "deep" + "</b>" * 100_000 + "<p>er", "deep\n\ner"),
+        ("<p title=it's>text</p><p>don't</p>", "text\n\ndon't"),
+        ("<p title = 'a > b' class=\"x > y\">text</p>", "text"),
     ],
 )
 def test_odd_pages(source, text):
