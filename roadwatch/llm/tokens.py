@@ -19,6 +19,8 @@ from roadwatch.llm.tables import slices, texts
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 
+# Characters that are worked on at a time.
+LONGEST_RUN = 1_000_000
 # Parts that a task remembers; beyond that it forgets all and starts again.
 REMEMBERED = 300_000
 
@@ -44,6 +46,7 @@ class Encoder:
         plain = not self.model.char_map and not self.model.trim_spaces
         plain = plain and self.model.dummy_prefix and self.model.escape_spaces and self.model.byte_fallback
         self.in_parts = plain and self.joints.stranger is not None
+        self.at_spaces = piece_model.cuts_at_spaces(self.model)
         if self.in_parts:
             self.core = piece_model.core(self.model)
             # What the library gives for a stranger before a part, to be taken off again.
@@ -88,15 +91,49 @@ class Encoder:
         flat = np.fromiter(chain.from_iterable(want), np.int32, counts.sum())
         return flat, counts, np.array([mine == theirs for mine, theirs in zip(got, want, strict=True)], bool)
 
+    def _runs(self, marked):
+        """A normalised text in runs of bounded length, cut where no piece reaches across."""
+        space, begin = piece_model.SPACE, 0
+        while len(marked) - begin > LONGEST_RUN:
+            cut = marked.rfind(self.joints.stranger, begin, begin + LONGEST_RUN) + 1
+            if not cut and self.at_spaces:
+                cut = marked.rfind(space, begin + 1, begin + LONGEST_RUN)
+                while cut > begin and marked[cut - 1] == space:
+                    cut -= 1
+            if cut <= begin:
+                break
+            yield marked[begin:cut]
+            begin = cut
+        yield marked[begin:]
+
     def encode(self, batch):
         """Flat ids, ids per text, and whether both libraries agree on each text."""
         if not self.in_parts:
             return self._whole(batch)
+        space = piece_model.SPACE
+        # Each text with its dummy prefix; empty ones have none.
+        marked = [(row, (space + text).replace(" ", space)) for row, text in enumerate(batch) if text]
+        runs = [(row, run) for row, text in marked for run in self._runs(text)]
+        ids, counts, same = [], np.zeros(len(batch), np.int64), np.ones(len(batch), bool)
+        begin = 0
+        while begin < len(runs):
+            end, size = begin, 0
+            while end < len(runs) and (end == begin or size + len(runs[end][1]) <= LONGEST_RUN):
+                size += len(runs[end][1])
+                end += 1
+            found, n_ids, agree = self._encode([run for _, run in runs[begin:end]])
+            ids.append(found)
+            rows = np.array([row for row, _ in runs[begin:end]])
+            np.add.at(counts, rows, n_ids)
+            np.logical_and.at(same, rows, agree)
+            begin = end
+        return np.concatenate(ids) if ids else np.array([], np.int32), counts, same
+
+    def _encode(self, marked):
+        """The same for normalised texts."""
         if len(self.sizes) > REMEMBERED:
             self.forget()
-        # Each text with its dummy prefix; empty ones have none.
-        marked = [piece_model.SPACE + text if text else "" for text in batch]
-        joined = "".join(marked).replace(" ", piece_model.SPACE)
+        joined = "".join(marked)
         points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         bounds = np.concatenate([[0], np.cumsum(np.fromiter(map(len, marked), np.int64, len(marked)))])
         begins = self.joints.cuts(points)

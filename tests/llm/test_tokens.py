@@ -74,6 +74,16 @@ def test_forgetting_changes_nothing(data, library, monkeypatch):
         assert counts.tolist() == [len(library.encode(t)) for t in batch] and whole.all()
 
 
+@pytest.mark.parametrize("limit", [1, 7, 50])
+def test_long_texts_are_worked_on_in_runs(data, library, monkeypatch, limit):
+    monkeypatch.setattr("roadwatch.llm.tokens.LONGEST_RUN", limit)
+    encoder = Encoder(data)
+    texts = [*ODD, " ".join(WORDS * 4), "\n".join(WORDS * 3), "x" * 200, "a  b   c\n\n d" * 9]
+    ids, counts, _, whole = encoder.encode_checked(texts)
+    assert ids.tolist() == [i for t in texts for i in library.encode(t)]
+    assert counts.tolist() == [len(library.encode(t)) for t in texts] and whole.all()
+
+
 def test_decode(spark):
     frame = table(spark, edge_rows())
     texts = sorted(((r["doc_id"], r["text"]) for r in decode(encode(frame)).collect()), key=repr)
