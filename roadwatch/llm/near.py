@@ -8,14 +8,14 @@ links. Large nodes are cut into parts; a part ties its members to its most centr
 compares those that are far from these with all others but proposes only the best of them, and
 sends further down those that may have more candidates. Its most central member meets
 those of the other parts.
-Candidates are confirmed on the full sets.
+Candidates are confirmed on the full sets. Then the members of each large root node are compared once
+more, every one with all that are not connected with it yet: cut into blocks, each pair of blocks in
+a task of its own. So what the first step leaves out is only what links already connect.
 
 Recall. Two documents of similarity s share a selected coordinate with chance s. With the
 default 12 trees and their root coordinates, a pair at 0.75 misses all root nodes with a
-chance below 1e-8, and is held back by its sketch with a chance of about 3e-5. In nodes of more
-than SMALL members a pair is proposed only if it is among a member's best; connections then
-rest on those, and a link that alone joins two dense groups, whose ends both have better
-partners in every node they share, can be lost.
+chance below 1e-8, and is held back by its sketch with a chance of about 3e-5. No other pair is
+left out unless its ends are connected without it.
 """
 
 import numpy as np
@@ -41,8 +41,10 @@ DEPTH = 3
 CENTRAL = 1
 # A member with so many tokens in common with a central one goes no further.
 NEAR = 212
-# Candidates that a member of a large node's part has besides the central ones: its best.
+# Candidates that a member of a large node's part has at first besides the central ones: its best.
 PARTNERS = 2
+# Members of a root node that are compared with as many others in one task.
+BLOCK = 512
 
 KEYS = ["doc_id", "key_1", "key_2"]
 
@@ -131,6 +133,28 @@ def _agreeing(sketch, other):
     return (sketch == other).sum(axis=1)
 
 
+def _open_pairs(ids, sketch, roots, left, right):
+    """Pairs of a member at `left` and one at `right` that agree enough and have different roots."""
+    # Of the first half of the coordinates so many must agree.
+    half = COORDINATES // 2
+    least = LEAST_AGREEING - (COORDINATES - half)
+    columns = np.ascontiguousarray(sketch[right, :half].T)
+    for begin in range(0, len(left), 128):
+        some = left[begin : begin + 128]
+        unlike = roots[some][:, None] != roots[right][None, :]
+        if not unlike.any():
+            continue
+        counts = np.zeros((len(some), len(right)), np.uint8)
+        for j in range(half):
+            counts += sketch[some, j][:, None] == columns[j][None, :]
+        x, y = np.nonzero((counts >= least) & unlike)
+        for at in range(0, len(x), 20_000):
+            i, j = some[x[at : at + 20_000]], right[y[at : at + 20_000]]
+            agreeing = _agreeing(sketch[i], sketch[j])
+            enough = agreeing >= LEAST_AGREEING
+            yield ids[i[enough]], ids[j[enough]], agreeing[enough]
+
+
 def _all_pairs(ids, sketch):
     """Pairs of members that agree enough, of a node or a chunk of bounded size."""
     for i in range(len(ids) - 1):
@@ -221,19 +245,77 @@ def _compare(last):
     return run
 
 
+def _compare_blocks(batches):
+    """Candidate pairs of each pair of blocks (node, part); members of the first block have side 0."""
+    for group in _groups(batches, ("node", "part")):
+        ids, roots, side = (group.column(c).to_numpy() for c in ("set_id", "root", "side"))
+        sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(-1, COORDINATES)
+        first, second = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        inner = not len(second)
+        for x, y, agreeing in _open_pairs(ids, sketch, roots, first, first if inner else second):
+            once = x < y if inner else np.ones(len(x), bool)
+            x, y, agreeing = x[once], y[once], agreeing[once]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(agreeing.astype(np.int32))],
+                names=["a", "b", "agreeing"],
+            )
+
+
+def unconnected_pairs(sets, members, labels):
+    """Pairs of members of one node whose sketches agree and that `labels` does not connect: a, b, agreeing.
+
+    `members` has node and set_id, `labels` what components() returns. The members of a node's largest
+    component, in blocks, meet the blocks of all others; these meet each other as well.
+    """
+    rooted = members.join(labels.select(F.col("u").alias("set_id"), F.col("v").alias("root")), "set_id", "left")
+    rooted = stored(rooted.select("node", "set_id", F.coalesce("root", "set_id").alias("root")), "open-members")
+    counts = rooted.groupBy("node", "root").agg(F.count("*").alias("n"))
+    shape = counts.groupBy("node").agg(F.sum("n").alias("size"), F.max(F.struct("n", "root")).alias("main"))
+    main_blocks = F.ceil(F.col("main.n") / BLOCK).cast("int").alias("main_blocks")
+    others = F.ceil((F.col("size") - F.col("main.n")) / BLOCK).cast("int").alias("other_blocks")
+    shape = shape.filter("size > main.n").select("node", F.col("main.root").alias("main"), main_blocks, others)
+    placed = rooted.join(stored(shape, "open-nodes"), "node")
+    is_main = F.col("root") == F.col("main")
+    draw = F.xxhash64("set_id", "node")
+    block = F.when(is_main, F.pmod(draw, "main_blocks")).otherwise(F.pmod(draw, "other_blocks")).cast("int")
+    last, last_main = F.col("other_blocks") - 1, F.col("main_blocks") - 1
+
+    def meeting(first, second, side):
+        return F.struct(first.alias("first"), second.alias("second"), side.cast("int").alias("side"))
+
+    # Blocks of the main component count from 0, others from -1 down.
+    with_others = F.transform(F.sequence(F.lit(0), last), lambda o: meeting(F.col("block"), -1 - o, F.lit(0)))
+    with_main = F.transform(F.sequence(F.lit(0), last_main), lambda m: meeting(m, -1 - F.col("block"), F.lit(1)))
+    among = F.transform(
+        F.sequence(F.lit(0), last),
+        lambda o: meeting(-1 - F.least(o, "block"), -1 - F.greatest(o, "block"), F.col("block") > o),
+    )
+    meetings = F.when(is_main, with_others).otherwise(F.concat(with_main, among))
+    rows = placed.withColumn("block", block).select("node", "set_id", "root", F.explode(meetings).alias("meeting"))
+    part = F.xxhash64("meeting.first", "meeting.second").alias("part")
+    rows = rows.select("node", "set_id", "root", part, "meeting.side").join(sets.select("set_id", "sketch"), "set_id")
+    rows = rows.repartition("node", "part").sortWithinPartitions("node", "part", "set_id")
+    found = stored(rows.mapInArrow(_compare_blocks, "a long, b long, agreeing int"), "open-found")
+    return stored(found.groupBy("a", "b").agg(F.max("agreeing").alias("agreeing")), "open-candidates")
+
+
 def candidate_pairs(sets):
-    """Pairs of sets whose sketches agree: a, b (a < b) and the agreeing coordinates.
+    """Pairs of sets whose sketches agree: a, b (a < b) and the agreeing coordinates; and the members of large root nodes.
 
     `sets` has set_id, nodes and sketch. Each level counts the members of its nodes first;
-    sketches go only to nodes of two or more.
+    sketches go only to nodes of two or more. A large node proposes its members' best pairs; its members
+    (node, set_id) are returned for unconnected_pairs.
     """
-    found = None
+    found = large = None
     rows = sets.select("set_id", F.explode("nodes").alias("node"))
     for level in range(DEPTH):
         rows = stored(rows.distinct() if level else rows, "tree-rows")
         sizes = rows.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1")
         part = F.pmod(F.xxhash64("set_id", "node"), F.ceil(F.col("size") / PART)).cast("int")
-        meeting = rows.join(stored(sizes, "tree-nodes"), "node").select("node", "set_id", "size", part.alias("part"))
+        sizes = stored(sizes, "tree-nodes")
+        if large is None:
+            large = rows.join(sizes.filter(F.col("size") > SMALL), "node").select("node", "set_id")
+        meeting = rows.join(sizes, "node").select("node", "set_id", "size", part.alias("part"))
         meeting = meeting.join(sets.select("set_id", "sketch"), "set_id")
         placed = meeting.repartition("node", "part").sortWithinPartitions("node", "part", "set_id")
         work = placed.mapInArrow(_compare(level == DEPTH - 1), "a long, b long, agreeing int, onward boolean")
@@ -243,7 +325,7 @@ def candidate_pairs(sets):
         rows = work.filter("onward").select(F.col("b").alias("set_id"), F.col("a").alias("node"))
         if rows.isEmpty():
             break
-    return stored(found.groupBy("a", "b").agg(F.max("agreeing").alias("agreeing")), "candidates")
+    return stored(found.groupBy("a", "b").agg(F.max("agreeing").alias("agreeing")), "candidates"), large
 
 
 def _hash_sets(batches):
@@ -272,8 +354,8 @@ def _confirmed(pairs, full):
     return stored(both.mapInArrow(_confirm, "u long, v long"), "confirmed")
 
 
-def _links(candidates, full):
-    """Enough confirmed links to connect all that any candidate would connect.
+def _links(candidates, full, known=None):
+    """Enough confirmed links, with the `known` ones, to connect all that any candidate would connect.
 
     First each set's best candidate, which settles most; then all other candidates whose ends are
     not connected yet. Links inside a component change nothing and are not confirmed.
@@ -283,6 +365,8 @@ def _links(candidates, full):
     )
     best = stored(ends.groupBy("x").agg(F.max("best").alias("best")).select("best.a", "best.b").distinct(), "best-pairs")
     first = _confirmed(best, full)
+    if known is not None:
+        first = first.union(known.select("u", "v"))
     labels = components(first)
     rest = (
         candidates.join(best, ["a", "b"], "left_anti")
@@ -304,6 +388,16 @@ def sketched(rows):
     return keyed, stored(keyed.mapInArrow(_sketch, layout), "sketches")
 
 
+def _full_sets(keyed, sets, candidates):
+    """The full sets of all ends of the candidates: set_id, hashes."""
+    involved = candidates.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+    wanted = sets.join(involved, "set_id").select("set_id", *[F.col(f"one.{c}").alias(f"of_{c}") for c in KEYS])
+    same = F.col("doc_id").eqNullSafe(F.col("of_doc_id"))
+    same &= (F.col("key_1") == F.col("of_key_1")) & (F.col("key_2") == F.col("of_key_2"))
+    members = keyed.join(shuffled(stored(wanted, "wanted")), same).select("set_id", "text")
+    return stored(members.mapInArrow(_hash_sets, "set_id long, hashes binary").dropDuplicates(["set_id"]), "full-sets")
+
+
 def near_duplicates(documents, id_col="doc_id", text_col="text"):
     """One row per document: doc_id, n_shingles, component_id, kept, group, key_1, key_2.
 
@@ -324,15 +418,12 @@ def near_duplicates(documents, id_col="doc_id", text_col="text"):
     )
     sets = stored(by_set.withColumn("set_id", F.monotonically_increasing_id()), "sets")
 
-    candidates = candidate_pairs(sets)
-    involved = candidates.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
-    wanted = sets.join(involved, "set_id").select("set_id", *[F.col(f"one.{c}").alias(f"of_{c}") for c in KEYS])
-    same = F.col("doc_id").eqNullSafe(F.col("of_doc_id"))
-    same &= (F.col("key_1") == F.col("of_key_1")) & (F.col("key_2") == F.col("of_key_2"))
-    members = keyed.join(shuffled(stored(wanted, "wanted")), same).select("set_id", "text")
-    full = stored(members.mapInArrow(_hash_sets, "set_id long, hashes binary").dropDuplicates(["set_id"]), "full-sets")
-
-    labels = components(_links(candidates, full))
+    candidates, large = candidate_pairs(sets)
+    labels = components(_links(candidates, _full_sets(keyed, sets, candidates)))
+    open_pairs = unconnected_pairs(sets, large, labels).join(candidates, ["a", "b"], "left_anti")
+    open_pairs = stored(open_pairs, "not-compared")
+    if not open_pairs.isEmpty():
+        labels = components(_links(open_pairs, _full_sets(keyed, sets, open_pairs), labels))
     rooted = stored(
         sets.select("set_id", "set_1", "set_2", "least_id")
         .join(labels.select(F.col("u").alias("set_id"), F.col("v").alias("root")), "set_id", "left")

@@ -86,6 +86,37 @@ def test_large_family(spark, monkeypatch):
     assert len(seen) >= 0.99 * len(linked)
 
 
+def two_families(size):
+    """Two dense families at about 0.70, whose only link of 0.76 is between two members beside their centres."""
+    pick = random.Random(2)
+    shared = [f"s{pick.randint(0, 10**9)}" for _ in range(320)]
+    heads = [[f"{side}{k}" for k in range(70)] for side in "ab"]
+    rows = []
+    for side, head in enumerate(heads):
+        for k in range(size):
+            tail = list(shared)
+            if k:
+                tail[(k * 7 + side * 3) % 300 + 10] = f"edit{side}x{k}"
+            rows.append((1000 * side + k, " ".join(head + tail), "en", "a"))
+    # Nineteen words of either head give way to common ones.
+    bridge = [f"c{k}" for k in range(19)]
+    rows += [(1000 * side + size, " ".join(head[:51] + bridge + shared), "en", "a") for side, head in enumerate(heads)]
+    return rows
+
+
+@pytest.mark.parametrize("block", [32, 512])
+def test_single_link_between_dense_families(spark, monkeypatch, block):
+    monkeypatch.setattr(near, "BLOCK", block)
+    rows = two_families(90)
+    want = brute(rows)
+    assert {r[2] for r in want} == {0}
+    a, b = shingle_set(rows[-2][1]), shingle_set(rows[-1][1])
+    assert 0.75 <= len(a & b) / len(a | b) < 0.78
+    apart = [r for r in rows if r[0] not in (90, 1090)]
+    assert {r[2] for r in brute(apart)} == {0, 1000}
+    assert found(table(spark, rows)) == want
+
+
 def test_edge_cases(spark):
     rows = [r for r in edge_rows() if r[0] is not None]
     assert found(table(spark, rows)) == brute(rows)
