@@ -117,6 +117,18 @@ def test_single_link_between_dense_families(spark, monkeypatch, block):
     assert found(table(spark, rows)) == want
 
 
+def test_large_nodes_of_several_parts(spark, monkeypatch):
+    """All results, with nodes of many parts and blocks."""
+    monkeypatch.setattr(near, "SMALL", 8)
+    monkeypatch.setattr(near, "PART", 32)
+    monkeypatch.setattr(near, "BLOCK", 16)
+    base, passage = prose(1, 150, 1), prose(2, 40, 1)
+    rows = [(i, edited(base, random.Random(i).choice([0.002, 0.005, 0.01, 0.04]), i), "en", "a") for i in range(200)]
+    rows += [(1000 + i, passage + " " + prose(3000 + i, 150, 1), "en", "a") for i in range(100)]
+    rows += [(2000 + r[0], *r[1:]) for r in two_families(60)]
+    assert found(table(spark, rows)) == brute(rows)
+
+
 def test_edge_cases(spark):
     rows = [r for r in edge_rows() if r[0] is not None]
     assert found(table(spark, rows)) == brute(rows)
