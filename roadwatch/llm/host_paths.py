@@ -36,12 +36,12 @@ def _vote(batches):
 
 
 def winning_paths(pages):
-    """One row per host: `paths`, best first, from pages with `host` and `html`.
+    """One row per host: `paths`, best first, and their `votes`, from pages with `host` and `html`.
 
     Votes are added up before the shuffle, so that a host with most pages is no burden.
-    Pages without text do not vote.
+    Pages without text do not vote, nor do pages without a host, which need not be of one site.
     """
-    votes = pages.select("host", "html").mapInArrow(_vote, "host string, path string, score double")
+    votes = pages.filter("host <> ''").select("host", "html").mapInArrow(_vote, "host string, path string, score double")
     counted = stored(
         votes.filter("score > 0").groupBy("host", "path").agg(F.count("*").alias("votes"), F.sum("score").alias("score")),
         "votes",
@@ -49,14 +49,14 @@ def winning_paths(pages):
     totals = stored(counted.groupBy("host").agg(F.sum("votes").alias("total")), "vote-totals")
     winning = counted.join(totals, "host").filter(F.col("votes") >= F.col("total") * WINNING_SHARE)
     ranked = F.sort_array(F.collect_list(F.struct("votes", "score", "path")), asc=False)
-    return stored(winning.groupBy("host").agg(ranked["path"].alias("paths")), "paths")
+    return stored(winning.groupBy("host").agg(ranked["path"].alias("paths"), ranked["votes"].alias("votes")), "paths")
 
 
 def _extract(batches):
     for batch in slices(batches, "html"):
         found = [
-            parse(source).extract(paths or ())
-            for source, paths in zip(batch.column("html").to_pylist(), batch.column("paths").to_pylist(), strict=True)
+            parse(source).extract(paths or (), votes or ())
+            for source, paths, votes in zip(*[batch.column(c).to_pylist() for c in ("html", "paths", "votes")], strict=True)
         ]
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(found, pa.string())], names=["page_id", "url", "text"]
@@ -68,7 +68,7 @@ def main_text(pages, id_col="page_id", url_col="url", html_col="html"):
 
     Blocks of the article in page order, joined by an empty line; white space in a block is one
     space. NULL and empty pages, and pages of nothing but navigation, have the text "". Pages
-    without a host vote together. Repeated rows and NULL ids are pages like others. An empty table
+    without a host have their own best container. Repeated rows and NULL ids are pages like others. An empty table
     gives no rows.
     """
     rows = pages.select(
@@ -77,7 +77,7 @@ def main_text(pages, id_col="page_id", url_col="url", html_col="html"):
         host_of(F.col(url_col)).alias("host"),
         F.coalesce(F.col(html_col), F.lit("")).alias("html"),
     )
-    joined = rows.join(winning_paths(rows), "host", "left").select("page_id", "url", "html", "paths")
+    joined = rows.join(winning_paths(rows), "host", "left").select("page_id", "url", "html", "paths", "votes")
     id_type = rows.schema["page_id"].dataType.simpleString()
     texts = joined.mapInArrow(_extract, f"page_id {id_type}, url string, text string")
     return texts.withColumn("n_chars", F.length("text").cast("long"))

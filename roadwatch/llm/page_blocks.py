@@ -97,19 +97,25 @@ class Page:
         node = max(range(len(scores)), key=lambda n: (scores[n], n))
         return node, scores[node]
 
-    def text_under(self, chosen):
-        """The blocks below any of the chosen containers, in page order."""
+    def blocks_under(self, chosen):
+        """(text, characters in links) of the blocks below any of the chosen containers, in page order."""
         inside = [node in chosen for node in range(len(self.paths))]
         for node in range(1, len(inside)):
             inside[node] = inside[node] or inside[self.parents[node]]
-        return "\n\n".join(text for node, text, _ in self.blocks if inside[node])
-
-    def extract(self, paths=()):
-        """Text under the first of `paths` that has any here, else under the best container."""
-        for path in paths:
-            if text := self.text_under({n for n, own in enumerate(self.paths) if own == path}):
-                return text
-        return self.text_under({self.best()[0]})
+        return [(text, linked) for node, text, linked in self.blocks if inside[node]]
+
+    def text_under(self, chosen):
+        return "\n\n".join(text for text, _ in self.blocks_under(chosen))
+
+    def extract(self, paths=(), votes=()):
+        """Text under that of `paths` which holds most text outside links here, weighed by votes, else under the best container."""
+        found = []
+        for rank, path in enumerate(paths):
+            inside = self.blocks_under({n for n, own in enumerate(self.paths) if own == path})
+            if inside:
+                held = sum(max(0, len(text) - linked) for text, linked in inside)
+                found.append((held * (votes[rank] if votes else 1), -rank, "\n\n".join(text for text, _ in inside)))
+        return max(found)[2] if found else self.text_under({self.best()[0]})
 
 
 def step_of(tag, given):

@@ -82,6 +82,23 @@ def test_consensus_corrects_a_page(spark):
     assert winners["h.example"][0] == "html>body>div.story"
 
 
+def test_pages_of_two_templates(spark):
+    """A teaser on the most voted path does not stand for the article; pages without a host have no siblings."""
+
+    def content(i):
+        return f"<body><div class='content'><p>{prose(i, 60, 1)}</p></div></body>"
+
+    def article(i):
+        return f"<body><div class='content'><p>Teaser.</p></div><article><p>{prose(i, 60, 1)}</p></article></body>"
+
+    rows = [(i, "http://h.example/", content(i) if i % 5 < 3 else article(i)) for i in range(20)]
+    rows += [(100 + i, None, content(i)) for i in range(20)]
+    rows += [(120, None, f"<body><div class='content'><p>Teaser.</p></div><div class='text'><p>{prose(120, 60, 1)}</p></div></body>")]
+    result = {r["page_id"]: r["text"] for r in main_text(frame_of(spark, rows)).collect()}
+    assert [result[i] for i in range(20)] == [prose(i, 60, 1) for i in range(20)]
+    assert result[120] == prose(120, 60, 1)
+
+
 def test_edge_rows(spark):
     rows = [(1, None, None), (1, None, None), (None, "http://x/", page("<p>a</p>")), (2, "http://x/", ""), (3, None, "<p>x")]
     result = main_text(frame_of(spark, rows))
