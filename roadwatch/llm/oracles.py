@@ -224,6 +224,36 @@ SELECT d.doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coal
   sha256(unhex(kept.h)) AS kept_sha256
 FROM d LEFT JOIN lost ON lost.doc_id = d.doc_id JOIN kept ON kept.doc_id = d.doc_id"""
 
+PRESENCE_MASKS = r"""
+WITH found AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), tfs AS (
+  SELECT doc_id, term, count(*) AS tf FROM found GROUP BY ALL
+), lengths AS (
+  SELECT doc_id, sum(tf) AS n FROM tfs GROUP BY doc_id
+), totals AS (
+  SELECT count(*) AS docs, sum(n) AS terms FROM lengths
+), asked AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM tfs, totals GROUP BY term
+), measures AS (
+  SELECT doc_id, (25 + (75 * n * docs) // terms)::BIGINT AS m FROM lengths, totals
+), scores AS (
+  SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM asked JOIN tfs USING (term) JOIN weights USING (term) JOIN measures USING (doc_id) GROUP BY ALL
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+  FROM scores WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 10"""
+
 ORACLES = {
     "op1_chosen_paths": CHOSEN_PATHS,
     "op2_hilbert_shards": _hilbert_shards(),
@@ -231,4 +261,5 @@ ORACLES = {
     "op8_source_mix": MIX,
     "op9_suffix_arrays": SUFFIX_ARRAYS,
     "op10_block_naming": BLOCK_NAMING,
+    "op11_presence_masks": PRESENCE_MASKS,
 }

@@ -10,6 +10,7 @@ from roadwatch.llm.mixing import mix
 from roadwatch.llm.near import near_duplicates
 from roadwatch.llm.personal import personal_data
 from roadwatch.llm.quality import quality
+from roadwatch.llm.ranked import ranked_documents
 from roadwatch.llm.suffixes import byte_report
 from roadwatch.llm.tokens import encode
 
@@ -59,6 +60,10 @@ def block_naming(spark, sf_dir):
     return exact_duplicates(documents(spark, sf_dir))
 
 
+def presence_masks(spark, sf_dir):
+    return ranked_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES = {
     "op1_chosen_paths": chosen_paths,
     "op2_hilbert_shards": hilbert_shards,
@@ -70,4 +75,5 @@ QUERIES = {
     "op8_source_mix": source_mix,
     "op9_suffix_arrays": suffix_arrays,
     "op10_block_naming": block_naming,
+    "op11_presence_masks": presence_masks,
 }
