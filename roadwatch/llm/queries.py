@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from roadwatch.llm.align import token_alignment
 from roadwatch.llm.block_names import exact_duplicates
 from roadwatch.llm.hilbert import document_shards
 from roadwatch.llm.host_paths import main_text
@@ -64,6 +65,10 @@ def presence_masks(spark, sf_dir):
     return ranked_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def spill_counting(spark, sf_dir):
+    return token_alignment(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_chosen_paths": chosen_paths,
     "op2_hilbert_shards": hilbert_shards,
@@ -76,4 +81,5 @@ QUERIES = {
     "op9_suffix_arrays": suffix_arrays,
     "op10_block_naming": block_naming,
     "op11_presence_masks": presence_masks,
+    "op13_spill_counting": spill_counting,
 }
