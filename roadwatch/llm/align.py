@@ -29,9 +29,9 @@ from roadwatch.llm.tokens import read_model
 BYTE_PATH, PIECE_PATH = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 
 # A run ends with the document that brings this many parts, or bytes of parts, or pairs.
-RUN_PARTS, RUN_BYTES, RUN_PAIRS = 400_000, 32_000_000, 4_000_000
+RUN_PARTS, RUN_BYTES, RUN_PAIRS = 200_000, 16_000_000, 1_000_000
 # Characters that are cut and encoded at a time.
-WINDOW = 1_000_000
+WINDOW = 500_000
 # Longer words of the first side are left to the library that reads them in one pass.
 LONG_WORD = 10_000
 # Groups with more links are counted by distinct ids.
