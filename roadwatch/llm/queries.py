@@ -12,6 +12,7 @@ from roadwatch.llm.near import near_duplicates
 from roadwatch.llm.personal import personal_data
 from roadwatch.llm.quality import quality
 from roadwatch.llm.ranked import ranked_documents
+from roadwatch.llm.scoring import text_scores
 from roadwatch.llm.suffixes import byte_report
 from roadwatch.llm.tokens import encode
 
@@ -65,6 +66,10 @@ def presence_masks(spark, sf_dir):
     return ranked_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def subword_lattice(spark, sf_dir):
+    return text_scores(documents(spark, sf_dir))
+
+
 def spill_counting(spark, sf_dir):
     return token_alignment(documents(spark, sf_dir))
 
@@ -81,5 +86,6 @@ QUERIES = {
     "op9_suffix_arrays": suffix_arrays,
     "op10_block_naming": block_naming,
     "op11_presence_masks": presence_masks,
+    "op12_subword_lattice": subword_lattice,
     "op13_spill_counting": spill_counting,
 }
