@@ -31,6 +31,8 @@ PACKED = 500_000
 PIECE = 1 << 20
 # Words whose lattices are worked on together.
 TOGETHER = 20_000
+# Entries of answers that a task packs at a time.
+ANSWERS = 1_000_000
 # Rounds of estimation, and the occurrences that the vocabulary's own scores count for, per spelling.
 ROUNDS, PRIOR = 2, 0.5
 
@@ -161,40 +163,62 @@ def estimate(lexicon, names, weights, end, rounds=ROUNDS):
     return chances
 
 
+def _answers(batches, names, logs):
+    """For each run that asked, packed: its words' numbers in the run, in training documents, and their chances."""
+
+    def packed(held):
+        run, idx, c, chances = (np.concatenate(column) for column in zip(*held, strict=True))
+        order = np.argsort(run, kind="stable")
+        cuts = np.flatnonzero(np.diff(run[order], prepend=-1))
+        each = np.split(order, cuts[1:])
+        blobs = [pack(idx[rows], c[rows], chances[rows].view(np.int64)) for rows in each]
+        return pa.RecordBatch.from_arrays([pa.array(run[order[cuts]]), pa.array(blobs, pa.binary())], names=["run", "blob"])
+
+    held, size = [], 0
+    for (places, c), chances, _ in _read_lattice(names, logs, batches, ["places", "c"]):
+        sizes, asked = places.value_lengths().to_numpy(), places.flatten()
+        found = np.repeat(c.to_numpy(), sizes), np.repeat(chances, sizes)
+        held.append((*(asked.field(name).to_numpy() for name in ("run", "idx")), *found))
+        size += len(asked)
+        if size >= ANSWERS:
+            yield packed(held)
+            held, size = [], 0
+    if size:
+        yield packed(held)
+
+
 def _finish(batches, n_train, n_distinct, end, log_end):
     """Rows of each run, its words' figures first, then its documents: one row per document."""
     whole = n_train + 0.5 * (n_distinct + 1)
     run, answers, table = None, [], None
     for batch in batches:
-        runs, kinds = (batch.column(name).to_numpy() for name in ("run", "kind"))
-        cuts = np.flatnonzero(np.diff(runs, prepend=-1, append=-1) | np.diff(kinds, prepend=-1, append=-1))
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            part = batch.slice(a, b - a)
-            if runs[a] != run:
-                run, answers, table = runs[a], [], None
-            if kinds[a] == WORDS:
-                answers.append([part.column(name).to_numpy() for name in ("idx", "c", "log_chance")])
+        columns = [batch.column(name).to_pylist() for name in ("run", "kind", "blob")]
+        for at, (own, kind, blob) in enumerate(zip(*columns, strict=True)):
+            if own != run:
+                run, answers, table = own, [], None
+            if kind == WORDS:
+                answers.append(unpack(blob))
                 continue
             if table is None:
-                none = [np.array([], np.int64), np.array([], np.int64), np.array([])]
-                idx, c, log = (np.concatenate(column) for column in zip(none, *answers, strict=True))
+                none = [np.array([], np.int64)] * 3
+                idx, c, chances = (np.concatenate(column) for column in zip(none, *answers, strict=True))
                 order = np.argsort(idx)
-                table, answers = (c[order] > 0, np.log10((c[order] + 0.5) / whole), log[order]), []
-            for blob, docs in zip(part.column("blob").to_pylist(), part.column("docs"), strict=True):
-                sizes, words, times = unpack(blob)
-                doc = np.repeat(np.arange(len(sizes)), sizes)
-                known, base, log = (np.bincount(doc, times * of_word[words], len(sizes)) for of_word in table)
-                fields = docs.values.flatten()
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *fields,
-                        pa.array(known.astype(np.int64) + (end > 0)),
-                        pa.array(np.full(len(sizes), n_train, np.int64)),
-                        pa.array(base + np.log10((end + 0.5) / whole)),
-                        pa.array((log + log_end) / np.log(10)),
-                    ],
-                    names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                )
+                log = chances.view(np.float64)[order]
+                table, answers = (c[order] > 0, np.log10((c[order] + 0.5) / whole), log), []
+            sizes, words, times = unpack(blob)
+            doc = np.repeat(np.arange(len(sizes)), sizes)
+            known, base, log = (np.bincount(doc, times * of_word[words], len(sizes)) for of_word in table)
+            fields = batch.column("docs")[at].values.flatten()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *fields,
+                    pa.array(known.astype(np.int64) + (end > 0)),
+                    pa.array(np.full(len(sizes), n_train, np.int64)),
+                    pa.array(base + np.log10((end + 0.5) / whole)),
+                    pa.array((log + log_end) / np.log(10)),
+                ],
+                names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+            )
 
 
 def text_scores(documents, model_path=MODEL_PATH, rounds=ROUNDS, id_col="doc_id", text_col="text"):
@@ -223,20 +247,12 @@ def text_scores(documents, model_path=MODEL_PATH, rounds=ROUNDS, id_col="doc_id"
     n_train, n_distinct = (n_words or 0) + end, n_distinct + (end > 0)
     logs = np.log(estimate(lexicon, names, weights, end, rounds))
 
-    def look_up(batches):
-        for columns, chances, _ in _read_lattice(names, logs[:-1], batches, ["places", "c"]):
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(chances)], names=["places", "c", "log_chance"])
-
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    asked = lexicon.select("word", "places", "c").mapInArrow(
-        look_up, "places array<struct<run: bigint, idx: int>>, c long, log_chance double"
-    )
-    answers = asked.select(F.explode("places").alias("p"), "c", "log_chance").select(
-        "p.run", F.lit(WORDS).cast("byte").alias("kind"), "p.idx", "c", "log_chance"
-    )
+    kind, log_end = rows.schema["doc_id"].dataType.simpleString(), float(logs[-1])
+    asked = lexicon.select("word", "places", "c")
+    answers = asked.mapInArrow(lambda batches: _answers(batches, names, logs[:-1]), "run long, blob binary")
+    answers = answers.withColumn("kind", F.lit(WORDS).cast("byte"))
     packed = written.filter(F.col("kind") == DOCS).select("run", "kind", "blob", "docs")
-    whole = answers.unionByName(packed, allowMissingColumns=True).repartition("run").sortWithinPartitions("run", "kind")
-    log_end = float(logs[-1])
+    whole = packed.unionByName(answers, allowMissingColumns=True).repartition("run").sortWithinPartitions("run", "kind")
     return whole.mapInArrow(
         lambda batches: _finish(batches, n_train, n_distinct, end, log_end),
         f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",

@@ -86,6 +86,7 @@ def test_small_runs_and_pieces(spark, monkeypatch):
     monkeypatch.setattr(scoring, "PACKED", 7)
     monkeypatch.setattr(scoring, "PIECE", 16)
     monkeypatch.setattr(scoring, "TOGETHER", 3)
+    monkeypatch.setattr(scoring, "ANSWERS", 5)
     rows = short(edge_rows()) + [(100 + i, prose(i % 7, 12), "en", "a") for i in range(20)]
     check(scoring.text_scores(table(spark, rows).repartition(3), rounds=1), rows, 1)
 
