@@ -264,35 +264,13 @@ def _lone(points, ends_only=False):
 def stream_pairs(start, end, window_seconds):
     """Stream-stream full outer interval join; both sides must carry a watermark.
 
-    One plan for every plate and at all times: the key is the plate and a time bucket, so that no
-    plate keeps its state in one partition, however busy it becomes. A sighting near a
-    bucket's edge is copied into the next one. A full outer join would report the copies of a
-    lone sighting more than once; so there are two one-sided joins, in each of which the
-    side that is copied is not reported alone.
+    One native join keeps each sighting in the state once: a start until the watermark is a window
+    past it, an end until the watermark is past it. So a plate's state is its sightings of
+    the watermark's tolerance and one window, however long the query runs. A stream join takes two missing
+    keys for equal; with the explicit tests a sighting without a plate stays out of the state
+    and comes out as lone at once.
     """
-    width, reach = bucket_seconds(window_seconds) * SECOND, int(window_seconds) * SECOND
-    us = "unix_micros(timestamp)"
-
-    def once(rows):
-        return rows.selectExpr("*", f"{_bucket(us, width)} AS bucket")
-
-    def copied(rows, first, last):
-        return rows.selectExpr("*", f"explode({_buckets(first, last, width)}) AS bucket")
-
-    starts_with_partners = _stream_join(
-        once(start), copied(end, f"({us} - {reach}L)", us), window_seconds, "left_outer"
-    )
-    ends_with_partners = _stream_join(
-        copied(start, us, f"({us} + {reach}L)"), once(end), window_seconds, "right_outer"
-    )
-    return starts_with_partners.unionByName(ends_with_partners.filter("timestamp_start IS NULL"))
-
-
-def _stream_join(start, end, window_seconds, how):
-    # A stream join takes two missing keys for equal. With the explicit tests a sighting without
-    # a plate stays out of the state and comes out as lone at once.
-    same_car = """s.car_plate = e.car_plate AND s.car_plate IS NOT NULL AND e.car_plate IS NOT NULL
-                  AND s.bucket = e.bucket"""
+    same_car = "s.car_plate = e.car_plate AND s.car_plate IS NOT NULL AND e.car_plate IS NOT NULL"
     earliest = f"e.timestamp - interval {int(window_seconds)} seconds"
     condition = f"{same_car} AND s.timestamp >= {earliest} AND s.timestamp <= e.timestamp"
     sides = [
@@ -302,7 +280,7 @@ def _stream_join(start, end, window_seconds, how):
     ]
     return (
         start.alias("s")
-        .join(end.alias("e"), F.expr(condition), how)
+        .join(end.alias("e"), F.expr(condition), "full_outer")
         .selectExpr(*sides, "s.dist_next", "e.speed_limit")
         .select(*PAIR_COLUMNS)
     )

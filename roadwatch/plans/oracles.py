@@ -253,6 +253,12 @@ SELECT CASE WHEN ok THEN CAST(event_id AS VARCHAR) END AS event_id,
        CASE WHEN event_type <> 'signup' THEN 1 END AS dist_next,
        CASE WHEN ok THEN ts + INTERVAL 5 SECOND END AS processing_timestamp
 FROM (SELECT *, event_type <> 'error' AS ok FROM events)
+""",
+    "envelope_rejects": """
+SELECT event_type AS topic, CASE event_type
+         WHEN 'error' THEN 'no JSON; bad header speed_limit; bad header processing_timestamp'
+         WHEN 'signup' THEN 'missing header dist_next' ELSE '' END AS reasons, count(*) AS n_messages
+FROM events GROUP BY event_type
 """,
     "envelope_roundtrip": f"""
 SELECT 'jsondata' AS message_key, {_json_value()} AS message_value,
@@ -275,6 +281,15 @@ FROM cameras c LEFT JOIN (SELECT camera_id, count(*) AS sightings FROM sight GRO
 WITH {_FULL}, {_DROPPED}
 SELECT DISTINCT * FROM dropped
 WHERE ingested_at >= TIMESTAMP '2025-01-16 00:00:00' - INTERVAL 1 YEAR
+""",
+    "retention_drop": f"""
+WITH {_FULL}, {_DROPPED},
+gone AS (SELECT count(DISTINCT CAST(ingested_at AS DATE)) AS days_gone FROM dropped WHERE ingested_at < DATE '2024-01-16'),
+newest AS (
+  SELECT * FROM dropped WHERE ingested_at >= DATE '2024-01-16'
+  QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ingested_at DESC) = 1
+)
+SELECT newest.*, days_gone FROM newest, gone
 """,
     "instant_violation": f"""
 WITH {_SIGHT}, {_INSTANT}
@@ -462,6 +477,32 @@ FROM dropped
     "late_rows_stream": f"""
 WITH {_SIGHT}, {_UPLOADS}, {_joined("FULL OUTER", "21600 SECOND", "every_pair", "kept")}
 SELECT {_PAIR_COLUMNS} FROM every_pair, mark WHERE {_FIRST} AND ({_EMITTED})
+""",
+    "late_count_stream": f"""
+WITH {_SIGHT}, {_UPLOADS}
+SELECT count(*) AS late_rows FROM arrived a JOIN marks m ON m.upload = a.upload - 1 WHERE a.ts <= m.wm
+""",
+    "state_rows_stream": f"""
+WITH {_SIGHT}, {_watermark("1, 2")}
+SELECT CASE camera_id WHEN 1 THEN 'left' ELSE 'right' END AS side, count(*) AS held FROM sight, mark
+WHERE car_plate IS NOT NULL AND (camera_id = 1 AND ts > wm - INTERVAL 21600 SECOND OR camera_id = 2 AND ts > wm)
+GROUP BY camera_id
+""",
+    "silent_camera_stream": f"""
+WITH {_SIGHT}, {_joined("FULL OUTER", "21600 SECOND", "every_pair")},
+latest AS (
+  SELECT camera_id, date_trunc('millisecond', max(ts)) - INTERVAL 30 MINUTE AS wm FROM sight
+  WHERE camera_id < 3 OR ts < {_SINCE} GROUP BY camera_id
+),
+forms AS (
+  SELECT 'joint' AS form, min(wm) AS wm FROM latest
+  UNION ALL
+  SELECT 'per segment', min(wm) FROM latest WHERE camera_id < 3
+)
+SELECT form, count(DISTINCT event_id_start) AS lone_rows FROM forms LEFT JOIN every_pair
+  ON camera_id_start = 1 AND timestamp_end IS NULL
+  AND (car_plate_start IS NULL OR timestamp_start <= wm - INTERVAL 21600 SECOND)
+GROUP BY form
 """,
     "instant_violation_stream": f"""
 WITH {_SIGHT}, {_INSTANT}

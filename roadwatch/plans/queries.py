@@ -13,8 +13,6 @@ from roadwatch.sources import messages
 from roadwatch.sources.batches import (
     read_batches,
     read_latest,
-    retire,
-    staged_folders,
     write_batch,
 )
 from roadwatch.sources.tables import (
@@ -31,6 +29,7 @@ RANGE = ("2024-01-05", "2024-01-25")
 THRESHOLD = 10
 SINCE = "2024-01-20 00:00:00"
 AS_OF = "2025-01-16 00:00:00"
+EXPIRY = "2025-01-16 12:00:00"
 SERIES_BIN = 21_600
 
 
@@ -71,8 +70,8 @@ def _envelopes(events, topic):
     )
 
 
-def envelope_decode(spark, sf_dir):
-    """Decoding, with messages damaged on the way: signups lose a header, errors are garbled."""
+def _damaged(spark, sf_dir):
+    """Messages damaged on the way: signups lose a header, errors are garbled."""
     sent = _envelopes(_published(spark, sf_dir), F.col("event_type"))
     garbled = F.col("topic") == "error"
     no_number = F.transform(
@@ -82,7 +81,7 @@ def envelope_decode(spark, sf_dir):
             F.struct(h["key"].alias("key"), F.encode(F.lit("n/a"), "UTF-8").alias("value")),
         ).otherwise(h),
     )
-    received = sent.withColumns(
+    return sent.withColumns(
         {
             "value": F.when(garbled, F.encode(F.lit('{"event_id": '), "UTF-8")).otherwise(
                 F.col("value")
@@ -95,7 +94,20 @@ def envelope_decode(spark, sf_dir):
             .otherwise(F.col("headers")),
         }
     )
-    return b.presentable(messages.decode(received))
+
+
+def envelope_decode(spark, sf_dir):
+    """Decoding, of sound and of damaged messages."""
+    return b.presentable(messages.decode(_damaged(spark, sf_dir)))
+
+
+def envelope_rejects(spark, sf_dir):
+    """Messages per topic and reasons; those without any are accepted, the others dead letters."""
+    received = _damaged(spark, sf_dir)
+    both = messages.rejected(received).unionByName(
+        messages.accepted(received).withColumn("reasons", F.array().cast("array<string>"))
+    )
+    return both.groupBy("topic", F.array_join("reasons", "; ").alias("reasons")).agg(F.count("*").alias("n_messages"))
 
 
 def envelope_roundtrip(spark, sf_dir):
@@ -245,7 +257,7 @@ def violation_upsert(spark, sf_dir):
 
 
 def store_life_cycle(spark, sf_dir):
-    """Batches, a compaction of them, one batch more, one that runs again, and the end of old folders."""
+    """Batches, a compaction of them, one batch more, and one that runs again."""
     root = shared_folder(spark, "cycle")
     records = b.stored_stream(spark, sf_dir)
     day = F.datediff("date", F.lit(b.FIRST_DAY).cast("date"))
@@ -255,7 +267,6 @@ def store_life_cycle(spark, sf_dir):
     last = records.filter(F.pmod(day, F.lit(3)) == 2)
     write_batch(last.limit(1), root, 2, ["date"])
     write_batch(last, root, 2, ["date"])
-    retire(spark, root)
     return b.presentable(read_violations(spark, root))
 
 
@@ -266,6 +277,15 @@ def dropped_pairs_log(spark, sf_dir):
     return b.presentable(store.latest_dropped(sinks.read_dropped(spark, root)))
 
 
+def retention_drop(spark, sf_dir):
+    """The drop log after the days beyond retention are deleted: what is left, and how many days went."""
+    root = shared_folder(spark, "expiring")
+    sinks.dropped_sink(root, b.ingested())(b.pairs(spark, sf_dir, "unmatched"), 0)
+    gone = sinks.expire_dropped(spark, root, EXPIRY)
+    left = store.latest_dropped(sinks.read_dropped(spark, root))
+    return b.presentable(left.withColumn("days_gone", F.lit(gone).cast("long")))
+
+
 # --- documents ---------------------------------------------------------------
 
 
@@ -509,12 +529,10 @@ def live_refresh_stream(spark, sf_dir):
     return b.presentable(newest.withColumn("avg_speed", F.round("avg_speed", 8)))
 
 
-def late_rows_stream(spark, sf_dir):
-    """Sightings that arrive in uploads of 15 days, slow cars' one upload late.
+def _late_uploads(spark, sf_dir):
+    """Sightings that arrive in uploads of 15 days, slow cars' one upload late; each upload is one run.
 
-    Each upload is a run of the same query. What comes in behind the watermark is
-    left out of pairs and drop log alike. The sightings are read and written once; an upload
-    arrives by moving its folder.
+    Returns the pairs that came out, and the reports of all runs.
     """
     folder = shared_folder(spark, "late")
     upload = F.floor(F.col("batch_id") / F.lit(15)) + F.when(
@@ -522,29 +540,56 @@ def late_rows_stream(spark, sf_dir):
     ).otherwise(0)
     frames = b.events_by_camera(spark, sf_dir)[:2]
     schema, inboxes = frames[0].schema, [f"{folder}/start", f"{folder}/end"]
-    arrivals = []
+    staged = []
     for inbox, frame in zip(inboxes, frames, strict=True):
         frame.withColumn("upload", upload.cast("int")).write.partitionBy("upload").parquet(f"{inbox}-staged")
-        spark.createDataFrame([], schema).write.parquet(f"{inbox}/none")
-        arrivals.append(staged_folders(spark, f"{inbox}-staged", inbox))
-    streams = [
-        spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(inbox)
-        for inbox in inboxes
-    ]
-    pairs = pairing.segment_pairs(*map(jobs.watermarked, streams), b.WINDOWS[0])
-    for number in sorted({n for found in arrivals for n in found}):
-        for found in arrivals:
-            if number in found:
-                found[number]()
-        jobs.finish(
-            jobs.start(
-                pairs,
-                lambda rows, batch: write_batch(rows, f"{folder}/pairs", batch),
-                f"{folder}/checkpoint",
-                once=True,
-            )
-        )
-    return b.presentable(read_batches(spark, f"{folder}/pairs", pairs.schema))
+        staged.append(spark.read.parquet(f"{inbox}-staged"))
+    pairs, progress = None, []
+    numbers = staged[0].select("upload").union(staged[1].select("upload")).distinct().orderBy("upload").collect()
+    for (number,) in numbers:
+        for inbox, rows in zip(inboxes, staged, strict=True):
+            rows.filter(F.col("upload") == number).select(*schema.names).write.mode("append").parquet(inbox)
+        streams = [jobs.watermarked(spark.readStream.schema(schema).parquet(inbox)) for inbox in inboxes]
+        pairs = pairing.segment_pairs(*streams, b.WINDOWS[0])
+        sink = lambda rows, batch: write_batch(rows, f"{folder}/pairs", batch)
+        progress += jobs.finish(jobs.start(pairs, sink, f"{folder}/checkpoint", once=True))[0]
+    return read_batches(spark, f"{folder}/pairs", pairs.schema), progress
+
+
+def late_rows_stream(spark, sf_dir):
+    """What comes in behind the watermark is left out of pairs and drop log alike."""
+    return b.presentable(_late_uploads(spark, sf_dir)[0])
+
+
+def late_count_stream(spark, sf_dir):
+    """How many sightings came in behind the watermark, by the queries' own reports."""
+    late = jobs.late_rows(_late_uploads(spark, sf_dir)[1])
+    return spark.range(1).select(F.lit(late).cast("long").alias("late_rows"))
+
+
+def state_rows_stream(spark, sf_dir):
+    """Sightings per side that the pair query still holds when its input is used up."""
+    checkpoint, root = shared_folder(spark, "held-checkpoint"), shared_folder(spark, "held")
+    first, second, _ = b.camera_frames(b.event_stream(spark, sf_dir))
+    pairs = pairing.segment_pairs(jobs.watermarked(first), jobs.watermarked(second), b.WINDOWS[0])
+    jobs.finish(jobs.start(pairs, lambda rows, batch: write_batch(rows, root, batch), checkpoint, once=True))
+    return pairing.union_all(
+        [side.groupBy("side").agg(F.count("*").alias("held")) for side in jobs.join_state(spark, checkpoint)]
+    )
+
+
+def silent_camera_stream(spark, sf_dir):
+    """Lone sightings at the first camera when the third fell silent: one query for all, and one per segment."""
+    found = []
+    for form, begin in (("joint", jobs.start_pairs), ("per segment", jobs.start_segments)):
+        folder = shared_folder(spark, "silent")
+        first, second, third = b.camera_frames(b.event_stream(spark, sf_dir))
+        frames = [first, second, third.filter(F.col("timestamp") < F.lit(SINCE).cast("timestamp"))]
+        queries = begin(frames, b.WINDOWS, folder, f"{folder}/checkpoint", once=True)
+        jobs.finish(*(queries if isinstance(queries, list) else [queries]))
+        log = store.latest_dropped(sinks.read_dropped(spark, f"{folder}/dropped")).filter("camera_id = 1")
+        found.append(log.agg(F.count("*").alias("lone_rows")).select(F.lit(form).alias("form"), "lone_rows"))
+    return pairing.union_all(found)
 
 
 # --- bootstrap ---------------------------------------------------------------
@@ -579,6 +624,7 @@ def bootstrap_history(spark, sf_dir):
 
 QUERIES = {
     "envelope_decode": envelope_decode,
+    "envelope_rejects": envelope_rejects,
     "envelope_roundtrip": envelope_roundtrip,
     "camera_dim": camera_dim,
     "vehicle_latest": vehicle_latest,
@@ -587,6 +633,7 @@ QUERIES = {
     "store_life_cycle": store_life_cycle,
     "dropped_pairs_log": dropped_pairs_log,
     "retention_filter": retention_filter,
+    "retention_drop": retention_drop,
     "instant_violation": instant_violation,
     "segment_match": segment_match,
     "average_violation": average_violation,
@@ -614,6 +661,9 @@ QUERIES = {
     "segment_full_outer_stream": segment_full_outer_stream,
     "segment_chain_stream": segment_chain_stream,
     "late_rows_stream": late_rows_stream,
+    "late_count_stream": late_count_stream,
+    "state_rows_stream": state_rows_stream,
+    "silent_camera_stream": silent_camera_stream,
     "instant_violation_stream": instant_violation_stream,
     "live_stats_stream": live_stats_stream,
     "live_refresh_stream": live_refresh_stream,

@@ -55,16 +55,23 @@ def shared_folder(spark, name):
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     if not _folders:
         atexit.register(_remove_folders)
-    _folders.append((spark._jvm, path))
+    _folders.append((spark, path))
     return path
 
 
+def delete_folders(spark, paths):
+    """Delete folders in whatever file system they lie in, by the session's own settings."""
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+
+
 _folders = []
 
 
 def _remove_folders():
-    """Whatever file system the folders lie in; a JVM that is gone already leaves them."""
+    """A session that is gone already leaves its folders."""
     with contextlib.suppress(Py4JError, OSError):
-        for jvm, path in _folders:
-            place = jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(place, True)
+        for spark, path in _folders:
+            delete_folders(spark, [path])

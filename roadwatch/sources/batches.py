@@ -1,161 +1,93 @@
-"""A store of batches that readers see whole or not at all.
+"""Stores of batches: plain Parquet, partitioned by the caller's columns and then by batch.
 
-Each batch is written to a folder of its own; then one entry in the store's log makes it known.
-Readers ask the log which folders count. A batch that runs again publishes a new folder in place of
-its former one. Compaction writes the live rows anew and names the batches that it
-covers; retiring deletes folders that no longer count and shortens the log.
+A batch is written by Spark's dynamic partition overwrite, so that one that runs again replaces what it
+wrote before and touches no other. Readers see a table like any other and prune it by partition.
+Copies that a changed or compacted batch may leave behind are the readers' to combine
+(`operators.store`), as with any source that delivers at least once.
 """
 
 import time
-import uuid
-from functools import partial
 
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-LOG = "writer string, batch_id long, folder string, covers array<string>, written_at long"
-COMPACTION = "compaction"
+from roadwatch.session import delete_folders
+
+BATCH = "batch"
 
 
 def write_batch(rows, root, batch_id, partition_by=(), writer="stream"):
-    """Publish one batch of a writer; a day's rows go to few files, a busy day's to several.
+    """Write one batch of a writer; a day's rows go to few files, a busy day's to several.
 
     Batch ids belong to their writer, so that a backfill and a stream never replace each other's.
     """
     if partition_by:
         rows = rows.hint("rebalance", *partition_by)
-    folder = f"{writer}-{batch_id}-{uuid.uuid4().hex}"
-    rows.write.partitionBy(*partition_by).parquet(_place(root, folder))
-    _append(rows.sparkSession, root, [(writer, int(batch_id), folder, [], time.time_ns())])
-
+    _overwrite(rows, root, f"{writer}-{int(batch_id)}", partition_by)
 
-def _place(root, folder):
-    return f"{root}/data/batch={folder}"
 
-
-def _append(spark, root, entries):
-    spark.createDataFrame(entries, LOG).coalesce(1).write.mode("append").json(f"{root}/log")
+def _overwrite(rows, root, batch, partition_by):
+    (
+        rows.withColumn(BATCH, F.lit(batch))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_by, BATCH)
+        .parquet(root)
+    )
 
 
-def _entries(spark, root):
+def _read(spark, root, schema):
+    """Rows with their batch; no rows for a store without a first batch."""
+    whole = T.StructType([*schema.fields, T.StructField(BATCH, T.StringType())])
     try:
-        return spark.read.schema(LOG).json(f"{root}/log").distinct().collect()
+        return spark.read.schema(whole).parquet(root)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return []
+            return spark.createDataFrame([], whole)
         raise
 
 
-def _live(entries):
-    """The last compaction, and the last entry of each batch that no compaction covers."""
-    compactions = [e for e in entries if e.writer == COMPACTION]
-    newest = max(compactions, key=lambda e: e.written_at, default=None)
-    covered = {name for e in compactions for name in e.covers}
-    batches = {}
-    for entry in sorted((e for e in entries if e.writer != COMPACTION), key=lambda e: e.written_at):
-        if f"{entry.writer}-{entry.batch_id}" not in covered:
-            batches[entry.writer, entry.batch_id] = entry
-    return ([newest] if newest else []) + list(batches.values())
-
-
-def live_folders(spark, root):
-    """Folders that make up the store now; none for a store without a first batch.
-
-    The log has one entry per batch since it was last shortened, which is what reaches the driver.
-    """
-    return [_place(root, e.folder) for e in _live(_entries(spark, root))]
-
-
 def read_batches(spark, root, schema):
-    """Rows of all live batches; no rows for an empty store."""
-    return _read(spark, root, live_folders(spark, root), schema)
+    """Rows of all batches; no rows for an empty store."""
+    return _read(spark, root, schema).drop(BATCH)
 
 
 def read_latest(spark, root, schema, writer="stream"):
-    """Rows of the writer's batch with the highest id, for stores whose batches replace each other."""
-    own = [e for e in _live(_entries(spark, root)) if e.writer == writer]
-    newest = max(own, key=lambda e: e.batch_id, default=None)
-    return _read(spark, root, [_place(root, newest.folder)] if newest else [], schema)
-
+    """Rows of the writer's batch with the highest id, for stores whose batches replace each other.
 
-def _read(spark, root, folders, schema):
-    names = schema.fieldNames()
-    if not folders:
-        return spark.createDataFrame([], schema)
-    reader = spark.read.schema(schema).option("basePath", f"{root}/data")
-    return reader.parquet(*folders).select(*names)
+    The ids are partition values: the first pass reads no data, the second one batch.
+    """
+    rows = _read(spark, root, schema)
+    number = F.regexp_extract(BATCH, f"^{writer}-([0-9]+)$", 1)
+    latest = rows.filter(number != "").agg(F.max(number.cast("long"))).first()[0]
+    return rows.filter(F.col(BATCH) == F.lit(f"{writer}-{latest}")).drop(BATCH)
 
 
 def compact(spark, root, schema, reduced, order, partition_by=("date",)):
-    """Rewrite the live rows, as `reduced` makes them, in few files in the given order.
+    """Rewrite the rows that are there now, as `reduced` makes them, in few files in the given order.
 
-    The range partitioning samples the data, so a busy day or plate spreads over several
-    files. Batches that are published meanwhile stay live beside the result.
+    The range partitioning samples the data, so a busy day or plate spreads over several files. The
+    folders that were read are deleted when the new ones are complete; for quiet times, since a
+    reader that has listed them before may miss them. Until then, and if the job dies in between, both are
+    there, and batches that come in meanwhile stay.
     """
-    entries = _entries(spark, root)
-    live = _live(entries)
-    if not live:
-        return
-    rows = reduced(_read(spark, root, [_place(root, e.folder) for e in live], schema))
-    folder = f"{COMPACTION}-{uuid.uuid4().hex}"
-    (
-        rows.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .write.partitionBy(*partition_by)
-        .parquet(_place(root, folder))
-    )
-    covers = {name for e in entries if e.writer == COMPACTION for name in e.covers}
-    covers |= {f"{e.writer}-{e.batch_id}" for e in live if e.writer != COMPACTION}
-    _append(spark, root, [(COMPACTION, 0, folder, sorted(covers), time.time_ns())])
+    rows = _read(spark, root, schema)
+    read = {file.rsplit("/", 1)[0] for file in rows.inputFiles()}
+    ordered = reduced(rows.drop(BATCH)).repartitionByRange(*order).sortWithinPartitions(*order)
+    _overwrite(ordered, root, f"compacted-{time.time_ns()}", partition_by)
+    delete_folders(spark, read)
 
 
-def retire(spark, root):
-    """Delete folders that no longer count, and replace the log's files by one.
+def drop_partitions(spark, root, column, before):
+    """Delete all folders of a store's first partition column whose value is below `before`.
 
-    For quiet times: a reader that asked the log before may still read such a folder.
-    """
-    files = _file_system(spark, root)
-    old = [status.getPath() for status in files.list(f"{root}/log")]
-    entries = _entries(spark, root)
-    live = _live(entries)
-    _append(spark, root, [tuple(e) for e in live])
-    for path in old:
-        files.delete(path)
-    kept = {f"batch={e.folder}" for e in live}
-    for status in files.list(f"{root}/data"):
-        if status.getPath().getName() not in kept:
-            files.delete(status.getPath())
-
-
-def staged_folders(spark, staged, inbox):
-    """For a table written by a whole-number partition, a function per value that moves its folder to `inbox`.
-
-    The moved folder does not name a partition, so that it reads like any other input.
+    Nothing else is read or written. Values compare as text, as ISO dates do; rows without a value stay.
     """
-    files = _file_system(spark, staged)
-    found = {}
-    for status in files.list(staged):
-        name = status.getPath().getName()
-        if "=" in name:
-            number = int(name.split("=")[1])
-            found[number] = partial(files.move, status.getPath(), f"{inbox}/{number}")
-    return found
-
-
-class _file_system:
-    """Listing and deleting in whatever file system a store lies in."""
-
-    def __init__(self, spark, root):
-        self.path = spark._jvm.org.apache.hadoop.fs.Path
-        conf = spark._jsparkSession.sessionState().newHadoopConf()
-        self.files = self.path(root).getFileSystem(conf)
-
-    def list(self, folder):
-        path = self.path(folder)
-        return list(self.files.listStatus(path)) if self.files.exists(path) else []
-
-    def delete(self, path):
-        self.files.delete(path, True)
-
-    def move(self, path, target):
-        if not self.files.rename(path, self.path(target)):
-            raise OSError(f"cannot move {path} to {target}")
+    folders = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{column}=*")
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    found = folders.getFileSystem(conf).globStatus(folders) or []
+    paths = [status.getPath() for status in found]
+    old = [p for p in paths if p.getName().split("=", 1)[1] < str(before) and "HIVE_DEFAULT" not in p.getName()]
+    delete_folders(spark, [p.toString() for p in old])
+    return len(old)

@@ -1,6 +1,7 @@
 """Camera messages: broker and file sources, decoding and encoding."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roadwatch.functions.messages import header, header_value, iso_timestamp
 from roadwatch.schemas import CAMERA_EVENT, ENVELOPE, EVENT_HEADERS
@@ -48,6 +49,33 @@ def decode(envelopes, headers=EVENT_HEADERS, payload=CAMERA_EVENT):
     return envelopes.select(body, *values).select("body.*", *headers)
 
 
+def with_reasons(envelopes, headers=EVENT_HEADERS, payload=CAMERA_EVENT):
+    """Envelopes with `reasons`, why `decode` would leave something of a message NULL; empty for a sound one.
+
+    A value that is no JSON or has a field of another type, a header that is not there, a header
+    whose text is not of its type. What a message leaves out of its value is no fault.
+    """
+    whole = T.StructType([*payload.fields, T.StructField("_corrupt", T.StringType())])
+    body = F.from_json(F.col("value").cast("string"), whole, {"columnNameOfCorruptRecord": "_corrupt"})
+    no_json = F.col("value").isNull() | body["_corrupt"].isNotNull()
+    found = [F.when(no_json, F.lit("no JSON"))]
+    for name, kind in headers.items():
+        sent = F.coalesce(F.array_contains("headers.key", name), F.lit(False))
+        found.append(F.when(~sent, F.lit(f"missing header {name}")))
+        found.append(F.when(sent & header_value(name, kind).isNull(), F.lit(f"bad header {name}")))
+    return envelopes.withColumn("reasons", F.array_compact(F.array(*found)))
+
+
+def rejected(envelopes, headers=EVENT_HEADERS, payload=CAMERA_EVENT):
+    """The dead letters: messages with a reason, as they came. With `accepted` they make up the input."""
+    return with_reasons(envelopes, headers, payload).filter(F.size("reasons") > 0)
+
+
+def accepted(envelopes, headers=EVENT_HEADERS, payload=CAMERA_EVENT):
+    """The messages that `decode` reads in full, as they came."""
+    return with_reasons(envelopes, headers, payload).filter(F.size("reasons") == 0).drop("reasons")
+
+
 def encode(events, headers, topic, payload=CAMERA_EVENT, key=None):
     """Event rows to envelope rows.
 

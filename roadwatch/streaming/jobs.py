@@ -1,8 +1,10 @@
 """The streaming queries: watermarks, detection, and start, wait and stop."""
 
+from pyspark.sql import functions as F
+
 from roadwatch.operators.detection import instant_violations
 from roadwatch.operators.live import bin_statistics
-from roadwatch.operators.pairing import chain_pairs
+from roadwatch.operators.pairing import chain_pairs, segment_pairs
 from roadwatch.streaming.sinks import instant_sink, pair_sink
 
 TOLERANCE = "30 minutes"
@@ -28,8 +30,7 @@ def watermarked(sightings, tolerance=TOLERANCE):
     """Tolerate lateness of this much behind the latest sighting of the stream.
 
     Over several streams the slowest counts, so a silent camera holds back the
-    unmatched rows of every query it takes part in. Start one query per segment
-    if that matters.
+    unmatched rows of every query it takes part in. `start_segments` starts one query per segment.
     """
     return sightings.withWatermark("timestamp", tolerance)
 
@@ -59,6 +60,35 @@ def start_pairs(sightings, windows, store, checkpoint, tolerance=TOLERANCE, once
     return start(pairs, sink, f"{checkpoint}/pairs", once, "pairs")
 
 
+def start_segments(sightings, windows, store, checkpoint, tolerance=TOLERANCE, once=False,
+                   processed_at=None):
+    """As `start_pairs`, but one query per segment, each with a watermark of its own.
+
+    A silent camera then holds back its own segments alone. The queries share the stores; each
+    numbers its batches for itself.
+    """
+    queries = []
+    for number, window in enumerate(windows):
+        pairs = segment_pairs(*[watermarked(frame, tolerance) for frame in sightings[number : number + 2]], window)
+        sink = pair_sink(f"{store}/average", f"{store}/dropped", processed_at, f"segment{number}")
+        queries.append(start(pairs, sink, f"{checkpoint}/segment{number}", once, f"segment{number}"))
+    return queries
+
+
+def join_state(spark, checkpoint, operator=0):
+    """The sightings that a pair query still holds, from its checkpoint: side, key and value.
+
+    Spark's own reader of state stores, for a query that does not run at the moment.
+    """
+    prepare(spark)
+
+    def side(name):
+        rows = spark.read.format("statestore").option("operatorId", operator).option("joinSide", name).load(checkpoint)
+        return rows.select(F.lit(name).alias("side"), "key", "value")
+
+    return side("left"), side("right")
+
+
 def start_instant(sightings, store, checkpoint, tolerance=TOLERANCE, once=False,
                   processed_at=None):
     """Instant violations. Stateless, so late sightings count too."""
@@ -97,10 +127,10 @@ def finish(*queries):
 
 
 def late_rows(progress):
-    """Join inputs that arrived behind the watermark and were left out, from progress reports.
+    """Sightings that arrived behind the watermark and were left out of a join, from progress reports.
 
-    A late sighting counts once in each of the two one-sided joins of its segment, and
-    once more where it is copied over a bucket's edge; so a positive figure tells that there were any.
+    Exact per segment: each segment's join leaves a late sighting out once. A query keeps its last
+    reports only (`spark.sql.streaming.numRecentProgressUpdates`); a long-running one is summed by a listener.
     """
     return sum(
         operator.get("numRowsDroppedByWatermark", 0)

@@ -1,6 +1,6 @@
 """Replay-safe sinks for `foreachBatch`.
 
-Each micro-batch is published as a whole and replaces what it published before
+Each micro-batch replaces the partitions that it wrote before
 (`sources.batches`). A batch that runs again after a failure leaves the store as it was. Executors
 write the rows; nothing passes through the driver. Errors are not swallowed: the batch
 fails and the checkpoint replays it.
@@ -16,7 +16,7 @@ from roadwatch.operators.pairing import as_trips, matched, unmatched
 from roadwatch.operators.records import average_records, dropped_records, instant_records
 from roadwatch.operators.store import distinct_violations
 from roadwatch.schemas import DROPPED_PAIR, VIOLATION
-from roadwatch.sources.batches import compact, read_batches, write_batch
+from roadwatch.sources.batches import compact, drop_partitions, read_batches, write_batch
 from roadwatch.sources.tables import read_violations
 
 
@@ -29,34 +29,34 @@ def instant_sink(root, processed_at=None):
     return write
 
 
-def average_sink(root, processed_at=None):
+def average_sink(root, processed_at=None, writer="stream"):
     """Average violations into a violation store."""
 
     def write(violations, batch_id):
-        write_batch(average_records(violations, processed_at), root, batch_id, ["date"])
+        write_batch(average_records(violations, processed_at), root, batch_id, ["date"], writer)
 
     return write
 
 
-def dropped_sink(root, ingested_at=None):
+def dropped_sink(root, ingested_at=None, writer="stream"):
     """Unmatched pairs into the drop log, a folder per day of ingestion."""
 
     def write(pairs, batch_id):
         rows = dropped_records(pairs, ingested_at)
         rows = rows.withColumn("ingested_on", event_day(rows["ingested_at"]))
-        write_batch(rows, root, batch_id, ["ingested_on"])
+        write_batch(rows, root, batch_id, ["ingested_on"], writer)
 
     return write
 
 
-def pair_sink(average_root, dropped_root, processed_at=None):
+def pair_sink(average_root, dropped_root, processed_at=None, writer="stream"):
     """Average violations and drop log from one pair stream, so that state is kept once.
 
     The batch is held while both writes run; otherwise the second would run the
     join again.
     """
-    average = average_sink(average_root, processed_at)
-    dropped = dropped_sink(dropped_root, processed_at)
+    average = average_sink(average_root, processed_at, writer)
+    dropped = dropped_sink(dropped_root, processed_at, writer)
 
     def write(pairs, batch_id):
         held = pairs.persist()
@@ -110,6 +110,16 @@ def read_dropped(spark, root, ingested_from=None):
     return rows.select(*DROPPED_PAIR.fieldNames())
 
 
+def expire_dropped(spark, root, as_of, keep="1 year"):
+    """Delete the drop log's days of ingestion that lie before `as_of` by more than `keep`.
+
+    Whole folders go; no row is read and no other folder is touched. The day on which the retention
+    time ends stays, `operators.store.retained` filters it. Returns the number of days.
+    """
+    first = spark.range(1).select((F.lit(as_of).cast("timestamp") - F.expr(f"interval {keep}")).cast("date")).first()[0]
+    return drop_partitions(spark, root, "ingested_on", first)
+
+
 def compact_violations(spark, root):
     """Rewrite a violation store without copies, in few large files sorted by plate within each day."""
     compact(spark, root, VIOLATION, distinct_violations, ["date", "car_plate", "timestamp_end"])

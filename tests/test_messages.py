@@ -63,6 +63,30 @@ def test_bad_messages_give_null(spark):
     assert all(r.processing_timestamp is None for r in got)
 
 
+def test_dead_letters_name_their_reasons(spark):
+    good = b'{"event_id":"e","camera_id":1,"speed_reading":12.5}'
+    sound = [("producer_id", b"1"), ("speed_limit", b"110"), ("dist_next", b"1"), ("processing_timestamp", b"2024-01-01 00:00:00")]
+    rows = [
+        (b"jsondata", good, sound, "t", 0, 0, None),
+        (b"jsondata", good, [*sound[:1], ("speed_limit", b"fast"), *sound[2:]], "t", 0, 1, None),
+        (b"jsondata", b"{broken", sound[:3], "t", 0, 2, None),
+        (b"jsondata", b'{"event_id":"e","camera_id":"one"}', sound, "t", 0, 3, None),
+        (None, None, None, "t", 0, 4, None),
+        (b"jsondata", b"{}", sound, "t", 0, 5, None),
+    ]
+    sent = spark.createDataFrame(rows, ENVELOPE)
+    left_out = {r.offset: r.reasons for r in messages.rejected(sent).collect()}
+    assert left_out == {
+        1: ["bad header speed_limit"],
+        2: ["no JSON", "missing header processing_timestamp"],
+        3: ["no JSON"],
+        4: ["no JSON", *[f"missing header {name}" for name, _ in sound]],
+    }
+    assert messages.accepted(sent).columns == sent.columns
+    assert sorted(r.offset for r in messages.accepted(sent).collect()) == [0, 5]
+    assert messages.rejected(sent.limit(0)).count() == 0
+
+
 def test_publish_order_skips_events_without_a_batch(spark):
     assert [r.event_id for r in messages.in_publish_order(_events(spark)).collect()] == ["e2", "e1"]
     by_plate = messages.in_publish_order(_events(spark), key=["car_plate"])

@@ -228,40 +228,82 @@ def other_day(number):
     return at(f"2024-01-{number:02d} 00:00:00").date()
 
 
-def test_compaction_replaces_what_it_covers(spark, tmp_path):
+def test_compaction_replaces_what_it_has_read(spark, tmp_path):
     root = str(tmp_path / "store")
     rows = violations(spark, violation(), violation(plate="Q"), violation(plate="R", end="08:00:01"))
     batches.write_batch(rows, root, 0, ["date"])
     batches.write_batch(rows, root, 1, ["date"])
     sinks.compact_violations(spark, root)
     same_rows(read_violations(spark, root), rows)
-    assert len(batches.live_folders(spark, root)) == 1
+    assert [p.name[:10] for p in (tmp_path / "store").glob("date=*/batch=*")] == ["batch=comp"]
     more = violations(spark, violation(plate="S", day=other_day(2)))
     batches.write_batch(more, root, 2, ["date"])
-    batches.write_batch(rows, root, 1, ["date"])  # A batch that is covered runs again.
-    same_rows(read_violations(spark, root), rows.unionByName(more))
+    batches.write_batch(rows, root, 1, ["date"])  # A batch that was compacted runs again: copies until the next time.
+    whole = rows.unionByName(more)
+    same_rows(store.distinct_violations(read_violations(spark, root)), store.distinct_violations(whole))
     sinks.compact_violations(spark, root)
     sinks.compact_violations(spark, root)
-    batches.retire(spark, root)
-    same_rows(read_violations(spark, root), rows.unionByName(more))
-    assert len(list((tmp_path / "store" / "data").iterdir())) == 1
-    assert len(list((tmp_path / "store" / "log").glob("part-*"))) == 1
+    same_rows(read_violations(spark, root), whole)
+    assert len(list((tmp_path / "store").glob("date=*/batch=*"))) == 2
     batches.write_batch(more, root, 3, ["date"])
     assert read_violations(spark, root).count() == 5
 
 
-def test_a_batch_without_its_log_entry_is_not_seen(spark, tmp_path):
+def test_stores_without_rows(spark, tmp_path):
     root = str(tmp_path / "store")
     rows = violations(spark, violation())
     assert read_violations(spark, root).count() == 0
-    rows.write.partitionBy("date").parquet(f"{root}/data/batch=stream-0-unfinished")
-    assert read_violations(spark, root).count() == 0
     batches.write_batch(rows.limit(0), root, 0, ["date"])
     assert read_violations(spark, root).count() == 0
+    sinks.compact_violations(spark, root)
     batches.write_batch(rows, root, 1, ["date"])
     same_rows(read_violations(spark, root), rows)
 
 
+def test_rows_without_a_day_are_kept(spark, tmp_path):
+    root = str(tmp_path / "store")
+    rows = violations(spark, violation()).unionByName(violations(spark, violation(plate="U")).withColumn("date", F.lit(None).cast("date")))
+    batches.write_batch(rows, root, 0, ["date"])
+    sinks.compact_violations(spark, root)
+    same_rows(read_violations(spark, root), rows)
+
+
+def test_a_batch_overwrites_its_own_partitions_only(spark, tmp_path):
+    root = str(tmp_path / "store")
+    day = at("2024-01-01 00:00:00").date()
+    batches.write_batch(violations(spark, violation(day=day)), root, 0, ["date"])
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "store").rglob("*.parquet")}
+    batches.write_batch(violations(spark, violation(plate="Q", day=day)), root, 1, ["date"])
+    batches.write_batch(violations(spark, violation(plate="R", day=day)), root, 1, ["date"])
+    assert sorted(r.car_plate for r in read_violations(spark, root).collect()) == ["P", "R"]
+    assert all(p.stat().st_mtime_ns == t for p, t in before.items())
+
+
+def test_latest_batch_of_a_writer(spark, tmp_path):
+    root = str(tmp_path / "store")
+    rows = spark.createDataFrame([("a",)], "name string")
+    for batch in (2, 9, 10):
+        batches.write_batch(rows.withColumn("name", F.lit(f"b{batch}")), root, batch)
+    batches.write_batch(rows, root, 99, writer="other")
+    assert [r.name for r in batches.read_latest(spark, root, rows.schema).collect()] == ["b10"]
+    assert batches.read_latest(spark, f"{root}-none", rows.schema).count() == 0
+
+
+def test_expired_days_of_the_drop_log_are_deleted(spark, tmp_path):
+    root = tmp_path / "log"
+    times = ["2023-01-01 07:00:00", "2023-01-02 07:00:00", "2023-01-03 07:00:00"]
+    pairs = spark.createDataFrame([("S", None, at(t), None, 1, None, t, None) for t in times], PAIR)
+    sinks.dropped_sink(str(root), F.col("timestamp_start"))(pairs, 0)
+    kept = {p: p.stat().st_mtime_ns for p in root.glob("ingested_on=2023-01-0[23]/*/*.parquet")}
+    assert len(kept) == 2
+    assert sinks.expire_dropped(spark, str(root), "2024-01-02 12:00:00") == 1
+    assert sorted(p.name for p in root.glob("ingested_on=*")) == ["ingested_on=2023-01-02", "ingested_on=2023-01-03"]
+    assert {p: p.stat().st_mtime_ns for p in kept} == kept
+    assert sorted(r.event_id for r in sinks.read_dropped(spark, str(root)).collect()) == times[1:]
+    assert sinks.expire_dropped(spark, str(root), "2024-01-02 12:00:00") == 0
+    assert sinks.expire_dropped(spark, f"{root}-none", "2024-01-02 12:00:00") == 0
+
+
 def test_loads_of_history_and_batches_of_streams_are_numbered_apart(spark, tmp_path):
     root = str(tmp_path / "store")
     streamed, old = violations(spark, violation()), violations(spark, violation(origin="historic"))

@@ -78,8 +78,7 @@ def test_lateness(spark, tmp_path):
     assert {(r.event_id_start, r.event_id_end) for r in got.collect()} == {
         ("a1", "b1"), ("a4", "b4"), ("a7", "b7"), ("a9", "b9"), ("a2", None), (None, "b2"),
     }
-    # Four late sightings, each left out of both joins.
-    assert jobs.late_rows(progress) == 8
+    assert jobs.late_rows(progress) == 4
 
 
 def files_of(frame, path):
@@ -169,6 +168,32 @@ def test_pair_sink_gives_average_violations_and_the_drop_log(spark, tmp_path):
     assert len(read_violations(spark, f"{tmp_path}/store/average").collect()) == len(first)
 
 
+def test_a_silent_camera_holds_back_its_own_segments_alone(spark, tmp_path):
+    paths = [
+        inbox(tmp_path / "1", 1, [[("lone", "L", "08:00:00"), ("n", "N", "12:00:00")]]),
+        inbox(tmp_path / "2", 2, [[("o", "N", "12:00:00")]]),
+        inbox(tmp_path / "3", 3, [[("old", "O", "01:00:00")]], limit=90, distance=0),
+    ]
+    for form, wanted in ((jobs.start_pairs, set()), (jobs.start_segments, {"lone"})):
+        folder = f"{tmp_path}/{form.__name__}"
+        queries = form([stream(spark, p) for p in paths], [33, 40], folder, f"{folder}/checkpoint", once=True)
+        jobs.finish(*(queries if isinstance(queries, list) else [queries]))
+        log = sinks.read_dropped(spark, f"{folder}/dropped")
+        assert {r.event_id for r in log.collect()} - {"old"} == wanted
+        # Both segments' batches are kept apart: the trip of N is in the store.
+        assert read_violations(spark, f"{folder}/average").filter("car_plate = 'N'").count() == 1
+
+
+def test_state_holds_what_may_still_pair(spark, tmp_path):
+    start = inbox(tmp_path / "start", 1, [[("a", "X", "10:00:00"), ("b", "Y", "11:29:30")], [("c", "Z", "12:00:00")]])
+    end = inbox(tmp_path / "end", 2, [[("d", "X", "10:00:10"), ("e", "W", "11:29:59")], [("f", None, "12:00:00")]])
+    frames = [jobs.watermarked(stream(spark, path)) for path in (start, end)]
+    run(segment_pairs(*frames, 33), tmp_path, f"{tmp_path}/out")
+    left, right = (side.count() for side in jobs.join_state(spark, f"{tmp_path}/checkpoint"))
+    # The watermark is 11:30: a start may pair for 33 s more, an end has seen all that could be its start.
+    assert (left, right) == (2, 0)
+
+
 def test_instant_detection_keeps_late_rows(spark, tmp_path):
     path = inbox(tmp_path / "in", 1, [
         [("a", "P", "12:00:00")], [("b", "Q", "14:00:00")], [("late", "R", "03:00:00")],
