@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from roadwatch.functions.speed import midpoint
-from roadwatch.operators.skew import salted_join
 
 
 def latest_vehicles(vehicles, order=("registration_date",), key="car_plate"):
@@ -33,8 +32,22 @@ def with_id(rows, key):
 
 
 def with_owner(violations, vehicles):
-    """Violations with the vehicle's details; a car not in the register keeps its rows."""
-    return salted_join(violations, vehicles, ["car_plate"], "left")
+    """Violations with the vehicle's details; a car not in the register keeps its rows.
+
+    A plain join: adaptive execution splits the partition of a plate with very many violations. Both
+    sides from `save_by_plate` are joined bucket by bucket, without any shuffle.
+    """
+    return violations.join(vehicles, "car_plate", "left")
+
+
+def save_by_plate(rows, name, path, buckets):
+    """Save a table in buckets of plates, sorted, for joins by plate without a shuffle.
+
+    A plate is in one bucket, so this is for tables that no plate holds much of; `path` is the
+    table's folder, `name` its name in the session's catalog.
+    """
+    rows.write.bucketBy(buckets, "car_plate").sortBy("car_plate").mode("overwrite").option("path", path).saveAsTable(name)
+    return rows.sparkSession.table(name)
 
 
 def without_deregistered(vehicles, deregistered):

@@ -91,12 +91,43 @@ def live_statistics(rows, horizon_seconds=3600, bin_seconds=BIN_SECONDS, quantil
     return bin_statistics(recent, bin_seconds=bin_seconds, quantile=quantile)
 
 
-def high_water_mark(rows, since):
-    """One row: `since` as it was, and the latest update among the rows as `next_since`.
+# Size of the quantile sketch of a bin; one with fewer speeds keeps them all.
+SKETCH = 1024
+
+
+def bin_parts(violations, bin_seconds=BIN_SECONDS):
+    """What a day adds to each bin: counts, the sum of speeds and a sketch of them, all of which can be merged."""
+    rows = violations.withColumn("arrival_time", bin_start(F.col("timestamp_end"), bin_seconds))
+    return rows.groupBy("date", F.col("camera_id_end").alias("camera_id"), "type", "arrival_time").agg(
+        F.count("*").alias("total"),
+        F.count("speed_reading").alias("n_speeds"),
+        F.sum("speed_reading").alias("speed_sum"),
+        F.kll_sketch_agg_double(F.col("speed_reading"), SKETCH).alias("speeds"),
+    )
 
-    A refresh keeps passing the former; the latter is for callers who want to
-    move the mark on.
-    """
+
+def merged_statistics(parts, horizon_seconds=3600, bin_seconds=BIN_SECONDS, quantile=0.9):
+    """The live statistics of each camera's trailing hour, from stored parts of bins."""
+    bins = trailing_hour(parts, horizon_seconds).groupBy("camera_id", "type", "arrival_time").agg(
+        F.sum("total").alias("total_violations"),
+        (F.sum("speed_sum") / F.nullif(F.sum("n_speeds"), F.lit(0))).alias("avg_speed"),
+        F.sum("n_speeds").alias("n_speeds"),
+        F.kll_merge_agg_double("speeds", SKETCH).alias("speeds"),
+    )
+    high = F.kll_sketch_get_quantile_double("speeds", F.lit(float(quantile)))
+    return bins.select(
+        "camera_id",
+        "type",
+        "total_violations",
+        "avg_speed",
+        F.when(F.col("n_speeds") > 0, high).alias("p90_speed"),
+        F.col("arrival_time").alias("start_time"),
+        F.timestamp_seconds(F.unix_seconds("arrival_time") + F.lit(int(bin_seconds))).alias("end_time"),
+    )
+
+
+def high_water_mark(rows, since):
+    """One row: `since` as it was, and the latest update among the rows as `next_since`."""
     return rows.agg(F.max("updated_at").alias("next_since")).select(
         since.alias("since"), F.greatest("next_since", since).alias("next_since")
     )

@@ -344,6 +344,11 @@ SELECT hour, camera_id_start, camera_id_end, type, violation_count,
 WITH {_STREAM_RECORDS}, {_VEHICLES}
 SELECT r.*, v.owner_name, v.owner_addr, v.vehicle_type, v.registration_date
 FROM (SELECT {_RECORD_COLUMNS} FROM stream_records) r LEFT JOIN vehicles v USING (car_plate)
+""",
+    "violation_owner_bucketed": f"""
+WITH {_STREAM_RECORDS}, {_VEHICLES}
+SELECT r.*, v.owner_name, v.owner_addr, v.vehicle_type, v.registration_date
+FROM (SELECT {_RECORD_COLUMNS} FROM stream_records) r LEFT JOIN vehicles v USING (car_plate)
 """,
     "vehicle_deregister": f"""
 WITH {_VEHICLES}

@@ -10,11 +10,7 @@ from roadwatch.plans import bindings as b
 from roadwatch.schemas import CAMERA
 from roadwatch.session import shared_folder
 from roadwatch.sources import messages
-from roadwatch.sources.batches import (
-    read_batches,
-    read_latest,
-    write_batch,
-)
+from roadwatch.sources.batches import read_batches, write_batch
 from roadwatch.sources.tables import (
     append_history,
     read_cameras,
@@ -162,6 +158,19 @@ def violation_owner(spark, sf_dir):
     return b.presentable(owned)
 
 
+
+def violation_owner_bucketed(spark, sf_dir):
+    """The same from two tables in buckets of plates."""
+    folder = shared_folder(spark, "buckets")
+    unique = folder.rsplit("-", 1)[1]
+    violations, vehicles = (
+        dimensions.save_by_plate(rows, f"{name}_{unique}", f"{folder}/{name}", 8)
+        for name, rows in (("violations", b.stored_stream(spark, sf_dir)), ("vehicles", _latest_vehicles(spark, sf_dir)))
+    )
+    # Whatever their size, the buckets are joined as they lie there.
+    return b.presentable(dimensions.with_owner(violations, vehicles.hint("merge")))
+
+
 def historic_load(spark, sf_dir):
     return b.presentable(records.historic_records(b.historic_rows(spark, sf_dir)))
 
@@ -515,18 +524,20 @@ def live_stats_stream(spark, sf_dir):
 
 
 def live_refresh_stream(spark, sf_dir):
-    """Instant violations into the store, and the live statistics anew behind each batch."""
+    """Instant violations into the store in several batches, and the live view refreshed behind each."""
     folder = shared_folder(spark, "refresh")
-    flagged = instant_violations(*b.camera_frames(b.event_stream(spark, sf_dir)))
+    events = b.table(spark, sf_dir, "events")
+    events.repartitionByRange(3, "ts").write.parquet(f"{folder}/events")
+    reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+    flagged = instant_violations(*b.camera_frames(reader.parquet(f"{folder}/events")))
     fixed = F.lit("2024-03-01 00:00:00").cast("timestamp")
     sink = sinks.in_turn(
         sinks.instant_sink(f"{folder}/instant", fixed),
         sinks.live_sink([f"{folder}/instant"], f"{folder}/live", _since()),
     )
     _run(spark, "refresh", flagged, sink)
-    layout = live.live_statistics(live.arrivals(b.stored_stream(spark, sf_dir).limit(0))).schema
-    newest = read_latest(spark, f"{folder}/live", layout)
-    return b.presentable(newest.withColumn("avg_speed", F.round("avg_speed", 8)))
+    view = sinks.live_view(spark, f"{folder}/live")
+    return b.presentable(view.withColumn("avg_speed", F.round("avg_speed", 8)))
 
 
 def _late_uploads(spark, sf_dir):
@@ -647,6 +658,7 @@ QUERIES = {
     "hourly_segment_stats": hourly_segment_stats,
     "changed_documents": changed_documents,
     "violation_owner": violation_owner,
+    "violation_owner_bucketed": violation_owner_bucketed,
     "vehicle_deregister": vehicle_deregister,
     "orphan_cameras": orphan_cameras,
     "live_stats": live_stats,

@@ -7,8 +7,10 @@ Copies that a changed or compacted batch may leave behind are the readers' to co
 """
 
 import time
+from functools import reduce
 
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,39 +30,50 @@ def write_batch(rows, root, batch_id, partition_by=(), writer="stream"):
 
 
 def _overwrite(rows, root, batch, partition_by):
-    (
-        rows.withColumn(BATCH, F.lit(batch))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by, BATCH)
-        .parquet(root)
-    )
+    overwrite_partitions(rows.withColumn(BATCH, F.lit(batch)), root, [*partition_by, BATCH])
 
 
-def _read(spark, root, schema):
-    """Rows with their batch; no rows for a store without a first batch."""
-    whole = T.StructType([*schema.fields, T.StructField(BATCH, T.StringType())])
+def overwrite_partitions(rows, root, partition_by):
+    """Replace the partitions that the rows belong to; all others stay as they are."""
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).parquet(root)
+
+
+def read_partitions(spark, root, schema):
+    """Rows of a partitioned table; none for one that was never written."""
     try:
-        return spark.read.schema(whole).parquet(root)
+        return spark.read.schema(schema).parquet(root)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], whole)
+            return spark.createDataFrame([], schema)
         raise
 
 
+def _read(spark, root, schema):
+    """Rows with their batch."""
+    return read_partitions(spark, root, T.StructType([*schema.fields, T.StructField(BATCH, T.StringType())]))
+
+
+def written_days(spark, roots, schema, batch):
+    """The days that a batch, given by writer and number, has rows of in any of the stores."""
+    own = [_read(spark, root, schema).filter(F.col(BATCH) == batch).select("date") for root in roots]
+    return [row.date for row in reduce(DataFrame.union, own).distinct().collect()]
+
+
 def read_batches(spark, root, schema):
     """Rows of all batches; no rows for an empty store."""
     return _read(spark, root, schema).drop(BATCH)
 
 
-def read_latest(spark, root, schema, writer="stream"):
-    """Rows of the writer's batch with the highest id, for stores whose batches replace each other.
+def read_latest(spark, root, schema, writer="stream", before=None):
+    """Rows of the writer's batch with the highest id (below `before`), for stores whose batches replace each other.
 
     The ids are partition values: the first pass reads no data, the second one batch.
     """
     rows = _read(spark, root, schema)
     number = F.regexp_extract(BATCH, f"^{writer}-([0-9]+)$", 1)
-    latest = rows.filter(number != "").agg(F.max(number.cast("long"))).first()[0]
+    earlier = F.lit(True) if before is None else number.try_cast("long") < F.lit(int(before))
+    latest = rows.filter((number != "") & earlier).agg(F.max(number.try_cast("long"))).first()[0]
     return rows.filter(F.col(BATCH) == F.lit(f"{writer}-{latest}")).drop(BATCH)
 
 

@@ -11,12 +11,27 @@ from pyspark.sql import types as T
 
 from roadwatch.functions.times import event_day
 from roadwatch.operators.detection import average_violations
-from roadwatch.operators.live import arrivals, changed_documents, live_statistics
+from roadwatch.operators.live import (
+    BIN_SECONDS,
+    bin_parts,
+    changed_documents,
+    high_water_mark,
+    merged_statistics,
+)
 from roadwatch.operators.pairing import as_trips, matched, unmatched
 from roadwatch.operators.records import average_records, dropped_records, instant_records
 from roadwatch.operators.store import distinct_violations
 from roadwatch.schemas import DROPPED_PAIR, VIOLATION
-from roadwatch.sources.batches import compact, drop_partitions, read_batches, write_batch
+from roadwatch.sources.batches import (
+    compact,
+    drop_partitions,
+    overwrite_partitions,
+    read_batches,
+    read_latest,
+    read_partitions,
+    write_batch,
+    written_days,
+)
 from roadwatch.sources.tables import read_violations
 
 
@@ -69,19 +84,53 @@ def pair_sink(average_root, dropped_root, processed_at=None, writer="stream"):
     return write
 
 
-def live_sink(stores, out, since):
-    """Refresh the live statistics from the violation stores, once per micro-batch.
+def live_sink(stores, out, since, writer="stream", bin_seconds=BIN_SECONDS):
+    """Refresh the live view's bins behind each batch of the stores, by the days that the batch wrote to.
 
-    `sources.batches.read_latest` gives the newest result.
+    A day's bins are made anew from the day's rows and replace the former ones, so that a batch that
+    runs again changes nothing and a violation that was written twice counts once; other days are not
+    read. Which documents count is said by `since`, as in `changed_documents`. The mark, the latest
+    write that the view has seen, moves on with each batch and is stored beside the bins. The days of
+    a batch reach the driver: at most one value per day of the calendar.
     """
 
     def write(batch, batch_id):
-        changed = changed_documents(read_violations(batch.sparkSession, *stores), since)
-        write_batch(live_statistics(arrivals(distinct_violations(changed))), out, batch_id)
+        spark = batch.sparkSession
+        rows = read_violations(spark, *stores)
+        days = written_days(spark, stores, VIOLATION, f"{writer}-{int(batch_id)}")
+        known = [day for day in days if day is not None]
+        concerned = F.col("date").isin(known) if known else F.lit(False)
+        if None in days:
+            concerned |= F.col("date").isNull()
+        changed = changed_documents(rows.filter(concerned), since)
+        parts = bin_parts(distinct_violations(changed), bin_seconds)
+        overwrite_partitions(parts, f"{out}/bins", ["date"])
+        before = F.coalesce(*[F.lit(row.next_since) for row in live_mark(spark, out, batch_id).collect()], since)
+        write_batch(high_water_mark(changed, before), f"{out}/marks", batch_id, writer=writer)
 
     return write
 
 
+_MARK = T.StructType([T.StructField(name, T.TimestampType()) for name in ("since", "next_since")])
+
+
+def live_mark(spark, out, before=None):
+    """The mark of the last refresh (or of the last before a batch): `since` and `next_since`, at most one row."""
+    return read_latest(spark, f"{out}/marks", _MARK, before=before)
+
+
+def live_view(spark, out, horizon_seconds=3600, bin_seconds=BIN_SECONDS, quantile=0.9):
+    """The live statistics as the last refresh left them, from the stored bins alone."""
+    parts = read_partitions(spark, f"{out}/bins", _PARTS)
+    return merged_statistics(parts, horizon_seconds, bin_seconds, quantile)
+
+
+_PARTS = (
+    "camera_id int, type string, arrival_time timestamp, total bigint, n_speeds bigint, speed_sum double, "
+    "speeds binary, date date"
+)
+
+
 def in_turn(*parts):
     """One sink of several: each batch goes through all of them in order."""
 

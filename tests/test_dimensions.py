@@ -87,3 +87,15 @@ def test_bounds(cameras):
     assert (box.min_lon, box.max_lon) == (102.6449144, 102.6601002)
     assert box.center_lat == (2.157730731 + 2.167352891) / 2
     assert box.center_lon == (102.6449144 + 102.6601002) / 2
+
+
+def test_bucketed_owner_join_needs_no_shuffle(spark, tmp_path):
+    rows = spark.createDataFrame([("P", 1), ("P", 2), ("Q", 3), (None, 4)], "car_plate string, n int")
+    register = spark.createDataFrame([("P", "ann"), ("R", "bob")], "car_plate string, owner_name string")
+    left = dimensions.save_by_plate(rows, "bucketed_rows", str(tmp_path / "rows"), 4)
+    right = dimensions.save_by_plate(register, "bucketed_register", str(tmp_path / "register"), 4)
+    joined = dimensions.with_owner(left, right.hint("merge"))
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.n, r.owner_name) for r in joined.collect()) == [(1, "ann"), (2, "ann"), (3, None), (4, None)]
+    plain = dimensions.with_owner(rows, register)
+    assert sorted(plain.collect(), key=str) == sorted(joined.collect(), key=str)

@@ -218,14 +218,39 @@ def test_live_sink_refreshes_from_the_store(spark, tmp_path):
     root = f"{tmp_path}/instant"
     flagged = instant_violations(camera(spark, 1, [("a", "P", at("08:00:00"), 120.0)]))
     sinks.instant_sink(root)(flagged, 0)
-    refresh = sinks.live_sink([root], f"{tmp_path}/live", F.lit("2024-01-01 00:00:00").cast("timestamp"))
-    layout = live_statistics(arrivals(read_violations(spark, root))).schema
+    out, since = f"{tmp_path}/live", F.lit("2024-01-01 00:00:00").cast("timestamp")
+    refresh = sinks.live_sink([root], out, since)
     refresh(flagged, 0)
     refresh(flagged, 0)
-    assert [r.total_violations for r in batches.read_latest(spark, f"{tmp_path}/live", layout).collect()] == [1]
+    assert [r.total_violations for r in sinks.live_view(spark, out).collect()] == [1]
+    assert sinks.live_mark(spark, out).first().next_since.year > 2024
     more = instant_violations(camera(spark, 1, [("b", "Q", at("08:00:01"), 125.0)]))
     sinks.in_turn(sinks.instant_sink(root), refresh)(more, 1)
-    assert [r.total_violations for r in batches.read_latest(spark, f"{tmp_path}/live", layout).collect()] == [2]
+    assert [r.total_violations for r in sinks.live_view(spark, out).collect()] == [2]
+    first, second = sinks.live_mark(spark, out, before=1).first(), sinks.live_mark(spark, out).first()
+    assert second.since == first.next_since < second.next_since
+
+
+def test_a_refresh_reads_and_replaces_the_days_of_its_batch_alone(spark, tmp_path):
+    root, out = f"{tmp_path}/instant", f"{tmp_path}/live"
+    refresh = sinks.live_sink([root], out, F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    sink = sinks.in_turn(sinks.instant_sink(root), refresh)
+    days = ["2024-01-01", "2024-01-02", "2024-01-03"]
+    for number, day in enumerate(days):
+        times = [at(f"{day} 08:{m:02d}:00") for m in range(0, 60, 3)]
+        sink(instant_violations(camera(spark, 1, [(f"{day}{t}", "P", t, 111.0 + i) for i, t in enumerate(times)])), number)
+    # Whatever becomes of the other days' rows, a refresh of the last day does not look at them.
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "live" / "bins").rglob("*.parquet") if days[2] not in str(p)}
+    for file in (tmp_path / "instant" / f"date={days[0]}").rglob("*.parquet"):
+        file.write_bytes(b"gone")
+    sink(instant_violations(camera(spark, 1, [("late", "P", at(f"{days[2]} 08:58:00"), 150.0)])), 3)
+    assert len(before) == 2 and all(p.stat().st_mtime_ns == t for p, t in before.items())
+    got = sinks.live_view(spark, out)
+    table = read_violations(spark, root, start=days[1])
+    wanted = live_statistics(arrivals(store.distinct_violations(table)))
+    rounded = F.round("avg_speed", 8).alias("avg_speed")
+    same_rows(*(f.select(*[c for c in f.columns if c != "avg_speed"], rounded) for f in (got, wanted)))
+    assert got.count() == 12
 
 
 def test_a_failing_sink_fails_the_query(spark, tmp_path):
