@@ -19,7 +19,8 @@ from roadwatch.llm.shingles import mix
 from roadwatch.llm.suffix_sort import END, shared_spans, sort_suffixes
 from roadwatch.llm.tables import n_bytes, shuffled, slices, stored, texts
 
-# Anchors in more texts than this are settled by aggregates over starts instead of in one task.
+# Anchors with more stretches than this, in one text or in many, are settled by aggregates over starts
+# instead of in one task.
 CROWDED = 2_000
 # Suffixes that are sorted together, but for the groups of single anchors.
 TOGETHER = 200_000
@@ -46,7 +47,7 @@ def _owners(key_1, key_2, place):
 
 
 def _list_anchors(batches):
-    """Each text's distinct anchor grams, with one of its places and whether there are more."""
+    """Each text's distinct anchor grams, with one of its places, whether there are more, and how many stretches."""
     for batch in slices(batches, "text", 2_000_000):
         raw, bounds = _bytes_of(batch)
         text, place, _, _, gram = anchors(np.frombuffer(raw, np.uint8), bounds)
@@ -60,8 +61,9 @@ def _list_anchors(batches):
         ends = np.concatenate([at[1:], [len(text)]]) - 1
         key_1, key_2 = _keys_of(batch)
         owner = _owners(key_1[text[at]], key_2[text[at]], place[at] - bounds[text[at]])
-        columns = [gram[at].view(np.int64), key_1[text[at]], owner, place[at] != place[ends]]
-        yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["gram", "key_1", "owner", "again"])
+        columns = [gram[at].view(np.int64), key_1[text[at]], owner, place[at] != place[ends], ends - at + 1]
+        names = ["gram", "key_1", "owner", "again", "stretches"]
+        yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=names)
 
 
 def _stretches(crowded):
@@ -272,9 +274,9 @@ def _cut_out(batches):
 def _flagged_texts(keyed, crowded):
     """Texts with an anchor that occurs elsewhere, once each, and these anchors; and whether any is crowded."""
     long = keyed.filter(n_bytes(F.col("text")) >= SPAN)
-    listed = stored(long.mapInArrow(_list_anchors, "gram long, key_1 long, owner long, again boolean"), "anchors")
+    listed = stored(long.mapInArrow(_list_anchors, "gram long, key_1 long, owner long, again boolean, stretches long"), "anchors")
     counted = listed.groupBy("gram").agg(
-        F.min("owner").alias("least"), F.max("owner").alias("most"), F.max("again").alias("again"), F.count("*").alias("n")
+        F.min("owner").alias("least"), F.max("owner").alias("most"), F.max("again").alias("again"), F.sum("stretches").alias("n")
     )
     repeated = stored(
         counted.filter("again OR least <> most").select("gram", (F.col("n") > crowded).alias("crowded")), "repeated-anchors"
