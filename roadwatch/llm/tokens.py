@@ -6,6 +6,7 @@ across; parts that a task has not met lately are encoded in one multithreaded ba
 and compared with the SentencePiece library's own answer.
 """
 
+from dataclasses import replace
 from itertools import chain
 
 import numpy as np
@@ -49,6 +50,9 @@ class Encoder:
         self.at_spaces = piece_model.cuts_at_spaces(self.model)
         if self.in_parts:
             self.core = piece_model.core(self.model)
+            # Without other rules than for spaces a text can be normalised piece by piece.
+            self.first = piece_model.normalizer(self.model)
+            self.rest = piece_model.normalizer(replace(self.model, dummy_prefix=False))
             # What the library gives for a stranger before a part, to be taken off again.
             self.lead = len(self.own.encode(self.joints.stranger))
         else:
@@ -61,16 +65,15 @@ class Encoder:
         self.flat, self.sizes, self.same = np.array([], np.int32), np.array([], np.int64), np.array([], bool)
 
     def _compare(self, new):
-        """Ids of parts by the SentencePiece library, and whether the twin agrees."""
+        """Ids of parts by the tokenizers library, and whether the SentencePiece library agrees; where not, its ids."""
         space = piece_model.SPACE
         got = [encoding.ids for encoding in self.core.encode_batch_fast(new, add_special_tokens=False)]
         # The library puts its marker before any text; other parts get a stranger to bear it.
         bare = [p[0] == space and len(p) > 1 for p in new]
         raw = [(p[1:] if b else self.joints.stranger + p).replace(space, " ") for p, b in zip(new, bare, strict=True)]
         want = self.own.encode(raw, num_threads=1)
-        # The model's own library has the last word.
         want = [ids if b else ids[self.lead :] for ids, b in zip(want, bare, strict=True)]
-        return want, [mine == theirs for mine, theirs in zip(got, want, strict=True)]
+        return _checked(got, want)
 
     def _learn(self, hashes, new):
         ids, same = self._compare(new)
@@ -86,10 +89,15 @@ class Encoder:
     def _whole(self, batch):
         """Ids of whole texts, for models whose normaliser does more than mark spaces."""
         got = [encoding.ids for encoding in self.twin.encode_batch_fast(batch, add_special_tokens=False)]
-        want = self.own.encode(batch, num_threads=1)
-        counts = np.fromiter(map(len, want), np.int64, len(want))
-        flat = np.fromiter(chain.from_iterable(want), np.int32, counts.sum())
-        return flat, counts, np.array([mine == theirs for mine, theirs in zip(got, want, strict=True)], bool)
+        ids, same = _checked(got, self.own.encode(batch, num_threads=1))
+        counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, counts.sum())
+        return flat, counts, np.array(same, bool)
+
+    def _normalised(self, text):
+        """A text as the rebuilt normaliser gives it: markers for spaces, and one before it."""
+        pieces = range(0, len(text), LONGEST_RUN)
+        return "".join((self.rest if a else self.first).normalize_str(text[a : a + LONGEST_RUN]) for a in pieces)
 
     def _runs(self, marked):
         """A normalised text in runs of bounded length, cut where no piece reaches across."""
@@ -110,9 +118,8 @@ class Encoder:
         """Flat ids, ids per text, and whether both libraries agree on each text."""
         if not self.in_parts:
             return self._whole(batch)
-        space = piece_model.SPACE
         # Each text with its dummy prefix; empty ones have none.
-        marked = [(row, (space + text).replace(" ", space)) for row, text in enumerate(batch) if text]
+        marked = [(row, self._normalised(text)) for row, text in enumerate(batch) if text]
         runs = [(row, run) for row, text in marked for run in self._runs(text)]
         ids, counts, same = [], np.zeros(len(batch), np.int64), np.ones(len(batch), bool)
         begin = 0
@@ -185,6 +192,12 @@ class Encoder:
         return [p[1:] if p[:1] == b" " else p for p in pieces] if self.model.dummy_prefix else pieces
 
 
+def _checked(got, want):
+    """The ids that the tokenizers library gives, or the model's own library's where they differ; and where not."""
+    same = [mine == theirs for mine, theirs in zip(got, want, strict=True)]
+    return [mine if s else theirs for mine, theirs, s in zip(got, want, same, strict=True)], same
+
+
 def part_hashes(points, starts, ends):
     """64-bit hashes of the parts of an array of code points."""
     if not len(points):
@@ -214,9 +227,8 @@ def ragged(flat, sizes, picked):
 def encode(documents, model_path=MODEL_PATH, id_col="doc_id", text_col="text"):
     """One row per document: doc_id, n_tokens, n_byte_tokens, ids, parity, round_trip.
 
-    `ids` are those of the model without control tokens. `parity`: the tokenizers
-    library gives the same ids as SentencePiece for the whole text (ids are SentencePiece's
-    where not). `round_trip`: the ids decode to the normalised text. NULL and empty texts have
+    `ids` are those of the tokenizers library, without control tokens. `parity`: SentencePiece gives
+    the same ids for the whole text (parts where it does not have SentencePiece's). `round_trip`: the ids decode to the normalised text. NULL and empty texts have
     no ids. Repeated rows and NULL ids are rows like others. An empty table gives no rows.
     """
     data = read_model(documents.sparkSession, model_path)

@@ -57,6 +57,24 @@ def test_ids_equal_the_library(spark, library):
     assert sum(r["parity"] for r in result.values()) >= len(texts) - 2
 
 
+def test_ids_come_from_the_tokenizers_library(data, library, monkeypatch):
+    """Parts that only the tokenizers library is asked for have its ids, those that it gets wrong the model's own."""
+    encoder = Encoder(data)
+    space, ids = piece_model.SPACE, encoder.core.encode(f"{piece_model.SPACE}the").ids
+    got, same = encoder._compare([f"{space}the", f"{space}of"])
+    assert got == [ids, library.encode("of")] and same == [True, True]
+    whole = encoder.core
+
+    class Wrong:
+        def encode_batch_fast(self, parts, **more):
+            found = whole.encode_batch_fast(parts, **more)
+            return [type("Ids", (), {"ids": e.ids if i else [0]}) for i, e in enumerate(found)]
+
+    encoder.core = Wrong()
+    got, same = encoder._compare([f"{space}the", f"{space}of"])
+    assert got == [ids, library.encode("of")] and same == [False, True]
+
+
 def test_twin_of_whole_texts(data, library):
     """The rebuilt tokenizer, normaliser and marker included, without any cutting of ours."""
     twin = piece_model.backend(piece_model.parse(data))
