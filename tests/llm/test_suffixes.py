@@ -55,17 +55,6 @@ def test_against_brute_force(spark, crowded):
     assert sum(r[2] for r in want) > 10_000
 
 
-def test_a_gram_many_times_in_few_texts(spark):
-    """Rulings of 64 equal bytes with other text between them: one anchor's stretches, far above the bound."""
-    pick = random.Random(8)
-    rows = []
-    for i in range(3):
-        cells = [f"{pick.randint(0, 9)} " * (60 + 5 * (k % 7)) for k in range(60)]
-        rows.append((i, ("=" * 80).join(cells), "en", "a"))
-    rows.append((9, rows[0][1][3000:6000], "en", "a"))
-    assert report(table(spark, rows), crowded=50) == brute(rows)
-
-
 def test_long_texts_are_worked_on_in_pieces(monkeypatch):
     """The same anchors, but that a run of starts may be cut at a piece's edge."""
     texts = [prose(i, 300, 1).encode() for i in range(5)]
