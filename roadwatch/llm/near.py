@@ -8,14 +8,20 @@ links. Large nodes are cut into parts; a part ties its members to its most centr
 compares those that are far from these with all others but proposes only the best of them, and
 sends further down those that may have more candidates. Its most central member meets
 those of the other parts.
-Candidates are confirmed on the full sets. Then the members of each large root node are compared once
-more, every one with all that are not connected with it yet: cut into blocks, each pair of blocks in
-a task of its own. So what the first step leaves out is only what links already connect.
+Candidates are confirmed on the full sets. What is then still unconnected inside a large root node is
+settled exhaustively: nodes whose members all belong to one component are done, the
+others send every member on to the children of their selected coordinates until BOUND members are left
+or the levels are used up; a node still larger is cut into blocks, and its pairs of blocks are tasks of their
+own. There all pairs of members in different components are compared by sketch and, with the full
+sets at hand, confirmed in the same task, which gives back one link for each two components
+that it joins. So no step writes more rows than members stand in its nodes.
 
 Recall. Two documents of similarity s share a selected coordinate with chance s. With the
 default 12 trees and their root coordinates, a pair at 0.75 misses all root nodes with a
-chance below 1e-8, and is held back by its sketch with a chance of about 3e-5. No other pair is
-left out unless its ends are connected without it.
+chance below 1e-8, and is held back by its sketch with a chance of about 3e-5. A level below a
+large root node keeps such a pair together with a chance of 0.83 or more on each of the paths; if all
+its root nodes are so large, all paths of three levels miss it with a chance of about 3e-5. No other
+pair is left out unless its ends are connected without it.
 """
 
 import numpy as np
@@ -43,8 +49,12 @@ CENTRAL = 1
 NEAR = 212
 # Candidates that a member of a large node's part has at first besides the central ones: its best.
 PARTNERS = 2
-# Members of a root node that are compared with as many others in one task.
-BLOCK = 512
+# Members of a node that one task compares with each other, or with as many of another block.
+BOUND = 2048
+# Levels below a root node before a node that is still larger is cut into blocks.
+LEVELS = 3
+# Shingle hashes that one task holds for each side of a comparison.
+HELD = 2_000_000
 
 KEYS = ["doc_id", "key_1", "key_2"]
 
@@ -133,26 +143,32 @@ def _agreeing(sketch, other):
     return (sketch == other).sum(axis=1)
 
 
-def _open_pairs(ids, sketch, roots, left, right):
-    """Pairs of a member at `left` and one at `right` that agree enough and have different roots."""
+def _like_sizes(n, other):
+    """Whether sets of these sizes can be similar enough: the intersection is at most the smaller one."""
+    return 100 * np.minimum(n, other) >= round(100 * SIMILARITY) * np.maximum(n, other)
+
+
+def _open_pairs(group, left, right):
+    """Places of a member at `left` and one at `right` that agree enough and have different roots."""
+    sketch, roots, sizes = group.sketch, group.roots, group.sizes
     # Of the first half of the coordinates so many must agree.
     half = COORDINATES // 2
     least = LEAST_AGREEING - (COORDINATES - half)
     columns = np.ascontiguousarray(sketch[right, :half].T)
     for begin in range(0, len(left), 128):
         some = left[begin : begin + 128]
-        unlike = roots[some][:, None] != roots[right][None, :]
-        if not unlike.any():
+        possible = roots[some][:, None] != roots[right][None, :]
+        possible &= _like_sizes(sizes[some][:, None], sizes[right][None, :])
+        if not possible.any():
             continue
         counts = np.zeros((len(some), len(right)), np.uint8)
         for j in range(half):
             counts += sketch[some, j][:, None] == columns[j][None, :]
-        x, y = np.nonzero((counts >= least) & unlike)
+        x, y = np.nonzero((counts >= least) & possible)
         for at in range(0, len(x), 20_000):
             i, j = some[x[at : at + 20_000]], right[y[at : at + 20_000]]
-            agreeing = _agreeing(sketch[i], sketch[j])
-            enough = agreeing >= LEAST_AGREEING
-            yield ids[i[enough]], ids[j[enough]], agreeing[enough]
+            enough = _agreeing(sketch[i], sketch[j]) >= LEAST_AGREEING
+            yield i[enough], j[enough]
 
 
 def _all_pairs(ids, sketch):
@@ -220,7 +236,7 @@ def _compare(last):
 
         for group in _groups(batches, ("node", "part")):
             ids = group.column("set_id").to_numpy()
-            sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(-1, COORDINATES)
+            sketch = _sketches(group)
             size = group.column("size")[0].as_py()
             if size <= SMALL:
                 pairs, rows = list(_all_pairs(ids, sketch)), []
@@ -245,35 +261,128 @@ def _compare(last):
     return run
 
 
-def _compare_blocks(batches):
-    """Candidate pairs of each pair of blocks (node, part); members of the first block have side 0."""
-    for group in _groups(batches, ("node", "part")):
-        ids, roots, side = (group.column(c).to_numpy() for c in ("set_id", "root", "side"))
-        sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(-1, COORDINATES)
-        first, second = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        inner = not len(second)
-        for x, y, agreeing in _open_pairs(ids, sketch, roots, first, first if inner else second):
-            once = x < y if inner else np.ones(len(x), bool)
-            x, y, agreeing = x[once], y[once], agreeing[once]
+def _sketches(table):
+    return np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, COORDINATES)
+
+
+class _Meeting:
+    """Members of one node that meet in a task: all with each other, or side 0 with side 1 if there is one."""
+
+    def __init__(self, table):
+        self.ids, self.roots, self.sizes, side = (
+            table.column(c).to_numpy() for c in ("set_id", "root", "n_shingles", "side")
+        )
+        self.sketch = _sketches(table)
+        self.first, self.second = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        self.inner = not len(self.second)
+
+
+def _stretches(sizes):
+    """Number of the stretch that each member falls in: members by size, cut whenever HELD hashes are full."""
+    out = np.zeros(len(sizes), np.int64)
+    order = np.argsort(sizes, kind="stable")
+    out[order] = (np.cumsum(sizes[order]) - sizes[order]) // HELD
+    return out
+
+
+def _open_members(batches):
+    """Members with an open pair, once for each two stretches of HELD hashes that have one between them."""
+    for table in _groups(batches, ("node", "part")):
+        group = _Meeting(table)
+        stretch = np.zeros(len(group.ids), np.int64)
+        for places in (group.first, group.second):
+            stretch[places] = _stretches(group.sizes[places])
+        seen = {}
+        for x, y in _open_pairs(group, group.first, group.first if group.inner else group.second):
+            if group.inner:
+                once = (stretch[x] < stretch[y]) | ((stretch[x] == stretch[y]) & (x < y))
+                x, y = x[once], y[once]
+            for one, other in np.unique(np.stack([stretch[x], stretch[y]]), axis=1).T.tolist():
+                here = (stretch[x] == one) & (stretch[y] == other)
+                sides = seen.setdefault((one, other), np.zeros((2, len(group.ids)), bool))
+                sides[0, x[here]] = True
+                sides[1, y[here]] = True
+        node, part = table.column("node")[0].as_py(), table.column("part")[0].as_py()
+        for (one, other), sides in seen.items():
+            if group.inner and one == other:
+                sides = np.stack([sides.any(axis=0), np.zeros(len(group.ids), bool)])
+            side, places = np.nonzero(sides)
+            with np.errstate(over="ignore"):
+                key = shingles.mix(np.array([part], np.int64).view(np.uint64) + np.uint64(one << 32 | other))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(agreeing.astype(np.int32))],
-                names=["a", "b", "agreeing"],
+                [
+                    pa.array(np.full(len(places), node, np.int64)),
+                    pa.array(np.full(len(places), key.view(np.int64)[0], np.int64)),
+                    pa.array(group.ids[places]),
+                    pa.array(group.roots[places]),
+                    pa.array(side.astype(np.int32)),
+                ],
+                names=["node", "part", "set_id", "root", "side"],
             )
 
 
-def unconnected_pairs(sets, members, labels):
-    """Pairs of members of one node whose sketches agree and that `labels` does not connect: a, b, agreeing.
+def _joining_links(batches):
+    """Confirmed links between members of different components, one for each two components that become one."""
+    for table in _groups(batches, ("node", "part")):
+        group = _Meeting(table)
+        hashes = [np.frombuffer(raw, np.uint64) for raw in table.column("hashes").to_pylist()]
+        ends = np.concatenate([[0], np.cumsum([len(h) for h in hashes])])
+        names = np.unique(np.concatenate(hashes), return_inverse=True)[1]
+        held = np.zeros(names.max() + 1, bool)
+        component = np.unique(group.roots, return_inverse=True)[1]
+        u, v = [], []
+        for place, i in enumerate(group.first):
+            others = group.first[place + 1 :] if group.inner else group.second
+            others = others[component[others] != component[i]]
+            others = others[_like_sizes(group.sizes[others], group.sizes[i])]
+            others = others[_agreeing(group.sketch[others], group.sketch[i]) >= LEAST_AGREEING]
+            own = names[ends[i] : ends[i + 1]]
+            held[own] = True
+            for j in others.tolist():
+                if component[j] == component[i]:
+                    continue
+                both = np.count_nonzero(held[names[ends[j] : ends[j + 1]]])
+                union = group.sizes[i] + group.sizes[j] - both
+                if 100 * both >= round(100 * SIMILARITY) * union:
+                    u.append(group.ids[i])
+                    v.append(group.ids[j])
+                    component[component == component[j]] = component[i]
+            held[own] = False
+        yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+
+def _descend(batches):
+    """Rows (node, set_id, root) of the children that each row's node sends its members to."""
+    for batch in batches:
+        node = batch.column("node").to_numpy().view(np.uint64)
+        ids, roots = batch.column("set_id").to_numpy(), batch.column("root").to_numpy()
+        sketch = _sketches(batch)
+        order = np.argsort(node, kind="stable")
+        for places in np.split(order, np.flatnonzero(np.diff(node[order])) + 1) if len(order) else []:
+            key = node[places[0]]
+            for c in _chosen(key):
+                child = _child(key, c, sketch[places, c]).view(np.int64)
+                columns = [pa.array(child), pa.array(ids[places]), pa.array(roots[places])]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "set_id", "root"])
+
+
+def _mixed(rows):
+    """Nodes whose members are of several components: node, size."""
+    sizes = rows.groupBy("node").agg(F.count("*").alias("size"), F.min("root").alias("a"), F.max("root").alias("b"))
+    return stored(sizes.filter("a <> b").select("node", "size"), "mixed-nodes")
+
 
-    `members` has node and set_id, `labels` what components() returns. The members of a node's largest
-    component, in blocks, meet the blocks of all others; these meet each other as well.
+def _blocks(rooted):
+    """Members of nodes above BOUND, in blocks: node, set_id, root, part, side; a part is a pair of blocks.
+
+    The members of a node's largest component, in blocks, meet the blocks of all others; these
+    meet each other as well.
     """
-    rooted = members.join(labels.select(F.col("u").alias("set_id"), F.col("v").alias("root")), "set_id", "left")
-    rooted = stored(rooted.select("node", "set_id", F.coalesce("root", "set_id").alias("root")), "open-members")
     counts = rooted.groupBy("node", "root").agg(F.count("*").alias("n"))
     shape = counts.groupBy("node").agg(F.sum("n").alias("size"), F.max(F.struct("n", "root")).alias("main"))
-    main_blocks = F.ceil(F.col("main.n") / BLOCK).cast("int").alias("main_blocks")
-    others = F.ceil((F.col("size") - F.col("main.n")) / BLOCK).cast("int").alias("other_blocks")
-    shape = shape.filter("size > main.n").select("node", F.col("main.root").alias("main"), main_blocks, others)
+    main_blocks = F.ceil(F.col("main.n") / BOUND).cast("int").alias("main_blocks")
+    others = F.ceil((F.col("size") - F.col("main.n")) / BOUND).cast("int").alias("other_blocks")
+    shape = shape.select("node", F.col("main.root").alias("main"), main_blocks, others)
     placed = rooted.join(stored(shape, "open-nodes"), "node")
     is_main = F.col("root") == F.col("main")
     draw = F.xxhash64("set_id", "node")
@@ -293,10 +402,44 @@ def unconnected_pairs(sets, members, labels):
     meetings = F.when(is_main, with_others).otherwise(F.concat(with_main, among))
     rows = placed.withColumn("block", block).select("node", "set_id", "root", F.explode(meetings).alias("meeting"))
     part = F.xxhash64("meeting.first", "meeting.second").alias("part")
-    rows = rows.select("node", "set_id", "root", part, "meeting.side").join(sets.select("set_id", "sketch"), "set_id")
-    rows = rows.repartition("node", "part").sortWithinPartitions("node", "part", "set_id")
-    found = stored(rows.mapInArrow(_compare_blocks, "a long, b long, agreeing int"), "open-found")
-    return stored(found.groupBy("a", "b").agg(F.max("agreeing").alias("agreeing")), "open-candidates")
+    return rows.select("node", "set_id", "root", part, "meeting.side")
+
+
+def unconnected_links(keyed, sets, members, labels):
+    """Confirmed links (u, v) that join what `labels` does not connect, among members of one node.
+
+    `members` has node and set_id, `labels` what components() returns.
+    """
+    layout = "node long, set_id long, root long"
+    aside = "node long, part long, set_id long, root long, side int"
+    rows = members.join(labels.select(F.col("u").alias("set_id"), F.col("v").alias("root")), "set_id", "left")
+    rows = stored(rows.select("node", "set_id", F.coalesce("root", "set_id").alias("root")), "open-members")
+    meetings = []
+    for level in range(LEVELS + 1):
+        sized = rows.join(_mixed(rows), "node")
+        bounded = sized.filter(F.col("size") <= BOUND)
+        alone = F.lit(0).cast("long").alias("part"), F.lit(0).cast("int").alias("side")
+        meetings.append(bounded.select("node", "set_id", "root", *alone))
+        beyond = stored(sized.filter(F.col("size") > BOUND).select("node", "set_id", "root"), "beyond")
+        if beyond.isEmpty():
+            break
+        if level == LEVELS:
+            meetings.append(_blocks(beyond))
+        else:
+            down = beyond.join(sets.select("set_id", "sketch"), "set_id")
+            rows = stored(down.mapInArrow(_descend, layout).distinct(), "open-members")
+    together = meetings[0]
+    for more in meetings[1:]:
+        together = together.unionByName(more)
+
+    def grouped(frame):
+        return frame.repartition("node", "part").sortWithinPartitions("node", "part", "set_id")
+
+    sketches = sets.select("set_id", "n_shingles", "sketch")
+    found = stored(grouped(together.join(sketches, "set_id")).mapInArrow(_open_members, aside), "open-found")
+    full = _full_sets(keyed, sets, found.select("set_id").distinct())
+    whole = grouped(found.join(sketches, "set_id").join(shuffled(full), "set_id"))
+    return stored(whole.mapInArrow(_joining_links, "u long, v long"), "joining-links")
 
 
 def candidate_pairs(sets):
@@ -304,7 +447,7 @@ def candidate_pairs(sets):
 
     `sets` has set_id, nodes and sketch. Each level counts the members of its nodes first;
     sketches go only to nodes of two or more. A large node proposes its members' best pairs; its members
-    (node, set_id) are returned for unconnected_pairs.
+    (node, set_id) are returned for unconnected_links.
     """
     found = large = None
     rows = sets.select("set_id", F.explode("nodes").alias("node"))
@@ -354,8 +497,8 @@ def _confirmed(pairs, full):
     return stored(both.mapInArrow(_confirm, "u long, v long"), "confirmed")
 
 
-def _links(candidates, full, known=None):
-    """Enough confirmed links, with the `known` ones, to connect all that any candidate would connect.
+def _links(candidates, full):
+    """Enough confirmed links to connect all that any candidate would connect.
 
     First each set's best candidate, which settles most; then all other candidates whose ends are
     not connected yet. Links inside a component change nothing and are not confirmed.
@@ -365,8 +508,6 @@ def _links(candidates, full, known=None):
     )
     best = stored(ends.groupBy("x").agg(F.max("best").alias("best")).select("best.a", "best.b").distinct(), "best-pairs")
     first = _confirmed(best, full)
-    if known is not None:
-        first = first.union(known.select("u", "v"))
     labels = components(first)
     rest = (
         candidates.join(best, ["a", "b"], "left_anti")
@@ -388,9 +529,8 @@ def sketched(rows):
     return keyed, stored(keyed.mapInArrow(_sketch, layout), "sketches")
 
 
-def _full_sets(keyed, sets, candidates):
-    """The full sets of all ends of the candidates: set_id, hashes."""
-    involved = candidates.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+def _full_sets(keyed, sets, involved):
+    """The full sets of the involved ones (set_id, distinct): set_id, hashes."""
     wanted = sets.join(involved, "set_id").select("set_id", *[F.col(f"one.{c}").alias(f"of_{c}") for c in KEYS])
     same = F.col("doc_id").eqNullSafe(F.col("of_doc_id"))
     same &= (F.col("key_1") == F.col("of_key_1")) & (F.col("key_2") == F.col("of_key_2"))
@@ -413,17 +553,18 @@ def near_duplicates(documents, id_col="doc_id", text_col="text"):
     by_set = sketches.filter("n_shingles > 0").groupBy("set_1", "set_2").agg(
         F.min("doc_id").alias("least_id"),
         F.min(F.struct(*KEYS)).alias("one"),
+        F.first("n_shingles").alias("n_shingles"),
         F.first("nodes").alias("nodes"),
         F.first("sketch").alias("sketch"),
     )
     sets = stored(by_set.withColumn("set_id", F.monotonically_increasing_id()), "sets")
 
     candidates, large = candidate_pairs(sets)
-    labels = components(_links(candidates, _full_sets(keyed, sets, candidates)))
-    open_pairs = unconnected_pairs(sets, large, labels).join(candidates, ["a", "b"], "left_anti")
-    open_pairs = stored(open_pairs, "not-compared")
-    if not open_pairs.isEmpty():
-        labels = components(_links(open_pairs, _full_sets(keyed, sets, open_pairs), labels))
+    involved = candidates.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+    labels = components(_links(candidates, _full_sets(keyed, sets, involved)))
+    joining = unconnected_links(keyed, sets, large, labels)
+    if not joining.isEmpty():
+        labels = components(joining.union(labels.select("u", "v")))
     rooted = stored(
         sets.select("set_id", "set_1", "set_2", "least_id")
         .join(labels.select(F.col("u").alias("set_id"), F.col("v").alias("root")), "set_id", "left")
