@@ -1,9 +1,10 @@
 """Line deduplication by content-defined chunks of lines.
 
-Lines are hashed, a rolling hash over a few line hashes decides where a chunk ends, and so a
-passage that recurs at another place, after other lines, is cut in the same way. Chunks
-of several lines that occur more than once in the table are removed but for their first
-occurrence, after their bytes have been compared.
+Lines are hashed, and a rolling hash runs over the line hashes of the shortest windows that count
+as a passage: two lines with words and eight words. Boundaries of chunks are where that hash
+begins or ceases to be one that the table holds elsewhere, so a passage is cut in the same way
+after whatever lines it stands, however short it is. Chunks that occur before are
+removed, after the bytes of their windows have been compared.
 """
 
 import numpy as np
@@ -13,12 +14,15 @@ from pyspark.sql import functions as F
 
 from roadwatch.llm.tables import let, shuffled, slices, stored, texts
 
-# A chunk ends where the rolling hash over this many lines is divisible by the divisor.
-ROLLING_LINES = 2
-DIVISOR = 3
-# Chunks of fewer lines, or of fewer words, are never removed.
+# Windows have at least so many lines that hold a word, and so many words.
 MIN_LINES = 2
 MIN_WORDS = 8
+# A line counts as one word for so many bytes, if that is more: some languages put no spaces.
+BYTES_PER_WORD = 12
+# Odd bases of the two rolling hashes, modulo 2^64.
+BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
+# Rows of windows that a task hands over at a time.
+WINDOWS_AT_ONCE = 65_536
 
 KEYS = ["doc_id", "key_1", "key_2"]
 
@@ -32,61 +36,80 @@ def line_hashes(lines):
     return np.fromiter((xxhash.xxh64_intdigest(line) for line in lines), np.uint64, len(lines))
 
 
-def boundaries(hashes, rolling=ROLLING_LINES, divisor=DIVISOR):
-    """Ends (exclusive) of the chunks of a text with these line hashes.
+def windows(sizes, least_lines=MIN_LINES, least_words=MIN_WORDS):
+    """(first line, end line) of the shortest windows from each line and up to each line, given the lines' words.
 
-    The rolling hash weighs each line by its distance from the window's end; a window that is
-    cut off by the text's beginning ends no chunk.
+    Any run of lines that holds enough lines and words is covered by the windows inside it.
     """
-    count = len(hashes)
-    if count == 0:
-        return np.array([], np.int64)
-    rolled = np.zeros(count, np.uint64)
-    for back in range(min(rolling, count)):
-        rolled[back:] += hashes[: count - back] * np.uint64((2 * back + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
-    mixed = rolled ^ (rolled >> np.uint64(31))
-    cuts = (mixed % np.uint64(divisor) == 0) & (np.arange(count) >= rolling - 1)
-    cuts[-1] = True
-    return np.flatnonzero(cuts) + 1
+    lines = np.flatnonzero(sizes)
+    before = np.concatenate([[0], np.cumsum(sizes[lines])])
+    place = np.arange(len(lines))
+    last = np.maximum(place + least_lines - 1, np.searchsorted(before, before[:-1] + least_words) - 1)
+    first = np.minimum(place - least_lines + 1, np.searchsorted(before, before[1:] - least_words, side="right") - 1)
+    on, back = last < len(lines), first >= 0
+    found = np.stack([np.concatenate([place[on], first[back]]), np.concatenate([last[on], place[back]])], axis=1)
+    found = np.unique(found, axis=0)
+    return lines[found[:, 0]], lines[found[:, 1]] + 1
+
+
+def rolled(hashes, starts, ends):
+    """The rolling hashes of windows: 16 bytes each, the same wherever the lines stand."""
+    sides = []
+    for base in BASES:
+        powers = np.full(len(hashes) + 1, base, np.uint64)
+        back = np.full(len(hashes) + 1, pow(base, -1, 1 << 64), np.uint64)
+        powers[0] = back[0] = 1
+        powers, back = np.multiply.accumulate(powers), np.multiply.accumulate(back)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * powers[:-1], dtype=np.uint64)])
+        sides.append((sums[ends] - sums[starts]) * back[starts])
+    return np.stack(sides, axis=1).astype("<u8").tobytes()
 
 
 def chunks(text):
-    """(first line, end line, bytes) of each chunk that may be removed."""
+    """First lines, end lines and joined 16-byte hashes of a text's windows."""
     lines = text.split(b"\n")
-    ends = boundaries(line_hashes(lines))
-    starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
-    found = []
-    for start, end in zip(starts.tolist(), ends.tolist(), strict=True):
-        if end - start >= MIN_LINES:
-            piece = b"\n".join(lines[start:end])
-            if len(piece.split()) >= MIN_WORDS:
-                found.append((start, end, piece))
-    return found
+    sizes = np.fromiter((max(n, len(line) // BYTES_PER_WORD) if (n := len(line.split())) else 0 for line in lines), np.int64, len(lines))
+    starts, ends = windows(sizes)
+    return starts, ends, rolled(line_hashes(lines), starts, ends)
 
 
 def _bytes(batch, column):
     return batch.column(column).cast(pa.large_binary()).to_pylist()
 
 
-def _digest(piece):
-    return xxhash.xxh3_128_digest(piece)
-
-
 def _list_chunks(batches):
-    """A row per removable chunk: its lines and hash, without its text."""
+    """A row per window: its lines and hash, without its text."""
     for batch in slices(batches, "text"):
         rows, starts, ends, hashes = [], [], [], []
         for row, text in enumerate(_bytes(batch, "text")):
-            for start, end, piece in chunks(text):
-                rows.append(row)
-                starts.append(start)
-                ends.append(end)
-                hashes.append(xxhash.xxh3_128_digest(piece))
-        keys = [batch.column(name).take(pa.array(rows, pa.int64())) for name in KEYS]
-        yield pa.RecordBatch.from_arrays(
-            [*keys, pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(hashes, pa.binary())],
-            names=[*KEYS, "start", "end", "digest"],
-        )
+            first, end, hashed = chunks(text)
+            rows.append(np.full(len(first), row))
+            starts.append(first)
+            ends.append(end)
+            hashes.append(hashed)
+        rows, starts, ends = (np.concatenate(part).astype(np.int64) for part in (rows, starts, ends))
+        digests = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(rows), [None, pa.py_buffer(b"".join(hashes))])
+        # Pieces of bounded size: a text may have far more lines than a batch has rows.
+        for at in range(0, len(rows), WINDOWS_AT_ONCE):
+            part = slice(at, at + WINDOWS_AT_ONCE)
+            keys = [batch.column(name).take(pa.array(rows[part])) for name in KEYS]
+            found = [pa.array(starts[part], pa.int32()), pa.array(ends[part], pa.int32()), digests[part].cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([*keys, *found], names=[*KEYS, "start", "end", "digest"])
+
+
+def _merge_windows(batches):
+    """Overlapping and adjoining windows of a row as chunks, in order."""
+    for batch in batches:
+        merged = []
+        for found in batch.column("ranges").to_pylist():
+            starts, ends = (np.array([r[side] for r in found]) for side in ("start", "end"))
+            order = np.argsort(starts, kind="stable")
+            starts, reach = starts[order], np.maximum.accumulate(ends[order])
+            apart = np.flatnonzero(starts[1:] > reach[:-1])
+            begins, stops = starts[np.r_[0, apart + 1]], reach[np.r_[apart, len(reach) - 1]]
+            merged.append([{"start": s, "end": e} for s, e in zip(begins.tolist(), stops.tolist(), strict=True)])
+        ranges = pa.array(merged, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
+        yield pa.RecordBatch.from_arrays([*[batch.column(name) for name in KEYS], ranges], names=[*KEYS, "ranges"])
 
 
 def _keyed(rows):
@@ -159,8 +182,9 @@ def repeated_ranges(rows):
     id_type = rows.schema["doc_id"].dataType.simpleString()
     layout = f"doc_id {id_type}, key_1 long, key_2 long, start int, end int, digest binary"
     listed = stored(_keyed(rows).mapInArrow(_list_chunks, layout), "chunks")
-    ranges = F.array_sort(F.collect_set(F.struct("start", "end"))).alias("ranges")
-    return later_occurrences(rows, listed).groupBy(*KEYS).agg(ranges)
+    found = later_occurrences(rows, listed).groupBy(*KEYS).agg(F.collect_set(F.struct("start", "end")).alias("ranges"))
+    merged = f"doc_id {id_type}, key_1 long, key_2 long, ranges array<struct<start:int,end:int>>"
+    return found.mapInArrow(_merge_windows, merged)
 
 
 def _kept_lines(lines, ranges):
@@ -177,12 +201,14 @@ def _kept_lines(lines, ranges):
 def without_repeated_chunks(documents, id_col="doc_id", text_col="text"):
     """`documents` with its own columns, repeated chunks taken out of the text, and `n_lines`, `n_removed`.
 
-    A chunk is a run of at least two lines and eight words. Of its occurrences in the table the
-    first stays: the one with the smallest id, NULL first, and the smallest line. Texts without a
+    A line goes if it lies in a run of lines that also stands earlier in the table. The run begins and
+    ends with lines that hold words, has two of them at least, and eight words (or 12 bytes for each missing one). Earlier is the smaller id,
+    NULL first, and in one document the smaller line; a line's first place always stays. The rule
+    looks at the input, not at what is left. Texts without a
     removed line come back unchanged, NULL included; a text that loses all lines is empty. A
     repeated row (same id and text) is the same document and keeps what the other keeps. NULL and
-    empty texts have no lines. Columns named n_lines or n_removed are replaced. An empty table
-    gives no rows.
+    empty texts have no lines. Very long texts are handled whole: a task holds one and its windows'
+    hashes. Columns named n_lines or n_removed are replaced. An empty table gives no rows.
     """
     rows = texts(documents, id_col, text_col)
     ranges = stored(repeated_ranges(rows), "ranges")
