@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 from roadwatch.llm import spans
 from roadwatch.llm.tables import slices, stored, texts
 
-# First guess of each labeler's reliability, in the order of spans.LABELERS, and of the share of true candidates.
-FIRST_RELIABILITY = np.array([0.95, 0.85, 0.8, 0.8, 0.6, 0.6])
-FIRST_SHARE = 0.5
-# The guess counts as much as this share of all candidates.
-ANCHOR = 0.1
+# First guess of each labeler's reliability, in the order of spans.LABELERS, and of the share of true
+# candidates by kind, in the order of spans.MORE_KINDS.
+FIRST_RELIABILITY = np.array([0.97, 0.85, 0.8, 0.8, 0.9, 0.85])
+FIRST_SHARES = np.array([0.4, 0.6, 0.5, 0.3, 0.2, 0.4, 0.6])
+# The guesses count as much as this share of all candidates, and as this many of a kind.
+ANCHOR, ANCHOR_OF_KIND = 0.1, 20.0
 ROUNDS = 50
 
 FOUND = (
@@ -50,28 +51,39 @@ def _scan(batches):
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], names=["doc_id", *rows])
 
 
-def label_model(votes, counts, rounds=ROUNDS):
-    """Posterior of each vote pattern, and each labeler's estimated reliability."""
+def label_model(votes, counts, kinds=None, first_shares=(0.5,), rounds=ROUNDS):
+    """Posterior of each vote pattern, and each labeler's estimated reliability.
+
+    `kinds` numbers each pattern's kind; kinds have shares of true candidates of their own.
+    """
+    kinds = np.zeros(len(counts), int) if kinds is None else np.asarray(kinds)
+    guess = np.asarray(first_shares, float)
     cast = votes >= 0
-    reliability, share = FIRST_RELIABILITY.copy(), FIRST_SHARE
+    reliability, shares = FIRST_RELIABILITY.copy(), guess.copy()
     imagined = ANCHOR * counts.sum()
+    of_kind = np.bincount(kinds, counts, len(guess))
     for _ in range(rounds):
         weight = np.log(reliability / (1 - reliability))
-        score = np.log(share / (1 - share)) + (cast * np.where(votes == 1, weight, -weight)).sum(axis=1)
+        score = np.log(shares / (1 - shares))[kinds] + (cast * np.where(votes == 1, weight, -weight)).sum(axis=1)
         chance = 1 / (1 + np.exp(-score))
         right = (counts * chance)[:, None] * (votes == 1) + (counts * (1 - chance))[:, None] * (votes == 0)
         total = (counts[:, None] * cast).sum(axis=0)
         reliability = (right.sum(axis=0) + imagined * FIRST_RELIABILITY) / (total + imagined)
-        share = ((counts * chance).sum() + imagined * FIRST_SHARE) / (counts.sum() + imagined)
+        shares = (np.bincount(kinds, counts * chance, len(guess)) + ANCHOR_OF_KIND * guess) / (of_kind + ANCHOR_OF_KIND)
     return chance, reliability
 
 
+def disproved(kind, cast):
+    return cast[0] == 0 and spans.MORE_KINDS[kind] in spans.CHECKED_KINDS
+
+
 def design(codes):
-    """Indicator features of codes: kind, length class and each labeler's vote."""
+    """Indicator features of codes: kind, length class, each labeler's vote, and a checksum that fails where it decides."""
     rows = []
     for code in codes:
         kind, length, cast = spans.features_of(code)
-        row = np.zeros(1 + len(spans.MORE_KINDS) + spans.N_LENGTHS + 2 * len(cast))
+        row = np.zeros(2 + len(spans.MORE_KINDS) + spans.N_LENGTHS + 2 * len(cast))
+        row[-1] = disproved(kind, cast)
         row[0] = row[1 + kind] = row[1 + len(spans.MORE_KINDS) + length] = 1
         for j, vote in enumerate(cast):
             if vote >= 0:
@@ -101,19 +113,22 @@ def accepted_codes(counted):
     if not rows:
         return frozenset()
     codes, counts = [r["code"] for r in rows], np.array([float(r["n"]) for r in rows])
-    votes = np.array([spans.features_of(code)[2] for code in codes])
-    chance, _ = label_model(votes, counts)
+    kinds, _, votes = zip(*[spans.features_of(code) for code in codes], strict=True)
+    chance, _ = label_model(np.array(votes), counts, kinds, FIRST_SHARES)
+    # A checksum that decides leaves no doubt for the classifier to learn.
+    chance[[disproved(kind, cast) for kind, cast in zip(kinds, votes, strict=True)]] = 0
     features = design(codes)
     decided = features @ train(features, chance, counts)
     return frozenset(code for code, score in zip(codes, decided, strict=True) if score > 0)
 
 
 def personal_data(documents, id_col="doc_id", text_col="text"):
-    """One row per document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans.
+    """One row per document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans.
 
-    `spans` is text of kind:start:end; `found`, the same as an array of structs, is for those
+    `n_spans` counts all spans, base and added. `spans` is text of kind:start:end; `found`, the same as an array of structs, is for those
     who go on to redact. Texts are read once; what was found is stored, and the classifier's
-    verdict applied to that. NULL and empty texts have no spans. Repeated rows and NULL ids are
+    verdict applied to that. Very long texts are scanned whole. Columns of the table other than the id
+    and the text stay out. Of overlapping added spans the first stays, at a tie the kind named first. NULL and empty texts have no spans. Repeated rows and NULL ids are
     documents like others. An empty table gives no rows.
     """
     rows = texts(documents, id_col, text_col)
@@ -131,12 +146,11 @@ def personal_data(documents, id_col="doc_id", text_col="text"):
             rows = [[dict(zip(("kind", "start", "end"), s, strict=True)) for s in f] for f in found]
             out = pa.array(rows, pa.list_(SPAN))
             plain = [batch.column(name) for name in plain_names]
-            yield pa.RecordBatch.from_arrays(
-                [*plain, pa.array([spans.joined(f) for f in found], pa.string()), out], names=[*plain_names, "spans", "found"]
-            )
+            text, number = pa.array([spans.joined(f) for f in found], pa.string()), pa.array(map(len, found), pa.int64())
+            yield pa.RecordBatch.from_arrays([*plain, text, number, out], names=[*plain_names, "spans", "n_spans", "found"])
 
     plain_names = ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256"]
-    kinds = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
+    kinds = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long"
     return scanned.mapInArrow(
         decide, f"doc_id {id_type}, {kinds}, found array<struct<kind:string,start:int,end:int>>"
     )

@@ -36,7 +36,7 @@ CANDIDATES = (
     ("national_id", re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")),
     ("iban", re.compile(r"\b([A-Z]{2})[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")),
     ("number", re.compile(r"(?<![0-9A-Za-z])[0-9]{13,19}(?![0-9A-Za-z])")),
-    ("credential", re.compile(r"\bAKIA[0-9A-Z]{16}\b|\b(?i:password|passwd|pwd|secret|token|api[_-]?key) ?[:=] ?\"?[^\s\"]{6,}\"?")),
+    ("credential", re.compile(r"\bAKIA[0-9A-Z]{16}\b|\bgh[opsu]_[A-Za-z0-9]{36}\b|\bAIza[0-9A-Za-z_-]{35}|\b(?i:password|passwd|pwd|secret|token|api[_-]?key) ?[:=] ?\"?[^\s\"]{6,}\"?")),
     ("person", re.compile(rf"\b(?:{'|'.join(TITLES)})\.? [A-Z]\w+(?: [A-Z]\w+)?|\b(?:{'|'.join(GIVEN_NAMES)}) [A-Z]\w+")),
 )
 # What a text must hold for a candidate of the kind; cheap to look for.
@@ -46,10 +46,14 @@ NEEDS = {
     "national_id": ANY_BASE,
     "iban": ANY_BASE,
     "number": ANY_BASE,
-    "credential": re.compile("[:=]|AKIA"),
+    "credential": re.compile("[:=]|AKIA|AIza|gh[opsu]_"),
     "person": re.compile("|".join([*TITLES, *GIVEN_NAMES])),
 }
-LABELERS = ("checksum", "gazetteer", "context_for", "context_against", "isolated", "varied")
+LABELERS = ("checksum", "gazetteer", "context_for", "context_against", "surroundings", "shape")
+# Kinds of which a failed checksum proves that a candidate is none.
+CHECKED_KINDS = frozenset({"number", "iban"})
+KEY_PREFIX = re.compile("AKIA|AIza|gh[opsu]_")
+DIGIT_RUN = re.compile("[0-9]+")
 N_LENGTHS = 4
 
 
@@ -107,7 +111,7 @@ def _checksum(kind, match):
         return int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1
     if kind == "credential":
         value = match[0].rstrip('"')
-        return True if re.search(r"[0-9a-fA-F]{16,}$|^AKIA", value) else None
+        return True if re.search(r"[0-9a-fA-F]{16,}$", value) or KEY_PREFIX.match(value) else None
     return None
 
 
@@ -119,23 +123,44 @@ def _gazetteer(kind, match):
     if kind == "person":
         return True if any(word in GIVEN_NAMES for word in match[0].split()) else None
     if kind == "credential":
-        return True if re.match(r"(?i)AKIA|pass|secret|token|api", match[0]) else None
+        return True if KEY_PREFIX.match(match[0]) else None
     return None
 
 
+def _surroundings(kind, before, after):
+    """False beside letters and digits, or for a number among other numbers, as in lists and tables."""
+    edges = before[-1:] + after[:1]
+    if any(c.isalnum() or c in "-_/@" for c in edges):
+        return False
+    if kind in ("number", "national_id", "phone_local"):
+        beside = DIGIT_RUN.findall(before.rpartition("\n")[2]) + DIGIT_RUN.findall(after.partition("\n")[0])
+        if len(beside) >= 3:
+            return False
+    return None
+
+
+def _shape(kind, match):
+    """False for what no one would be given: few different signs, or a plain word as a credential."""
+    if kind == "credential":
+        if KEY_PREFIX.match(match[0]):
+            return True
+        value = re.split("[:=]", match[0], maxsplit=1)[-1].strip(' "')
+        kinds = sum(any(test(c) for c in value) for test in (str.islower, str.isupper, str.isdigit))
+        return kinds >= 2 if len(value) >= 8 or kinds < 2 else None
+    return False if len(set(match[0])) <= 4 else None
+
+
 def votes(text, kind, match):
     """One vote per labeler: True, False or None to abstain."""
     start, end = match.span()
-    before = text[max(0, start - CONTEXT) : start]
-    edges = text[max(0, start - 1) : start] + text[end : end + 1]
-    different = len(set(match[0]))
+    before, after = text[max(0, start - CONTEXT) : start], text[end : end + CONTEXT]
     return (
         _checksum(kind, match),
         _gazetteer(kind, match),
         True if FOR_WORDS.search(before) else None,
         False if AGAINST_WORDS.search(before) else None,
-        not any(c.isalnum() or c in "-_/@" for c in edges),
-        True if different >= 6 else False if different <= 2 else None,
+        _surroundings(kind, before, after),
+        _shape(kind, match),
     )
 
 
