@@ -22,41 +22,53 @@ def host_of(url):
 
 
 def _vote(batches):
+    """A row per path that holds text on a page; the best one's has a vote and its score."""
     for batch in slices(batches, "html"):
-        best = []
-        for source in batch.column("html").to_pylist():
+        hosts, paths, cast, scores = [], [], [], []
+        for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
             page = parse(source)
             node, score = page.best()
-            best.append((page.paths[node], float(score)))
-        paths, scores = (list(column) for column in zip(*best, strict=True))
+            if score <= 0:
+                continue
+            best = page.paths[node]
+            present = sorted({path for path, held in zip(page.paths, page.held(), strict=True) if held})
+            hosts += [host] * len(present)
+            paths += present
+            cast += [int(path == best) for path in present]
+            scores += [float(score) if path == best else 0.0 for path in present]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("host"), pa.array(paths, pa.string()), pa.array(scores, pa.float64())],
-            names=["host", "path", "score"],
+            [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(cast, pa.int64()), pa.array(scores, pa.float64())],
+            names=["host", "path", "vote", "score"],
         )
 
 
 def winning_paths(pages):
-    """One row per host: `paths`, best first, and their `votes`, from pages with `host` and `html`.
+    """One row per host: `paths`, best first, their `votes`, and `losers`, from pages with `host` and `html`.
 
-    Votes are added up before the shuffle, so that a host with most pages is no burden.
+    Losers are paths that some page votes for and that many of the host's pages have, without
+    the votes to win. Votes are added up before the shuffle, so that a host with most pages is no burden.
     Pages without text do not vote, nor do pages without a host, which need not be of one site.
     """
-    votes = pages.filter("host <> ''").select("host", "html").mapInArrow(_vote, "host string, path string, score double")
-    counted = stored(
-        votes.filter("score > 0").groupBy("host", "path").agg(F.count("*").alias("votes"), F.sum("score").alias("score")),
-        "votes",
-    )
+    rows = pages.filter("host <> ''").select("host", "html")
+    rows = rows.mapInArrow(_vote, "host string, path string, vote long, score double")
+    sums = [F.sum("vote").alias("votes"), F.count("*").alias("present"), F.sum("score").alias("score")]
+    counted = stored(rows.groupBy("host", "path").agg(*sums).filter("votes > 0"), "votes")
     totals = stored(counted.groupBy("host").agg(F.sum("votes").alias("total")), "vote-totals")
-    winning = counted.join(totals, "host").filter(F.col("votes") >= F.col("total") * WINNING_SHARE)
-    ranked = F.sort_array(F.collect_list(F.struct("votes", "score", "path")), asc=False)
-    return stored(winning.groupBy("host").agg(ranked["path"].alias("paths"), ranked["votes"].alias("votes")), "paths")
+    least = F.col("total") * WINNING_SHARE
+    wins = F.col("votes") >= least
+    judged = counted.join(totals, "host").filter(F.col("present") >= least)
+    ranked = F.sort_array(F.collect_list(F.when(wins, F.struct("votes", "score", "path"))), asc=False)
+    losers = F.sort_array(F.collect_list(F.when(~wins, F.col("path"))))
+    by_host = judged.groupBy("host").agg(ranked["path"].alias("paths"), ranked["votes"].alias("votes"), losers.alias("losers"))
+    return stored(by_host, "paths")
 
 
 def _extract(batches):
+    columns = ("html", "paths", "votes", "losers")
     for batch in slices(batches, "html"):
         found = [
-            parse(source).extract(paths or (), votes or ())
-            for source, paths, votes in zip(*[batch.column(c).to_pylist() for c in ("html", "paths", "votes")], strict=True)
+            parse(source).extract(paths or (), votes or (), losers or ())
+            for source, paths, votes, losers in zip(*[batch.column(c).to_pylist() for c in columns], strict=True)
         ]
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(found, pa.string())], names=["page_id", "url", "text"]
@@ -67,7 +79,9 @@ def main_text(pages, id_col="page_id", url_col="url", html_col="html"):
     """One row per page: page_id, url, text, n_chars.
 
     Blocks of the article in page order, joined by an empty line; white space in a block is one
-    space. NULL and empty pages, and pages of nothing but navigation, have the text "". Pages
+    space. Text around the winning container that belongs to the same run, such as a title and a lead,
+    comes with it. Of winning paths with equal weight the one with more votes is taken, then more text
+    on the host, then the later name. Very long pages are read whole; the table's other columns stay out. NULL and empty pages, and pages of nothing but navigation, have the text "". Pages
     without a host have their own best container. Repeated rows and NULL ids are pages like others. An empty table
     gives no rows.
     """
@@ -77,7 +91,7 @@ def main_text(pages, id_col="page_id", url_col="url", html_col="html"):
         host_of(F.col(url_col)).alias("host"),
         F.coalesce(F.col(html_col), F.lit("")).alias("html"),
     )
-    joined = rows.join(winning_paths(rows), "host", "left").select("page_id", "url", "html", "paths", "votes")
+    joined = rows.join(winning_paths(rows), "host", "left").select("page_id", "url", "html", "paths", "votes", "losers")
     id_type = rows.schema["page_id"].dataType.simpleString()
     texts = joined.mapInArrow(_extract, f"page_id {id_type}, url string, text string")
     return texts.withColumn("n_chars", F.length("text").cast("long"))

@@ -56,6 +56,10 @@ WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 # Containers that are nested deeper count as the one at this depth, which bounds paths.
 DEEPEST = 200
 
+# A winning path with less than this share of a strange container's text does not stand for the article.
+LEAST_SHARE = 0.25
+RIGHTS = re.compile(r"(?i)\s*(?:©|\(c\) |copyright\b|all rights reserved)")
+
 WEIGHTS = {"article": 1.25, "main": 1.2, "body": 0.8, "html": 0.7}
 
 
@@ -78,44 +82,85 @@ class Element:
 
 @dataclass
 class Page:
-    """`paths`, `parents`, `tags` by container; `blocks` as (container, text, characters in links)."""
+    """`paths`, `parents`, `tags` by container; `blocks` as (container, text, characters in links, is the page's title)."""
 
     paths: list = field(default_factory=list)
     parents: list = field(default_factory=list)
     tags: list = field(default_factory=list)
     blocks: list = field(default_factory=list)
 
-    def best(self):
-        """Number and score of the container that holds most text outside links, by kind of element."""
+    def held(self):
+        """Characters outside links in each container."""
         held = [0] * len(self.paths)
-        for node, text, linked in self.blocks:
+        for node, text, linked, _ in self.blocks:
             held[node] += max(0, len(text) - linked)
         for node in range(len(held) - 1, 0, -1):
             held[self.parents[node]] += held[node]
-        scores = [h * WEIGHTS.get(tag, 1.0) for h, tag in zip(held, self.tags, strict=True)]
+        return held
+
+    def best(self):
+        """Number and score of the container that holds most text outside links, by kind of element."""
+        scores = [h * WEIGHTS.get(tag, 1.0) for h, tag in zip(self.held(), self.tags, strict=True)]
         # Of equal ones the innermost.
         node = max(range(len(scores)), key=lambda n: (scores[n], n))
         return node, scores[node]
 
-    def blocks_under(self, chosen):
-        """(text, characters in links) of the blocks below any of the chosen containers, in page order."""
+    def _inside(self, chosen):
+        """Whether each block stands below any of the chosen containers."""
         inside = [node in chosen for node in range(len(self.paths))]
         for node in range(1, len(inside)):
             inside[node] = inside[node] or inside[self.parents[node]]
-        return [(text, linked) for node, text, linked in self.blocks if inside[node]]
+        return [inside[block[0]] for block in self.blocks]
+
+    def _ancestors(self, chosen):
+        above = set()
+        for node in chosen:
+            while node:
+                node = self.parents[node]
+                if node in above:
+                    break
+                above.add(node)
+        return above
 
     def text_under(self, chosen):
-        return "\n\n".join(text for text, _ in self.blocks_under(chosen))
+        """The chosen containers' blocks in page order, and those around that belong to the same run.
+
+        That is text which stands next to them straight in an element around them, and titles just
+        before, unless most of it is links or it names the holder of rights.
+        """
+        taken, above = self._inside(chosen), self._ancestors(chosen)
+
+        def joins(place, title):
+            node, text, linked, is_title = self.blocks[place]
+            return (node in above or (title and is_title)) and 2 * linked <= len(text) and not RIGHTS.match(text)
+
+        for place in range(len(taken) - 2, -1, -1):
+            taken[place] = taken[place] or (taken[place + 1] and joins(place, title=True))
+        for place in range(1, len(taken)):
+            taken[place] = taken[place] or (taken[place - 1] and joins(place, title=False))
+        return "\n\n".join(block[1] for block, keep in zip(self.blocks, taken, strict=True) if keep)
+
+    def extract(self, paths=(), votes=(), losers=()):
+        """The article by a host's winning paths.
 
-    def extract(self, paths=(), votes=()):
-        """Text under that of `paths` which holds most text outside links here, weighed by votes, else under the best container."""
-        found = []
+        Of those on the page the one that holds most text outside links, weighed by votes. The page's
+        own best container stands in where there is none, or where the winner holds little
+        beside one that the host's other pages do not have; one that they have and that lost there
+        (`losers`) is no article here either.
+        """
+        held, found = self.held(), []
         for rank, path in enumerate(paths):
-            inside = self.blocks_under({n for n, own in enumerate(self.paths) if own == path})
-            if inside:
-                held = sum(max(0, len(text) - linked) for text, linked in inside)
-                found.append((held * (votes[rank] if votes else 1), -rank, "\n\n".join(text for text, _ in inside)))
-        return max(found)[2] if found else self.text_under({self.best()[0]})
+            nodes = {n for n, own in enumerate(self.paths) if own == path}
+            if any(self._inside(nodes)):
+                outer = [n for n in nodes if not self._ancestors({n}) & nodes]
+                size = sum(held[n] for n in outer)
+                found.append((size * (votes[rank] if votes else 1), -rank, size, nodes))
+        best, _ = self.best()
+        if not found:
+            return self.text_under({best})
+        _, _, size, nodes = max(found, key=lambda f: f[:2])
+        strange = self.paths[best] not in losers and self.paths[best] not in paths
+        return self.text_under({best} if strange and size < LEAST_SHARE * held[best] else nodes)
 
 
 def step_of(tag, given):
@@ -155,7 +200,7 @@ def parse(source):
         nonlocal linked
         if pieces:
             if text := " ".join("".join(pieces).split()):
-                page.blocks.append((node, text, min(linked, len(text))))
+                page.blocks.append((node, text, min(linked, len(text)), still_open["h1"] > 0))
             pieces.clear()
         linked = 0
 

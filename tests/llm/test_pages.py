@@ -99,6 +99,44 @@ def test_pages_of_two_templates(spark):
     assert result[120] == prose(120, 60, 1)
 
 
+LONG = prose(77, 200, 1)
+
+
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        (f"<body><h1>Title</h1><p>Lead</p><div><p>{LONG}</p></div></body>", f"Title\n\nLead\n\n{LONG}"),
+        (f"<div><h1>Title</h1><p>Lead.</p><article><p>{LONG}</p></article></div>", f"Title\n\nLead.\n\n{LONG}"),
+        (f"<div class='top'><h1>Title</h1></div><div class='text'><p>{LONG}</p></div>", f"Title\n\n{LONG}"),
+        (f"<body><div><p>{LONG}</p></div><p>Last words.</p><p>&copy; 2020 us</p></body>", f"{LONG}\n\nLast words."),
+        (f"<body><p><a href='/'>Home</a> <a href='/n'>News</a></p><article><p>{LONG}</p></article></body>", LONG),
+        (f"<body><p>Far.</p><div class='box'><p>Box.</p></div><article><p>{LONG}</p></article></body>", LONG),
+    ],
+)
+def test_heads_and_ends_come_with_the_article(spark, source, text):
+    assert parse(source).extract() == text
+    rows = [(i, "http://h.example/", source) for i in range(3)]
+    assert [r["text"] for r in main_text(frame_of(spark, rows)).collect()] == [text] * 3
+
+
+def test_strange_template_falls_back(spark):
+    """A page of a template that its host has nowhere else keeps its article; a known loser stays out."""
+
+    def normal(i):
+        return f"<body><div class='story'><p>{prose(i, 60, 1)}</p></div><div class='box'><p>short</p></div></body>"
+
+    rows = [(i, "http://h.example/", normal(i)) for i in range(30)]
+    strange = f"<body><div class='story'><p>Teaser.</p></div><section class='long-read'><p>{LONG}</p></section></body>"
+    loser = f"<body><div class='story'><p>The story.</p></div><div class='box'><p>{LONG}</p></div></body>"
+    rows += [(100, "http://h.example/", strange), (101, "http://h.example/", loser)]
+    frame = frame_of(spark, rows)
+    result = {r["page_id"]: r["text"] for r in main_text(frame).collect()}
+    assert [result[i] for i in range(30)] == [prose(i, 60, 1) for i in range(30)]
+    assert result[100] == LONG and result[101] == "The story."
+    host = winning_paths(frame.select(host_of(F.col("url")).alias("host"), "html")).first()
+    assert host["paths"] == ["html>body>div.story"] and host["losers"] == ["html>body>div.box"]
+
+
 def test_edge_rows(spark):
     rows = [(1, None, None), (1, None, None), (None, "http://x/", page("<p>a</p>")), (2, "http://x/", ""), (3, None, "<p>x")]
     result = main_text(frame_of(spark, rows))
