@@ -4,7 +4,7 @@ import pytest
 from cases import edge_rows, table
 
 import corpus_pipeline
-from roadwatch.llm import block_names, hilbert, line_chunks, mixing, near, personal, quality, suffixes, tokens
+from roadwatch.llm import align, block_names, hilbert, line_chunks, mixing, near, personal, quality, scoring, suffixes, tokens
 
 OPERATORS = {
     "near": near.near_duplicates,
@@ -16,6 +16,8 @@ OPERATORS = {
     "mix": mixing.mix,
     "suffixes": suffixes.byte_report,
     "exact": block_names.exact_duplicates,
+    "scores": scoring.text_scores,
+    "alignment": align.token_alignment,
 }
 
 
@@ -45,3 +47,11 @@ def test_stages_keep_the_columns(spark, edges, number):
     assert result.columns == edges.columns
     assert {row[0] for row in result.select("size").distinct().collect()} <= {"extra"}
     assert stage(spark, edges.limit(0), None).count() == 0
+
+
+def test_last_stage_on_edge_rows(spark, edges):
+    """Each row is encoded, NULL as an empty text; no rows give none."""
+    _, stage = corpus_pipeline.STAGES[-1]
+    result = stage(spark, edges, None).collect()
+    assert len(result) == len(edge_rows()) and all(r["round_trip"] for r in result)
+    assert stage(spark, edges.limit(0), None).count() == 0
