@@ -54,6 +54,9 @@ def with_reasons(envelopes, headers=EVENT_HEADERS, payload=CAMERA_EVENT):
 
     A value that is no JSON or has a field of another type, a header that is not there, a header
     whose text is not of its type. What a message leaves out of its value is no fault.
+
+    The reasons come out of a generator of one row: a plain column would be put into every filter and
+    projection on it, and what the headers and the value are made of into each of its mentions there.
     """
     whole = T.StructType([*payload.fields, T.StructField("_corrupt", T.StringType())])
     body = F.from_json(F.col("value").cast("string"), whole, {"columnNameOfCorruptRecord": "_corrupt"})
@@ -63,7 +66,8 @@ def with_reasons(envelopes, headers=EVENT_HEADERS, payload=CAMERA_EVENT):
         sent = F.coalesce(F.array_contains("headers.key", name), F.lit(False))
         found.append(F.when(~sent, F.lit(f"missing header {name}")))
         found.append(F.when(sent & header_value(name, kind).isNull(), F.lit(f"bad header {name}")))
-    return envelopes.withColumn("reasons", F.array_compact(F.array(*found)))
+    once = F.explode_outer(F.array(F.array_compact(F.array(*found))))
+    return envelopes.drop("reasons").select("*", once.alias("reasons"))
 
 
 def rejected(envelopes, headers=EVENT_HEADERS, payload=CAMERA_EVENT):

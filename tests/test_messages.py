@@ -87,6 +87,16 @@ def test_dead_letters_name_their_reasons(spark):
     assert messages.rejected(sent.limit(0)).count() == 0
 
 
+def test_reasons_read_each_message_once(spark):
+    """Neither the value nor headers made on the way are worked out again in the filter on the reasons."""
+    made = F.transform("headers", lambda h: F.struct(F.upper(h["key"]).alias("key"), h["value"]))
+    sent = spark.createDataFrame([], ENVELOPE).withColumn("headers", made)
+    for frame in (messages.with_reasons(sent).filter("size(reasons) > 0"), messages.rejected(sent), messages.accepted(sent)):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") <= 1
+        assert plan.count("upper(") <= 1
+
+
 def test_publish_order_skips_events_without_a_batch(spark):
     assert [r.event_id for r in messages.in_publish_order(_events(spark)).collect()] == ["e2", "e1"]
     by_plate = messages.in_publish_order(_events(spark), key=["car_plate"])
