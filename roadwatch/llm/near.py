@@ -3,18 +3,19 @@
 Documents are sets of word shingles, sketched by minwise tokens. In each of several
 independent trees a node selects a few coordinates at random, and documents go down to one child per
 selected coordinate, that of their token there. So similar documents meet in many nodes and
-others in few. Small nodes compare their members exhaustively and propose all pairs that may be
-links. Large nodes are cut into parts; a part ties its members to its most central ones,
-compares those that are far from these with all others but proposes only the best of them, and
-sends further down those that may have more candidates. Its most central member meets
+others in few. Small nodes compare their members exhaustively and propose the best pairs that tie together
+all who may be linked; a root node with more such pairs stays open. Large nodes are cut into parts; a part
+ties its members to its most central ones,
+compares those that are far from these with all others but proposes only the best of them, fewer pairs than it
+has members; if there are other parts it sends those that are far further down, and its most central member meets
 those of the other parts.
-Candidates are confirmed on the full sets. What is then still unconnected inside a large root node is
+Candidates are confirmed on the full sets. What is then still unconnected inside a large or open root node is
 settled exhaustively: nodes whose members all belong to one component are done, the
 others send every member on to the children of their selected coordinates until BOUND members are left
 or the levels are used up; a node still larger is cut into blocks, and its pairs of blocks are tasks of their
 own. There all pairs of members in different components are compared by sketch and, with the full
 sets at hand, confirmed in the same task, which gives back one link for each two components
-that it joins. So no step writes more rows than members stand in its nodes.
+that it joins. So no step writes more rows than a few times the members that stand in its nodes.
 
 Recall. Two documents of similarity s share a selected coordinate with chance s. With the
 default 12 trees and their root coordinates, a pair at 0.75 misses all root nodes with a
@@ -56,7 +57,13 @@ LEVELS = 3
 # Shingle hashes that one task holds for each side of a comparison.
 HELD = 2_000_000
 
+# Rounds of contraction that tell which ends the best candidates connect, before the others are confirmed.
+FIRST_ROUNDS = 2
+
 KEYS = ["doc_id", "key_1", "key_2"]
+# What a row of a tree's level is: a candidate pair, a member of a node below, a large node's part's member that
+# meets the other parts', or a small node with more pairs than it proposed.
+PAIR, CHILD, MEETING, OPEN = range(4)
 
 
 def _chosen(node, seed=0):
@@ -171,12 +178,31 @@ def _open_pairs(group, left, right):
             yield i[enough], j[enough]
 
 
-def _all_pairs(ids, sketch):
-    """Pairs of members that agree enough, of a node or a chunk of bounded size."""
-    for i in range(len(ids) - 1):
-        agreeing = _agreeing(sketch[i + 1 :], sketch[i])
-        for j in np.flatnonzero(agreeing >= LEAST_AGREEING):
-            yield ids[i], ids[i + 1 + j], agreeing[j]
+def _tying(pairs):
+    """Of pairs (x, y, agreeing) the best that tie together all that the pairs do: less than their members."""
+    above, kept = {}, []
+
+    def top(x):
+        while above.get(x, x) != x:
+            above[x] = above.get(above[x], above[x])
+            x = above[x]
+        return x
+
+    for x, y, agreeing in sorted(pairs, key=lambda pair: -int(pair[2])):
+        one, other = top(x), top(y)
+        if one != other:
+            above[one] = other
+            kept.append((x, y, agreeing))
+    return kept
+
+
+def _tying_pairs(ids, sketch):
+    """Best pairs that tie together all members that agree enough, of a node of bounded size; whether more pairs do."""
+    left, right = np.triu_indices(len(ids), 1)
+    agreeing = _agreeing(sketch[left], sketch[right])
+    enough = np.flatnonzero(agreeing >= LEAST_AGREEING)
+    pairs = _tying(list(zip(ids[left[enough]], ids[right[enough]], agreeing[enough], strict=True)))
+    return pairs, len(enough) > len(pairs)
 
 
 def _central(sketch):
@@ -189,8 +215,11 @@ def _central(sketch):
 
 
 def _large_node(node, ids, sketch, whole, last):
-    """Pairs of a part of a large node, and (child, member) rows to go on with. `whole`: it has no other part."""
-    pairs, onward, settled = [], [], np.zeros(len(ids), bool)
+    """Pairs of a part of a large node, and (child, member, kind) rows to go on with. `whole`: it has no other part.
+
+    Members of a whole node go no further: what its pairs leave unconnected, unconnected_links compares.
+    """
+    pairs, onward = [], []
     central = _central(sketch)
     best = np.zeros(len(ids), np.int64)
     for c in central:
@@ -204,55 +233,53 @@ def _large_node(node, ids, sketch, whole, last):
         for j in np.argsort(-agreeing, kind="stable")[:PARTNERS]:
             if agreeing[j] >= LEAST_AGREEING:
                 pairs.append((ids[f], ids[j], agreeing[j]))
-        # All its candidates in the node have been proposed.
-        settled[f] = whole and (agreeing >= LEAST_AGREEING).sum() <= PARTNERS
-    far = far[~settled[far]]
-    if last:
+    pairs = _tying(pairs)
+    if last or whole:
         return pairs, onward
-    if not whole:
-        meeting = shingles.mix(np.array([node], np.uint64) + np.uint64(1))[0]
-        onward.append((meeting, ids[central[0]]))
+    meeting = shingles.mix(np.array([node], np.uint64) + np.uint64(1))[0]
+    onward.append((meeting, ids[central[0]], MEETING))
     for c in _chosen(node):
-        onward += zip(_child(node, c, sketch[far, c]), ids[far], strict=True)
+        onward += [(child, member, CHILD) for child, member in zip(_child(node, c, sketch[far, c]), ids[far], strict=True)]
     return pairs, onward
 
 
 def _compare(last):
-    """Work on nodes in sorted rows: candidate pairs (onward = false) and rows of the next level."""
+    """Work on nodes in sorted rows: candidate pairs, open nodes and rows of the next level."""
 
     def run(batches):
-        a, b, agreeing, onward = [], [], [], []
+        a, b, agreeing, kind = [], [], [], []
 
         def out():
             columns = [
                 pa.array(np.array(a, np.uint64).view(np.int64)),
                 pa.array(np.array(b, np.int64)),
                 pa.array(agreeing, pa.int32()),
-                pa.array(onward, pa.bool_()),
+                pa.array(kind, pa.int32()),
             ]
-            for column in (a, b, agreeing, onward):
+            for column in (a, b, agreeing, kind):
                 column.clear()
-            return pa.RecordBatch.from_arrays(columns, names=["a", "b", "agreeing", "onward"])
+            return pa.RecordBatch.from_arrays(columns, names=["a", "b", "agreeing", "kind"])
 
         for group in _groups(batches, ("node", "part")):
             ids = group.column("set_id").to_numpy()
             sketch = _sketches(group)
             size = group.column("size")[0].as_py()
+            node = np.int64(group.column("node")[0].as_py()).view(np.uint64)
             if size <= SMALL:
-                pairs, rows = list(_all_pairs(ids, sketch)), []
+                pairs, more = _tying_pairs(ids, sketch)
+                rows = [(node, ids[0], OPEN)] if more else []
             else:
-                node = np.int64(group.column("node")[0].as_py()).view(np.uint64)
                 pairs, rows = _large_node(node, ids, sketch, size <= PART, last)
             for x, y, n in pairs:
                 a.append(np.uint64(min(x, y)))
                 b.append(max(x, y))
                 agreeing.append(n)
-                onward.append(False)
-            for child, member in rows:
-                a.append(child)
+                kind.append(PAIR)
+            for below, member, what in rows:
+                a.append(below)
                 b.append(member)
                 agreeing.append(0)
-                onward.append(True)
+                kind.append(what)
             if len(a) > 50_000:
                 yield out()
         if a:
@@ -443,32 +470,38 @@ def unconnected_links(keyed, sets, members, labels):
 
 
 def candidate_pairs(sets):
-    """Pairs of sets whose sketches agree: a, b (a < b) and the agreeing coordinates; and the members of large root nodes.
+    """Pairs of sets whose sketches agree: a, b (a < b) and the agreeing coordinates; and the members of unsettled nodes.
 
     `sets` has set_id, nodes and sketch. Each level counts the members of its nodes first;
-    sketches go only to nodes of two or more. A large node proposes its members' best pairs; its members
-    (node, set_id) are returned for unconnected_links.
+    sketches go only to nodes of two or more. A large node proposes its members' best pairs, a small one those
+    that tie its members together; the members (node, set_id) of large root nodes, and of small ones with more
+    pairs, are returned for unconnected_links. What meets below a large root node meets there too, or in
+    the same nodes below it; only the meetings of its parts are nodes of their own.
     """
-    found = large = None
-    rows = sets.select("set_id", F.explode("nodes").alias("node"))
+    found = unsettled = None
+    rows = held = stored(sets.select("set_id", F.explode("nodes").alias("node")), "tree-rows")
     for level in range(DEPTH):
-        rows = stored(rows.distinct() if level else rows, "tree-rows")
         sizes = rows.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1")
         part = F.pmod(F.xxhash64("set_id", "node"), F.ceil(F.col("size") / PART)).cast("int")
         sizes = stored(sizes, "tree-nodes")
-        if large is None:
-            large = rows.join(sizes.filter(F.col("size") > SMALL), "node").select("node", "set_id")
         meeting = rows.join(sizes, "node").select("node", "set_id", "size", part.alias("part"))
         meeting = meeting.join(sets.select("set_id", "sketch"), "set_id")
         placed = meeting.repartition("node", "part").sortWithinPartitions("node", "part", "set_id")
-        work = placed.mapInArrow(_compare(level == DEPTH - 1), "a long, b long, agreeing int, onward boolean")
+        work = placed.mapInArrow(_compare(level == DEPTH - 1), "a long, b long, agreeing int, kind int")
         work = stored(work, "tree-level")
-        pairs = work.filter("NOT onward").select("a", "b", "agreeing")
+        pairs = work.filter(F.col("kind") == PAIR).select("a", "b", "agreeing")
+        nodes = work.filter(F.col("kind") == OPEN).select(F.col("a").alias("node"))
+        if not level:
+            nodes = nodes.union(sizes.filter(F.col("size") > SMALL).select("node"))
+        members = held.join(nodes, "node").select("node", "set_id")
         found = pairs if found is None else found.union(pairs)
-        rows = work.filter("onward").select(F.col("b").alias("set_id"), F.col("a").alias("node"))
+        unsettled = members if unsettled is None else unsettled.union(members)
+        below = work.select(F.col("b").alias("set_id"), F.col("a").alias("node"), "kind")
+        rows = below.filter(F.col("kind").isin(CHILD, MEETING)).drop("kind")
+        held = below.filter(F.col("kind") == MEETING).drop("kind")
         if rows.isEmpty():
             break
-    return stored(found.groupBy("a", "b").agg(F.max("agreeing").alias("agreeing")), "candidates"), large
+    return stored(found.groupBy("a", "b").agg(F.max("agreeing").alias("agreeing")), "candidates"), unsettled
 
 
 def _hash_sets(batches):
@@ -501,14 +534,14 @@ def _links(candidates, full):
     """Enough confirmed links to connect all that any candidate would connect.
 
     First each set's best candidate, which settles most; then all other candidates whose ends are
-    not connected yet. Links inside a component change nothing and are not confirmed.
+    not known to be connected yet. Links inside a component change nothing; most are not confirmed.
     """
     ends = candidates.select(F.col("a").alias("x"), F.struct("agreeing", "a", "b").alias("best")).union(
         candidates.select(F.col("b"), F.struct("agreeing", "a", "b"))
     )
     best = stored(ends.groupBy("x").agg(F.max("best").alias("best")).select("best.a", "best.b").distinct(), "best-pairs")
     first = _confirmed(best, full)
-    labels = components(first)
+    labels = components(first, rounds=FIRST_ROUNDS)
     rest = (
         candidates.join(best, ["a", "b"], "left_anti")
         .join(labels.select(F.col("u").alias("a"), F.col("v").alias("root_a")), "a", "left")
@@ -559,10 +592,10 @@ def near_duplicates(documents, id_col="doc_id", text_col="text"):
     )
     sets = stored(by_set.withColumn("set_id", F.monotonically_increasing_id()), "sets")
 
-    candidates, large = candidate_pairs(sets)
+    candidates, unsettled = candidate_pairs(sets)
     involved = candidates.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
     labels = components(_links(candidates, _full_sets(keyed, sets, involved)))
-    joining = unconnected_links(keyed, sets, large, labels)
+    joining = unconnected_links(keyed, sets, unsettled, labels)
     if not joining.isEmpty():
         labels = components(joining.union(labels.select("u", "v")))
     rooted = stored(
@@ -572,7 +605,7 @@ def near_duplicates(documents, id_col="doc_id", text_col="text"):
         "rooted",
     )
     least = stored(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")), "component-ids")
-    component = stored(rooted.join(least, "root").select("set_1", "set_2", "component_id", F.col("root").alias("group")), "set-components")
+    component = rooted.join(least, "root").select("set_1", "set_2", "component_id", F.col("root").alias("group"))
     # Texts without shingles have no set and stay alone.
     alone = sketches.filter("n_shingles = 0").select(
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("group"), *KEYS[1:]

@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from cases import edge_rows, prose, table
 
@@ -159,6 +160,35 @@ def test_families_apart_give_no_more_rows_than_members(spark, monkeypatch):
     assert sizes["joining-links"] == 0
 
 
+@pytest.mark.parametrize("size", [2, 5, 33, 64])
+def test_small_nodes_propose_fewer_pairs_than_members(size):
+    """A node of copies alike proposes what ties them together and says that there are more pairs."""
+    sketch = np.zeros((size, near.COORDINATES), np.uint8)
+    sketch[np.arange(size), np.arange(size)] = 1
+    pairs, more = near._tying_pairs(np.arange(size), sketch)
+    assert len(pairs) == size - 1
+    assert {x for pair in pairs for x in pair[:2]} == set(range(size))
+    assert more == (size > 2)
+
+
+def test_pairs_that_a_small_node_did_not_propose(spark, monkeypatch):
+    """All results if candidates are refuted that tie a small node's members together, and their level's rows."""
+    made = {}
+    keep = near.stored
+
+    def counted(frame, name):
+        out = keep(frame, name)
+        if name == "tree-level":
+            made[len(made)] = out.count()
+        return out
+
+    monkeypatch.setattr(near, "stored", counted)
+    rows = families_at_seventy(6)
+    assert found(table(spark, rows)) == brute(rows)
+    # All of them meet in each of the root nodes that they share.
+    assert made[0] <= len(rows) * len(near.ROOTS)
+
+
 def test_edge_cases(spark):
     rows = [r for r in edge_rows() if r[0] is not None]
     assert found(table(spark, rows)) == brute(rows)
