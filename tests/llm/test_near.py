@@ -235,3 +235,11 @@ def test_components(spark, shape):
 
 def test_roots_reach_the_promised_recall():
     assert (1 - near.SIMILARITY) ** len({c for _, c in near.ROOTS}) < 1e-7
+
+
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    names, keep = [], near.stored
+    monkeypatch.setattr("roadwatch.llm.components.stored", lambda frame, name: names.append(name) or keep(frame, name))
+    edges = spark.createDataFrame([(1, 5), (6, 1), (2, 9)], "u long, v long")
+    assert {tuple(r) for r in components(edges).collect()} == {(5, 1), (6, 1), (9, 2)}
+    assert names == ["links", "labels"]
